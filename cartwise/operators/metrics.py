@@ -45,13 +45,13 @@ def _keys(group: str | Sequence[str]) -> list[str]:
     return [group] if isinstance(group, str) else list(group)
 
 
-def _ideal_gains(k: int) -> Column:
-    """Ideal DCG for 0..k relevant rows, as an array indexed by their number."""
+def _ideal_gains(k: int) -> str:
+    """SQL array of the ideal DCG for 0..k relevant rows."""
     sums, total = [0.0], 0.0
     for position in range(1, k + 1):
         total += 1 / log2(position + 1)
         sums.append(total)
-    return F.array(*[F.lit(x) for x in sums])
+    return f"array({', '.join(f'{x!r}D' for x in sums)})"
 
 
 def group_metrics(
@@ -73,29 +73,27 @@ def group_metrics(
         F.sum(F.col(label).cast("long")).alias("n_relevant"),
     )
     slim = top_per_group(scored, max(k_values), group, order).where(F.col(label) == 1)
-    gain = F.lit(1.0) / F.log2(F.col("rank") + 1)
-    inside = lambda k: F.col("rank") <= k
     hits = slim.groupBy(*keys).agg(
-        *[F.count(F.when(inside(k), 1)).alias(f"hits_{k}") for k in k_values],
-        *[F.sum(F.when(inside(k), gain).otherwise(0.0)).alias(f"dcg_{k}") for k in k_values],
+        *[F.expr(f"count_if(rank <= {k}) AS hits_{k}") for k in k_values],
+        *[
+            F.expr(f"sum(if(rank <= {k}, 1 / log2(rank + 1), 0D)) AS dcg_{k}")
+            for k in k_values
+        ],
     )
     joined = totals.join(hits, keys, "left").fillna(
         0, [c for c in hits.columns if c not in keys]
     )
-    columns: dict[str, Column] = {}
-    some = F.col("n_relevant") > 0
+    columns = []
     for k in k_values:
-        found, dcg = F.col(f"hits_{k}"), F.col(f"dcg_{k}")
-        ideal = lambda n: F.get(_ideal_gains(k), n.cast("int"))  # noqa: E731, B023
-        columns[f"precision_{k}"] = found / F.least(F.lit(k), F.col("group_size"))
-        columns[f"recall_{k}"] = F.when(some, found / F.col("n_relevant")).otherwise(0.0)
-        columns[f"ndcg_{k}"] = F.when(found > 0, dcg / ideal(found)).otherwise(0.0)
-        columns[f"ndcg_full_{k}"] = F.when(
-            some, dcg / ideal(F.least(F.lit(k), F.col("n_relevant")))
-        ).otherwise(0.0)
-    return joined.select(
-        *keys, "group_size", "n_relevant", *[c.alias(n) for n, c in columns.items()]
-    )
+        ideal = _ideal_gains(k)
+        columns += [
+            f"hits_{k} / least({k}, group_size) AS precision_{k}",
+            f"if(n_relevant > 0, hits_{k} / n_relevant, 0D) AS recall_{k}",
+            f"if(hits_{k} > 0, dcg_{k} / get({ideal}, int(hits_{k})), 0D) AS ndcg_{k}",
+            f"if(n_relevant > 0, dcg_{k} / get({ideal}, int(least({k}, n_relevant))), 0D) "
+            f"AS ndcg_full_{k}",
+        ]
+    return joined.selectExpr(*keys, "group_size", "n_relevant", *columns)
 
 
 def mean_metrics(per_group: DataFrame) -> DataFrame:

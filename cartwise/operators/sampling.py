@@ -166,6 +166,20 @@ def _with_menu(
     return placed.withColumn("items", F.lit(None).cast("array<bigint>")), False
 
 
+def join_menu(interactions: DataFrame, items: DataFrame, page: int = PAGE) -> DataFrame:
+    """Positives whose restaurant has at least two items, with the choice left to sample from.
+
+    Adds ``menu_size`` and ``others``, the menu items other than the row's own.
+    """
+    base, _ = _with_menu(interactions, items, page)
+    own = F.when(F.col("_own").isNull(), 0).otherwise(1)
+    return (
+        base.where(F.col("menu_size") > 1)
+        .withColumn("others", F.col("menu_size") - own)
+        .drop("items", "_own")
+    )
+
+
 def _expand(drawn: DataFrame, items: DataFrame, page: int, one_page: bool) -> DataFrame:
     """One row per positive and one per drawn number (column ``draws``)."""
     own = F.array(F.struct(F.col("item_id").alias("item_id"), F.lit(1).alias("label")))

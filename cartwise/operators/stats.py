@@ -52,26 +52,25 @@ def item_popularity(interactions: DataFrame) -> DataFrame:
     )
 
 
-def item_cooccurrence(
+def pair_counts(
     interactions: DataFrame, session: str = "session_id", split_items: int = SPLIT_ITEMS
 ) -> DataFrame:
-    """Symmetric counts of item pairs bought in the same session.
+    """Unordered line pairs of the same session, summed per item pair (item_a <= item_b).
 
     With n_a and n_b lines of two items, a session holds n_a * n_b pairs of them
-    and n_a * (n_a - 1) ordered pairs of an item with itself. So repeated lines
-    are counted before any pairing, each unordered pair is emitted once, and the
-    mirror image is added after the sums. Sessions with very many distinct items
-    are paired block by block.
+    and n_a * (n_a - 1) / 2 pairs of an item with itself. So repeated lines are
+    counted before any pairing and copies never multiply. Sessions with very many
+    distinct items are paired block by block.
     """
     baskets = interactions.groupBy(session, "item_id").agg(F.count(F.lit(1)).alias("n"))
     repeated = (
         baskets.where("n > 1")
         .groupBy(F.col("item_id").alias("item_a"))
-        .agg(F.sum(F.col("n") * (F.col("n") - 1)).alias("cooc"))
-        .select("item_a", F.col("item_a").alias("item_b"), "cooc")
+        .agg(F.sum(F.expr("n * (n - 1) div 2")).alias("pairs"))
+        .select("item_a", F.col("item_a").alias("item_b"), "pairs")
     )
 
-    def pairs(rows: DataFrame, keys: list[str], other: DataFrame) -> DataFrame:
+    def paired(rows: DataFrame, keys: list[str], other: DataFrame) -> DataFrame:
         left = rows.select(*keys, F.col("item_id").alias("item_a"), F.col("n").alias("n_a"))
         right = other.select(*keys, F.col("item_id").alias("item_b"), F.col("n").alias("n_b"))
         return left.join(right, keys).where("item_a < item_b").select(
@@ -80,7 +79,7 @@ def item_cooccurrence(
 
     hot = hot_groups(baskets, [session], split_items)
     if hot is None:
-        emitted = pairs(baskets, [session], baskets)
+        emitted = paired(baskets, [session], baskets)
     else:
         small = baskets.join(hot, session, "left_anti")
         widest = hot.agg(F.max("_n")).first()[0]
@@ -90,21 +89,29 @@ def item_cooccurrence(
         copied = large.withColumn(
             "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))
         )
-        emitted = pairs(small, [session], small).unionByName(
-            pairs(placed, [session, "_block"], copied)
+        emitted = paired(small, [session], small).unionByName(
+            paired(placed, [session, "_block"], copied)
         )
-    half = emitted.groupBy("item_a", "item_b").agg(F.sum("c").alias("cooc"))
-    both = half.select(
+    half = emitted.groupBy("item_a", "item_b").agg(F.sum("c").alias("pairs"))
+    return half.unionByName(repeated)
+
+
+def item_cooccurrence(
+    interactions: DataFrame, session: str = "session_id", split_items: int = SPLIT_ITEMS
+) -> DataFrame:
+    """Symmetric pair counts; a pair of the same item counts twice at (x, x).
+
+    Both directions come from the summed unordered pairs, after their shuffle.
+    """
+    return pair_counts(interactions, session, split_items).select(
         F.explode(
-            F.array(
-                F.struct("item_a", "item_b", "cooc"),
-                F.struct(
-                    F.col("item_b").alias("item_a"), F.col("item_a").alias("item_b"), "cooc"
-                ),
+            F.expr(
+                "if(item_a = item_b, array(struct(item_a, item_b, 2 * pairs AS cooc)), "
+                "array(struct(item_a, item_b, pairs AS cooc), "
+                "struct(item_b AS item_a, item_a AS item_b, pairs AS cooc)))"
             )
         ).alias("e")
     ).select("e.*")
-    return both.unionByName(repeated)
 
 
 def category_pairs(
