@@ -195,9 +195,9 @@ def nearest_items(
             .otherwise(F.col("vec"))
             .alias("vec"),
         )
-    left = vectors if queries is None else vectors.join(
-        queries.select("item_id").distinct(), "item_id", "left_semi"
-    )
+    left = vectors.select(F.col("item_id").alias("item_id"), F.col("vec").alias("vec"))
+    if queries is not None:
+        left = left.join(queries.select("item_id").distinct(), "item_id", "left_semi")
     blocks = max(1, ceil(vectors.count() / block))
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     place = F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int")

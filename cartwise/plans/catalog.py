@@ -36,6 +36,11 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object
     return _memo[key]
 
 
+def forget() -> None:
+    """Drop the shared tables and models, so the next query builds its own."""
+    _memo.clear()
+
+
 def r6(column: Column | str) -> Column:
     return F.round(column, 6)
 
