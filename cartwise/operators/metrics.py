@@ -202,12 +202,10 @@ def _replicate_means_by_draw(
         (F.col("id") % replicates).alias("replicate"),
         F.floor(uniform(F.col("id"), F.lit("boot"), seed=seed) * rows).cast("long").alias("idx"),
     )
-    # Draws of the same row are counted first, so the join sees each pair once.
-    counts = draws.groupBy("replicate", "idx").agg(F.count(F.lit(1)).alias("times"))
+    # The caller bounds rows * replicates, so this table has at most MAX_DRAWS /
+    # replicates rows; with it broadcast the draws add up without being shuffled.
     return (
-        counts.join(indexed, "idx")
-        .groupBy("replicate")
-        .agg((F.sum(F.col("v") * F.col("times")) / F.sum("times")).alias("mean"))
+        draws.join(F.broadcast(indexed), "idx").groupBy("replicate").agg(F.avg("v").alias("mean"))
     )
 
 

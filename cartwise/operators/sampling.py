@@ -181,8 +181,13 @@ def join_menu(interactions: DataFrame, items: DataFrame, page: int = PAGE) -> Da
 
 
 def _expand(drawn: DataFrame, items: DataFrame, page: int, one_page: bool) -> DataFrame:
-    """One row per positive and one per drawn number (column ``draws``)."""
+    """One row per positive, per drawn number (``draws``) and per item of ``picked``, if any."""
     own = F.array(F.struct(F.col("item_id").alias("item_id"), F.lit(1).alias("label")))
+    if "picked" in drawn.columns:
+        direct = F.transform(
+            "picked", lambda i: F.struct(i.alias("item_id"), F.lit(0).alias("label"))
+        )
+        own = F.concat(own, direct)
 
     def negatives(numbers: Column) -> Column:
         return F.transform(
@@ -380,20 +385,6 @@ def _weighted_draws(
     return state.withColumn("picked", F.transform("_drawn", lambda d: d["item"]))
 
 
-def _attach_picked(
-    drawn: DataFrame, items: DataFrame, page: int, one_page: bool
-) -> DataFrame:
-    """Positives, numbered draws and directly picked items as one sample frame."""
-    columns = [c for c in SAMPLE_COLUMNS if c in drawn.columns]
-    by_number = _expand(drawn, items, page, one_page)
-    by_item = (
-        drawn.where(F.size("picked") > 0)
-        .select(*[c for c in columns if c != "item_id"], F.explode("picked").alias("item_id"))
-        .select(*columns, F.lit(0).alias("added_to_cart"))
-    )
-    return by_number.unionByName(by_item)
-
-
 def sample_popular(
     interactions: DataFrame,
     items: DataFrame,
@@ -416,7 +407,7 @@ def sample_popular(
         F.lit(0).cast("long")
     )
     draws = _draw(F.col("menu_size"), fallback, F.col(key), "r", seed)
-    return _attach_picked(state.withColumn("draws", draws), items, page, one_page)
+    return _expand(state.withColumn("draws", draws), items, page, one_page)
 
 
 def sample_mixed(
@@ -448,4 +439,4 @@ def sample_mixed(
     )
     fallback = F.when(F.col("weighted_items").isNull(), second).otherwise(F.lit(0).cast("long"))
     tail = _draw(F.col("menu_size"), fallback, F.col(key), "b", seed)
-    return _attach_picked(state.withColumn("draws", F.concat(head, tail)), items, page, one_page)
+    return _expand(state.withColumn("draws", F.concat(head, tail)), items, page, one_page)

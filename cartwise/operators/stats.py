@@ -77,7 +77,8 @@ def pair_counts(
             "item_a", "item_b", (F.col("n_a") * F.col("n_b")).alias("c")
         )
 
-    hot = hot_groups(baskets, [session], split_items)
+    # Lines bound distinct items from above and are cheaper to count.
+    hot = hot_groups(interactions, [session], split_items)
     if hot is None:
         emitted = paired(baskets, [session], baskets)
     else:

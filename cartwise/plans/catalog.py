@@ -36,9 +36,21 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object
     return _memo[key]
 
 
-def forget() -> None:
+def forget(keep: tuple[str, ...] = ()) -> None:
     """Drop the shared tables and models, so the next query builds its own."""
-    _memo.clear()
+    for key in [k for k in _memo if k[2] not in keep]:
+        del _memo[key]
+
+
+def interactions(spark: SparkSession, d: str) -> DataFrame:
+    """The loaded interactions: the first stage's table, which every later stage reads."""
+    return _once(
+        spark, d, "interactions", lambda: materialize(retail.interactions(spark, d), "interactions")
+    )
+
+
+def carts(spark: SparkSession, d: str) -> DataFrame:
+    return retail.cart_rows(interactions(spark, d))
 
 
 def r6(column: Column | str) -> Column:
@@ -53,7 +65,7 @@ def rounded(df: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
 
 
 def _splits(spark: SparkSession, d: str):
-    return split.split_frames(retail.interactions(spark, d), **SPLIT)
+    return split.split_frames(interactions(spark, d), **SPLIT)
 
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
@@ -68,7 +80,7 @@ def _scored(spark: SparkSession, d: str) -> DataFrame:
 
 def _lines(spark: SparkSession, d: str, *extra: str) -> DataFrame:
     """All order lines as candidate rows."""
-    return retail.interactions(spark, d).select(
+    return interactions(spark, d).select(
         "line_key", "session_id", "user_id", "item_id", "timestamp", *extra
     )
 
@@ -102,7 +114,7 @@ def src_items(spark: SparkSession, d: str) -> DataFrame:
 @query
 def src_carts(spark: SparkSession, d: str) -> DataFrame:
     """Carts as comma lists, written as CSV, read back and unfolded."""
-    parts = stats.session_sequences(retail.carts(spark, d), "session_id")
+    parts = stats.session_sequences(carts(spark, d), "session_id")
     empty = {
         name: F.lit(None).cast(kind)
         for name, kind in (column.split() for column in schemas.CARTS.split(", "))
@@ -169,13 +181,13 @@ def sink_report(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def filter_positives(spark: SparkSession, d: str) -> DataFrame:
-    samples = sampling.sample_random(retail.interactions(spark, d), retail.items(spark, d))
+    samples = sampling.sample_random(interactions(spark, d), retail.items(spark, d))
     return split.positives(samples).select("line_key", "item_id", "added_to_cart")
 
 
 @query
 def temporal_split(spark: SparkSession, d: str) -> DataFrame:
-    return split.temporal_split(retail.interactions(spark, d), **SPLIT).select(
+    return split.temporal_split(interactions(spark, d), **SPLIT).select(
         "line_key", "timestamp", "split"
     )
 
@@ -194,7 +206,7 @@ def accepted_filter(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def item_in_cart(spark: SparkSession, d: str) -> DataFrame:
-    return features.item_in_cart(_lines(spark, d), retail.carts(spark, d)).select(
+    return features.item_in_cart(_lines(spark, d), carts(spark, d)).select(
         "line_key", "session_id", "item_id"
     )
 
@@ -202,7 +214,7 @@ def item_in_cart(spark: SparkSession, d: str) -> DataFrame:
 @query
 def exclude_self(spark: SparkSession, d: str) -> DataFrame:
     """How many other items each positive can be contrasted with."""
-    return sampling.join_menu(retail.interactions(spark, d), retail.items(spark, d)).select(
+    return sampling.join_menu(interactions(spark, d), retail.items(spark, d)).select(
         "line_key", "others", F.least(F.lit(40).cast("long"), "others").alias("n_negatives")
     )
 
@@ -252,7 +264,7 @@ def join_item_stats(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def join_cart(spark: SparkSession, d: str) -> DataFrame:
-    return features.join_cart(_lines(spark, d), retail.carts(spark, d)).select(
+    return features.join_cart(_lines(spark, d), carts(spark, d)).select(
         "line_key", "session_id", "cart_size"
     )
 
@@ -268,7 +280,7 @@ def join_segment_price(spark: SparkSession, d: str) -> DataFrame:
 @query
 def join_session_order(spark: SparkSession, d: str) -> DataFrame:
     """Sampled rows per order and session: negatives carry their order along."""
-    samples = sampling.sample_random(retail.interactions(spark, d), retail.items(spark, d))
+    samples = sampling.sample_random(interactions(spark, d), retail.items(spark, d))
     return samples.groupBy("session_id", "order_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("added_to_cart") == 0).alias("n_negatives"),
@@ -277,14 +289,14 @@ def join_session_order(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def join_menu(spark: SparkSession, d: str) -> DataFrame:
-    return sampling.join_menu(retail.interactions(spark, d), retail.items(spark, d)).select(
+    return sampling.join_menu(interactions(spark, d), retail.items(spark, d)).select(
         "line_key", "restaurant_id", "item_id", "menu_size"
     )
 
 
 @query
 def pair_self_join(spark: SparkSession, d: str) -> DataFrame:
-    return stats.pair_counts(retail.interactions(spark, d))
+    return stats.pair_counts(interactions(spark, d))
 
 
 # --- statistics ----------------------------------------------------------------
@@ -305,7 +317,7 @@ def item_stats(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def item_popularity(spark: SparkSession, d: str) -> DataFrame:
-    return stats.item_popularity(retail.interactions(spark, d)).withColumn(
+    return stats.item_popularity(interactions(spark, d)).withColumn(
         "prob", F.round("prob", 9)
     )
 
@@ -320,19 +332,19 @@ def menu(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def item_cooccurrence(spark: SparkSession, d: str) -> DataFrame:
-    return stats.item_cooccurrence(retail.interactions(spark, d))
+    return stats.item_cooccurrence(interactions(spark, d))
 
 
 @query
 def category_transitions(spark: SparkSession, d: str) -> DataFrame:
     return rounded(
-        stats.category_transitions(retail.interactions(spark, d), retail.items(spark, d))
+        stats.category_transitions(interactions(spark, d), retail.items(spark, d))
     )
 
 
 @query
 def session_sequences(spark: SparkSession, d: str) -> DataFrame:
-    return stats.session_sequences(retail.interactions(spark, d)).select(
+    return stats.session_sequences(interactions(spark, d)).select(
         "order_id", "part", F.array_join(F.col("items").cast("array<string>"), ",").alias("items")
     )
 
@@ -344,7 +356,7 @@ def group_sizes(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def candidate_set_check(spark: SparkSession, d: str) -> DataFrame:
-    samples = sampling.sample_random(retail.interactions(spark, d), retail.items(spark, d))
+    samples = sampling.sample_random(interactions(spark, d), retail.items(spark, d))
     return rounded(stats.candidate_set_check(samples, strict=True))
 
 
@@ -358,32 +370,32 @@ def nunique_orders(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def neg_uniform(spark: SparkSession, d: str) -> DataFrame:
-    samples = sampling.sample_uniform(retail.interactions(spark, d), retail.items(spark, d), 40)
+    samples = sampling.sample_uniform(interactions(spark, d), retail.items(spark, d), 40)
     return samples.select("line_key", "item_id", "added_to_cart")
 
 
 @query
 def neg_random(spark: SparkSession, d: str) -> DataFrame:
-    samples = sampling.sample_random(retail.interactions(spark, d), retail.items(spark, d))
+    samples = sampling.sample_random(interactions(spark, d), retail.items(spark, d))
     return samples.select("line_key", "item_id", "added_to_cart")
 
 
 @query
 def neg_popular(spark: SparkSession, d: str) -> DataFrame:
-    samples = sampling.sample_popular(retail.interactions(spark, d), retail.items(spark, d))
+    samples = sampling.sample_popular(interactions(spark, d), retail.items(spark, d))
     return samples.select("line_key", "item_id", "added_to_cart")
 
 
 @query
 def neg_mixed(spark: SparkSession, d: str) -> DataFrame:
-    samples = sampling.sample_mixed(retail.interactions(spark, d), retail.items(spark, d))
+    samples = sampling.sample_mixed(interactions(spark, d), retail.items(spark, d))
     return samples.select("line_key", "item_id", "added_to_cart")
 
 
 @query
 def neg_union(spark: SparkSession, d: str) -> DataFrame:
     """Positives and five uniform negatives each, with the full sample columns."""
-    samples = sampling.sample_uniform(retail.interactions(spark, d), retail.items(spark, d), 5)
+    samples = sampling.sample_uniform(interactions(spark, d), retail.items(spark, d), 5)
     return samples.select(
         "order_id", "session_id", "user_id", "item_id", "restaurant_id", "added_to_cart",
         "timestamp",
@@ -409,7 +421,7 @@ def _engineered(spark: SparkSession, d: str) -> DataFrame:
         retail.items(spark, d),
         user_table,
         item_table,
-        retail.carts(spark, d),
+        carts(spark, d),
     )
 
 
@@ -436,7 +448,7 @@ def feat_item(spark: SparkSession, d: str) -> DataFrame:
 @query
 def feat_cart(spark: SparkSession, d: str) -> DataFrame:
     df = features.add_cart_features(
-        _lines(spark, d), retail.carts(spark, d), retail.items(spark, d)
+        _lines(spark, d), carts(spark, d), retail.items(spark, d)
     )
     return rounded(df.select("line_key", "cart_size", *features.CART_DEFAULTS))
 
@@ -445,7 +457,7 @@ def feat_cart(spark: SparkSession, d: str) -> DataFrame:
 def feat_cart_cooccurrence(spark: SparkSession, d: str) -> DataFrame:
     train, _, _ = _splits(spark, d)
     df = features.cart_cooccurrence(
-        _lines(spark, d), retail.carts(spark, d), stats.item_cooccurrence(train)
+        _lines(spark, d), carts(spark, d), stats.item_cooccurrence(train)
     )
     return rounded(df.select("line_key", "cart_cooccurrence"))
 
@@ -469,7 +481,7 @@ def feat_context(spark: SparkSession, d: str) -> DataFrame:
 @query
 def feat_price_progression(spark: SparkSession, d: str) -> DataFrame:
     items = retail.items(spark, d)
-    df = features.add_cart_features(_lines(spark, d), retail.carts(spark, d), items)
+    df = features.add_cart_features(_lines(spark, d), carts(spark, d), items)
     df = features.add_price_progression(df.join(items.select("item_id", "price"), "item_id", "left"))
     return rounded(df.select("line_key", "price_vs_cart_avg", "price_ratio_to_cart"))
 
@@ -480,7 +492,7 @@ def feat_category_transition(spark: SparkSession, d: str) -> DataFrame:
     items = retail.items(spark, d)
     df = _lines(spark, d).join(items.select("item_id", "category"), "item_id", "left")
     df = features.add_category_transition(
-        df, retail.carts(spark, d), items, stats.category_transitions(train, items)
+        df, carts(spark, d), items, stats.category_transitions(train, items)
     )
     return rounded(df.select("line_key", "category", "category_transition_prob"))
 
@@ -504,7 +516,7 @@ def cyclical_time(spark: SparkSession, d: str) -> DataFrame:
 @query
 def safe_divide_cart(spark: SparkSession, d: str) -> DataFrame:
     """Share of an order's lines that lie in its cart; orders without lines get 0."""
-    lines = retail.interactions(spark, d).groupBy("order_id").agg(
+    lines = interactions(spark, d).groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("position_in_cart") <= 2).alias("c")
     )
     both = retail.orders(spark, d).join(lines, "order_id", "left").fillna(0, ["n", "c"])
@@ -538,7 +550,7 @@ def item_vector_lookup(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def user_embedding(spark: SparkSession, d: str) -> DataFrame:
-    vecs = embeddings.user_vectors(retail.interactions(spark, d), retail.item_vectors(spark, d))
+    vecs = embeddings.user_vectors(interactions(spark, d), retail.item_vectors(spark, d))
     return rounded(vecs.select("user_id", F.posexplode("vec").alias("pos", "x")))
 
 
@@ -565,7 +577,7 @@ def embedding_norms(spark: SparkSession, d: str) -> DataFrame:
 @query
 def cart_item_similarity(spark: SparkSession, d: str) -> DataFrame:
     df = embeddings.add_cart_similarity(
-        _lines(spark, d), retail.carts(spark, d), retail.item_vectors(spark, d)
+        _lines(spark, d), carts(spark, d), retail.item_vectors(spark, d)
     )
     return rounded(df.select("line_key", "cart_item_similarity"))
 
@@ -611,7 +623,7 @@ def predict_top_n(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def consecutive_pairs(spark: SparkSession, d: str) -> DataFrame:
-    pairs = stats.category_pairs(retail.interactions(spark, d), retail.items(spark, d))
+    pairs = stats.category_pairs(interactions(spark, d), retail.items(spark, d))
     return pairs.groupBy("session_id", "category_from", "category_to").agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -619,7 +631,7 @@ def consecutive_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def recency_rank(spark: SparkSession, d: str) -> DataFrame:
-    return embeddings.recency_rank(retail.interactions(spark, d)).select(
+    return embeddings.recency_rank(interactions(spark, d)).select(
         "user_id", "line_key", "age"
     )
 
@@ -763,7 +775,7 @@ def attach_rate_util(spark: SparkSession, d: str) -> DataFrame:
 @query
 def c2o_ratio(spark: SparkSession, d: str) -> DataFrame:
     n_orders = retail.orders(spark, d).agg(F.count_distinct("order_id")).scalar()
-    return retail.carts(spark, d).agg(F.count_distinct("session_id").alias("n_carts")).select(
+    return carts(spark, d).agg(F.count_distinct("session_id").alias("n_carts")).select(
         r6(business.c2o_ratio(n_orders, F.col("n_carts"))).alias("c2o_ratio")
     )
 
@@ -789,7 +801,7 @@ def _frames(spark: SparkSession, d: str) -> flow.Frames:
         d,
         "frames",
         lambda: flow.featured_frames(
-            retail.interactions(spark, d),
+            interactions(spark, d),
             retail.users(spark, d),
             retail.items(spark, d),
             retail.item_vectors(spark, d),
@@ -832,7 +844,7 @@ def ranker_cv(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def group_kfold(spark: SparkSession, d: str) -> DataFrame:
-    return ranker.group_kfold(retail.interactions(spark, d), 3)
+    return ranker.group_kfold(interactions(spark, d), 3)
 
 
 @query

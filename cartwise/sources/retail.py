@@ -136,9 +136,9 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_interactions(order_items(spark, sf_dir), headers, line_time)
 
 
-def carts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first two positions of every session, in long form."""
-    return interactions(spark, sf_dir).where("position_in_cart <= 2").select(
+def cart_rows(lines: DataFrame) -> DataFrame:
+    """Carts in long form: the first two positions of every session."""
+    return lines.where("position_in_cart <= 2").select(
         "session_id", "item_id", "timestamp", "position_in_cart", "line_key"
     )
 
