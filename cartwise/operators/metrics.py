@@ -14,11 +14,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwise.functions.hashing import uniform
+from cartwise.functions.hashing import mix32
 from cartwise.operators.ordering import HOT_ROWS, exact_quantiles, running_totals
 
 K_VALUES = (5, 10, 20)
-# Largest number of bootstrap draws made row by row.
+# Largest number of bootstrap draws made row by row; well inside the 32-bit counter.
 MAX_DRAWS = 100_000_000
 
 
@@ -198,10 +198,9 @@ def _replicate_means_by_draw(
         "v", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("n") - 1)).alias("idx")
     )
     spark = values.sparkSession
-    draws = spark.range(0, rows * replicates).select(
-        (F.col("id") % replicates).alias("replicate"),
-        F.floor(uniform(F.col("id"), F.lit("boot"), seed=seed) * rows).cast("long").alias("idx"),
-    )
+    draws = spark.range(0, rows * replicates).selectExpr(
+        f"id % {replicates} AS replicate", f"id ^ {int(seed)} AS counter"
+    ).selectExpr("replicate", f"{mix32('counter')} * {rows} div {2**32} AS idx")
     # The caller bounds rows * replicates, so this table has at most MAX_DRAWS /
     # replicates rows; with it broadcast the draws add up without being shuffled.
     return (

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwise.functions.hashing import uniform
+from cartwise.functions.hashing import step, stream, uniform
 from cartwise.operators.split import positives
 from cartwise.operators.stats import item_popularity
 from cartwise.session import materialize
@@ -93,19 +93,26 @@ def menu(items: DataFrame, page: int = PAGE) -> DataFrame:
     )
 
 
-def _draw(size: Column, count: Column, key: Column, salt: str, seed: str) -> Column:
-    """``count`` distinct numbers below ``size``, every subset equally likely.
+def _draw(size: Column, count: Column, limit: int, key: Column, salt: str, seed: str) -> Column:
+    """``count`` (at most ``limit``) distinct numbers below ``size``, all subsets equally likely.
 
     Floyd's method: for j = size - count .. size - 1 take a random number in 0..j,
     or j itself when that number is already taken. The whole range needs no draw.
     """
     everything = F.sequence(F.lit(0).cast("long"), size - 1)
-    tries = F.transform(
-        F.sequence(size - count, size - 1),
-        lambda j: F.struct(
-            j.alias("j"),
-            F.floor(uniform(key, F.lit(salt), j, seed=seed) * (j + 1)).cast("long").alias("t"),
+    # A one-element array binds the row's stream once for all its draws.
+    tries = F.element_at(
+        F.transform(
+            F.array(stream(key, F.lit(salt), seed=seed)),
+            lambda start: F.transform(
+                F.sequence(size - count, size - 1),
+                lambda j, i: F.struct(
+                    j.alias("j"),
+                    F.floor(step(start, i, limit) * (j + 1)).cast("long").alias("t"),
+                ),
+            ),
         ),
+        1,
     )
     chosen = F.aggregate(
         tries,
@@ -251,7 +258,7 @@ def sample_uniform(
         F.col("menu_size") > 1, F.least(F.lit(n_negatives).cast("long"), others)
     ).otherwise(F.lit(0).cast("long"))
     skipped = F.transform(
-        _draw(others, count, F.col(key), "u", seed),
+        _draw(others, count, n_negatives, F.col(key), "u", seed),
         lambda d: F.when(F.col("_own").isNotNull() & (d >= F.col("_own")), d + 1).otherwise(d),
     )
     samples = _expand(base.withColumn("draws", skipped), items, page, one_page)
@@ -284,7 +291,7 @@ def sample_random(
     page: int = PAGE,
 ) -> DataFrame:
     """Uniform draws from the menu; the positive itself may be drawn."""
-    draws = _draw(F.col("menu_size"), F.col("n_draws"), F.col(key), "r", seed)
+    draws = _draw(F.col("menu_size"), F.col("n_draws"), ratio, F.col(key), "r", seed)
     base, one_page = _with_ratio(interactions, items, ratio, page)
     return _expand(base.withColumn("draws", draws), items, page, one_page)
 
@@ -406,7 +413,7 @@ def sample_popular(
     fallback = F.when(F.col("weighted_items").isNull(), F.col("n_draws")).otherwise(
         F.lit(0).cast("long")
     )
-    draws = _draw(F.col("menu_size"), fallback, F.col(key), "r", seed)
+    draws = _draw(F.col("menu_size"), fallback, ratio, F.col(key), "r", seed)
     return _expand(state.withColumn("draws", draws), items, page, one_page)
 
 
@@ -427,9 +434,9 @@ def sample_mixed(
     base, one_page = _with_ratio(interactions, items, ratio, page)
     first = F.floor(F.col("n_draws") / 2).cast("long")
     second = F.col("n_draws") - first
-    head = _draw(F.col("menu_size"), first, F.col(key), "a", seed)
+    head = _draw(F.col("menu_size"), first, ratio, F.col(key), "a", seed)
     if second_half == "uniform":
-        tail = _draw(F.col("menu_size"), second, F.col(key), "b", seed)
+        tail = _draw(F.col("menu_size"), second, ratio, F.col(key), "b", seed)
         return _expand(base.withColumn("draws", F.concat(head, tail)), items, page, one_page)
     if second_half != "popular":
         raise ValueError("second_half is 'uniform' or 'popular'")
@@ -438,5 +445,5 @@ def sample_mixed(
         base, items, popularity, second, (ratio + 1) // 2, key, "p", seed
     )
     fallback = F.when(F.col("weighted_items").isNull(), second).otherwise(F.lit(0).cast("long"))
-    tail = _draw(F.col("menu_size"), fallback, F.col(key), "b", seed)
+    tail = _draw(F.col("menu_size"), fallback, ratio, F.col(key), "b", seed)
     return _expand(state.withColumn("draws", F.concat(head, tail)), items, page, one_page)

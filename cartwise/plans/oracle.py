@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from math import log2
 
+from cartwise.functions.hashing import MASK_32, MIX_MULTIPLIER, MODULUS, powers
 from cartwise.operators import business, features, metrics
 from cartwise.plans.catalog import SPLIT
 from cartwise.sources import retail
@@ -220,14 +221,27 @@ def sql(needs: str, body: str) -> str:
     return f"WITH {parts} {body}"
 
 
-def draw(size: str, count: str, salt: str) -> str:
+def draw(size: str, count: str, limit: int, salt: str) -> str:
     """List of ``count`` distinct numbers below ``size``, one step per draw."""
-    t = f"CAST(floor({u('line_key', repr(salt), 'j')} * (j + 1)) AS BIGINT)"
+    digest = f"md5(concat_ws('|', line_key, '{salt}', '{SEED}'))"
+    starts = [
+        f"(('0x' || substr({digest}, {at}, 8))::BIGINT % {modulus - 1} + 1)"
+        for at, modulus in zip((1, 9), MODULUS)
+    ]
+    left, right = (
+        f"({start} * list_extract({values}, i) % {modulus})"
+        for start, values, modulus in zip(starts, powers(limit), MODULUS)
+    )
+    d = MODULUS[0] - 1
+    unit = f"(((({left} - {right}) % {d} + {d}) % {d} + CAST(0.5 AS DOUBLE)) / CAST({d} AS DOUBLE))"
+    tries = (
+        f"list_transform(range({size} - {count}, {size}), lambda j, i: "
+        f"{{'j': j, 't': CAST(floor({unit} * (j + 1)) AS BIGINT)}})"
+    )
     return (
         f"CASE WHEN {count} = {size} THEN range(0, {size}) ELSE "
-        f"list_reduce(range({size} - {count}, {size}), lambda acc, j: "
-        f"CASE WHEN list_contains(acc, {t}) THEN list_append(acc, j) "
-        f"ELSE list_append(acc, {t}) END, []::BIGINT[]) END"
+        f"list_reduce({tries}, lambda acc, x: CASE WHEN list_contains(acc, x.t) "
+        f"THEN list_append(acc, x.j) ELSE list_append(acc, x.t) END, []::BIGINT[]) END"
     )
 
 
@@ -243,12 +257,13 @@ def sampled(draws: str, shift: str = "d") -> str:
         JOIN midx m ON m.restaurant_id = p.restaurant_id AND m.idx = p.idx"""
 
 
-RANDOM = sampled(draw("menu_size", "n4", "r"))
+RANDOM = sampled(draw("menu_size", "n4", 4, "r"))
 MIXED = sampled(
-    f"list_concat({draw('menu_size', '(n4 // 2)', 'a')}, {draw('menu_size', '(n4 - n4 // 2)', 'b')})"
+    f"list_concat({draw('menu_size', '(n4 // 2)', 4, 'a')}, "
+    f"{draw('menu_size', '(n4 - n4 // 2)', 4, 'b')})"
 )
 UNIFORM_5 = sampled(
-    draw("others", "least(5, others)", "u"),
+    draw("others", "least(5, others)", 5, "u"),
     "CASE WHEN own IS NOT NULL AND d >= own THEN d + 1 ELSE d END",
 )
 KEYS = "SELECT line_key, item_id, added_to_cart FROM"
@@ -392,9 +407,12 @@ def _bootstrap() -> str:
     return sql("g10", f"""
         , vals AS (SELECT p AS v, row_number() OVER (ORDER BY p, order_id) - 1 AS idx,
                           count(*) OVER () AS n FROM g10),
+        ids AS (SELECT unnest(range(0, 1000 * (SELECT max(n) FROM vals))) AS id),
+        h0 AS (SELECT id, xor(id, {SEED}) AS x FROM ids),
+        h1 AS (SELECT id, xor(x, x >> 15) * {MIX_MULTIPLIER[0]} & {MASK_32} AS x FROM h0),
+        h2 AS (SELECT id, xor(x, x >> 12) * {MIX_MULTIPLIER[1]} & {MASK_32} AS x FROM h1),
         draws AS (SELECT id % 1000 AS replicate,
-                         CAST(floor({u('id', "'boot'")} * (SELECT max(n) FROM vals)) AS BIGINT) AS idx
-                  FROM (SELECT unnest(range(0, 1000 * (SELECT max(n) FROM vals))) AS id)),
+                         xor(x, x >> 15) * (SELECT max(n) FROM vals) // {2**32} AS idx FROM h2),
         means AS (SELECT replicate, avg(v) AS m FROM draws JOIN vals USING (idx) GROUP BY 1)
         SELECT {r('quantile_cont(m, 0.025)')} AS lower, {r('quantile_cont(m, 0.975)')} AS upper
         FROM means""")
