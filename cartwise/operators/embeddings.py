@@ -16,8 +16,11 @@ from cartwise.operators.ordering import HOT_ROWS, numbered
 from cartwise.operators.stats import session_sequences
 
 DECAY = 0.1
-# Vectors compared in one task: two blocks of this many rows.
-BLOCK = 1024
+# Most rows of a block; a task compares two blocks, a slice of the first at a time.
+BLOCK = 8192
+SLICE = 256
+# Blocks are not made smaller than this for the sake of parallelism.
+SMALL_BLOCK = 512
 
 
 def fit_item_vectors(
@@ -152,25 +155,32 @@ def add_cart_similarity(df: DataFrame, carts: DataFrame, vectors: DataFrame) ->
 
 def _block_top(left: pd.DataFrame, right: pd.DataFrame, top_n: int) -> pd.DataFrame:
     """Best ``top_n`` right-hand items of every left-hand item of one block pair."""
-    columns = {"item_id": "int64", "other_id": "int64", "similarity": "float64"}
-    if left.empty or right.empty:
-        return pd.DataFrame({c: pd.Series(dtype=t) for c, t in columns.items()})
-    ids, others = left["item_id"].to_numpy(), right["item_id"].to_numpy()
-    scores = np.stack(left["vec"].to_numpy()) @ np.stack(right["vec"].to_numpy()).T
-    # Equal vectors may differ in the last bits by position; ties go to the lower id.
-    scores = np.round(scores, 9) + 0.0
-    scores[ids[:, None] == others[None, :]] = -np.inf
-    keep = min(top_n, len(others))
-    order = np.lexsort((np.broadcast_to(others, scores.shape), -scores), axis=1)[:, :keep]
-    best = np.take_along_axis(scores, order, axis=1)
-    found = pd.DataFrame(
+    found = {"item_id": [], "other_id": [], "similarity": []}
+    if not left.empty and not right.empty:
+        ids, others = left["item_id"].to_numpy(), right["item_id"].to_numpy()
+        a, b = np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())
+        keep = min(top_n, len(others))
+        for start in range(0, len(ids), SLICE):
+            own = ids[start : start + SLICE]
+            # Equal vectors may differ in the last bits by position; ties go to the lower id.
+            scores = np.round(a[start : start + SLICE] @ b.T, 9) + 0.0
+            scores[own[:, None] == others[None, :]] = -np.inf
+            limit = np.partition(scores, -keep, axis=1)[:, -keep]
+            row, col = np.nonzero((scores >= limit[:, None]) & np.isfinite(scores))
+            value = scores[row, col]
+            order = np.lexsort((others[col], -value, row))
+            row, col, value = row[order], col[order], value[order]
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            best = place < keep
+            found["item_id"].append(own[row[best]])
+            found["other_id"].append(others[col[best]])
+            found["similarity"].append(value[best])
+    return pd.DataFrame(
         {
-            "item_id": np.repeat(ids, keep),
-            "other_id": others[order].ravel(),
-            "similarity": best.ravel(),
+            name: np.concatenate(parts) if parts else np.array([], dtype="float64")
+            for name, parts in found.items()
         }
-    )
-    return found[np.isfinite(found["similarity"])]
+    ).astype({"item_id": "int64", "other_id": "int64"})
 
 
 def nearest_items(
@@ -198,7 +208,10 @@ def nearest_items(
     left = vectors.select(F.col("item_id").alias("item_id"), F.col("vec").alias("vec"))
     if queries is not None:
         left = left.join(queries.select("item_id").distinct(), "item_id", "left_semi")
-    blocks = max(1, ceil(vectors.count() / block))
+    rows = vectors.count()
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    # Pairs of blocks are the tasks: about one per core, more when blocks are full.
+    blocks = max(1, ceil(rows / block), min(rows // SMALL_BLOCK, ceil(cores**0.5)))
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     place = F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int")
     left_side = left.withColumn("lb", place).withColumn("rb", every)

@@ -174,9 +174,10 @@ def cart_cooccurrence(
     """
     cart = carts.groupBy("session_id", F.col("item_id").alias("cart_item")).agg(
         F.count(F.lit(1)).alias("n")
-    )
+    ).join(cart_sizes(carts), "session_id")
     wanted = df.select("session_id", "item_id").distinct()
-    hot = hot_groups(wanted, ["session_id"], split_items)
+    # Rows bound distinct candidates from above and are cheaper to count.
+    hot = hot_groups(df, ["session_id"], split_items)
     keys = ["session_id"]
     if hot is not None:
         blocks = hot.select(
@@ -202,17 +203,9 @@ def cart_cooccurrence(
             ["item_id", "cart_item"],
         )
         .groupBy("session_id", "item_id")
-        .agg(F.sum(F.col("cooc") * F.col("n")).alias("_score"))
-    )
-    sizes = cart_sizes(carts).withColumnRenamed("cart_size", "_lines")
-    return (
-        df.join(scores, ["session_id", "item_id"], "left")
-        .join(sizes, "session_id", "left")
-        .withColumn(
-            "cart_cooccurrence", F.coalesce(F.col("_score") / F.col("_lines"), F.lit(0.0))
-        )
-        .drop("_score", "_lines")
+        .agg((F.sum(F.col("cooc") * F.col("n")) / F.max("cart_size")).alias("cart_cooccurrence"))
     )
+    return df.join(scores, ["session_id", "item_id"], "left").fillna(0.0, ["cart_cooccurrence"])
 
 
 def add_interaction_features(df: DataFrame) -> DataFrame:

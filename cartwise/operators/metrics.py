@@ -96,6 +96,32 @@ def group_metrics(
     return joined.selectExpr(*keys, "group_size", "n_relevant", *columns)
 
 
+def graded_ndcg(
+    scored: DataFrame,
+    k: int,
+    group: str | Sequence[str] = "order_id",
+    label: str = "added_to_cart",
+    order: Sequence[Column] | None = None,
+) -> DataFrame:
+    """Both NDCG variants of each group for labels of any grade, gain 2^label - 1."""
+    keys = _keys(group)
+    dcg = lambda place: F.sum((F.pow(F.lit(2.0), label) - 1) / F.log2(F.col(place) + 1))
+    best_first = [F.col(label).desc()]
+    top = top_per_group(scored, k, group, order).withColumn(
+        "best", F.row_number().over(Window.partitionBy(*keys).orderBy(*best_first))
+    )
+    kept = top.groupBy(*keys).agg(dcg("rank").alias("dcg"), dcg("best").alias("ideal"))
+    whole = (
+        top_per_group(scored, k, group, best_first)
+        .groupBy(*keys)
+        .agg(dcg("rank").alias("ideal_full"))
+    )
+    share = lambda ideal: F.when(F.col(ideal) > 0, F.col("dcg") / F.col(ideal)).otherwise(0.0)
+    return kept.join(whole, keys).select(
+        *keys, share("ideal").alias(f"ndcg_{k}"), share("ideal_full").alias(f"ndcg_full_{k}")
+    )
+
+
 def mean_metrics(per_group: DataFrame) -> DataFrame:
     """One row: the mean of every per-group metric over all groups."""
     names = [

@@ -73,7 +73,8 @@ def _scored(spark: SparkSession, d: str) -> DataFrame:
 
     def make() -> DataFrame:
         train, _, test = _splits(spark, d)
-        return materialize(flow.popularity_scored(train, test, retail.items(spark, d)), "scored")
+        scored = flow.popularity_scored(train, test, retail.items(spark, d))
+        return materialize(flow.slim_scores(scored), "scored")
 
     return _once(spark, d, "scored", make)
 

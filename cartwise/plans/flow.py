@@ -79,8 +79,7 @@ def evaluate(
     group: str = "order_id",
 ) -> DataFrame:
     """Long report: ranking metrics, and business metrics on the top rows of each group."""
-    columns = [group, "line_key", "user_id", "item_id", metrics_label(), "score"]
-    stable = materialize(scored.select(*dict.fromkeys(columns)), "scored")
+    stable = materialize(slim_scores(scored, group), "scored")
     ranking = metrics.ranking_metrics(stable, k_values, group)
     top = metrics.top_per_group(stable, top_k, group)
     drawn = business.simulate_acceptance(top, users, items)
@@ -90,8 +89,9 @@ def evaluate(
     )
 
 
-def metrics_label() -> str:
-    return ranker.LABEL
+def slim_scores(scored: DataFrame, group: str = "order_id") -> DataFrame:
+    """The columns that ranking and business metrics read."""
+    return scored.select(group, "line_key", "user_id", "item_id", ranker.LABEL, "score")
 
 
 def train_production(

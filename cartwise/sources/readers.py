@@ -10,12 +10,19 @@ from cartwise.sources.schemas import require_columns
 
 
 def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "csv") -> DataFrame:
-    """Read one table with a declared schema; CSV files carry a header line."""
-    reader = spark.read.schema(schema)
-    if fmt == "csv":
-        # Columns are matched by position unless told otherwise, so the header is enforced.
-        reader = reader.options(header=True, enforceSchema=False)
-    return reader.format(fmt).load(path)
+    """Read the declared columns of one table, whatever their order in the file.
+
+    Types are declared, never inferred: only the header line of a CSV file is read
+    ahead. Other columns of the file are ignored, and fields that do not parse
+    become null.
+    """
+    if fmt != "csv":
+        return spark.read.schema(schema).format(fmt).load(path)
+    kinds = dict(column.split(" ") for column in schema.split(", "))
+    header = spark.read.csv(path, header=True).columns
+    layout = ", ".join(f"`{name}` {kinds.get(name, 'STRING')}" for name in header)
+    table = spark.read.schema(layout).csv(path, header=True)
+    return table.select(*[name for name in kinds if name in header])
 
 
 def load_users(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

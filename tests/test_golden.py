@@ -55,6 +55,20 @@ def test_ranking_metrics_per_group(scored):
     ]
 
 
+def test_graded_ndcg(spark, scored):
+    for k in (2, 5):
+        names = ("order_id", f"ndcg_{k}", f"ndcg_full_{k}")
+        assert rows(metrics.graded_ndcg(scored, k), *names) == rows(
+            metrics.group_metrics(scored, (k,)), *names
+        )
+    graded = spark.createDataFrame(
+        [("g", 0, "x", 1, 0.9), ("g", 1, "y", 2, 0.8), ("g", 2, "z", 3, 0.1)],
+        scored.schema,
+    )
+    # Gains 1 and 3 at ranks 1 and 2; the best order of all rows starts 7, 3.
+    assert rows(metrics.graded_ndcg(graded, 2)) == [("g", 0.796708, 0.325296)]
+
+
 def test_ranking_means(scored):
     means = metrics.mean_metrics(metrics.group_metrics(scored, (2, 5))).first().asDict()
     expected = {
@@ -276,3 +290,28 @@ def test_negatives(spark, page):
     # An item that is not on the menu excludes nothing.
     assert sorted(negatives["d"]) == list(range(20))
     assert sum(r.added_to_cart for r in got) == 4
+
+
+def test_csv_folder(spark, tmp_path):
+    tables = {
+        "users": "note,user_id,user_segment,veg_preference,order_frequency,preferred_cuisine\n"
+        "hi,7,budget,veg,low,Thai\n",
+        "restaurants": "restaurant_id,city\n3,Pune\n",
+        "items": "item_id,restaurant_id,category,veg_flag,price,popularity_score\n"
+        "5,3,main,1,abc,0.5\n",
+        "carts": "session_id,cart_items\nsess_1,\"5,5,6\"\n",
+        "orders": "order_id,user_id,restaurant_id\n1,7,3\n",
+        "order_items": "order_id,item_id,added_timestamp,is_recommended,added_after_recommendation"
+        ",position_in_cart\n1,5,2024-01-01 10:00:00,1,0,1\n9,5,2024-01-01 10:00:00,1,0,1\n",
+    }
+    for name, text in tables.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    found = readers.load_all(spark, str(tmp_path))
+    assert found["users"].columns[0] == "user_id" and "note" not in found["users"].columns
+    assert found["items"].first().price is None
+    assert found["restaurants"].first().city == "Pune"
+    assert rows(readers.cart_lines(found["carts"]), "item_id") == [(5,), (5,), (6,)]
+    line = found["interactions"].collect()
+    assert [(r.session_id, r.timestamp, r.user_id) for r in line] == [
+        ("sess_1", datetime(2024, 1, 1, 10), 7)
+    ]
