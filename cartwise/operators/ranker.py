@@ -67,7 +67,11 @@ def fit_ranker(
     val: DataFrame | None = None,
     params: RankerParams | None = None,
 ) -> Ranker:
-    """Boosted trees on the rows of ``train``; ``val`` stops the boosting early."""
+    """Boosted trees on the rows of ``train``; ``val`` stops the boosting early.
+
+    The learner reads its input a few times before it keeps its own compact copy,
+    so the frames should be written tables, not long plans.
+    """
     params = params or RankerParams()
     columns = [*features, LABEL]
     rows = train.select(*columns, F.lit(False).alias("_val"))
@@ -88,8 +92,7 @@ def fit_ranker(
     assembler = VectorAssembler(
         inputCols=list(features), outputCol="features", handleInvalid="keep"
     )
-    # Boosting reads the rows once per tree level; the written copy is what it reads.
-    model = Pipeline(stages=[assembler, learner]).fit(materialize(rows, "training"))
+    model = Pipeline(stages=[assembler, learner]).fit(rows)
     return Ranker(model, list(features), vars(params))
 
 
@@ -98,6 +101,7 @@ def fit_pairwise(
     features: Sequence[str],
     rounds: int = 2,
     regularization: float = 0.001,
+    iterations: int = 30,
     group: str = "order_id",
     hot_rows: int = HOT_ROWS,
 ) -> Ranker:
@@ -105,13 +109,11 @@ def fit_pairwise(
 
     ``train`` holds every positive (unique ``line_key``) with its own negatives.
     The first round weighs pairs equally, later ones by the NDCG change of a
-    swap at the current scores.
+    swap at the current scores. As for the trees, pass a written table.
     """
-    stable = materialize(
-        train.select("line_key", group, "item_id", LABEL, *features).fillna(0, list(features)),
-        "training",
+    stable = train.select("line_key", group, "item_id", LABEL, *features).fillna(
+        0, list(features)
     )
-    ideal = stable.groupBy(group).agg(F.sum(F.col(LABEL).cast("long")).alias("_n_relevant"))
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     learner = LogisticRegression(
         featuresCol="features",
@@ -119,49 +121,66 @@ def fit_pairwise(
         weightCol="_weight",
         fitIntercept=False,
         regParam=regularization,
+        maxIter=iterations,
+    )
+    # Signs flip by hash, which keeps both classes present without doubling the pairs.
+    sign = F.when(uniform("line_key", "item_id", F.lit("sign")) < 0.5, 1).otherwise(-1)
+    positive = stable.where(F.col(LABEL) == 1).select(
+        "line_key", *[F.col(f).cast("double").alias(f"_pos_{f}") for f in features]
     )
-    ranker: Ranker | None = None
-    for _ in range(rounds):
-        current = stable
-        if ranker is not None:
-            scored = predict(ranker, stable)
-            current = numbered(
-                scored, [group], rank_order(), "_rank", hot_rows
-            ).drop("score")
-        else:
-            current = current.withColumn("_rank", F.lit(None).cast("long"))
-        discount = 1 / F.log2(F.col("_rank") + 1)
-        current = current.withColumn("_gain", discount)
-        # Sign flips by hash keep both classes present without doubling the pairs.
-        sign = F.when(uniform("line_key", "item_id", F.lit("sign")) < 0.5, 1).otherwise(-1)
-        negative = current.where(F.col(LABEL) == 0).select(
+    pairs = (
+        stable.where(F.col(LABEL) == 0)
+        .withColumn("_sign", sign)
+        .join(positive, "line_key")
+        .select(
             "line_key",
-            sign.alias("_sign"),
-            F.col("_gain").alias("_neg_gain"),
-            *[F.col(f).cast("double").alias(f"_neg_{f}") for f in features],
-        )
-        pairs = (
-            current.where(F.col(LABEL) == 1)
-            .join(ideal, group)
-            .join(negative, "line_key")
-            .select(
-                F.when(F.col("_sign") > 0, 1.0).otherwise(0.0).alias("_label"),
-                F.coalesce(
-                    F.abs(F.col("_gain") - F.col("_neg_gain")) / F.col("_n_relevant"), F.lit(1.0)
-                ).alias("_weight"),
-                *[
-                    ((F.col(f).cast("double") - F.col(f"_neg_{f}")) * F.col("_sign")).alias(f)
-                    for f in features
-                ],
-            )
-        )
-        model = Pipeline(stages=[assembler, learner]).fit(materialize(pairs, "pairs"))
-        ranker = Ranker(
-            model, list(features), {"rounds": rounds, "regularization": regularization}
+            "item_id",
+            F.when(F.col("_sign") > 0, 1.0).otherwise(0.0).alias("_label"),
+            *[
+                ((F.col(f"_pos_{f}") - F.col(f).cast("double")) * F.col("_sign")).alias(f)
+                for f in features
+            ],
         )
+    )
+    weighted = pairs.withColumn("_weight", F.lit(1.0))
+    settings = {"rounds": rounds, "regularization": regularization, "iterations": iterations}
+    for turn in range(rounds):
+        model = Pipeline(stages=[assembler, learner]).fit(weighted)
+        ranker = Ranker(model, list(features), settings)
+        if turn + 1 < rounds:
+            weights = swap_weights(predict(ranker, stable), group, hot_rows)
+            weighted = pairs.join(weights, ["line_key", "item_id"])
     return ranker
 
 
+def swap_weights(
+    scored: DataFrame, group: str = "order_id", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """NDCG change of swapping each negative with its positive at the current scores."""
+    slim = scored.select("line_key", group, "item_id", LABEL, "score")
+    ranked = materialize(
+        numbered(slim, [group], rank_order(), "_rank", hot_rows).select(
+            "line_key", group, "item_id", LABEL, (1 / F.log2(F.col("_rank") + 1)).alias("_gain")
+        ),
+        "ranked",
+    )
+    relevant = ranked.groupBy(group).agg(F.sum(F.col(LABEL).cast("long")).alias("_n_relevant"))
+    upper = ranked.where(F.col(LABEL) == 1).select(
+        "line_key", group, F.col("_gain").alias("_pos_gain")
+    )
+    return (
+        ranked.where(F.col(LABEL) == 0)
+        .drop(group)
+        .join(upper, "line_key")
+        .join(relevant, group)
+        .select(
+            "line_key",
+            "item_id",
+            (F.abs(F.col("_pos_gain") - F.col("_gain")) / F.col("_n_relevant")).alias("_weight"),
+        )
+    )
+
+
 def predict(ranker: Ranker, df: DataFrame) -> DataFrame:
     """Adds ``score``; features are taken by name, in training order."""
     missing = sorted(set(ranker.features) - set(df.columns))

@@ -25,7 +25,7 @@ MAX_CELLS = 65_536
 
 SAMPLE_COLUMNS = (
     "order_id", "session_id", "line_key", "user_id", "item_id", "restaurant_id",
-    "timestamp", "position_in_cart",
+    "timestamp", "position_in_cart", "split",
 )
 
 

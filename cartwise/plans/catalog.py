@@ -821,7 +821,7 @@ def _production(spark: SparkSession, d: str):
 def ranker_fit(spark: SparkSession, d: str) -> DataFrame:
     """Coefficients of the pairwise ranker."""
     frames = _frames(spark, d)
-    fitted = ranker.fit_pairwise(frames.train, frames.features)
+    fitted = ranker.fit_pairwise(frames.train, frames.features, iterations=10)
     weights = fitted.model.stages[-1].coefficients.toArray().tolist()
     return spark.createDataFrame(
         list(zip(fitted.features, weights)), "feature STRING, weight DOUBLE"

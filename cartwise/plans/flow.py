@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.operators import business, embeddings, features, metrics, ranker, sampling, stats
-from cartwise.operators.split import split_frames
+from cartwise.operators.split import temporal_split
 from cartwise.session import materialize
 from cartwise.sources import sinks
 
@@ -48,25 +48,23 @@ def featured_frames(
     ``vectors`` item vectors are fitted on it too.
     """
     # The joined lines feed every statistic below, so they are written once.
-    parts = split_frames(materialize(interactions, "interactions"), **split)
-    train = parts[0]
+    labelled = temporal_split(materialize(interactions, "interactions"), **split)
+    train = labelled.where(F.col("split") == "train")
     user_stats = materialize(stats.user_stats(train, users), "user_stats")
     item_stats = materialize(stats.item_stats(train, items), "item_stats")
     if vectors is None:
         vectors = embeddings.vectors_of(embeddings.fit_item_vectors(train))
     vectors = materialize(vectors, "item_vectors")
     user_vecs = materialize(embeddings.user_vectors(train, vectors), "user_vectors")
-    frames = []
-    for part in parts:
-        samples = sampling.sample_uniform(part, items, n_negatives)
-        featured = features.engineer_features(
-            samples, users, items, user_stats, item_stats, carts
-        )
-        featured = embeddings.add_embedding_features(featured, vectors, user_vecs)
-        if carts is not None:
-            featured = embeddings.add_cart_similarity(featured, carts, vectors)
-        frames.append(materialize(featured, "featured"))
-    return Frames(*frames, features.feature_names(frames[0]))
+    samples = sampling.sample_uniform(labelled, items, n_negatives)
+    featured = features.engineer_features(samples, users, items, user_stats, item_stats, carts)
+    featured = embeddings.add_embedding_features(featured, vectors, user_vecs)
+    if carts is not None:
+        featured = embeddings.add_cart_similarity(featured, carts, vectors)
+    # One pass writes all three periods; reading one of them prunes the others.
+    table = materialize(featured, "featured", partition_by="split")
+    parts = [table.where(F.col("split") == p).drop("split") for p in ("train", "val", "test")]
+    return Frames(*parts, features.feature_names(parts[0]))
 
 
 def evaluate(
@@ -81,7 +79,8 @@ def evaluate(
     """Long report: ranking metrics, and business metrics on the top rows of each group."""
     stable = materialize(slim_scores(scored, group), "scored")
     ranking = metrics.ranking_metrics(stable, k_values, group)
-    top = metrics.top_per_group(stable, top_k, group)
+    # Read for the score bounds and again for the metrics.
+    top = materialize(metrics.top_per_group(stable, top_k, group), "top")
     drawn = business.simulate_acceptance(top, users, items)
     outcome = business.business_metrics(drawn, items, orders, group)
     return metrics.long_report(ranking, "ranking").unionByName(

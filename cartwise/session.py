@@ -39,7 +39,7 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/cartwise/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts lineage, survives lost executors, and fixes columns that would change
@@ -48,7 +48,7 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)
 
 
