@@ -91,9 +91,9 @@ def add_user_features(df: DataFrame, users: DataFrame, user_stats: DataFrame | N
     return df.join(table, "user_id", "left").fillna(0, filled)
 
 
-def add_item_features(df: DataFrame, items: DataFrame, item_stats: DataFrame | None) -> DataFrame:
+def item_features(items: DataFrame, item_stats: DataFrame | None) -> DataFrame:
+    """One row per item with all its feature columns."""
     table = items.select("item_id", *ITEM_ATTRIBUTES)
-    filled = [f"category_{c}" for c in CATEGORIES] + ["is_veg"]
     if item_stats is not None:
         stats = item_stats.select(
             "item_id",
@@ -102,8 +102,7 @@ def add_item_features(df: DataFrame, items: DataFrame, item_stats: DataFrame | N
             F.col("popularity_score").alias("item_popularity"),
         )
         table = table.join(stats, "item_id", "full")
-        filled += ["item_unique_users", "item_order_count", "item_popularity"]
-    table = table.withColumns(
+    return table.withColumns(
         {
             "log_price": F.log1p("price"),
             "price_squared": F.col("price") * F.col("price"),
@@ -111,9 +110,20 @@ def add_item_features(df: DataFrame, items: DataFrame, item_stats: DataFrame | N
             "is_veg": F.coalesce(F.col("veg_flag").cast("int"), F.lit(0)),
         }
     )
+
+
+def join_item_features(df: DataFrame, table: DataFrame) -> DataFrame:
+    """Join a table of :func:`item_features`; flags and counts of unknown items are 0."""
+    counts = ("item_unique_users", "item_order_count", "item_popularity")
+    filled = [f"category_{c}" for c in CATEGORIES] + ["is_veg"]
+    filled += [c for c in counts if c in table.columns]
     return df.join(table, "item_id", "left").fillna(0, filled)
 
 
+def add_item_features(df: DataFrame, items: DataFrame, item_stats: DataFrame | None) -> DataFrame:
+    return join_item_features(df, item_features(items, item_stats))
+
+
 def cart_sizes(carts: DataFrame) -> DataFrame:
     return carts.groupBy("session_id").agg(F.count(F.lit(1)).alias("cart_size"))
 

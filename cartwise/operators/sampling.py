@@ -9,6 +9,8 @@ join, without a shuffle of the fanned-out rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ MAX_CELLS = 65_536
 
 SAMPLE_COLUMNS = (
     "order_id", "session_id", "line_key", "user_id", "item_id", "restaurant_id",
-    "timestamp", "position_in_cart", "split",
+    "timestamp", "position_in_cart",
 )
 
 
@@ -187,7 +189,13 @@ def join_menu(interactions: DataFrame, items: DataFrame, page: int = PAGE) -> Da
     )
 
 
-def _expand(drawn: DataFrame, items: DataFrame, page: int, one_page: bool) -> DataFrame:
+def _expand(
+    drawn: DataFrame,
+    items: DataFrame,
+    page: int,
+    one_page: bool,
+    carry: Sequence[str] = (),
+) -> DataFrame:
     """One row per positive, per drawn number (``draws``) and per item of ``picked``, if any."""
     own = F.array(F.struct(F.col("item_id").alias("item_id"), F.lit(1).alias("label")))
     if "picked" in drawn.columns:
@@ -228,7 +236,7 @@ def _expand(drawn: DataFrame, items: DataFrame, page: int, one_page: bool) -> Da
                 ),
             )
         )
-    columns = [c for c in SAMPLE_COLUMNS if c in drawn.columns]
+    columns = [c for c in dict.fromkeys((*SAMPLE_COLUMNS, *carry)) if c in drawn.columns]
     # explode_outer: a plain explode would evaluate the draws twice, once as a filter.
     return joined.select(
         *[c for c in columns if c != "item_id"], F.explode_outer("_rows").alias("_row")
@@ -246,10 +254,13 @@ def sample_uniform(
     key: str = "line_key",
     exclude_session_positives: bool = False,
     page: int = PAGE,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Each positive followed by min(N, others) other items of its restaurant.
 
-    Only the row's own item is excluded, so another positive of the session may
+    Negatives inherit the sample columns of their positive and those named in
+    ``carry``: whatever depends on the user, session or time is cheapest to join
+    before the fan-out. Only the row's own item is excluded, so another positive of the session may
     appear as a negative; ``exclude_session_positives`` removes those as well.
     """
     base, one_page = _with_menu(interactions, items, page)
@@ -261,7 +272,7 @@ def sample_uniform(
         _draw(others, count, n_negatives, F.col(key), "u", seed),
         lambda d: F.when(F.col("_own").isNotNull() & (d >= F.col("_own")), d + 1).otherwise(d),
     )
-    samples = _expand(base.withColumn("draws", skipped), items, page, one_page)
+    samples = _expand(base.withColumn("draws", skipped), items, page, one_page, carry)
     if exclude_session_positives:
         bought = (
             positives(interactions)

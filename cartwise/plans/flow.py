@@ -8,9 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwise.functions.vectors import dot, norm
 from cartwise.operators import business, embeddings, features, metrics, ranker, sampling, stats
 from cartwise.operators.split import temporal_split
-from cartwise.session import materialize
+from cartwise.session import broadcast_if_small, materialize
 from cartwise.sources import sinks
 
 
@@ -56,11 +57,49 @@ def featured_frames(
         vectors = embeddings.vectors_of(embeddings.fit_item_vectors(train))
     vectors = materialize(vectors, "item_vectors")
     user_vecs = materialize(embeddings.user_vectors(train, vectors), "user_vectors")
-    samples = sampling.sample_uniform(labelled, items, n_negatives)
-    featured = features.engineer_features(samples, users, items, user_stats, item_stats, carts)
-    featured = embeddings.add_embedding_features(featured, vectors, user_vecs)
+
+    # What depends on the user, the cart or the time joins the positives, before
+    # the fan-out; their negatives inherit it.
+    lines = features.add_user_features(labelled, users, user_stats)
+    lines = features.add_context_features(lines)
+    lines = lines.join(
+        user_vecs.select(
+            "user_id", F.col("vec").alias("_uv"), norm(F.col("vec")).alias("user_embedding_norm")
+        ),
+        "user_id",
+        "left",
+    ).fillna(0.0, ["user_embedding_norm"])
+    if carts is not None:
+        lines = features.add_cart_features(lines, carts, items)
+        lines = lines.join(embeddings.cart_vectors(carts, vectors), "session_id", "left")
+    carry = [c for c in lines.columns if c not in interactions.columns]
+    samples = sampling.sample_uniform(lines, items, n_negatives, carry=carry)
+
+    # The fanned-out rows meet one table, with everything known about the item.
+    item_table = materialize(
+        features.item_features(items, item_stats).join(
+            vectors.select(
+                "item_id",
+                F.col("vec").alias("_iv"),
+                norm(F.col("vec")).alias("item_embedding_norm"),
+            ),
+            "item_id",
+            "left",
+        ),
+        "item_features",
+    )
+    dim = vectors.select(F.max(F.size("vec"))).first()[0] or 0
+    featured = features.join_item_features(
+        samples, broadcast_if_small(item_table, 8 * dim + 256)
+    ).fillna(0.0, ["item_embedding_norm"])
+    featured = features.add_interaction_features(featured)
+    featured = features.add_price_progression(featured)
+    featured = featured.withColumn("user_item_similarity", dot(F.col("_uv"), F.col("_iv")))
     if carts is not None:
-        featured = embeddings.add_cart_similarity(featured, carts, vectors)
+        featured = featured.withColumn(
+            "cart_item_similarity", dot(F.col("cart_vec"), F.col("_iv"))
+        ).drop("cart_vec")
+    featured = featured.drop("_uv", "_iv")
     # One pass writes all three periods; reading one of them prunes the others.
     table = materialize(featured, "featured", partition_by="split")
     parts = [table.where(F.col("split") == p).drop("split") for p in ("train", "val", "test")]

@@ -35,10 +35,6 @@ def _case(column: str, mapping: dict[str, str], default: str) -> str:
     return f"CASE {arms} ELSE {default} END"
 
 
-def _pick(values: list[str], index: str) -> str:
-    return f"list_extract([{', '.join(repr(v) for v in values)}], CAST({index} AS INTEGER) + 1)"
-
-
 TS = "timestamp, position_in_cart, item_id, line_key"
 TS_DESC = "timestamp DESC, position_in_cart DESC, item_id DESC, line_key DESC"
 TEST_START = f"TIMESTAMP '{SPLIT['split_date']} 00:00:00'"
@@ -421,9 +417,9 @@ def _bootstrap() -> str:
 ORACLES: dict[str, str] = {
     # sources and sinks
     "src_users": sql("users", "SELECT * FROM users"),
-    "src_restaurants": sql("items", f"""
-        SELECT restaurant_id, {_pick(retail.CUISINES, 'restaurant_id % 5')} AS cuisine_type,
-               {_pick(retail.CITIES, 'restaurant_id % 5')} AS city,
+    "src_restaurants": sql("items", """
+        SELECT restaurant_id, 'cuisine ' || restaurant_id % 5 AS cuisine_type,
+               'city ' || restaurant_id % 5 AS city,
                CAST(restaurant_id % 4 + 1 AS INTEGER) AS price_range,
                CAST(2.0 AS DOUBLE) + restaurant_id % 31 / CAST(10 AS DOUBLE) AS rating,
                CAST(2.0 AS DOUBLE) + restaurant_id % 29 / CAST(10 AS DOUBLE) AS delivery_rating,

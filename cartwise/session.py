@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings worth having on any cluster; none of them changes results.
 RECOMMENDED_CONF = {
@@ -52,6 +53,16 @@ def materialize(df: DataFrame, name: str = "table", partition_by: str | None = N
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Most bytes a table may hold, by its checked row count, to be sent to every executor.
+BROADCAST_BYTES = 256 * 1024 * 1024
+
+
+def broadcast_if_small(table: DataFrame, row_bytes: int) -> DataFrame:
+    """Hint a broadcast if the counted rows fit the bound; larger tables join by shuffle."""
+    small = table.count() * row_bytes <= BROADCAST_BYTES
+    return F.broadcast(table) if small else table
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Give a file scan one partition per core when it has fewer.
 

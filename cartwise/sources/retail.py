@@ -22,8 +22,6 @@ CATEGORIES = {
     "ECONOMY": "beverage",
     "PROMO": "dessert",
 }
-CUISINES = ["North Indian", "South Indian", "Chinese", "Italian", "Continental"]
-CITIES = ["Mumbai", "Delhi", "Bangalore", "Hyderabad", "Pune"]
 MENU_SIZE = 20
 VECTOR_DIM = 64
 SPLIT_DATE = "2000-01-01"
@@ -71,17 +69,15 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def restaurants(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("restaurant_id")
-    pick = lambda values: F.get(
-        F.array(*[F.lit(v) for v in values]), (key % len(values)).cast("int")
-    )
+    named = lambda kind: F.concat(F.lit(f"{kind} "), (key % 5).cast("string"))
     return (
         items(spark, sf_dir)
         .select("restaurant_id")
         .distinct()
         .select(
             "restaurant_id",
-            pick(CUISINES).alias("cuisine_type"),
-            pick(CITIES).alias("city"),
+            named("cuisine").alias("cuisine_type"),
+            named("city").alias("city"),
             (key % 4 + 1).cast("int").alias("price_range"),
             (F.lit(2.0) + key % 31 / F.lit(10.0)).alias("rating"),
             (F.lit(2.0) + key % 29 / F.lit(10.0)).alias("delivery_rating"),

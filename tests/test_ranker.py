@@ -4,7 +4,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from cartwise.operators import embeddings, metrics, ranker
+from cartwise.operators import embeddings, features, metrics, ranker, sampling, stats
+from cartwise.operators.split import split_frames
+from cartwise.plans import flow
 from cartwise.sources import retail, sinks
 
 QUICK = ranker.RankerParams(trees=5, max_depth=3, min_rows_per_leaf=5)
@@ -82,6 +84,30 @@ def test_missing_feature_is_an_error(planted, fitted):
         ranker.predict(fitted, planted.drop("b"))
 
 
+def test_frames_equal_the_single_operators(spark, sf):
+    inter, users, items = (f(spark, sf) for f in (retail.interactions, retail.users, retail.items))
+    vectors, carts = retail.item_vectors(spark, sf), retail.cart_rows(inter)
+    split = {"split_date": retail.SPLIT_DATE, "test_days": retail.TEST_DAYS}
+    frames = flow.featured_frames(inter, users, items, vectors, carts, 5, **split)
+    train, val, _ = split_frames(inter, **split)
+    single = features.engineer_features(
+        sampling.sample_uniform(val, items, 5),
+        users,
+        items,
+        stats.user_stats(train, users),
+        stats.item_stats(train, items),
+        carts,
+    )
+    single = embeddings.add_embedding_features(
+        single, vectors, embeddings.user_vectors(train, vectors)
+    )
+    single = embeddings.add_cart_similarity(single, carts, vectors)
+    assert len(frames.features) == 47
+    assert set(frames.features) == set(features.feature_names(single))
+    names = ["line_key", "item_id", "added_to_cart", *sorted(frames.features)]
+    assert rows(frames.val.fillna(-1.0), *names) == rows(single.fillna(-1.0), *names)
+
+
 def test_fitted_item_vectors(spark, sf):
     inter = retail.interactions(spark, sf)
     vectors, users = embeddings.embedding_tables(inter, dim=8, epochs=1)
