@@ -15,6 +15,7 @@ import time
 from pyspark.sql import SparkSession
 
 from cartwise.plans import catalog
+from cartwise.session import RECOMMENDED_CONF
 
 HEADLINE = (
     "item_stats",
@@ -38,16 +39,17 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    for name, value in RECOMMENDED_CONF.items():
+        builder = builder.config(name, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     # One untimed query starts the JVM and the Python workers.
     catalog.QUERIES["ranking_report"](spark, sf_dir).write.format("noop").mode("overwrite").save()
