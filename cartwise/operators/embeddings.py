@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import ceil
 
 import numpy as np
@@ -153,34 +154,43 @@ def add_cart_similarity(df: DataFrame, carts: DataFrame, vectors: DataFrame) ->
     )
 
 
-def _block_top(left: pd.DataFrame, right: pd.DataFrame, top_n: int) -> pd.DataFrame:
-    """Best ``top_n`` right-hand items of every left-hand item of one block pair."""
-    found = {"item_id": [], "other_id": [], "similarity": []}
-    if not left.empty and not right.empty:
-        ids, others = left["item_id"].to_numpy(), right["item_id"].to_numpy()
-        a, b = np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())
-        keep = min(top_n, len(others))
-        for start in range(0, len(ids), SLICE):
-            own = ids[start : start + SLICE]
-            # Equal vectors may differ in the last bits by position; ties go to the lower id.
-            scores = np.round(a[start : start + SLICE] @ b.T, 9) + 0.0
-            scores[own[:, None] == others[None, :]] = -np.inf
-            limit = np.partition(scores, -keep, axis=1)[:, -keep]
-            row, col = np.nonzero((scores >= limit[:, None]) & np.isfinite(scores))
-            value = scores[row, col]
-            order = np.lexsort((others[col], -value, row))
-            row, col, value = row[order], col[order], value[order]
-            place = np.arange(len(row)) - np.searchsorted(row, row)
-            best = place < keep
-            found["item_id"].append(own[row[best]])
-            found["other_id"].append(others[col[best]])
-            found["similarity"].append(value[best])
-    return pd.DataFrame(
-        {
-            name: np.concatenate(parts) if parts else np.array([], dtype="float64")
-            for name, parts in found.items()
-        }
-    ).astype({"item_id": "int64", "other_id": "int64"})
+def _block_top(top_n: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """Function for one block pair: the best right-hand items of every left-hand item.
+
+    It is local, so it travels to the workers by value and they need not import
+    this package.
+    """
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = {"item_id": [], "other_id": [], "similarity": []}
+        if not left.empty and not right.empty:
+            ids, others = left["item_id"].to_numpy(), right["item_id"].to_numpy()
+            a, b = np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())
+            keep = min(top_n, len(others))
+            for start in range(0, len(ids), SLICE):
+                own = ids[start : start + SLICE]
+                # Equal vectors may differ in the last bits by position; ties go to the
+                # lower id.
+                scores = np.round(a[start : start + SLICE] @ b.T, 9) + 0.0
+                scores[own[:, None] == others[None, :]] = -np.inf
+                limit = np.partition(scores, -keep, axis=1)[:, -keep]
+                row, col = np.nonzero((scores >= limit[:, None]) & np.isfinite(scores))
+                value = scores[row, col]
+                order = np.lexsort((others[col], -value, row))
+                row, col, value = row[order], col[order], value[order]
+                place = np.arange(len(row)) - np.searchsorted(row, row)
+                best = place < keep
+                found["item_id"].append(own[row[best]])
+                found["other_id"].append(others[col[best]])
+                found["similarity"].append(value[best])
+        return pd.DataFrame(
+            {
+                name: np.concatenate(parts) if parts else np.array([], dtype="float64")
+                for name, parts in found.items()
+            }
+        ).astype({"item_id": "int64", "other_id": "int64"})
+
+    return compare
 
 
 def nearest_items(
@@ -217,13 +227,10 @@ def nearest_items(
     left_side = left.withColumn("lb", place).withColumn("rb", every)
     right_side = vectors.withColumn("rb", place).withColumn("lb", every)
 
-    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return _block_top(a, b, top_n)
-
     best = (
         left_side.groupBy("lb", "rb")
         .cogroup(right_side.groupBy("lb", "rb"))
-        .applyInPandas(compare, "item_id BIGINT, other_id BIGINT, similarity DOUBLE")
+        .applyInPandas(_block_top(top_n), "item_id BIGINT, other_id BIGINT, similarity DOUBLE")
     )
     return top_similar(best, top_n)
 
