@@ -223,3 +223,36 @@ def clean(
         else:
             columns.append(F.col(f"doc.`{name}`").alias(name))
     return joined.select(*columns)
+
+
+ORACLE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+v AS (SELECT r, unnest(generate_series(1, len(w) - 2)) AS i, w FROM d WHERE len(w) >= 3),
+v2 AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS n FROM v),
+v3 AS (SELECT DISTINCT r, i + k AS place FROM v2, (SELECT unnest([0, 1, 2]) AS k) WHERE n > 1),
+rep AS (SELECT r, count(*) AS n_repeat_words FROM v3 GROUP BY r),
+l AS (SELECT r, source, line, regexp_replace(trim(lower(line), ' '), '[0-9]+', '0', 'g') AS code
+      FROM (SELECT r, source, unnest(string_split(text, chr(10))) AS line FROM d)
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dup AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines, sum(length(line)) AS chars FROM l GROUP BY r),
+h AS (SELECT source, count(*) AS docs FROM d GROUP BY source),
+b AS (SELECT l.source, code FROM l JOIN h ON l.source IS NOT DISTINCT FROM h.source
+      GROUP BY l.source, code, h.docs HAVING count(DISTINCT r) >= 10 AND count(DISTINCT r) > 0.02 * h.docs),
+lost AS (SELECT r, sum(length(line)) AS lost FROM l JOIN b ON l.code = b.code AND l.source IS NOT DISTINCT FROM b.source GROUP BY r),
+f AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+         CAST(coalesce(chars, 0) - coalesce(lost, 0) AS BIGINT) AS chars_left, coalesce(chars, 0) AS chars, lost
+  FROM d LEFT JOIN rep USING (r) LEFT JOIN dup USING (r) LEFT JOIN lost USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, chars_left,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+       AND NOT (lost IS NOT NULL AND (chars_left < 150 OR chars_left < 0.3 * chars)) AS kept
+FROM f
+"""

@@ -350,3 +350,21 @@ def _links(docs: DataFrame, id_column: str, table: DataFrame, live: DataFrame, s
             .select("band", "node", "weight", F.coalesce("root", "node").alias("root"))
         )
         live = materialize(after, "live")
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS x
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * common >= 85 * (na.n + nb.n - common)),
+walk AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT walk.doc_id, link.b FROM walk JOIN link ON link.a = walk.other),
+c AS (SELECT doc_id, min(other) AS component_id FROM walk GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
