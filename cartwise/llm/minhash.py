@@ -9,14 +9,15 @@ if the bins were independent. Bands of ``BAND_ROWS`` bins choose candidates: at
 0.85 a pair misses all 32 bands with probability 6e-11, at 0.8 with 5e-8.
 
 Texts with the same set are one node, known by a 128-bit fingerprint; nodes that share no
-band with another node end there. Groups only need enough links to be connected, so a
-bucket of a band is not expanded into its pairs: in each round, its members are compared
-with one hub (the member with the most bucket mates) and one member drawn by hash, and
-both then leave the bucket. Pairs already in one component are skipped, and buckets whose
-members are all in one component are finished. As soon as the pairs left over are at most
-``PAIRS_EACH`` times the members, all of them are compared. No pair of a bucket is left
-out, except those whose sketches differ by more than five standard deviations from the
-threshold. Links are decided on the full sets.
+band with another node end there. The pairs of a bucket are never written out. First every
+node is compared with the smallest node of each of its buckets, and verified against the
+``HUBS`` that its sketch agrees with best; that joins most groups to one component each. Then
+buckets that still hold several components are compared inside the tasks, in blocks of
+``BLOCK`` by ``BLOCK`` nodes, on sketches of ``LONG`` bins. A pair is near when it is in
+different components and its sketches agree to within five standard deviations of the
+threshold. A first pass takes the ``BEST`` nearest of each node, which joins groups whose
+links are sparse; a second pass takes every near pair that is left. A pair counts in the
+first band that it shares. Links are decided on the full sets.
 
 Rows: identical texts and repeated rows belong to one group. Texts without words are empty
 sets, linked with nothing; null text is such a text. A null id takes part, but is no
@@ -39,42 +40,50 @@ from cartwise.session import materialize
 
 COORDINATES = 128
 BAND_ROWS = 4
-PAIRS_EACH = 16
+#: Bins of the sketches that blocks compare, and nodes in a block.
+LONG = 1024
+BLOCK = 512
+#: Hubs that a node is verified against before blocks are compared.
+HUBS = 8
+#: Near pairs that a node keeps in the first comparison of blocks.
+BEST = 2
 
-_BITS = COORDINATES.bit_length() - 1
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-_VALUE = np.uint64((1 << 56) - 1)
+_VALUE = np.uint64((1 << 48) - 1)
 
 
 def _seed(k: int) -> np.uint64:
     return np.uint64((k + 1) * tx._STEP & 0xFFFFFFFFFFFFFFFF)
 
 
-def sketches(elements: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """Sketch of each set; ``before`` says where its elements start. Empty sets stay empty."""
+def sketches(elements: np.ndarray, before: np.ndarray, bins: int = COORDINATES) -> np.ndarray:
+    """Sketch of each set; ``before`` says where its elements start. Empty sets stay empty.
+
+    ``bins`` is a power of two. Values hold the round above 48 bits of hash.
+    """
     sets = len(before) - 1
     sizes = np.diff(before)
-    out = np.full((sets, COORDINATES), _EMPTY, np.uint64)
+    out = np.full((sets, bins), _EMPTY, np.uint64)
     owner = np.repeat(np.arange(sets), sizes)
     active, items = np.flatnonzero(sizes), elements
-    for k in range(COORDINATES):
+    shift = np.uint64(65 - bins.bit_length())
+    for k in range(bins):
         if not len(active):
             return out
         h = tx.mix(items ^ _seed(k))
-        value = (h & _VALUE) | (np.uint64(k) << np.uint64(56))
-        flat = owner * COORDINATES + (h >> np.uint64(64 - _BITS)).astype(np.int64)
-        np.minimum.at(out.reshape(-1), flat, value)
+        value = (h & _VALUE) | (np.uint64(k) << np.uint64(48))
+        np.minimum.at(out.reshape(-1), owner * bins + (h >> shift).astype(np.int64), value)
         open_ = np.zeros(sets, bool)
         open_[active] = (out[active] == _EMPTY).any(axis=1)
         stay = open_[owner]
         owner, items, active = owner[stay], items[stay], np.flatnonzero(open_)
     if len(active):
         starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-        for j in range(COORDINATES):
-            k = COORDINATES + j
-            least = np.minimum.reduceat(tx.mix(items ^ _seed(k)) & _VALUE, starts)
+        for j in range(bins):
             gap = out[active, j] == _EMPTY
-            out[active[gap], j] = least[gap] | (np.uint64(k) << np.uint64(56))
+            if gap.any():
+                least = np.minimum.reduceat(tx.mix(items ^ _seed(bins + j)) & _VALUE, starts)
+                out[active[gap], j] = least[gap] | (np.uint64(bins + j) << np.uint64(48))
     return out
 
 
@@ -109,6 +118,12 @@ def _fingerprints(elements: np.ndarray, place: np.ndarray) -> list[bytes | None]
     return [body[16 * i : 16 * i + 16] if n else None for i, n in enumerate(np.diff(place))]
 
 
+def _rows_of_bytes(sketch: np.ndarray) -> pa.Array:
+    """The lowest byte of each bin, one binary value a row."""
+    body, width = sketch.astype(np.uint8).tobytes(), sketch.shape[1]
+    return pa.array([body[width * i : width * (i + 1)] for i in range(len(sketch))], pa.binary())
+
+
 def _sketch_batches(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,16 +134,13 @@ def _sketch_batches(size: int):
                 offsets = np.zeros(end - first + 1, np.int32)
                 np.cumsum(full * (COORDINATES // BAND_ROWS), out=offsets[1:])
                 keys = band_keys(sketch[full]).reshape(-1).view(np.int64)
-                short = sketch.astype(np.uint8).tobytes()
                 yield pa.RecordBatch.from_pydict(
                     {
                         "id": batch["id"].slice(first, end - first),
                         "n": pa.array(counts, pa.int64()),
                         "node": pa.array(_fingerprints(elements, place), pa.binary()),
                         "bands": pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
-                        "sketch": pa.array(
-                            [short[COORDINATES * i : COORDINATES * (i + 1)] for i in range(end - first)], pa.binary()
-                        ),
+                        "sketch": _rows_of_bytes(sketch),
                     }
                 )
 
@@ -144,6 +156,7 @@ def _set_batches(size: int):
                     {
                         "node": pa.array(_fingerprints(elements, place), pa.binary()),
                         "want": batch["want"].slice(first, end - first),
+                        "long": _rows_of_bytes(sketches(elements, place, LONG)),
                         "elements": pa.array([body[8 * a : 8 * b] for a, b in zip(place[:-1], place[1:])], pa.binary()),
                     }
                 )
@@ -187,13 +200,10 @@ def connected(links: DataFrame) -> DataFrame:
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("root").alias("near"))
         )
-        better = materialize(
-            roots.join(near, "node").select("node", "root", F.least("root", "near").alias("next")), "roots"
-        )
+        better = roots.join(near, "node").select("node", "root", F.least("root", "near").alias("next"))
+        jumps = better.select(F.col("node").alias("next"), F.col("next").alias("far"))
         jumped = materialize(
-            better.join(better.select(F.col("node").alias("next"), F.col("next").alias("far")), "next", "left").select(
-                "node", "root", F.least("next", F.coalesce("far", "next")).alias("next")
-            ),
+            better.join(jumps, "next", "left").select("node", "root", F.least("next", F.coalesce("far", "next")).alias("next")),
             "roots",
         )
         done = jumped.where(F.col("root") != F.col("next")).isEmpty()
@@ -202,30 +212,113 @@ def connected(links: DataFrame) -> DataFrame:
             return roots
 
 
-def _verified(pairs: DataFrame, short: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
+def _least_equal(percent: int, bins: int) -> int:
+    """Equal bins that a pair at the threshold reaches, less five standard deviations."""
     share = percent / 100
-    least = COORDINATES * (share - 5 * (share * (1 - share) / COORDINATES) ** 0.5)
-    equal = F.arrow_udf(_equal_bins, "int")
+    return int(bins * (share - 5 * (share * (1 - share) / bins) ** 0.5))
+
+
+def _side(table: DataFrame, name: str, *columns: str) -> DataFrame:
+    return table.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold."""
     shared = F.arrow_udf(_shared, "long")
-    side = lambda table, name: table.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in table.columns if c != "node"])
-    near = (
-        pairs.join(side(short, "a"), "a")
-        .join(side(short, "b"), "b")
-        .where(equal("sketch_a", "sketch_b") >= least)
-        .select("a", "b")
-    )
-    near = materialize(near, "near")
     return (
-        near.join(side(sets, "a"), "a")
-        .join(side(sets, "b"), "b")
-        .withColumn("both", shared("elements_a", "elements_b"))
+        pairs.join(_side(sets, "a", "elements"), "a")
+        .join(_side(sets, "b", "elements"), "b")
+        .withColumn("common", shared("elements_a", "elements_b"))
         .withColumn("sizes", ((F.length("elements_a") + F.length("elements_b")) / 8).cast("long"))
-        .where(100 * F.col("both") >= percent * (F.col("sizes") - F.col("both")))
+        .where(100 * F.col("common") >= percent * (F.col("sizes") - F.col("common")))
         .select("a", "b")
     )
 
 
+def _near_in_block(part: dict[str, np.ndarray], least: tuple[int, int], best: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the near pairs of a block, or between two blocks."""
+    short, long, root, block = part["short"], part["long"], part["root"], part["block"]
+    number = int(part["number"][0])
+    one, two = int(block.min()), int(block.max())
+    left = np.flatnonzero(block == one)
+    right = left if one == two else np.flatnonzero(block == two)
+    found = []
+    for low in range(0, len(left), 64):
+        rows = left[low : low + 64]
+        apart = root[rows][:, None] != root[right][None, :]
+        if one == two:
+            apart &= rows[:, None] < right[None, :]
+        if not apart.any():
+            continue
+        same = short[rows][:, None, :] == short[right][None, :, :]
+        a, b = np.nonzero(apart & (same.sum(axis=2, dtype=np.int16) >= least[0]))
+        if number:
+            # A pair counts in the first band it shares.
+            early = same[a, b, : number * BAND_ROWS].reshape(len(a), number, BAND_ROWS).all(axis=2).any(axis=1)
+            a, b = a[~early], b[~early]
+        for at in range(0, len(a), 1 << 13):
+            x, y = rows[a[at : at + (1 << 13)]], right[b[at : at + (1 << 13)]]
+            equal = (long[x] == long[y]).sum(axis=1)
+            near = equal >= least[1]
+            found.append(np.stack([x[near], y[near], equal[near]]))
+    if not found:
+        return left[:0], left[:0]
+    x, y, equal = np.concatenate(found, axis=1)
+    if best is not None:
+        order = np.lexsort((-equal, x))
+        x, y = x[order], y[order]
+        keep = np.arange(len(x)) - np.searchsorted(x, x) < best
+        x, y = x[keep], y[keep]
+    return x, y
+
+
+def _block_batches(least: tuple[int, int], best: int | None):
+    """Near pairs of rows that come sorted by (band, i, j); groups have at most two blocks."""
+
+    def near(part: pa.Table) -> pa.RecordBatch | None:
+        keys = np.stack([part[c].to_numpy() for c in ("band", "i", "j")])
+        edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        node = part["node"].combine_chunks()
+        every = {
+            "short": np.frombuffer(b"".join(part["sketch"].to_pylist()), np.uint8).reshape(-1, COORDINATES),
+            "long": np.frombuffer(b"".join(part["long"].to_pylist()), np.uint8).reshape(-1, LONG),
+            "root": part["root_no"].to_numpy(),
+            "block": part["block"].to_numpy(),
+            "number": part["number"].to_numpy(),
+        }
+        left, right = [], []
+        for a, b in zip(np.r_[0, edges], np.r_[edges, len(node)]):
+            if b - a > 1:
+                x, y = _near_in_block({k: v[a:b] for k, v in every.items()}, least, best)
+                left.append(x + a)
+                right.append(y + a)
+        if not left or not sum(map(len, left)):
+            return None
+        take = lambda rows: node.take(pa.array(np.concatenate(rows)))
+        return pa.RecordBatch.from_pydict({"a": take(left), "b": take(right)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            for at in range(0, len(batch), 4096):
+                fresh = pa.Table.from_batches([batch.slice(at, 4096)])
+                held = (fresh if held is None else pa.concat_tables([held, fresh])).combine_chunks()
+                keys = np.stack([held[c].to_numpy() for c in ("band", "i", "j")])
+                last = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0))
+                if len(last):
+                    # All groups but the last are whole.
+                    found = near(held.slice(0, int(last[-1]) + 1))
+                    held = held.slice(int(last[-1]) + 1)
+                    if found is not None:
+                        yield found
+        if held is not None and len(held):
+            found = near(held.combine_chunks())
+            if found is not None:
+                yield found
+
+    return run
+
+
 def _ordered(left: Column, right: Column) -> list[Column]:
     return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
 
@@ -254,9 +347,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_column
         .select("band")
     )
     buckets = materialize(buckets, "buckets")
-    live = materialize(
-        members.select(F.explode("bands").alias("band"), "node").join(buckets, "band").distinct(), "live"
-    )
+    banded = members.select(F.posexplode("bands").alias("number", "band"), "node")
+    live = materialize(banded.join(buckets, "band").distinct(), "live")
     links = _links(docs, id_column, table, live, size, percent)
     roots = connected(links) if links is not None else None
     groups = members.groupBy("node").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows"))
@@ -286,70 +378,61 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_column
 def _links(docs: DataFrame, id_column: str, table: DataFrame, live: DataFrame, size: int, percent: int) -> DataFrame | None:
     """Enough verified links to connect every group, or None if there are none."""
     nodes = live.select("node").distinct()
-    want = materialize(
-        table.where("node is not null").groupBy("node").agg(F.min("id").alias("id")).join(nodes, "node", "left_semi"),
-        "want",
-    )
-    if want.isEmpty():
-        return None
+    want = table.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("sketch").alias("sketch"))
+    want = materialize(want.join(nodes, "node", "left_semi"), "want")
     text_of = want.select(F.col("id").alias("want_id"), F.col("node").alias("want"))
     sets = materialize(
         docs.select(F.col(id_column).alias("id"), "text")
         .join(text_of, F.col("id").eqNullSafe(F.col("want_id")))
         .select("text", "want")
-        .mapInArrow(_set_batches(size), "node binary, want binary, elements binary")
+        .mapInArrow(_set_batches(size), "node binary, want binary, long binary, elements binary")
         .where("node = want")
         .groupBy("node")
-        .agg(F.first("elements").alias("elements")),
+        .agg(F.first("long").alias("long"), F.first("elements").alias("elements")),
         "sets",
     )
-    short = materialize(
-        table.select("node", "sketch").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("sketch").alias("sketch")),
-        "short",
+    # Every node with the smallest node of its buckets (one a band); the best are verified.
+    hubs = live.groupBy("band").agg(F.min("node").alias("hub"))
+    pairs = live.join(hubs, "band").where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    equal = F.arrow_udf(_equal_bins, "int")
+    best = (
+        pairs.join(_side(want, "a", "sketch"), "a")
+        .join(_side(want, "b", "sketch"), "b")
+        .withColumn("equal", equal("sketch_a", "sketch_b"))
+        .where(F.col("equal") >= _least_equal(percent, COORDINATES))
+        .groupBy("a")
+        .agg(F.slice(F.sort_array(F.collect_list(F.struct("equal", "b")), asc=False), 1, HUBS).alias("best"))
+        .select("a", F.explode("best.b").alias("b"))
+    )
+    links = materialize(_verified(materialize(best, "best"), sets, percent), "found")
+    long = materialize(sets.select("node", "long").join(want.select("node", "sketch"), "node"), "long")
+    for keep in (BEST, None):
+        near = materialize(_near_pairs(live, connected(links), long, percent, keep), "near")
+        links = links.unionByName(materialize(_verified(near, sets, percent), "found"))
+    return links
+
+
+def _near_pairs(live: DataFrame, roots: DataFrame, long: DataFrame, percent: int, best: int | None) -> DataFrame:
+    """Pairs of nodes that share a bucket, lie in different components and look near."""
+    rooted = live.join(roots, "node", "left").withColumn("root_no", F.xxhash64(F.coalesce("root", "node")))
+    rooted = materialize(rooted.select("band", "number", "node", "root_no"), "rooted")
+    open_ = rooted.groupBy("band").agg(
+        F.count(F.lit(1)).alias("n"), F.min("root_no").alias("lo"), F.max("root_no").alias("hi")
+    )
+    open_ = open_.where("lo != hi").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    spread = rooted.join(materialize(open_, "open"), "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keys = [F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
+    least = (_least_equal(percent, COORDINATES), _least_equal(percent, LONG))
+    return (
+        spread.select("band", "number", "node", "root_no", "block", *keys)
+        .join(long, "node")
+        .repartition("band", "i", "j")
+        .sortWithinPartitions("band", "i", "j")
+        .mapInArrow(_block_batches(least, best), "a binary, b binary")
+        .select(*_ordered(F.col("a"), F.col("b")))
+        .distinct()
     )
-    mates = live.groupBy("band").agg(F.count(F.lit(1)).alias("mates"))
-    weight = live.join(materialize(mates, "mates"), "band").groupBy("node").agg(F.sum("mates").alias("weight"))
-    live = live.join(materialize(weight, "weight"), "node").select("band", "node", "weight", F.col("node").alias("root"))
-    live = materialize(live, "live")
-    links: DataFrame | None = None
-    while True:
-        # Pairs left: all of a bucket less those inside one component.
-        parts = live.groupBy("band", "root").agg(F.count(F.lit(1)).alias("m"))
-        left = parts.groupBy("band").agg(F.sum("m").alias("n"), F.sum(F.col("m") * F.col("m")).alias("own"))
-        left = materialize(left.withColumn("pairs", (F.col("n") * F.col("n") - F.col("own")) / 2), "left")
-        total = left.agg(F.sum("pairs").alias("pairs"), F.sum("n").alias("n")).first()
-        if not total["pairs"]:
-            return links
-        open_ = live.join(left.where("pairs > 0").select("band"), "band", "left_semi")
-        last = total["pairs"] <= PAIRS_EACH * total["n"]
-        if last:
-            other = open_.select("band", F.col("node").alias("other"), F.col("root").alias("other_root"))
-            pairs = open_.join(other, "band").where((F.col("node") < F.col("other")) & (F.col("root") != F.col("other_root")))
-        else:
-            hubs = open_.groupBy("band").agg(
-                F.max(F.struct("weight", "node", "root")).alias("hub"),
-                F.max(F.struct(F.xxhash64("node", "band").alias("draw"), "node", "root")).alias("drawn"),
-            )
-            hubs = materialize(hubs, "hubs")
-            each = hubs.select("band", F.explode(F.array(F.struct("hub.node", "hub.root"), F.struct("drawn.node", "drawn.root"))).alias("h"))
-            other = each.select("band", F.col("h.node").alias("other"), F.col("h.root").alias("other_root"))
-            pairs = open_.join(other, "band").where((F.col("node") != F.col("other")) & (F.col("root") != F.col("other_root")))
-        pairs = materialize(pairs.select(*_ordered(F.col("node"), F.col("other"))).distinct(), "pairs")
-        found = materialize(_verified(pairs, short, sets, percent), "found")
-        links = found if links is None else links.unionByName(found)
-        if last:
-            return links
-        roots = connected(links)
-        after = (
-            open_.join(
-                hubs.select("band", F.col("hub.node").alias("hub"), F.col("drawn.node").alias("drawn")), "band"
-            )
-            .where((F.col("node") != F.col("hub")) & (F.col("node") != F.col("drawn")))
-            .select("band", "node", "weight")
-            .join(roots, "node", "left")
-            .select("band", "node", "weight", F.coalesce("root", "node").alias("root"))
-        )
-        live = materialize(after, "live")
 
 
 ORACLE = r"""

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Words as runs of everything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 _ALL = np.arange(256)
 LOWER = np.where((_ALL >= 65) & (_ALL <= 90), _ALL + 32, _ALL).astype(np.uint8)
