@@ -3,7 +3,8 @@
 Trusted positives are the labelled documents of quality 1; every document of the learning
 rows, labelled or not, is unlabelled web text (label 0 is not used as a negative). The class
 prior is estimated from a first classifier of positives against unlabelled text: the least
-ratio, over score thresholds, of the unlabelled to the positive share above the threshold.
+ratio, over score thresholds, of the unlabelled to the positive share above the threshold,
+plus one standard error of the positive share (few positives make the least ratio too low).
 
 With logistic loss the unbiased risk of a linear score g is
 prior * mean_P(-g) + mean_U(log(1 + exp(g))). Its part for negatives, mean_U(log(1 + exp(g)))
@@ -34,7 +35,7 @@ from cartwise.session import materialize
 STEPS = 8
 RIDGE = 1e-3
 #: Least share of the positives above a threshold for the prior's ratio.
-TAIL = 0.1
+TAIL = 0.3
 
 _BYTES = np.arange(256)
 _UPPER = (_BYTES >= 65) & (_BYTES <= 90)
@@ -170,7 +171,7 @@ def fit(table: DataFrame, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray, n
 
     def solve(prior: float) -> np.ndarray:
         w = np.zeros(d + 1)
-        ridge = np.r_[np.full(d, RIDGE), 1e-9]
+        ridge = np.r_[np.full(d, RIDGE + 3 / n), 1e-9]
         for _ in range(steps):
             out = _total(table, step(center, scale, w, prior, n, n_positive))
             loss_u, loss_p, _ = out[:3]
@@ -191,7 +192,7 @@ def fit(table: DataFrame, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray, n
     first = solve(0.5)
     counts = _total(table, histogram(center, scale, first))
     every, own = counts[:1000][::-1].cumsum() / n, counts[1000:][::-1].cumsum() / n_positive
-    ratio = every[own >= TAIL] / own[own >= TAIL]
+    ratio = (every / np.maximum(own, 1e-12) + 1 / np.sqrt(np.maximum(1.0, own * n_positive)))[own >= TAIL]
     prior = float(np.clip(ratio.min(), 0.05, 0.98))
     return center, scale, solve(prior), prior
 

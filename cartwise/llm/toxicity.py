@@ -6,10 +6,10 @@ the clean documents that hold it; the ``FEATURES`` with the strongest associatio
 identity terms, make the model's vocabulary.
 
 Counterfactuals: each mention of an identity term in a labelled sentence is swapped for the
-other terms of its group. The rest of the sentence stays, so a linear score changes by the
+other terms of its group, and for a neutral word. The rest of the sentence stays, so a linear score changes by the
 difference of the two terms' weights; the squared changes, weighed by the mentions counted
 over all labelled texts, are added to the logistic loss with weight ``PENALTY``. So terms of
-a group end with nearly the same weight, and all groups' weights are held near zero.
+a group end with nearly the same weight, and mentioning a group at all changes little.
 
 The weights are fitted on at most about ``FIT_ROWS`` labelled rows, chosen by a hash of the
 id (documented bound); counts, mentions and scores cover all rows.
@@ -75,6 +75,12 @@ def code_of(word: str) -> int:
     return int(tx.word_hashes(data, np.array([0]), np.array([len(data)]))[0])
 
 
+def codes_of(word: str) -> list[int]:
+    """The codes of all three features of a word."""
+    body = word.encode()
+    return [code_of(body[:n].decode("utf-8", "ignore")) for n in (len(body), 4, 5)]
+
+
 def _pieces(texts: pa.Array):
     for first, end, data, at in tx.pieces(texts):
         data = tx.LOWER[data]
@@ -148,19 +154,19 @@ class Model:
 
 
 def swaps(codes: np.ndarray, mentions: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """(differences, weights): one row for each ordered pair of terms whose first is mentioned."""
+    """(differences, weights): one row for each swap of a mentioned term."""
     place = {int(c): i for i, c in enumerate(codes)}
     rows, weights = [], []
     for group in IDENTITY:
-        members = [code_of(t) for t in group]
-        for a in members:
-            for b in members:
-                if a != b and mentions.get(a):
+        for a in group:
+            # None stands for a neutral word, which has no features.
+            for b in (*group, None):
+                if a != b and mentions.get(code_of(a)):
                     row = np.zeros(len(codes))
-                    row[place[a]] += 1
-                    row[place[b]] -= 1
+                    np.add.at(row, [place[c] for c in codes_of(a)], 1)
+                    np.add.at(row, [place[c] for c in (codes_of(b) if b else ())] or np.zeros(0, int), -1)
                     rows.append(row)
-                    weights.append(mentions[a] / (len(members) - 1))
+                    weights.append(mentions[code_of(a)] / len(group))
     if not rows:
         return np.zeros((0, len(codes))), np.zeros(0)
     weights = np.array(weights)
@@ -215,7 +221,8 @@ def train(docs: DataFrame, labels: DataFrame, learns: Column, fit_rows: int = FI
     held = a + b
     chi = (a * (n - bad - b) - b * (bad - a)) * F.sqrt(F.lit(float(n))) / F.sqrt(held * (n - held + 1) * bad * (n - bad))
     best = counts.where(held >= LEAST_DOCS).withColumn("chi", chi).orderBy(F.desc(F.abs("chi")), "code").limit(FEATURES)
-    codes = {c["code"] & 0xFFFFFFFFFFFFFFFF for c in best.select("code").collect()} | identity
+    codes = {c["code"] & 0xFFFFFFFFFFFFFFFF for c in best.select("code").collect()}
+    codes |= {c for group in IDENTITY for t in group for c in codes_of(t)}
     codes = np.array(sorted(codes), np.uint64)
     signed = [int(np.uint64(c).astype(np.int64)) for c in sorted(identity)]
     mentions = {
