@@ -31,20 +31,24 @@ def fit_item_vectors(
     min_count: int = 2,
     epochs: int = 10,
     seed: int = 42,
-    partitions: int | None = None,
+    partitions: int = 8,
 ) -> Word2VecModel:
-    """Skip-gram vectors with orders as sentences and items as words."""
+    """Skip-gram vectors with whole orders as sentences and items as words.
+
+    ``partitions`` are fitted side by side and averaged; the number is fixed, so that the
+    vectors do not depend on the size of the cluster.
+    """
     sentences = session_sequences(interactions).select(
         F.col("items").cast("array<string>").alias("sentence")
     )
-    spark = interactions.sparkSession
     return Word2Vec(
         vectorSize=dim,
         windowSize=window,
         minCount=min_count,
         maxIter=epochs,
         seed=seed,
-        numPartitions=partitions or spark.sparkContext.defaultParallelism,
+        numPartitions=partitions,
+        maxSentenceLength=(1 << 31) - 1,
         inputCol="sentence",
         outputCol="vec",
     ).fit(sentences)
@@ -84,12 +88,18 @@ def user_vectors(
     """Weighted mean of the vectors of a user's items, newer items weighing more.
 
     Ages count all items, the mean runs over those with a vector, and users
-    without any are left out. The sums combine map-side per (user, component),
-    so a user's history is never gathered.
+    without any are left out. Ages count from the user's newest item with a
+    vector, which leaves the mean as it is and keeps the weights from vanishing.
+    The sums combine map-side per (user, component), so a user's history is never
+    gathered.
     """
     if recency_weight:
-        lines = recency_rank(interactions, hot_rows).withColumn(
-            "weight", F.exp(F.lit(-DECAY) * F.col("age"))
+        known = recency_rank(interactions, hot_rows).join(
+            vectors.select("item_id"), "item_id", "left_semi"
+        )
+        newest = known.groupBy("user_id").agg(F.min("age").alias("newest"))
+        lines = known.join(newest, "user_id").withColumn(
+            "weight", F.exp(F.lit(-DECAY) * (F.col("age") - F.col("newest")))
         )
     else:
         lines = interactions.select("user_id", "item_id").withColumn("weight", F.lit(1.0))

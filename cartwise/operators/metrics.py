@@ -16,10 +16,13 @@ from pyspark.sql import functions as F
 
 from cartwise.functions.hashing import mix32
 from cartwise.operators.ordering import HOT_ROWS, exact_quantiles, running_totals
+from cartwise.session import BROADCAST_BYTES
 
 K_VALUES = (5, 10, 20)
-# Largest number of bootstrap draws made row by row; well inside the 32-bit counter.
-MAX_DRAWS = 100_000_000
+# Draws made one by one are numbered by a 32-bit counter.
+MAX_DRAWS = 1 << 32
+# Bytes of a numbered value in a broadcast table.
+VALUE_BYTES = 32
 
 
 def rank_order(score: str = "score", ties: Sequence[str] = ("item_id", "line_key")) -> list[Column]:
@@ -227,11 +230,10 @@ def _replicate_means_by_draw(
     draws = spark.range(0, rows * replicates).selectExpr(
         f"id % {replicates} AS replicate", f"id ^ {int(seed)} AS counter"
     ).selectExpr("replicate", f"{mix32('counter')} * {rows} div {2**32} AS idx")
-    # The caller bounds rows * replicates, so this table has at most MAX_DRAWS /
-    # replicates rows; with it broadcast the draws add up without being shuffled.
-    return (
-        draws.join(F.broadcast(indexed), "idx").groupBy("replicate").agg(F.avg("v").alias("mean"))
-    )
+    # With a small table of values broadcast, the draws add up without being shuffled.
+    if rows * VALUE_BYTES <= BROADCAST_BYTES:
+        indexed = F.broadcast(indexed)
+    return draws.join(indexed, "idx").groupBy("replicate").agg(F.avg("v").alias("mean"))
 
 
 def _replicate_means_by_weight(
@@ -267,14 +269,17 @@ def bootstrap_ci(
     replicates: int = 1000,
     confidence: float = 0.95,
     seed: str = "42",
-    max_draws: int = MAX_DRAWS,
+    method: str = "draw",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row: percentile interval of the mean over resampled replicates.
 
-    Up to ``max_draws`` draws are made one by one. Beyond that every distinct
-    value gets a Poisson weight per replicate, drawn once for all its copies.
+    ``method`` is the caller's choice at every size: "draw" draws rows one by one,
+    "weight" gives every distinct value a Poisson weight per replicate, drawn once
+    for all its copies. More draws than the counter holds are refused.
     """
+    if method not in ("draw", "weight"):
+        raise ValueError(f"unknown method {method!r}")
     spark = values.sparkSession
     known = values.where(F.col(column).isNotNull())
     rows = known.count()
@@ -282,7 +287,9 @@ def bootstrap_ci(
         return spark.range(1).select(
             F.lit(None).cast("double").alias("lower"), F.lit(None).cast("double").alias("upper")
         )
-    if rows * replicates <= max_draws:
+    if method == "draw":
+        if rows * replicates >= MAX_DRAWS:
+            raise ValueError('too many draws to number; choose method="weight"')
         means = _replicate_means_by_draw(known, column, rows, replicates, seed, hot_rows)
     else:
         means = _replicate_means_by_weight(known, column, replicates, seed)

@@ -14,7 +14,7 @@ from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -114,7 +114,13 @@ def fit_pairwise(
     stable = train.select("line_key", group, "item_id", LABEL, *features).fillna(
         0, list(features)
     )
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    # Filling is a stage of the model, so that rows to score may hold nulls too.
+    filled = [f"_filled_{i}" for i in range(len(features))]
+    columns = ", ".join(
+        f"coalesce(CAST(`{f}` AS DOUBLE), 0D) AS {name}" for f, name in zip(features, filled)
+    )
+    fill = SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__")
+    assembler = VectorAssembler(inputCols=filled, outputCol="features")
     learner = LogisticRegression(
         featuresCol="features",
         labelCol="_label",
@@ -145,7 +151,7 @@ def fit_pairwise(
     weighted = pairs.withColumn("_weight", F.lit(1.0))
     settings = {"rounds": rounds, "regularization": regularization, "iterations": iterations}
     for turn in range(rounds):
-        model = Pipeline(stages=[assembler, learner]).fit(weighted)
+        model = Pipeline(stages=[fill, assembler, learner]).fit(weighted)
         ranker = Ranker(model, list(features), settings)
         if turn + 1 < rounds:
             weights = swap_weights(predict(ranker, stable), group, hot_rows)
@@ -164,7 +170,15 @@ def swap_weights(
         ),
         "ranked",
     )
-    relevant = ranked.groupBy(group).agg(F.sum(F.col(LABEL).cast("long")).alias("_n_relevant"))
+    gains = F.transform(
+        F.sequence(F.lit(1).cast("long"), F.col("_n_relevant")), lambda i: 1 / F.log2(i + 1)
+    )
+    relevant = (
+        ranked.groupBy(group)
+        .agg(F.sum(F.col(LABEL).cast("long")).alias("_n_relevant"))
+        .where(F.col("_n_relevant") > 0)
+        .select(group, F.aggregate(gains, F.lit(0.0), lambda total, g: total + g).alias("_ideal"))
+    )
     upper = ranked.where(F.col(LABEL) == 1).select(
         "line_key", group, F.col("_gain").alias("_pos_gain")
     )
@@ -176,7 +190,7 @@ def swap_weights(
         .select(
             "line_key",
             "item_id",
-            (F.abs(F.col("_pos_gain") - F.col("_gain")) / F.col("_n_relevant")).alias("_weight"),
+            (F.abs(F.col("_pos_gain") - F.col("_gain")) / F.col("_ideal")).alias("_weight"),
         )
     )
 
@@ -188,7 +202,8 @@ def predict(ranker: Ranker, df: DataFrame) -> DataFrame:
         raise ValueError(f"features missing: {', '.join(missing)}")
     raw = ranker.model.transform(df)
     return raw.withColumn("score", vector_to_array("rawPrediction")[1]).drop(
-        "features", "rawPrediction", "probability", "prediction"
+        "features", "rawPrediction", "probability", "prediction",
+        *[c for c in raw.columns if c.startswith("_filled_")],
     )
 
 

@@ -144,19 +144,20 @@ def category_transitions(
 def session_sequences(
     interactions: DataFrame,
     group: str = "order_id",
-    max_length: int = 1000,
+    max_length: int | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Items of each order in time order, as arrays of at most ``max_length``.
+    """Items of each order in time order, as one array an order.
 
-    Longer orders continue in the next part, so no array grows with the data.
+    A caller who gives ``max_length`` gets longer orders continued in further parts.
     """
     lines = interactions.select(
         group, "item_id", "timestamp", "position_in_cart", "line_key"
     )
     ranked = numbered(lines, [group], session_order(), "rn", hot_rows)
+    part = F.floor((F.col("rn") - 1) / max_length) if max_length else F.lit(0)
     return (
-        ranked.withColumn("part", F.floor((F.col("rn") - 1) / max_length).cast("long"))
+        ranked.withColumn("part", part.cast("long"))
         .groupBy(group, "part")
         .agg(F.array_sort(F.collect_list(F.struct("rn", "item_id"))).alias("seq"))
         .select(group, "part", F.transform("seq", lambda s: s["item_id"]).alias("items"))

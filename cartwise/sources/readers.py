@@ -101,10 +101,15 @@ def build_interactions(
 
 
 def cart_lines(carts: DataFrame) -> DataFrame:
-    """Long form (session_id, item_id) of carts holding a comma-separated item list."""
-    return carts.select(
-        "session_id", F.explode(F.split("cart_items", ",")).alias("item")
-    ).select("session_id", F.col("item").cast("long").alias("item_id"))
+    """Long form (session_id, item_id) of carts holding a comma-separated item list.
+
+    Empty parts are no items. A part that is no number gives a row without item_id, which
+    joins nothing and can be counted.
+    """
+    parts = F.filter(F.transform(F.split("cart_items", ","), lambda x: F.trim(x)), lambda x: x != "")
+    return carts.select("session_id", F.explode(parts).alias("item")).select(
+        "session_id", F.col("item").try_cast("long").alias("item_id")
+    )
 
 
 def load_all(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:

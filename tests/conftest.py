@@ -20,9 +20,8 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
     )
+    builder = builder.config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
     session = builder.getOrCreate()
-    if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -1,5 +1,7 @@
 """Learned models on a planted signal, and their persistence."""
 
+import math
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -123,3 +125,24 @@ def test_report_lines(spark):
     assert rows(sinks.report_lines(report), "line") == [
         ("attach_rate: 12.50%",), ("auc: 0.7000",), ("avg: 2.00",)
     ]
+
+
+def test_swap_weight_is_the_change_of_ndcg(spark):
+    """Two positives at ranks 1 and 3, a negative between them."""
+    scored = spark.createDataFrame(
+        [("o", 1, 10, 1, 3.0), ("o", 1, 20, 0, 2.0), ("o", 2, 30, 1, 1.0)],
+        f"order_id string, line_key long, item_id long, {ranker.LABEL} int, score double",
+    )
+    ideal = 1 + 1 / math.log2(3)
+    assert ranker.swap_weights(scored).first()["_weight"] == pytest.approx((1 - 1 / math.log2(3)) / ideal)
+
+
+def test_pairwise_scores_rows_with_nulls(spark):
+    frame = spark.createDataFrame(
+        [(f"o{i}", i, 10 + j, int(j == 0), float(j == 0) + 0.1 * j, 1.0) for i in range(40) for j in range(3)],
+        f"order_id string, line_key long, item_id long, {ranker.LABEL} int, a double, b double",
+    )
+    fitted = ranker.fit_pairwise(frame, ["a", "b"])
+    scored = ranker.predict(fitted, frame.withColumn("b", F.lit(None).cast("double")))
+    assert scored.where("score is null").count() == 0
+    assert not [c for c in scored.columns if c.startswith("_filled_")]
