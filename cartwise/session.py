@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,10 +54,49 @@ def materialize(df: DataFrame, name: str = "table", partition_by: str | None = N
     """
     spark = df.sparkSession
     path = new_path(spark, name)
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(path)
     df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Paths of the tables that the innermost block of ``temporary_tables`` has to delete.
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end of the block the tables that ``materialize`` wrote in it.
+
+    A frame that leaves the block must not read them any more; ``settled`` writes it.
+    """
+    paths: list[str] = []
+    token = _owned.set(paths)
+    try:
+        yield
+    finally:
+        _owned.reset(token)
+        for name in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def settled(spark: SparkSession, build: Callable[[], DataFrame], name: str = "table") -> DataFrame:
+    """The frame that ``build`` returns as a written table, without the tables made on the way.
+
+    The table itself belongs to the block around the call, if there is one.
+    """
+    outer = _owned.get()
+    with temporary_tables(spark):
+        frame = build()
+        path = new_path(spark, name)
+        if outer is not None:
+            outer.append(path)
+        frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 # Most bytes a table may hold, by its checked row count, to be sent to every executor.
 BROADCAST_BYTES = 256 * 1024 * 1024
 
