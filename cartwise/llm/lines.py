@@ -9,10 +9,13 @@ in its lines, or fewer than ``least_chars`` characters, remain. Together with th
 than 50 words, or more than half of the words in repeated three-word windows) this decides
 ``kept``.
 
-The first pass writes one narrow row for each document: its figures, and for each line
-with a word the hash and the number of characters. Counting, and joining the boilerplate back,
-read that table only. Counts combine before the shuffle, so a line that stands in all
-documents costs one row a task.
+The report writes one narrow row for each document: its figures, and for each line with a
+word the hash and the number of characters. Counting, and joining the boilerplate back, read
+that table only. ``clean`` counts in one pass over the documents and decides in a second, in
+which every row meets the codes of its host: at most 1 / ``share`` times the mean number of
+distinct lines, sent to all tasks up to a measured number of bytes, and joined by salted
+host beyond. No copy of the texts is written or, with few codes, shuffled. Counts combine
+before the shuffle, so a line that stands in all documents costs one row a task.
 
 Rows: every row is a document of its own, repeated rows too. Null text: a document without
 words. Null host: a host of its own. Empty table: no rows. Other columns of the input are
@@ -24,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.session import materialize
+from cartwise.session import BROADCAST_BYTES, materialize, settled
 
 #: Words of a text up to which repeated windows are looked up in the list of repeated ones.
 SHORT = 2048
@@ -110,12 +113,22 @@ def _has_word(line: Column) -> Column:
     return line.rlike(r"[^\x20\x09-\x0D]")
 
 
+def _host_code(host: str) -> Column:
+    return F.coalesce(F.xxhash64(F.col(f"`{host}`")), F.lit(0)).alias("host")
+
+
+def _line_codes(text: Column) -> Column:
+    """(code, characters) of the lines of a text that hold a word."""
+    lines = F.filter(F.split(text, "\n"), _has_word)
+    return F.transform(lines, lambda y: F.struct(_normal(y).alias("code"), F.length(y).alias("n")))
+
+
 def _line_table(docs: DataFrame, host: str, extra: list[str]) -> DataFrame:
     """One narrow row a document: figures, and (code, characters) of its lines with words."""
     table = docs.select(
         *extra,
         F.monotonically_increasing_id().alias("row"),
-        F.coalesce(F.xxhash64(F.col(host)), F.lit(0)).alias("host"),
+        _host_code(host),
         F.coalesce(F.col("text"), F.lit("")).alias("text_"),
     )
     figures = _let(
@@ -201,19 +214,28 @@ def clean(
 
     ``n_chars`` follows the text where the table has such a column.
     """
-    every = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    whole = materialize(docs.select(every, F.monotonically_increasing_id().alias("row_")), "docs")
-    table = materialize(
-        _line_table(whole.select("doc.text", F.col(f"doc.`{host}`").alias("host_"), "row_"), "host_", ["row_"]), "lines"
+    spark = docs.sparkSession
+    narrow = docs.select(_host_code(host), _line_codes(F.coalesce(F.col("text"), F.lit(""))).alias("lines"))
+    by_host = settled(
+        spark,
+        lambda: boilerplate(narrow, share, least_docs).groupBy("host").agg(F.collect_set("code").alias("codes")),
+        "boilerplate",
     )
-    judged = _judged(table, share, least_docs, least_chars, least_left)
-    verdict = judged.where("kept").select("row_", "codes")
+    every = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    table = docs.select(every, _host_code(host), F.coalesce(F.col("text"), F.lit("")).alias("text_"))
+    size = by_host.agg(F.sum(F.size("codes") * 8 + 64)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        judged = table.join(F.broadcast(by_host), "host", "left")
+    else:
+        judged = _salted(table, by_host)
+    judged = judged.withColumn("codes", F.coalesce("codes", F.array().cast("array<long>")))
+    judged = judged.where(_stays(F.col("text_"), F.col("codes"), least_chars, least_left))
     left = F.array_join(
-        F.filter(F.split("doc.text", "\n"), lambda x: ~(_has_word(x) & F.array_contains(F.col("codes"), _normal(x)))),
+        F.filter(F.split("text_", "\n"), lambda x: ~(_has_word(x) & F.array_contains(F.col("codes"), _normal(x)))),
         "\n",
     )
     text = F.when(F.size("codes") == 0, F.col("doc.text")).otherwise(left)
-    joined = whole.join(verdict, "row_").select("doc", text.alias("new_text"))
+    joined = judged.select("doc", text.alias("new_text"))
     columns = []
     for name in docs.columns:
         if name == "text":
@@ -225,6 +247,30 @@ def clean(
     return joined.select(*columns)
 
 
+def _salted(table: DataFrame, by_host: DataFrame, parts: int = 64) -> DataFrame:
+    """The codes of each row's host by a shuffle that deals the rows of a host to ``parts`` tasks."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("salt")
+    rows = table.withColumn("salt", F.pmod(F.xxhash64("text_"), F.lit(parts)).cast("int"))
+    return rows.join(by_host.select("host", "codes", salts), ["host", "salt"], "left").drop("salt")
+
+
+def _stays(text: Column, codes: Column, least_chars: int, least_left: float) -> Column:
+    """The verdict ``kept`` from the text of a row and the boilerplate codes of its host."""
+
+    def failed(w: Column) -> Column:
+        return (F.size(w) < 50) | (100 * repeated_words(w) > 50 * F.size(w))
+
+    def depleted(x: Column) -> Column:
+        whole = F.aggregate(x, F.lit(0), lambda total, y: total + y["n"])
+        left = F.aggregate(x, F.lit(0), lambda total, y: total + F.when(y["hit"], 0).otherwise(y["n"]))
+        return F.exists(x, lambda y: y["hit"]) & ((left < least_chars) | (left < least_left * whole))
+
+    marked = F.transform(
+        _line_codes(text), lambda y: F.struct(F.array_contains(codes, y["code"]).alias("hit"), y["n"].alias("n"))
+    )
+    return ~_let(_words(text), failed) & ~_let(marked, depleted)
+
+
 ORACLE = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,

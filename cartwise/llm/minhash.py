@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from cartwise.llm import text as tx
 from cartwise.llm.ship import ship
-from cartwise.session import materialize
+from cartwise.session import materialize, settled
 
 COORDINATES = 128
 BAND_ROWS = 4
@@ -327,9 +327,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_column
     """Group rows whose sets of ``size``-word shingles overlap by ``percent`` or more.
 
     Words are runs without ASCII white space, A-Z in lower case. Returns the id column,
-    n_shingles, component_id (smallest id of the group) and kept (id = component_id).
+    n_shingles, component_id (smallest id of the group) and kept (id = component_id), as a
+    written table; the tables made on the way are deleted.
     """
     ship(docs.sparkSession)
+    return settled(docs.sparkSession, lambda: _grouped(docs, size, percent, id_column), "groups")
+
+
+def _grouped(docs: DataFrame, size: int, percent: int, id_column: str) -> DataFrame:
     rows = docs.select(F.col(id_column).alias("id"), "text")
     id_type = rows.schema["id"].dataType.simpleString()
     table = materialize(
@@ -344,11 +349,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_column
         .groupBy("band")
         .agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
         .where("lo != hi")
-        .select("band")
+        .select("band", F.col("lo").alias("hub"))
     )
     buckets = materialize(buckets, "buckets")
-    banded = members.select(F.posexplode("bands").alias("number", "band"), "node")
-    live = materialize(banded.join(buckets, "band").distinct(), "live")
+    banded = members.groupBy("node").agg(F.first("bands").alias("bands"))
+    banded = banded.select(F.posexplode("bands").alias("number", "band"), "node")
+    live = materialize(banded.join(buckets, "band"), "live")
     links = _links(docs, id_column, table, live, size, percent)
     roots = connected(links) if links is not None else None
     groups = members.groupBy("node").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows"))
@@ -392,8 +398,7 @@ def _links(docs: DataFrame, id_column: str, table: DataFrame, live: DataFrame, s
         "sets",
     )
     # Every node with the smallest node of its buckets (one a band); the best are verified.
-    hubs = live.groupBy("band").agg(F.min("node").alias("hub"))
-    pairs = live.join(hubs, "band").where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    pairs = live.where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     equal = F.arrow_udf(_equal_bins, "int")
     best = (
         pairs.join(_side(want, "a", "sketch"), "a")

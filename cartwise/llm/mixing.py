@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwise.llm import text as tx
-from cartwise.session import materialize
+from cartwise.session import materialize, settled
 
 BUCKET_ROWS = 4096
 DIGITS = 3
@@ -237,7 +237,7 @@ def select_documents(
     ``members`` is an array of the sources a document belongs to; by default its source.
     """
     members = F.array("source") if members is None else members
-    _, cuts, _, _ = plan_mix(docs, members, list(weights), share, cap)
+    cuts = settled(docs.sparkSession, lambda: plan_mix(docs, members, list(weights), share, cap)[1], "cuts")
     every = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     narrow = _sized(docs.select("*", every), members, "mix", "doc").drop("size")
     chosen = with_copies(narrow, cuts).where("copies > 0")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from cartwise.llm import text as tx
 from cartwise.llm.ship import ship
-from cartwise.session import materialize
+from cartwise.session import materialize, temporary_tables
 
 FEATURES = 256
 FIT_ROWS = 20_000
@@ -194,6 +194,11 @@ def fit_weights(x: np.ndarray, y: np.ndarray, difference: np.ndarray, weight: np
 def train(docs: DataFrame, labels: DataFrame, learns: Column, fit_rows: int = FIT_ROWS) -> Model:
     """Model from the labelled rows of ``docs`` (doc_id, text) that ``learns`` selects."""
     ship(docs.sparkSession)
+    with temporary_tables(docs.sparkSession):
+        return _trained(docs, labels, learns, fit_rows)
+
+
+def _trained(docs: DataFrame, labels: DataFrame, learns: Column, fit_rows: int) -> Model:
     marks = (
         labels.where("toxic is not null and doc_id is not null")
         .groupBy(F.col("doc_id").alias("labelled"))

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.llm import decontaminate, lines, minhash, mixing, toxicity
 from cartwise.llm import text as tx
-from cartwise.session import materialize
+from cartwise.session import materialize, settled
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,18 +33,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest id.
 
-    Rows are told apart by their id and their number in the written table, so that repeated
-    rows and null ids are documents like any other.
+    Rows are told apart by where they stand, so that repeated rows and null ids are documents
+    like any other: by file and position if ``docs`` is a table as ``run`` reads it, and by
+    their number in a written copy if it has no files.
     """
     every = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    whole = materialize(docs.select(every, F.monotonically_increasing_id().alias("row")), "rows")
+    try:
+        whole = docs.select(every, F.struct("_metadata.file_path", "_metadata.row_index").alias("row"))
+    except AnalysisException:
+        whole = materialize(docs.select(every, F.monotonically_increasing_id().alias("row")), "rows")
     known = whole.select(
         F.struct(F.col("doc.doc_id").isNull().alias("none"), F.col("doc.doc_id").alias("id"), "row").alias("key"),
         F.col("doc.text").alias("text"),
     )
-    groups = minhash.near_duplicates(known, size=5, percent=80, id_column="key")
-    gone = materialize(groups.where("not kept").select(F.col("key.row").alias("row")), "gone")
-    kept = whole.join(gone, "row", "left_anti")
+
+    def gone() -> DataFrame:
+        groups = minhash.near_duplicates(known, size=5, percent=80, id_column="key")
+        return groups.where("not kept").select(F.col("key.row").alias("row"))
+
+    kept = whole.join(settled(spark, gone, "gone"), "row", "left_anti")
     return kept.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
 
 
@@ -70,8 +78,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages applied to the documents of a folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
-    return docs
+    """All stages applied to the documents of a folder; only the last stage's table remains."""
+
+    def staged() -> DataFrame:
+        docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+        for name, stage in STAGES[:-1]:
+            docs = settled(spark, lambda: stage(spark, docs, sf_dir), name)
+        return STAGES[-1][1](spark, docs, sf_dir)
+
+    return settled(spark, staged, STAGES[-1][0])
