@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from cartwise.llm import text as tx
 from cartwise.llm.ship import ship
-from cartwise.session import materialize, temporary_tables
+from cartwise.session import broadcast_if_small, materialize, temporary_tables
 
 FEATURES = 256
 FIT_ROWS = 20_000
@@ -204,6 +204,8 @@ def _trained(docs: DataFrame, labels: DataFrame, learns: Column, fit_rows: int)
         .groupBy(F.col("doc_id").alias("labelled"))
         .agg(F.max("toxic").alias("toxic"))
     )
+    # Narrow labels go to the texts up to a counted bound, so that texts need no shuffle.
+    marks = broadcast_if_small(materialize(marks, "marks"), 32)
     rows = docs.where(learns).select("doc_id", "text")
     labelled = rows.join(marks, rows["doc_id"] == marks["labelled"]).select("doc_id", "text", "toxic")
     identity = {code_of(t) for group in IDENTITY for t in group}
