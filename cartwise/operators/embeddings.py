@@ -8,7 +8,8 @@ from math import ceil
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import Word2Vec, Word2VecModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,8 +91,8 @@ def user_vectors(
     Ages count all items, the mean runs over those with a vector, and users
     without any are left out. Ages count from the user's newest item with a
     vector, which leaves the mean as it is and keeps the weights from vanishing.
-    The sums combine map-side per (user, component), so a user's history is never
-    gathered.
+    The sums combine map-side, one buffer per user and task, so a user's history is
+    never gathered.
     """
     if recency_weight:
         known = recency_rank(interactions, hot_rows).join(
@@ -104,13 +105,10 @@ def user_vectors(
     else:
         lines = interactions.select("user_id", "item_id").withColumn("weight", F.lit(1.0))
     return (
-        lines.join(vectors, "item_id")
-        .select("user_id", "weight", F.posexplode("vec").alias("pos", "x"))
-        .groupBy("user_id", "pos")
-        .agg((F.sum(F.col("weight") * F.col("x")) / F.sum("weight")).alias("x"))
+        lines.join(vectors.where("vec IS NOT NULL"), "item_id")
         .groupBy("user_id")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("parts"))
-        .select("user_id", F.transform("parts", lambda p: p["x"]).alias("vec"))
+        .agg(Summarizer.mean(array_to_vector("vec"), F.col("weight")).alias("mean"))
+        .select("user_id", vector_to_array("mean").alias("vec"))
     )
 
 
@@ -141,15 +139,18 @@ def cart_vectors(carts: DataFrame, vectors: DataFrame) -> DataFrame:
     """Mean vector of each cart; lines without a vector count as zeros."""
     sizes = carts.groupBy("session_id").agg(F.count(F.lit(1)).alias("_lines"))
     return (
-        carts.join(vectors, "item_id")
-        .select("session_id", F.posexplode("vec").alias("pos", "x"))
-        .groupBy("session_id", "pos")
-        .agg(F.sum("x").alias("x"))
+        carts.join(vectors.where("vec IS NOT NULL"), "item_id")
         .groupBy("session_id")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("parts"))
+        .agg(
+            Summarizer.mean(array_to_vector("vec")).alias("mean"),
+            F.count(F.lit(1)).alias("_known"),
+        )
         .join(sizes, "session_id")
         .select(
-            "session_id", F.transform("parts", lambda p: p["x"] / F.col("_lines")).alias("cart_vec")
+            "session_id",
+            F.transform(
+                vector_to_array("mean"), lambda x: x * F.col("_known") / F.col("_lines")
+            ).alias("cart_vec"),
         )
     )
 

@@ -207,8 +207,10 @@ def accepted_filter(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def item_in_cart(spark: SparkSession, d: str) -> DataFrame:
-    return features.item_in_cart(_lines(spark, d), carts(spark, d)).select(
-        "line_key", "session_id", "item_id"
+    """Positives and sampled candidates that already lie in the session's cart."""
+    samples = sampling.sample_uniform(interactions(spark, d), retail.items(spark, d), 5)
+    return features.item_in_cart(samples, carts(spark, d)).select(
+        "line_key", "session_id", "item_id", "added_to_cart"
     )
 
 
@@ -516,10 +518,9 @@ def cyclical_time(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def safe_divide_cart(spark: SparkSession, d: str) -> DataFrame:
-    """Share of an order's lines that lie in its cart; orders without lines get 0."""
-    lines = interactions(spark, d).groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("position_in_cart") <= 2).alias("c")
-    )
+    """Distinct items by lines of an order's cart; orders without lines get 0."""
+    by_item = interactions(spark, d).groupBy("order_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
+    lines = by_item.groupBy("order_id").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("c"))
     both = retail.orders(spark, d).join(lines, "order_id", "left").fillna(0, ["n", "c"])
     return both.select("order_id", r6(safe_divide(F.col("c"), F.col("n"))).alias("share"))
 

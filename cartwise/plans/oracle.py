@@ -82,7 +82,7 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
         WHERE h.user_id IS NOT NULL AND i.item_id IS NOT NULL"""),
     "train": (("inter",), f"SELECT * FROM inter WHERE timestamp < {VAL_START}"),
     "test": (("inter",), f"SELECT * FROM inter WHERE timestamp >= {TEST_START}"),
-    "cart": (("inter",), "SELECT * FROM inter WHERE position_in_cart <= 2"),
+    "cart": (("inter",), "SELECT * FROM inter"),
     "vectors": ((), """
         SELECT vec_id AS item_id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings"""),
     "ustats": (("train",), """
@@ -452,8 +452,8 @@ ORACLES: dict[str, str] = {
         SELECT i.line_key, {ALL_FEATURES} FROM {ALL_JOINS}"""),
     "accepted_filter": sql("drawn", """
         SELECT order_id, line_key, item_id FROM drawn WHERE accepted = 1"""),
-    "item_in_cart": sql("inter cart", """
-        SELECT line_key, session_id, item_id FROM inter
+    "item_in_cart": sql("pos midx cart", f"""
+        SELECT line_key, session_id, item_id, added_to_cart FROM ({UNIFORM_5})
         WHERE (session_id, item_id) IN (SELECT (session_id, item_id) FROM cart)"""),
     "exclude_self": sql("pos", """
         SELECT line_key, others, least(40, others) AS n_negatives FROM pos WHERE menu_size > 1"""),
@@ -588,7 +588,7 @@ ORACLES: dict[str, str] = {
     "safe_divide_cart": sql("inter headers", f"""
         SELECT order_id, CASE WHEN n > 0 THEN {r('c / CAST(n AS DOUBLE)')} ELSE 0 END AS share
         FROM headers LEFT JOIN (
-          SELECT order_id, count(*) AS n, count(*) FILTER (position_in_cart <= 2) AS c
+          SELECT order_id, count(*) AS n, count(DISTINCT item_id) AS c
           FROM inter GROUP BY 1) USING (order_id)"""),
     "clip_outliers": sql("headers", f"""
         SELECT order_id, {r('least(greatest(price, lo), hi)')} AS price

@@ -133,8 +133,8 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cart_rows(lines: DataFrame) -> DataFrame:
-    """Carts in long form: the first two positions of every session."""
-    return lines.where("position_in_cart <= 2").select(
+    """Carts in long form: all lines of every session."""
+    return lines.select(
         "session_id", "item_id", "timestamp", "position_in_cart", "line_key"
     )
 
