@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cartwise.functions.hashing import uniform
 from cartwise.functions.scalars import ratio, safe_divide
+from cartwise.operators.stats import distinct_count
 
 # The acceptance model and its defaults.
 BASE_RATE = 0.15
@@ -50,15 +51,21 @@ def acceptance_prob(
     base_rate: float = BASE_RATE,
     multipliers: dict[str, float] | None = None,
     price_sensitivity: float = PRICE_SENSITIVITY,
+    scaled: str | None = None,
 ) -> DataFrame:
-    """Adds acceptance_prob from segment, price and, if present, scaled score."""
+    """Adds acceptance_prob from segment, price and, if present, scaled score.
+
+    ``scaled`` names a column that holds the scaled score already.
+    """
     factor = F.lit(1.0)
     for segment, value in (multipliers or SEGMENT_MULTIPLIERS).items():
         factor = F.when(F.col("user_segment") == segment, value).otherwise(factor)
     prob = F.lit(base_rate) * factor * F.exp(F.lit(-price_sensitivity) * F.col("price"))
-    if "score" in df.columns:
-        df = minmax_scale(df, "score", "score_normalized")
-        prob = prob * (1 + F.col("score_normalized"))
+    if scaled is None and "score" in df.columns:
+        scaled = "score_normalized"
+        df = minmax_scale(df, "score", scaled)
+    if scaled is not None:
+        prob = prob * (1 + F.col(scaled))
     clipped = F.when(prob.isNotNull(), F.least(F.greatest(prob, F.lit(0.0)), F.lit(1.0)))
     return df.withColumn("acceptance_prob", clipped)
 
@@ -78,8 +85,13 @@ def simulate_acceptance(
     keys: tuple[str, ...] = ("line_key", "item_id"),
     seed: str = "42",
 ) -> DataFrame:
+    scaled = None
+    if "score" in recommendations.columns:
+        # Before the joins, which would run again for the bounds.
+        scaled = "score_normalized"
+        recommendations = minmax_scale(recommendations, "score", scaled)
     joined = join_segment_price(recommendations, users, items)
-    return acceptance_draw(acceptance_prob(joined), keys, seed)
+    return acceptance_draw(acceptance_prob(joined, scaled=scaled), keys, seed)
 
 
 def accepted_rows(df: DataFrame) -> DataFrame:
@@ -96,25 +108,31 @@ def business_metrics(
 
     The baseline order value is the mean price of ``orders`` when it has one.
     """
-    catalogue = items.agg(F.count_distinct("item_id")).scalar()
+    catalogue = distinct_count(items, "item_id").scalar()
     if orders is not None and "price" in orders.columns:
         aov = orders.agg(F.avg("price")).scalar()
     else:
         aov = F.lit(DEFAULT_AOV)
     yes = F.col("accepted") == 1
-    sums = accepted.agg(
-        F.count_distinct(group).alias("n_orders"),
-        F.count_distinct(F.when(yes, F.col(group))).alias("n_accepted_orders"),
-        F.count_distinct("item_id").alias("n_items"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count(F.when(yes, 1)).alias("n_accepted"),
-        F.coalesce(F.sum(F.when(yes, F.col("price"))), F.lit(0.0)).alias("revenue"),
+    # One row an order first; rows without an order count, but not as an order.
+    per_group = accepted.groupBy(group).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.when(yes, 1)).alias("hits"),
+        F.sum(F.when(yes, F.col("price"))).alias("paid"),
+    )
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    sums = per_group.agg(
+        F.count(group).alias("n_orders"),
+        F.count(F.when(F.col("hits") > 0, F.col(group))).alias("n_accepted_orders"),
+        total("rows").alias("n_rows"),
+        total("hits").alias("n_accepted"),
+        total("paid").alias("revenue"),
     )
     per_order = lambda c: ratio(F.col(c), F.col("n_orders"))
     return sums.select(
         per_order("n_accepted_orders").alias("attach_rate"),
         ratio(per_order("revenue"), aov).alias("aov_lift"),
-        ratio(F.col("n_items"), catalogue).alias("coverage"),
+        ratio(distinct_count(accepted, "item_id").scalar(), catalogue).alias("coverage"),
         per_order("n_accepted_orders").alias("csao_order_share"),
         per_order("n_rows").alias("avg_recommendations_per_order"),
         per_order("n_accepted").alias("avg_accepted_per_order"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.operators.ordering import HOT_ROWS, consecutive, hot_groups, numbered
+from cartwise.session import materialize
 
 # A session with more distinct items than this is split over several tasks.
 SPLIT_ITEMS = 4096
@@ -168,13 +169,20 @@ def group_sizes(df: DataFrame, group: str = "order_id") -> DataFrame:
     return df.groupBy(group).agg(F.count(F.lit(1)).alias("group_size"))
 
 
+def distinct_count(df: DataFrame, column: str) -> DataFrame:
+    """One row: the number of distinct values that are not null."""
+    return df.select(column).distinct().agg(F.count(column).alias("n"))
+
+
 def order_counts(recommendations: DataFrame, group: str = "order_id") -> DataFrame:
     """One row: distinct orders, distinct orders with an acceptance, distinct items."""
-    return recommendations.agg(
-        F.count_distinct(group).alias("n_orders"),
-        F.count_distinct(F.when(F.col("accepted") == 1, F.col(group))).alias("n_accepted_orders"),
-        F.count_distinct("item_id").alias("n_items"),
+    orders = recommendations.groupBy(group).agg(
+        F.max((F.col("accepted") == 1).cast("int")).alias("hit")
     )
+    return orders.agg(
+        F.count(group).alias("n_orders"),
+        F.count(F.when(F.col("hit") == 1, F.col(group))).alias("n_accepted_orders"),
+    ).withColumn("n_items", distinct_count(recommendations, "item_id").scalar())
 
 
 def candidate_set_check(
@@ -200,6 +208,8 @@ def candidate_set_check(
         F.max("n_neg").alias("max_negatives"),
     )
     if strict:
+        # Written, so that the samples are drawn once.
+        report = materialize(report, "candidate_sets")
         found = report.first()
         if found.without_positives or found.without_negatives:
             raise ValueError(
