@@ -8,6 +8,7 @@ positive's own key, so their number is the number of negatives.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -25,6 +26,7 @@ from cartwise.operators.metrics import group_metrics, rank_order, top_per_group
 from cartwise.operators.ordering import HOT_ROWS, numbered, running_totals
 from cartwise.operators.stats import group_sizes
 from cartwise.session import materialize
+from cartwise.sources import sinks
 
 LABEL = "added_to_cart"
 
@@ -55,6 +57,31 @@ class Ranker:
         return self.model.stages[-1]
 
 
+def save_ranker(ranker: Ranker, tables: dict[str, DataFrame], path: str) -> str:
+    """Save model, feature order and settings, and the side tables by name."""
+    spark = SparkSession.active()
+    own = {
+        "features": spark.createDataFrame(
+            list(enumerate(ranker.features)), "position INT, name STRING"
+        ),
+        "params": spark.createDataFrame(
+            [(name, json.dumps(value)) for name, value in ranker.params.items()],
+            "name STRING, value STRING",
+        ),
+    }
+    return sinks.save_model(ranker.model, {**tables, **own}, path)
+
+
+def load_ranker(
+    spark: SparkSession, path: str, tables: tuple[str, ...] = ()
+) -> tuple[Ranker, dict[str, DataFrame]]:
+    """A saved ranker, ready to predict, and the side tables asked for."""
+    model, read = sinks.load_model(spark, path, (*tables, "features", "params"))
+    names = [r["name"] for r in read.pop("features").orderBy("position").collect()]
+    params = {r["name"]: json.loads(r["value"]) for r in read.pop("params").collect()}
+    return Ranker(model, names, params), read
+
+
 def numeric_features(df: DataFrame, names: Sequence[str]) -> list[str]:
     """Those of ``names`` that exist with a numeric or boolean type."""
     kinds = dict(df.dtypes)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from math import ceil
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,7 +59,8 @@ def pair_counts(
     With n_a and n_b lines of two items, a session holds n_a * n_b pairs of them
     and n_a * (n_a - 1) / 2 pairs of an item with itself. So repeated lines are
     counted before any pairing and copies never multiply. Sessions with very many
-    distinct items are paired block by block.
+    distinct items are cut into blocks by item, as many as their own size asks for, and
+    every two blocks are paired apart from the others.
     """
     baskets = interactions.groupBy(session, "item_id").agg(F.count(F.lit(1)).alias("n"))
     repeated = (
@@ -71,28 +70,36 @@ def pair_counts(
         .select("item_a", F.col("item_a").alias("item_b"), "pairs")
     )
 
-    def paired(rows: DataFrame, keys: list[str], other: DataFrame) -> DataFrame:
-        left = rows.select(*keys, F.col("item_id").alias("item_a"), F.col("n").alias("n_a"))
-        right = other.select(*keys, F.col("item_id").alias("item_b"), F.col("n").alias("n_b"))
-        return left.join(right, keys).where("item_a < item_b").select(
+    def paired(rows: DataFrame, keys: list[str], once: str = "true") -> DataFrame:
+        side = lambda s: rows.select(
+            *keys, *[F.col(c).alias(f"{c}_{s}") for c in rows.columns if c not in keys]
+        )
+        return side("a").join(side("b"), keys).where(f"item_a < item_b AND {once}").select(
             "item_a", "item_b", (F.col("n_a") * F.col("n_b")).alias("c")
         )
 
+    slim = baskets.select(session, F.col("item_id").alias("item"), "n")
+
     # Lines bound distinct items from above and are cheaper to count.
     hot = hot_groups(interactions, [session], split_items)
     if hot is None:
-        emitted = paired(baskets, [session], baskets)
+        emitted = paired(slim, [session])
     else:
-        small = baskets.join(hot, session, "left_anti")
-        widest = hot.agg(F.max("_n")).first()[0]
-        blocks = ceil(widest / split_items)
-        large = baskets.join(hot, session, "left_semi")
-        placed = large.withColumn("_block", F.pmod(F.xxhash64("item_id"), F.lit(blocks)))
-        copied = large.withColumn(
-            "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))
+        small = slim.join(hot, session, "left_anti")
+        blocks = hot.select(session, F.ceil(F.col("_n") / split_items).cast("long").alias("_blocks"))
+        large = slim.join(blocks, session).select(
+            session,
+            "item",
+            "n",
+            F.pmod(F.xxhash64("item"), F.col("_blocks")).alias("own"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).alias("_other"),
         )
-        emitted = paired(small, [session], small).unionByName(
-            paired(placed, [session, "_block"], copied)
+        large = large.withColumns(
+            {"_i": F.least("own", "_other"), "_j": F.greatest("own", "_other")}
+        ).drop("_other")
+        # Two items of one block meet where the block is paired with itself.
+        emitted = paired(small, [session]).unionByName(
+            paired(large, [session, "_i", "_j"], "(_i = _j OR own_a <> own_b)")
         )
     half = emitted.groupBy("item_a", "item_b").agg(F.sum("c").alias("pairs"))
     return half.unionByName(repeated)
@@ -122,11 +129,19 @@ def category_pairs(
     """Categories of neighbouring lines of each session, in session order."""
     lines = interactions.select(
         "session_id", "item_id", "timestamp", "position_in_cart", "line_key"
-    ).join(items.select("item_id", "category"), "item_id", "left")
-    return consecutive(
-        lines, ["session_id"], session_order(), "category", "next_category", hot_rows
-    ).select("session_id", F.col("category").alias("category_from"),
-             F.col("next_category").alias("category_to"))
+    )
+    # Items first, so that the check for large sessions reads no joined rows.
+    steps = consecutive(
+        lines, ["session_id"], session_order(), "item_id", "next_item", hot_rows
+    )
+    named = lambda item, category: items.select(
+        F.col("item_id").alias(item), F.col("category").alias(category)
+    )
+    return (
+        steps.join(named("item_id", "category_from"), "item_id", "left")
+        .join(named("next_item", "category_to"), "next_item", "left")
+        .select("session_id", "category_from", "category_to")
+    )
 
 
 def category_transitions(

@@ -160,13 +160,9 @@ def sink_embeddings(spark: SparkSession, d: str) -> DataFrame:
 def sink_model(spark: SparkSession, d: str) -> DataFrame:
     """Scores of the validation rows by the saved and reloaded model."""
     fitted, importance, history = _production(spark, d)
-    path = sinks.save_model(
-        fitted.model,
-        {"importance": importance, "history": history},
-        new_path(spark, "ranker"),
-    )
-    model, _ = sinks.load_model(spark, path)
-    again = ranker.Ranker(model, fitted.features)
+    tables = {"importance": importance, "history": history}
+    path = ranker.save_ranker(fitted, tables, new_path(spark, "ranker"))
+    again, _ = ranker.load_ranker(spark, path)
     return ranker.predict(again, _frames(spark, d).val).select("line_key", "item_id", "score")
 
 

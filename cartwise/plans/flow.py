@@ -12,7 +12,6 @@ from cartwise.functions.vectors import dot, norm
 from cartwise.operators import business, embeddings, features, metrics, ranker, sampling, stats
 from cartwise.operators.split import temporal_split
 from cartwise.session import broadcast_if_small, materialize
-from cartwise.sources import sinks
 
 
 @dataclass
@@ -142,7 +141,5 @@ def train_production(
     importance = ranker.feature_importance(fitted, spark)
     history = materialize(ranker.training_history(fitted, frames.val), "history")
     if path is not None:
-        sinks.save_model(
-            fitted.model, {"importance": importance, "history": history}, path
-        )
+        ranker.save_ranker(fitted, {"importance": importance, "history": history}, path)
     return fitted, importance, history

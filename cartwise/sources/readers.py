@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwise.sources import schemas
@@ -10,19 +10,22 @@ from cartwise.sources.schemas import require_columns
 
 
 def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "csv") -> DataFrame:
-    """Read the declared columns of one table, whatever their order in the file.
+    """Read one table, whatever the order of its columns: the declared ones first.
 
-    Types are declared, never inferred: only the header line of a CSV file is read
-    ahead. Other columns of the file are ignored, and fields that do not parse
-    become null.
+    Declared columns get their declared types; of a CSV file only the header line is
+    read ahead. Other columns are kept, as text from CSV files. Declared columns that
+    the file lacks are absent. Fields that do not parse become null.
     """
-    if fmt != "csv":
-        return spark.read.schema(schema).format(fmt).load(path)
     kinds = dict(column.split(" ") for column in schema.split(", "))
+    if fmt != "csv":
+        table = spark.read.format(fmt).load(path)
+        declared = [F.col(n).try_cast(kind).alias(n) for n, kind in kinds.items() if n in table.columns]
+        return table.select(*declared, *[f"`{n}`" for n in table.columns if n not in kinds])
     header = spark.read.csv(path, header=True).columns
     layout = ", ".join(f"`{name}` {kinds.get(name, 'STRING')}" for name in header)
     table = spark.read.schema(layout).csv(path, header=True)
-    return table.select(*[name for name in kinds if name in header])
+    declared = [name for name in kinds if name in header]
+    return table.select(*declared, *[f"`{n}`" for n in header if n not in kinds])
 
 
 def load_users(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
@@ -64,14 +67,18 @@ def build_interactions(
     """Interactions from order lines and order headers.
 
     Lines without a user, restaurant or item are dropped. ``timestamp`` is any
-    expression over the joined columns; the line's own time is the default.
+    expression over the joined columns; the line's own time is the default. Without a
+    ``line_key`` of their own, lines are known by order, position, item and time, and
+    repeats of a line by a number too.
     """
     require_columns(
         order_items, ["order_id", "item_id", "is_recommended", "added_after_recommendation"],
         "order_items",
     )
     require_columns(orders, ["order_id", "user_id"], "orders")
-    joined = join_order_header(order_items, orders)
+    # A column that both tables have is the line's.
+    clashing = [c for c in orders.columns if c in order_items.columns and c != "order_id"]
+    joined = join_order_header(order_items, orders.drop(*clashing))
     require_columns(joined, ["restaurant_id"], "order_items joined with orders")
     if timestamp is None:
         require_columns(order_items, ["added_timestamp"], "order_items")
@@ -79,9 +86,16 @@ def build_interactions(
     if "position_in_cart" not in joined.columns:
         joined = joined.withColumn("position_in_cart", F.lit(None).cast("int"))
     if "line_key" not in joined.columns:
+        parts = ["order_id", "position_in_cart", "item_id", timestamp.cast("string")]
+        # Within an order, as the header join has left the rows.
+        repeat = F.row_number().over(
+            Window.partitionBy("order_id", *parts[1:]).orderBy(
+                "is_recommended", "added_after_recommendation"
+            )
+        )
         joined = joined.withColumn(
             "line_key",
-            F.concat_ws("-", "order_id", "position_in_cart", "item_id", timestamp.cast("string")),
+            F.concat_ws("-", *parts, F.when(repeat > 1, F.concat(F.lit("r"), repeat.cast("string")))),
         )
     kept = joined.dropna(subset=["user_id", "restaurant_id", "item_id"])
     return kept.select(

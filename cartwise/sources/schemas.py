@@ -18,9 +18,9 @@ RESTAURANTS = (
 )
 ITEMS = (
     "item_id BIGINT, restaurant_id BIGINT, category STRING, veg_flag INT, "
-    "price DOUBLE, popularity_score DOUBLE"
+    "price DOUBLE, popularity_score DOUBLE, margin_proxy DOUBLE, historical_attach_rate DOUBLE"
 )
-ORDERS = "order_id BIGINT, user_id BIGINT, restaurant_id BIGINT"
+ORDERS = "order_id BIGINT, user_id BIGINT, restaurant_id BIGINT, price DOUBLE"
 ORDER_ITEMS = (
     "order_id BIGINT, item_id BIGINT, added_timestamp TIMESTAMP_NTZ, is_recommended INT, "
     "added_after_recommendation INT, position_in_cart INT"

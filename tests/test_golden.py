@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cartwise.functions.scalars import cyclical, safe_divide
 from cartwise.operators import business, embeddings, features, metrics, sampling, split, stats
-from cartwise.sources import readers
+from cartwise.sources import readers, sinks
 from cartwise.sources.schemas import require_columns
 
 
@@ -292,6 +292,32 @@ def test_negatives(spark, page):
     assert sum(r.added_to_cart for r in got) == 4
 
 
+def test_repeated_lines_have_their_own_keys(spark):
+    lines = spark.createDataFrame(
+        [(1, 5, 0, 0, "b")] * 3 + [(1, 6, 0, 0, "b")],
+        "order_id INT, item_id INT, is_recommended INT, added_after_recommendation INT, note STRING",
+    ).withColumn("added_timestamp", F.lit("2024-01-01 10:00:00").cast("timestamp_ntz"))
+    orders = spark.createDataFrame([(1, 7, 3, "a")], "order_id INT, user_id INT, restaurant_id INT, note STRING")
+    got = readers.build_interactions(lines, orders)
+    assert sorted(r.line_key for r in got.collect()) == [
+        "1-5-2024-01-01 10:00:00",
+        "1-5-2024-01-01 10:00:00-r2",
+        "1-5-2024-01-01 10:00:00-r3",
+        "1-6-2024-01-01 10:00:00",
+    ]
+
+
+def test_report_as_text(spark, tmp_path):
+    report = spark.createDataFrame(
+        [("ranking", "auc", 0.75), ("business", "aov_lift", 0.5)], "section STRING, metric STRING, value DOUBLE"
+    )
+    path = sinks.save_report_text(report, str(tmp_path / "report"))
+    assert [r.value for r in spark.read.text(path).collect()] == [
+        "business | aov_lift: 50.00%",
+        "ranking | auc: 0.7500",
+    ]
+
+
 def test_csv_folder(spark, tmp_path):
     tables = {
         "users": "note,user_id,user_segment,veg_preference,order_frequency,preferred_cuisine\n"
@@ -307,7 +333,7 @@ def test_csv_folder(spark, tmp_path):
     for name, text in tables.items():
         (tmp_path / f"{name}.csv").write_text(text)
     found = readers.load_all(spark, str(tmp_path))
-    assert found["users"].columns[0] == "user_id" and "note" not in found["users"].columns
+    assert found["users"].columns[0] == "user_id" and found["users"].first().note == "hi"
     assert found["items"].first().price is None
     assert found["restaurants"].first().city == "Pune"
     assert rows(readers.cart_lines(found["carts"]), "item_id") == [(5,), (5,), (6,)]

@@ -60,11 +60,12 @@ def test_last_stage_equals_prediction(planted, fitted):
 
 
 def test_saved_model_scores_the_same(spark, planted, fitted, tmp_path):
-    path = sinks.save_model(
-        fitted.model, {"importance": ranker.feature_importance(fitted, spark)}, str(tmp_path / "m")
+    path = ranker.save_ranker(
+        fitted, {"importance": ranker.feature_importance(fitted, spark)}, str(tmp_path / "m")
     )
-    model, tables = sinks.load_model(spark, path, ("importance",))
-    again = ranker.predict(ranker.Ranker(model, fitted.features), planted)
+    loaded, tables = ranker.load_ranker(spark, path, ("importance",))
+    assert (loaded.features, loaded.params) == (fitted.features, fitted.params)
+    again = ranker.predict(loaded, planted)
     assert rows(again, "line_key", "item_id", "score") == rows(
         ranker.predict(fitted, planted), "line_key", "item_id", "score"
     )
