@@ -7,10 +7,16 @@ byte seen in the longer context excluded from the shorter one. Because a longer
 has only seen bytes that the shorter one has seen too, the excluded sums depend on the
 context alone and are worked out once for the whole model.
 
-Escape estimate: a context that kept D distinct bytes, has kept mass T and has lost mass L
-to edges below the share limit escapes with (D + L) / (T + D + L). An edge of the trie is
-kept when it carries at least one ``edges``-th of all training bytes, so that each order
-keeps at most ``edges`` edges, whatever the corpus; counts cover all training texts.
+Escape estimate: a context with D distinct bytes and mass T escapes with D / (T + D). Every
+counted edge is kept, whatever its count and the size of the corpus.
+
+The logarithm of a byte depends on the byte and its ``ORDER`` bytes before it alone, so it is
+worked out once for each distinct run of all texts, in tasks that hold the runs with the
+same ``LOW`` bytes before the coded one: a task has all longer contexts of its runs, and the
+edges of shorter contexts, which the alphabet bounds, are sent to all. The result is a
+written table that grows with the corpus. Its most used runs, at most ``HOT_GRAMS``, are a
+cache in the tasks that read texts; the other runs of a text meet the table in a shuffle
+join.
 
 Every text is coded with ``ORDER`` start marks before it and an end mark after it (byte values
 that UTF-8 never uses).
@@ -38,7 +44,11 @@ from cartwise.llm.ship import ship
 from cartwise.session import materialize
 
 ORDER = 5
-EDGES = 1 << 19
+#: Context bytes that deal runs to tasks; edges of fewer context bytes are at most 2^(8 LOW).
+LOW = 3
+#: Runs that a task scores at a time, and all others with the same ``LOW`` bytes.
+CHUNK = 1 << 19
+HOT_GRAMS = 1 << 20
 HOT_WORDS = 1 << 18
 WORD_PIECE_BYTES = 8 << 20
 START, END = 0xFE, 0xFF
@@ -61,34 +71,39 @@ def _grams(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("word", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
+    types = {"word": pa.string(), "gram": pa.int64(), "n": pa.int64(), "uses": pa.int64()}
+    schema = pa.schema(list(types.items()))
+
+    def made(size: int, **columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [columns[k] if k in columns else pa.nulls(size, t) for k, t in types.items()], schema=schema
+        )
+
     for batch in batches:
-        for _, _, data, at in tx.pieces(batch["text"], WORD_PIECE_BYTES):
+        learnt = batch.filter(pc.invert(batch["held_out"]))
+        for _, _, data, at in tx.pieces(learnt["text"], WORD_PIECE_BYTES):
             data = tx.LOWER[data]
             starts, ends, _ = tx.words_at(data, at, tx.SPACED)
             coded = tx.word_strings(data, starts, ends, tx.SPACED).dictionary_encode()
             n = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
-            yield pa.RecordBatch.from_arrays(
-                [coded.dictionary.cast(pa.string()), pa.nulls(len(n), pa.int64()), pa.array(n, pa.int64())], schema=schema
-            )
-        held_keys, held_counts, held = [], [], 0
-        for _, _, data, at in tx.pieces(batch["text"]):
-            keys, counts = np.unique(_grams(tx.LOWER[data], at), return_counts=True)
-            held_keys.append(keys)
-            held_counts.append(counts)
-            held += len(keys)
-            if held > 2_000_000:
-                merged = _merged(held_keys, held_counts)
-                held_keys, held_counts, held = [merged[0]], [merged[1]], len(merged[0])
-        if held_keys:
-            keys, counts = _merged(held_keys, held_counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))],
-                schema=schema,
-            )
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, pa.string()), pa.nulls(1, pa.int64()), pa.array([len(batch)], pa.int64())], schema=schema
-        )
+            yield made(len(n), word=coded.dictionary.cast(pa.string()), n=pa.array(n, pa.int64()))
+        for learns, part in ((1, learnt), (0, batch.filter(batch["held_out"]))):
+            held_keys, held_counts, held = [], [], 0
+            for _, _, data, at in tx.pieces(part["text"]):
+                keys, counts = np.unique(_grams(tx.LOWER[data], at), return_counts=True)
+                held_keys.append(keys)
+                held_counts.append(counts)
+                held += len(keys)
+                if held > 2_000_000:
+                    merged = _merged(held_keys, held_counts)
+                    held_keys, held_counts, held = [merged[0]], [merged[1]], len(merged[0])
+            if held_keys:
+                keys, counts = _merged(held_keys, held_counts)
+                uses = counts.astype(np.int64)
+                yield made(
+                    len(keys), gram=pa.array(keys.view(np.int64)), n=pa.array(uses * learns), uses=pa.array(uses)
+                )
+        yield made(1, n=pa.array([len(learnt)], pa.int64()))
 
 
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +116,7 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 @dataclass
 class Trie:
-    """Kept edges and contexts of each order, as sorted keys, with their logarithms.
+    """Edges and contexts of each order, as sorted keys, with their logarithms.
 
     ``start``: of the order's own denominators, entered first. ``enter``: of the parent's
     denominators once this context's bytes are excluded. Each holds (escape, total).
@@ -115,46 +130,56 @@ class Trie:
     last: float
 
 
-def build_trie(edges: dict[int, tuple[np.ndarray, np.ndarray]], totals: dict[int, tuple[np.ndarray, np.ndarray]]) -> Trie:
-    """The model from kept edges (key, count) and context totals (key, count) of each order.
+def _shorter(keys: np.ndarray, n: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The edges of ``order`` context bytes from those of longer contexts."""
+    found, place = np.unique(keys & np.uint64((1 << (8 * (order + 1))) - 1), return_inverse=True)
+    total = np.zeros(len(found), np.int64)
+    np.add.at(total, place, n)
+    return found, total
+
 
-    A key of order k is k context bytes and, for edges, the coded byte last.
+def edges_of(keys: np.ndarray, n: np.ndarray, orders: range) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Edges (key, count) of ``orders``, of which the last has the longest contexts."""
+    out = {}
+    for order in reversed(orders):
+        keys, n = out[order] = _shorter(keys, n, order)
+    return out
+
+
+def build_trie(edges: dict[int, tuple[np.ndarray, np.ndarray]]) -> Trie:
+    """The model from the edges (key, count) of each order.
+
+    A key of order k is k context bytes and the coded byte last. The edges of an order may
+    be those of some contexts only, as long as the parents of its contexts are there.
     """
     sorted_edges, sorted_counts, contexts, start, enter = [], [], [], [], []
     below: tuple | None = None
     for order in range(ORDER + 1):
-        key, n = edges.get(order, (np.zeros(0, np.uint64), np.zeros(0)))
-        key = key.astype(np.uint64)
+        key, n = edges[order]
         at = np.argsort(key)
         key, n = key[at], n[at].astype(float)
         of = key >> np.uint64(8)
         ctx, first, distinct = np.unique(of, return_index=True, return_counts=True)
-        kept = np.add.reduceat(n, first) if len(first) else np.zeros(0)
-        all_key, all_n = totals.get(order, (np.zeros(0, np.uint64), np.zeros(0)))
-        at = np.argsort(all_key.astype(np.uint64))
-        all_key, all_n = all_key.astype(np.uint64)[at], all_n[at].astype(float)
-        whole = all_n[np.searchsorted(all_key, ctx)] if len(ctx) else np.zeros(0)
-        lost = np.maximum(0.0, whole - kept)
-        escape = lost + distinct
-        start.append(np.stack([np.log10(escape / (kept + escape)), np.log10(kept + escape)]) if len(ctx) else np.zeros((2, 0)))
+        mass = np.add.reduceat(n, first) if len(first) else np.zeros(0)
+        start.append(np.stack([np.log10(distinct / (mass + distinct)), np.log10(mass + distinct)]) if len(ctx) else np.zeros((2, 0)))
         if below is None:
             enter.append(np.zeros((2, len(ctx))))
         else:
-            p_ctx, p_kept, p_lost, p_distinct, p_key, p_n = below
+            p_ctx, p_mass, p_distinct, p_key, p_n = below
             mask = np.uint64((1 << (8 * (order - 1))) - 1)
             parent = np.searchsorted(p_ctx, ctx & mask)
             edge_mask = np.uint64((1 << (8 * order)) - 1)
             seen = p_n[np.searchsorted(p_key, key & edge_mask)] if len(key) else np.zeros(0)
             excluded = np.add.reduceat(seen, first) if len(first) else np.zeros(0)
-            rest = p_kept[parent] - excluded
-            out = p_lost[parent] + (p_distinct[parent] - distinct)
+            rest = p_mass[parent] - excluded
+            out = p_distinct[parent] - distinct
             both = rest + out
             with np.errstate(divide="ignore", invalid="ignore"):
                 enter.append(np.stack([np.where(both > 0, np.log10(out / both), 0.0), np.where(both > 0, np.log10(both), 0.0)]))
         sorted_edges.append(key)
         sorted_counts.append(np.log10(n))
         contexts.append(ctx)
-        below = (ctx, kept, lost, distinct, key, n)
+        below = (ctx, mass, distinct, key, n)
     used = len(sorted_edges[0])
     return Trie(sorted_edges, sorted_counts, contexts, start, enter, -float(np.log10(256 - used)))
 
@@ -192,7 +217,7 @@ class _Table:
 
 
 class Scorer:
-    """Looks positions up in a trie; made once in each Python worker."""
+    """Looks positions up in a trie."""
 
     def __init__(self, trie: Trie):
         self.trie = trie
@@ -232,11 +257,44 @@ class Scorer:
         return out
 
 
+def _log_batches(shared):
+    """Logarithms of runs that come sorted by the ``LOW`` bytes before the coded one."""
+
+    def scored(parts: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
+        part = {c: np.concatenate([p[c] for p in parts]) for c in ("gram", "n", "uses")}
+        key, learnt = part["gram"].astype(np.uint64), part["n"] > 0
+        own = edges_of(key[learnt], part["n"][learnt], range(LOW, ORDER + 1))
+        log = Scorer(build_trie({**shared.value, **own})).bits(key)
+        return pa.RecordBatch.from_pydict(
+            {"gram": pa.array(part["gram"]), "uses": pa.array(part["uses"]), "log": pa.array(log)}
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            part = {c: batch[c].to_numpy() for c in ("gram", "n", "uses")}
+            held.append(part)
+            size += len(batch)
+            if size < CHUNK or not len(batch):
+                continue
+            of = part["gram"] >> 8 & ((1 << (8 * LOW)) - 1)
+            # All contexts but the last are whole.
+            whole = int(np.flatnonzero(of != of[-1])[-1]) + 1 if (of != of[-1]).any() else 0
+            if whole:
+                yield scored([*held[:-1], {c: v[:whole] for c, v in part.items()}])
+                held = [{c: v[whole:] for c, v in part.items()}]
+                size = len(batch) - whole
+        if size:
+            yield scored(held)
+
+    return run
+
+
 _made: dict[str, tuple] = {}
 
 
 def _score_batches(shared):
-    """The batch function that scores rows and looks common words up."""
+    """The batch function that looks common runs and words up and lists the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -244,8 +302,8 @@ def _score_batches(shared):
         key = shared.value["id"]
         if key not in _made:
             _made.clear()
-            _made[key] = (Scorer(shared.value["trie"]), shared.value["hot"], shared.value["hot_n"])
-        scorer, hot, hot_n = _made[key]
+            _made[key] = (_Table(shared.value["grams"]), shared.value["logs"], shared.value["hot"], shared.value["hot_n"])
+        table, cached, hot, hot_n = _made[key]
         hot_log = np.log10(hot_n + 1.0)
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -253,10 +311,29 @@ def _score_batches(shared):
                 data = tx.LOWER[data]
                 rows = end - first
                 keys = _grams(data, at)
-                logs = np.empty(len(keys))
+                logs = np.zeros(len(keys))
                 for low in range(0, len(keys), 1 << 19):
-                    logs[low : low + (1 << 19)] = scorer.bits(keys[low : low + (1 << 19)])
-                score = np.add.reduceat(logs, at[:-1] + np.arange(rows))
+                    found = table.find(keys[low : low + (1 << 19)])
+                    logs[low : low + (1 << 19)] = np.where(found >= 0, cached[found], np.nan) if len(cached) else np.nan
+                seldom = np.flatnonzero(np.isnan(logs))
+                logs[seldom] = 0.0
+                bounds = at + np.arange(rows + 1)
+                score = np.add.reduceat(logs, bounds[:-1])
+                # Each run that is not cached once a text, with its number there.
+                of = np.searchsorted(bounds, seldom, side="right") - 1
+                order = np.lexsort((keys[seldom], of))
+                of, run_keys = of[order], keys[seldom][order]
+                fresh = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (run_keys[1:] != run_keys[:-1])]) if len(of) else of
+                runs = pa.LargeListArray.from_arrays(
+                    pa.array(np.searchsorted(of[fresh], np.arange(rows + 1)), pa.int64()),
+                    pa.StructArray.from_arrays(
+                        [
+                            pa.array(run_keys[fresh].view(np.int64)),
+                            pa.array(np.diff(np.r_[fresh, len(of)]), pa.int64()),
+                        ],
+                        ["gram", "times"],
+                    ),
+                )
                 starts, ends, before = tx.words_at(data, at, tx.SPACED)
                 coded = tx.word_strings(data, starts, ends, tx.SPACED).dictionary_encode()
                 codes = coded.indices.to_numpy()
@@ -282,6 +359,7 @@ def _score_batches(shared):
                         "hot_log": pa.array(total[before[1:]] - total[before[:-1]]),
                         "score": pa.array(score),
                         "rare": lists.cast(pa.list_(pa.string())),
+                        "runs": runs.cast(pa.list_(runs.type.value_type)),
                     }
                 )
                 number += rows
@@ -289,65 +367,65 @@ def _score_batches(shared):
     return run
 
 
-def count(train: DataFrame) -> DataFrame:
-    """(word, gram, n): counts of words and of byte runs, and one row of texts.
+def count(texts: DataFrame) -> DataFrame:
+    """(word, gram, n, uses): counts of words and of byte runs, and one row of texts.
 
-    ``train`` has the column text. Batches count first, then tasks, then the shuffle.
+    ``texts`` has the column text, and may have held_out: n counts the other rows, uses
+    counts runs in all. Batches count first, then tasks, then the shuffle.
     """
+    held = F.col("held_out") if "held_out" in texts.columns else F.lit(False)
     return (
-        train.select("text")
-        .mapInArrow(_count_batches, "word string, gram long, n long")
+        texts.select("text", held.alias("held_out"))
+        .mapInArrow(_count_batches, "word string, gram long, n long, uses long")
         .groupBy("word", "gram")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("n").alias("n"), F.sum("uses").alias("uses"))
     )
 
 
-def fit(counts: DataFrame, edges: int = EDGES) -> Trie:
-    """Collect the kept part of the trie: at most ``edges`` edges and contexts an order."""
-    grams = counts.where("gram is not null").select("gram", "n")
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    least = max(1, -(-total // edges))
-    forms = F.array(
-        *[
-            F.struct(F.lit(k).alias("k"), F.lit(True).alias("edge"), F.expr(f"gram & {(1 << (8 * (k + 1))) - 1}L").alias("key"))
-            for k in range(ORDER + 1)
-        ],
-        *[
-            F.struct(F.lit(k).alias("k"), F.lit(False).alias("edge"), F.expr(f"shiftright(gram, 8) & {(1 << (8 * k)) - 1}L").alias("key"))
-            for k in range(ORDER + 1)
-        ],
-    )
-    kept = (
-        grams.select(F.explode(forms).alias("f"), "n")
-        .groupBy("f.k", "f.edge", "f.key")
+def fit(counts: DataFrame) -> Trie:
+    """The whole trie of a small corpus on the driver; ``run_logs`` works for any size."""
+    found = counts.where("gram is not null and n > 0").select("gram", "n").toArrow()
+    return build_trie(edges_of(found["gram"].to_numpy().astype(np.uint64), found["n"].to_numpy(), range(ORDER + 1)))
+
+
+def run_logs(counts: DataFrame) -> DataFrame:
+    """(gram, uses, log): logarithm of each counted run under the whole trie."""
+    grams = counts.where("gram is not null").select("gram", "n", "uses")
+    low = (
+        grams.where("n > 0")
+        .groupBy(F.expr(f"gram & {(1 << (8 * LOW)) - 1}L").alias("key"))
         .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= least)
         .toArrow()
     )
-    k, edge = kept["k"].to_numpy(), kept["edge"].to_numpy()
-    key, n = kept["key"].to_numpy().astype(np.uint64), kept["n"].to_numpy()
-    pick = lambda flag: {i: (key[m], n[m]) for i in range(ORDER + 1) if (m := (k == i) & (edge == flag)).any()}
-    return build_trie(pick(True), pick(False))
+    low = edges_of(low["key"].to_numpy().astype(np.uint64), low["n"].to_numpy(), range(LOW))
+    context = F.expr(f"shiftright(gram, 8) & {(1 << (8 * LOW)) - 1}L")
+    return (
+        grams.repartition(context)
+        .sortWithinPartitions(context)
+        .mapInArrow(_log_batches(counts.sparkSession.sparkContext.broadcast(low)), "gram long, uses long, log double")
+    )
 
 
-def score(docs: DataFrame, trains: Column, edges: int = EDGES, hot_words: int = HOT_WORDS) -> DataFrame:
+def score(docs: DataFrame, trains: Column, hot_grams: int = HOT_GRAMS, hot_words: int = HOT_WORDS) -> DataFrame:
     """Score every row of ``docs`` (doc_id, text), learning from the rows ``trains`` selects.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Words
     that make up at least one ``hot_words``-th of the training words are at most that
     many; they go to all tasks. The others meet their counts in a shuffle join, which no
-    word can overload since it is below that share.
+    word can overload since it is below that share. Byte runs do the same, by their uses in
+    all rows and ``hot_grams``. Neither parameter changes results.
     """
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(
         F.col("doc_id"), F.col("text"), (~F.coalesce(trains, F.lit(False))).alias("held_out")
     )
-    counts = materialize(count(rows.where("not held_out")), "ppm-counts")
+    counts = materialize(count(rows), "ppm-counts")
     facts = counts.agg(
         F.sum(F.when(F.col("word").isNotNull(), F.col("n"))).alias("words"),
         F.count("word").alias("types"),
         F.sum(F.when(F.col("word").isNull() & F.col("gram").isNull(), F.col("n"))).alias("texts"),
+        F.sum("uses").alias("uses"),
     ).first()
     texts = facts["texts"] or 0
     tokens = (facts["words"] or 0) + texts
@@ -355,17 +433,22 @@ def score(docs: DataFrame, trains: Column, edges: int = EDGES, hot_words: int =
     least = max(1, -(-(facts["words"] or 0) // hot_words))
     words = counts.where(F.col("word").isNotNull()).select("word", "n")
     hot = words.where(F.col("n") >= least).toArrow()
+    logs = materialize(run_logs(counts), "ppm-logs")
+    least_uses = max(1, -(-(facts["uses"] or 0) // hot_grams))
+    often = logs.where(F.col("uses") >= least_uses).select("gram", "log").toArrow()
     shared = spark.sparkContext.broadcast(
         {
             "id": uuid.uuid4().hex,
-            "trie": fit(counts, edges),
+            "grams": often["gram"].to_numpy().astype(np.uint64),
+            "logs": often["log"].to_numpy(),
             "hot": hot["word"].combine_chunks().cast(pa.large_string()),
             "hot_n": hot["n"].to_numpy(),
         }
     )
     schema = (
         f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_words long, "
-        "hot_known long, hot_log double, score double, rare array<string>"
+        "hot_known long, hot_log double, score double, rare array<string>, "
+        "runs array<struct<gram: long, times: long>>"
     )
     scored = materialize(rows.mapInArrow(_score_batches(shared), schema), "ppm-rows")
     rare = (
@@ -374,12 +457,20 @@ def score(docs: DataFrame, trains: Column, edges: int = EDGES, hot_words: int =
         .groupBy("row")
         .agg(F.count(F.lit(1)).alias("rare_known"), F.sum(F.log10(F.col("n") + 1.0)).alias("rare_log"))
     )
+    runs = (
+        scored.select("row", F.explode("runs").alias("run"))
+        .select("row", "run.gram", "run.times")
+        .join(logs.where(F.col("uses") < least_uses), "gram")
+        .groupBy("row")
+        .agg(F.sum(F.col("times") * F.col("log")).alias("run_log"))
+    )
     known = F.col("hot_known") + F.coalesce("rare_known", F.lit(0))
     gained = F.col("hot_log") + F.coalesce("rare_log", F.lit(0.0)) + F.log10(F.lit(texts + 1.0))
     n_tokens = F.col("n_words") + 1
     return (
-        scored.drop("rare")
+        scored.drop("rare", "runs")
         .join(rare, "row", "left")
+        .join(runs, "row", "left")
         .select(
             "doc_id",
             "held_out",
@@ -387,6 +478,6 @@ def score(docs: DataFrame, trains: Column, edges: int = EDGES, hot_words: int =
             (known + F.lit(1 if texts else 0)).cast("long").alias("n_known"),
             F.lit(tokens).cast("long").alias("train_tokens"),
             (gained - n_tokens * F.log10(F.lit(float(tokens + types + 1)))).alias("base_score"),
-            "score",
+            (F.col("score") + F.coalesce("run_log", F.lit(0.0))).alias("score"),
         )
     )

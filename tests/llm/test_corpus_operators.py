@@ -122,6 +122,19 @@ def test_ppm_against_walk(spark):
         assert r.score == pytest.approx(brute_ppm(train, texts[r.doc_id]), abs=1e-9)
 
 
+@pytest.mark.parametrize("cache", [{}, {"hot_grams": 1}])
+def test_ppm_keeps_rare_runs_of_a_large_corpus(spark, monkeypatch, cache):
+    monkeypatch.setattr(ppm, "CHUNK", 16, raising=False)
+    # More than 2^19 bytes: a share of the corpus as limit would drop what occurs once.
+    train = ["the bandana " * 1000] * 48 + ["zyx quokka vow"]
+    texts = train + ["quokka vows", "the quokka"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    out = ppm.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") < len(train), **cache)
+    found = {r.doc_id: r.score for r in out.collect()}
+    for i in (48, 49, 50):
+        assert found[i] == pytest.approx(brute_ppm(train, texts[i]), abs=1e-9)
+
+
 def test_ppm_probabilities_sum_to_one(spark):
     counts = ppm.count(spark.createDataFrame([("abcabcabd",), ("bcd",)], "text string"))
     scorer = ppm.Scorer(ppm.fit(counts))
