@@ -17,7 +17,7 @@ buckets that still hold several components are compared inside the tasks, in blo
 different components and its sketches agree to within five standard deviations of the
 threshold. A first pass takes the ``BEST`` nearest of each node, which joins groups whose
 links are sparse; a second pass takes every near pair that is left. A pair counts in the
-first band that it shares. Links are decided on the full sets.
+first band whose 64-bit keys are equal. Links are decided on the full sets.
 
 Rows: identical texts and repeated rows belong to one group. Texts without words are empty
 sets, linked with nothing; null text is such a text. A null id takes part, but is no
@@ -237,7 +237,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _near_in_block(part: dict[str, np.ndarray], least: tuple[int, int], best: int | None) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the near pairs of a block, or between two blocks."""
-    short, long, root, block = part["short"], part["long"], part["root"], part["block"]
+    short, long, bands, root, block = (part[c] for c in ("short", "long", "bands", "root", "block"))
     number = int(part["number"][0])
     one, two = int(block.min()), int(block.max())
     left = np.flatnonzero(block == one)
@@ -253,8 +253,11 @@ def _near_in_block(part: dict[str, np.ndarray], least: tuple[int, int], best: in
         same = short[rows][:, None, :] == short[right][None, :, :]
         a, b = np.nonzero(apart & (same.sum(axis=2, dtype=np.int16) >= least[0]))
         if number:
-            # A pair counts in the first band it shares.
-            early = same[a, b, : number * BAND_ROWS].reshape(len(a), number, BAND_ROWS).all(axis=2).any(axis=1)
+            # A pair counts in the first band it shares, by the keys that made the buckets.
+            early = np.zeros(len(a), bool)
+            for at in range(0, len(a), 1 << 13):
+                x, y = rows[a[at : at + (1 << 13)]], right[b[at : at + (1 << 13)]]
+                early[at : at + (1 << 13)] = (bands[x, :number] == bands[y, :number]).any(axis=1)
             a, b = a[~early], b[~early]
         for at in range(0, len(a), 1 << 13):
             x, y = rows[a[at : at + (1 << 13)]], right[b[at : at + (1 << 13)]]
@@ -282,6 +285,7 @@ def _block_batches(least: tuple[int, int], best: int | None):
         every = {
             "short": np.frombuffer(b"".join(part["sketch"].to_pylist()), np.uint8).reshape(-1, COORDINATES),
             "long": np.frombuffer(b"".join(part["long"].to_pylist()), np.uint8).reshape(-1, LONG),
+            "bands": part["bands"].combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES // BAND_ROWS),
             "root": part["root_no"].to_numpy(),
             "block": part["block"].to_numpy(),
             "number": part["number"].to_numpy(),
@@ -384,7 +388,9 @@ def _grouped(docs: DataFrame, size: int, percent: int, id_column: str) -> DataFr
 def _links(docs: DataFrame, id_column: str, table: DataFrame, live: DataFrame, size: int, percent: int) -> DataFrame | None:
     """Enough verified links to connect every group, or None if there are none."""
     nodes = live.select("node").distinct()
-    want = table.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("sketch").alias("sketch"))
+    want = table.where("node is not null").groupBy("node").agg(
+        F.min("id").alias("id"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")
+    )
     want = materialize(want.join(nodes, "node", "left_semi"), "want")
     text_of = want.select(F.col("id").alias("want_id"), F.col("node").alias("want"))
     sets = materialize(
@@ -410,7 +416,7 @@ def _links(docs: DataFrame, id_column: str, table: DataFrame, live: DataFrame, s
         .select("a", F.explode("best.b").alias("b"))
     )
     links = materialize(_verified(materialize(best, "best"), sets, percent), "found")
-    long = materialize(sets.select("node", "long").join(want.select("node", "sketch"), "node"), "long")
+    long = materialize(sets.select("node", "long").join(want.select("node", "sketch", "bands"), "node"), "long")
     for keep in (BEST, None):
         near = materialize(_near_pairs(live, connected(links), long, percent, keep), "near")
         links = links.unionByName(materialize(_verified(near, sets, percent), "found"))

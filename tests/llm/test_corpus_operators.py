@@ -195,6 +195,33 @@ def test_blocks_see_what_pairs_see(spark, monkeypatch):
     test_near_duplicates_by_brute_force(spark)
 
 
+def test_pair_with_chance_bytes_in_an_earlier_band_stays():
+    bins = np.zeros((2, minhash.COORDINATES), np.uint64)
+    # Band 0 differs in one bin whose lowest byte agrees; band 1 is the first that is shared.
+    bins[1, 0] = 1 << 8
+    keys = minhash.band_keys(bins)
+    assert keys[0, 0] != keys[1, 0] and keys[0, 1] == keys[1, 1]
+
+    def pairs(number):
+        batch = pa.RecordBatch.from_pydict(
+            {
+                "band": pa.array(keys[:, number].view(np.int64)),
+                "number": pa.array([number] * 2, pa.int32()),
+                "node": pa.array([b"a", b"b"], pa.binary()),
+                "root_no": pa.array([1, 2], pa.int64()),
+                "block": pa.array([0, 0], pa.int32()),
+                "i": pa.array([0, 0], pa.int32()),
+                "j": pa.array([0, 0], pa.int32()),
+                "long": pa.array([bytes(minhash.LONG)] * 2, pa.binary()),
+                "sketch": minhash._rows_of_bytes(bins),
+                "bands": pa.array(keys.view(np.int64).tolist(), pa.list_(pa.int64())),
+            }
+        )
+        return sum(map(len, minhash._block_batches((100, 800), None)(iter([batch]))))
+
+    assert [pairs(1), pairs(2)] == [1, 0]
+
+
 def test_sketch_agrees_with_similarity():
     rng = np.random.default_rng(5)
     shared = rng.integers(0, 1 << 62, 600).astype(np.uint64)
