@@ -2,8 +2,9 @@
 
 Features are words and their first four and five bytes (A-Z in lower case, marks at the end
 cut off). One pass over all labelled learning texts counts, for each feature, the toxic and
-the clean documents that hold it; the ``FEATURES`` with the strongest association, and all
-identity terms, make the model's vocabulary.
+the clean documents that hold it; all features with at least ``LEAST_DOCS`` documents whose
+association is significant (``LEAST_CHI``, the same test at every size), and all identity
+terms, make the model's vocabulary. Vectors are sparse.
 
 Counterfactuals: each mention of an identity term in a labelled sentence is swapped for the
 other terms of its group, and for a neutral word. The rest of the sentence stays, so a linear score changes by the
@@ -34,11 +35,14 @@ from cartwise.llm import text as tx
 from cartwise.llm.ship import ship
 from cartwise.session import broadcast_if_small, materialize, temporary_tables
 
-FEATURES = 256
+#: Least root of chi-square of a feature: 5 % error at one degree of freedom.
+LEAST_CHI = 1.96
 FIT_ROWS = 20_000
 PENALTY = 10.0
 RIDGE = 1e-5
 STEPS = 40
+#: Steps of conjugate gradients in a step of Newton's method.
+INNER = 60
 #: Fewest documents that hold a feature.
 LEAST_DOCS = 3
 # Groups of identity terms that can stand for each other.
@@ -127,34 +131,37 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def vectors(self, texts: pa.Array) -> np.ndarray:
-        """log(1 + count) of the features in each text."""
-        out = np.zeros((len(texts), len(self.codes)), np.float32)
-        if not len(self.codes):
-            return out
-        door = np.zeros(1 << 16, bool)
-        door[self.codes & np.uint64(0xFFFF)] = True
-        for first, end, codes, before in _pieces(texts):
-            row = np.repeat(np.arange(first, end), np.diff(before))
-            for line in codes:
-                near = np.flatnonzero(door[line & np.uint64(0xFFFF)])
-                place = np.searchsorted(self.codes, line[near])
-                place = np.minimum(place, len(self.codes) - 1)
-                hit = self.codes[place] == line[near]
-                np.add.at(out, (row[near[hit]], place[hit]), 1)
-        return np.log1p(out)
+    def counts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, place, number) of the features in each text, sorted by row and place."""
+        found = [np.zeros(0, np.int64)]
+        if len(self.codes):
+            door = np.zeros(1 << 16, bool)
+            door[self.codes & np.uint64(0xFFFF)] = True
+            for first, end, codes, before in _pieces(texts):
+                row = np.repeat(np.arange(first, end), np.diff(before))
+                for line in codes:
+                    near = np.flatnonzero(door[line & np.uint64(0xFFFF)])
+                    place = np.searchsorted(self.codes, line[near])
+                    place = np.minimum(place, len(self.codes) - 1)
+                    hit = self.codes[place] == line[near]
+                    found.append(row[near[hit]] * len(self.codes) + place[hit])
+        key, n = np.unique(np.concatenate(found), return_counts=True)
+        row, place = np.divmod(key, max(1, len(self.codes)))
+        return row, place, n
 
     def score(self, texts: pa.Array) -> np.ndarray:
         out = np.zeros(len(texts))
-        # A few thousand rows at a time: the dense vectors stay small.
+        # A few thousand rows at a time: the features found stay few.
         for low in range(0, len(texts), 2048):
-            x = self.vectors(texts.slice(low, 2048))
-            out[low : low + 2048] = 1 / (1 + np.exp(-(x @ self.weights + self.bias)))
+            size = min(2048, len(texts) - low)
+            row, place, n = self.counts(texts.slice(low, size))
+            z = np.bincount(row, np.log1p(n) * self.weights[place], size) + self.bias
+            out[low : low + size] = 1 / (1 + np.exp(-z))
         return out
 
 
 def swaps(codes: np.ndarray, mentions: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """(differences, weights): one row for each swap of a mentioned term."""
+    """(differences, weights) over sorted ``codes``: one row for each swap of a mentioned term."""
     place = {int(c): i for i, c in enumerate(codes)}
     rows, weights = [], []
     for group in IDENTITY:
@@ -173,18 +180,55 @@ def swaps(codes: np.ndarray, mentions: dict[int, int]) -> tuple[np.ndarray, np.n
     return np.array(rows), weights / weights.sum()
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray, difference: np.ndarray, weight: np.ndarray, penalty: float = PENALTY) -> tuple[np.ndarray, float]:
-    """Newton's method on mean logistic loss + penalty * mean squared swap change + ridge."""
-    z = np.c_[x, np.ones(len(x))].astype(float)
-    pull = np.zeros((z.shape[1], z.shape[1]))
-    pull[:-1, :-1] = 2 * penalty * (difference * weight[:, None]).T @ difference
-    pull += np.diag(np.r_[np.full(x.shape[1], RIDGE), 1e-9])
-    w = np.zeros(z.shape[1])
+def fit_weights(
+    vectors: tuple[np.ndarray, np.ndarray, np.ndarray],
+    y: np.ndarray,
+    width: int,
+    own: np.ndarray,
+    difference: np.ndarray,
+    weight: np.ndarray,
+    penalty: float = PENALTY,
+) -> tuple[np.ndarray, float]:
+    """Newton's method on mean logistic loss + penalty * mean squared swap change + ridge.
+
+    ``vectors``: (row, place, value) of ``width`` features. ``own``: places of the columns
+    of ``difference``. Each step is solved by conjugate gradients.
+    """
+    row, place, value = vectors
+    pull = 2 * penalty * (difference * weight[:, None]).T @ difference
+    ridge = np.r_[np.full(width, RIDGE), 1e-9]
+
+    def ahead(w: np.ndarray) -> np.ndarray:
+        return np.bincount(row, value * w[place], len(y)) + w[-1]
+
+    def back(v: np.ndarray) -> np.ndarray:
+        return np.r_[np.bincount(place, value * v[row], width), v.sum()] / len(y)
+
+    def held(w: np.ndarray) -> np.ndarray:
+        out = ridge * w
+        out[own] += pull @ w[own]
+        return out
+
+    w = np.zeros(width + 1)
     for _ in range(STEPS):
-        s = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        grad = z.T @ (s - y) / len(y) + pull @ w
-        hess = (z * (s * (1 - s))[:, None]).T @ z / len(y) + pull
-        move = np.linalg.solve(hess, grad)
+        s = 1 / (1 + np.exp(-np.clip(ahead(w), -30, 30)))
+        curve = s * (1 - s)
+        grad = back(s - y) + held(w)
+        scale = np.r_[np.bincount(place, value**2 * curve[row], width), curve.sum()] / len(y) + ridge
+        scale[own] += np.diag(pull)
+        move, left = np.zeros(width + 1), grad.copy()
+        eased = left / scale
+        way, size = eased, left @ eased
+        goal = 1e-10 * size
+        for _ in range(INNER):
+            if size <= goal:
+                break
+            bent = back(curve * ahead(way)) + held(way)
+            step = size / (way @ bent)
+            move, left = move + step * way, left - step * bent
+            eased = left / scale
+            before, size = size, left @ eased
+            way = eased + size / before * way
         w = w - move * min(1.0, 4.0 / max(np.abs(move).max(), 1e-12))
         if np.abs(move).max() < 1e-4:
             break
@@ -227,10 +271,9 @@ def _trained(docs: DataFrame, labels: DataFrame, learns: Column, fit_rows: int)
     a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
     held = a + b
     chi = (a * (n - bad - b) - b * (bad - a)) * F.sqrt(F.lit(float(n))) / F.sqrt(held * (n - held + 1) * bad * (n - bad))
-    best = counts.where(held >= LEAST_DOCS).withColumn("chi", chi).orderBy(F.desc(F.abs("chi")), "code").limit(FEATURES)
-    codes = {c["code"] & 0xFFFFFFFFFFFFFFFF for c in best.select("code").collect()}
-    codes |= {c for group in IDENTITY for t in group for c in codes_of(t)}
-    codes = np.array(sorted(codes), np.uint64)
+    best = counts.where((held >= LEAST_DOCS) & (F.abs(chi) >= LEAST_CHI)).select("code").toArrow()
+    terms = np.array(sorted({c for group in IDENTITY for t in group for c in codes_of(t)}), np.uint64)
+    codes = np.union1d(best["code"].to_numpy().view(np.uint64), terms)
     signed = [int(np.uint64(c).astype(np.int64)) for c in sorted(identity)]
     mentions = {
         r["code"] & 0xFFFFFFFFFFFFFFFF: r["mentions"]
@@ -242,8 +285,13 @@ def _trained(docs: DataFrame, labels: DataFrame, learns: Column, fit_rows: int)
     vector = F.arrow_udf(_vector_body(model), "binary")
     sample = picked.select("toxic", vector("text").alias("x")).toArrow()
     y = sample["toxic"].to_numpy().astype(float)
-    x = np.frombuffer(b"".join(sample["x"].to_pylist()), np.float16).reshape(len(y), -1).astype(np.float32)
-    model.weights, model.bias = fit_weights(x, y, *swaps(codes, mentions))
+    bodies = sample["x"].to_pylist()
+    row = np.repeat(np.arange(len(y)), [len(b) // 8 for b in bodies])
+    place, n = np.frombuffer(b"".join(bodies), np.uint32).reshape(-1, 2).astype(np.int64).T
+    vectors = row, place, np.log1p(n)
+    model.weights, model.bias = fit_weights(
+        vectors, y, len(codes), np.searchsorted(codes, terms), *swaps(terms, mentions)
+    )
     return model
 
 
@@ -251,7 +299,10 @@ def _vector_body(model: Model):
     def body(texts: pa.Array) -> pa.Array:
         out = []
         for low in range(0, len(texts), 2048):
-            out += [r.tobytes() for r in model.vectors(texts.slice(low, 2048)).astype(np.float16)]
+            part = texts.slice(low, 2048)
+            row, place, n = model.counts(part)
+            pairs = np.stack([place, n], axis=1).astype(np.uint32)
+            out += [p.tobytes() for p in np.split(pairs, np.searchsorted(row, np.arange(1, len(part))))]
         return pa.array(out, pa.binary())
 
     return body

@@ -402,6 +402,23 @@ def test_swapping_identity_terms_changes_little(spark, docs, none):
     assert toxicity.classify(none, labels.limit(0), F.lit(True)).count() == 0
 
 
+def test_all_toxic_terms_have_weight(spark):
+    rows, marks = [], []
+    for i in range(3000):
+        bad = i % 3 == 0
+        # 200 toxic terms with features of their own, each in five documents.
+        own = f"{chr(97 + i // 3 % 20)}{chr(97 + i // 60 % 10)}qzx{'abcdefghij'[i // 60 % 10]}"
+        rows.append((i, f"some plain text about {own if bad else 'weather'} and more of it"))
+        marks.append((i, 1, int(bad)))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(table, spark.createDataFrame(marks, "doc_id long, quality int, toxic int"), F.lit(True))
+    terms = sorted({t.split()[4] for i, t in rows if i % 3 == 0})
+    places = {int(c) for c in model.codes}
+    assert len(terms) == 200 and all(toxicity.code_of(t) in places for t in terms)
+    alone = model.score(pa.array([f"some plain text about {t}" for t in terms] + ["some plain text about weather"]))
+    assert alone[:-1].min() > 0.9 and alone[-1] < 0.1
+
+
 def test_toxicity_held_out(spark):
     folder = "/root/testdata/sf0.01"
     table, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
