@@ -17,8 +17,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SPLIT = {"split_date": retail.SPLIT_DATE, "test_days": retail.TEST_DAYS}
-# A short boosting run; the defaults of RankerParams are for real fits.
-QUICK = ranker.RankerParams(trees=10, max_depth=4)
 
 _memo: dict[tuple, object] = {}
 
@@ -534,7 +532,7 @@ def clip_outliers(spark: SparkSession, d: str) -> DataFrame:
 @query
 def item2vec_fit(spark: SparkSession, d: str) -> DataFrame:
     train, _, _ = _splits(spark, d)
-    vectors = embeddings.vectors_of(embeddings.fit_item_vectors(train, epochs=2))
+    vectors = embeddings.vectors_of(embeddings.fit_item_vectors(train))
     return vectors.select("item_id", F.size("vec").alias("dim"))
 
 
@@ -594,7 +592,7 @@ def embedding_neighbors(spark: SparkSession, d: str) -> DataFrame:
 def embedding_tables(spark: SparkSession, d: str) -> DataFrame:
     """Sizes of the fitted item table and of the user table built from it."""
     train, _, _ = _splits(spark, d)
-    items, users = embeddings.embedding_tables(train, epochs=1)
+    items, users = embeddings.embedding_tables(train)
     count = lambda df, kind: df.groupBy(F.lit(kind).alias("kind")).agg(
         F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim")
     )
@@ -809,16 +807,14 @@ def _frames(spark: SparkSession, d: str) -> flow.Frames:
 
 
 def _production(spark: SparkSession, d: str):
-    return _once(
-        spark, d, "production", lambda: flow.train_production(_frames(spark, d), params=QUICK)
-    )
+    return _once(spark, d, "production", lambda: flow.train_production(_frames(spark, d)))
 
 
 @query
 def ranker_fit(spark: SparkSession, d: str) -> DataFrame:
     """Coefficients of the pairwise ranker."""
     frames = _frames(spark, d)
-    fitted = ranker.fit_pairwise(frames.train, frames.features, iterations=10)
+    fitted = ranker.fit_pairwise(frames.train, frames.features)
     weights = fitted.model.stages[-1].coefficients.toArray().tolist()
     return spark.createDataFrame(
         list(zip(fitted.features, weights)), "feature STRING, weight DOUBLE"
@@ -834,9 +830,7 @@ def ranker_predict(spark: SparkSession, d: str) -> DataFrame:
 @query
 def ranker_cv(spark: SparkSession, d: str) -> DataFrame:
     frames = _frames(spark, d)
-    _, scores = ranker.fit_cv(
-        frames.train, frames.features, 3, ranker.RankerParams(trees=5, max_depth=3)
-    )
+    _, scores = ranker.fit_cv(frames.train, frames.features, 3)
     return ranker.cv_summary(scores)
 
 

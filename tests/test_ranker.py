@@ -147,3 +147,30 @@ def test_pairwise_scores_rows_with_nulls(spark):
     scored = ranker.predict(fitted, frame.withColumn("b", F.lit(None).cast("double")))
     assert scored.where("score is null").count() == 0
     assert not [c for c in scored.columns if c.startswith("_filled_")]
+
+
+def test_registered_fits_use_the_defaults(monkeypatch):
+    from types import SimpleNamespace
+
+    from cartwise.plans import catalog, flow
+
+    class Called(Exception):
+        pass
+
+    def called(*args, **kwargs):
+        raise Called(args, kwargs)
+
+    frames = SimpleNamespace(train="train", val="val", test="test", features=["a"])
+    monkeypatch.setattr(catalog, "_frames", lambda spark, d: frames)
+    monkeypatch.setattr(catalog, "_splits", lambda spark, d: ("train", "val", "test"))
+    monkeypatch.setattr(catalog, "_once", lambda spark, d, name, build: build())
+    for owner, name in (
+        (ranker, "fit_pairwise"), (ranker, "fit_cv"), (flow, "train_production"),
+        (embeddings, "fit_item_vectors"), (embeddings, "embedding_tables"),
+    ):
+        monkeypatch.setattr(owner, name, called)
+    for query in ("ranker_fit", "ranker_predict", "ranker_cv", "item2vec_fit", "embedding_tables"):
+        with pytest.raises(Called) as found:
+            catalog.QUERIES[query](None, "none")
+        args, kwargs = found.value.args
+        assert not kwargs and not any(isinstance(a, ranker.RankerParams) for a in args)
