@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwise.llm import decontaminate, license, lines, minhash, mixing, ppm, quality, tokens, toxicity, warc
+from cartwise.llm import (
+    decontaminate,
+    langid,
+    license,
+    lines,
+    minhash,
+    mixing,
+    periodic,
+    ppm,
+    quality,
+    tokens,
+    toxicity,
+    warc,
+    whiten,
+)
 from cartwise.llm import text as tx
 
 
@@ -60,6 +74,18 @@ def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(_table(spark, sf_dir, "documents"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"), tx.fold("doc_id", 5) != 0)
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -73,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_source_mixing,
         op10_line_frequency,
+        op11_periodic_runs,
+        op12_language_id,
+        op13_embedding_whitening,
     )
 }
 ORACLES: dict[str, str] = {
