@@ -15,8 +15,8 @@ orthonormal basis. Vectors of near eigenvalues are made orthogonal to those befo
 Rows: a vector that is null, empty or holds null, NaN or infinite entries has no result and
 takes no part in any sum; so do vectors whose length is not the most common one among the
 rest (ties: the longer one). Null and repeated ids are rows like any other, repeated vectors
-count as often as they stand. Only components with an eigenvalue above the rounding error of
-V are returned, so equal vectors, a single vector and an empty table give no rows; fewer than
+count as often as they stand. Only components with an eigenvalue well above the rounding error
+of V (64 d epsilon of its size) are returned, so equal vectors, a single vector and an empty table give no rows; fewer than
 ``components`` come out if V has lower rank. Entries beyond +-2^46 saturate there before they
 become whole numbers. ``deviation`` is exact and null where it does not fit a long. Texts play
 no part; a very long vector needs d^2 doubles a task and on the driver. Other columns are
@@ -94,7 +94,8 @@ def leading(v: np.ndarray, components: int) -> Eigen:
     size = max(abs(bottom), abs(top))
     error = 4 * d * _EPS * size
     bottom, top = bottom - error, top + error
-    wanted = min(components, d - int(counts_below(diagonal, off, np.array([error]))[0])) if size > 0 else 0
+    # Nearer to the rounding error an eigenvalue has no correct digits left.
+    wanted = min(components, d - int(counts_below(diagonal, off, np.array([16 * error]))[0])) if size > 0 else 0
     # Slices hold eigenvalues number first+1 to last, counted from the largest.
     slices, ready = [(bottom, top, 0, d)] if wanted else [], []
     while slices:

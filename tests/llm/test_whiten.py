@@ -35,8 +35,9 @@ def test_leading_eigenpairs(v):
     truth = np.linalg.eigvalsh(v)[::-1]
     size = abs(truth).max()
     k = len(found.values)
+    error = 64 * len(v) * np.finfo(float).eps * size
     assert found.certified
-    assert k == min(32, int((truth > 4 * len(v) * np.finfo(float).eps * size).sum()))
+    assert min(32, (truth > 4 * error).sum()) <= k <= min(32, (truth > error / 4).sum())
     assert np.abs(found.values - truth[:k]).max() < 1e-11 * size
     assert np.abs(v @ found.vectors - found.vectors * found.values).max() < 1e-11 * size
     assert np.abs(found.vectors.T @ found.vectors - np.eye(k)).max() < 1e-12
