@@ -1,7 +1,7 @@
 """Learning to rank with Spark ML.
 
-Two learners share one interface: boosted trees on single rows, and a linear
-model on differences between a positive and the negatives sampled for it, with
+Three learners share one interface: trees boosted on gradients of a listwise loss (the
+one for production), boosted trees on single rows, and a linear model on differences between a positive and the negatives sampled for it, with
 pairs weighted by what swapping them would change in NDCG. Pairs join on the
 positive's own key, so their number is the number of negatives.
 """
@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -21,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.functions.hashing import uniform
+from cartwise.operators import boosting
+from cartwise.operators.boosting import BoostingParams
 from cartwise.operators.features import FEATURE_TYPES
 from cartwise.operators.metrics import group_metrics, rank_order, top_per_group
 from cartwise.operators.ordering import HOT_ROWS, numbered, running_totals
@@ -33,7 +37,7 @@ LABEL = "added_to_cart"
 
 @dataclass
 class RankerParams:
-    """Boosting settings; the tree counts suit a first fit, raise them for production."""
+    """Settings of the pointwise baseline."""
 
     trees: int = 20
     learning_rate: float = 0.05
@@ -51,6 +55,8 @@ class Ranker:
     model: PipelineModel
     features: list[str]
     params: dict[str, Any] = field(default_factory=dict)
+    #: NDCG of every round as (data, round, at 5, at 10), if the learner notes it.
+    history: list[tuple[str, int, float, float]] = field(default_factory=list)
 
     @property
     def trees(self):
@@ -123,6 +129,39 @@ def fit_ranker(
     return Ranker(model, list(features), vars(params))
 
 
+def fit_listwise(
+    train: DataFrame,
+    features: Sequence[str],
+    val: DataFrame | None = None,
+    params: BoostingParams | None = None,
+    group: str = "order_id",
+) -> Ranker:
+    """Trees boosted on pairwise gradients weighted by NDCG changes; see ``boosting``.
+
+    Missing features count as 0, in the fit and in the scores.
+    """
+    params = params or BoostingParams()
+    prepare = _filled_vector(features)
+    boosted = boosting.fit_boosted_pairs(train, PipelineModel(prepare), val, params, LABEL, group)
+    settings = {**vars(params), "best_iteration": boosted.best_iteration}
+    return Ranker(PipelineModel([*prepare, boosted.model]), list(features), settings, boosted.history)
+
+
+def _filled_vector(features: Sequence[str]) -> list:
+    """Stages that make ``features`` a vector with zeros for nulls and NaN.
+
+    Filling is a stage of the model, so that rows to score may hold nulls too.
+    """
+    filled = [f"_filled_{i}" for i in range(len(features))]
+    columns = ", ".join(
+        f"coalesce(nanvl(CAST(`{f}` AS DOUBLE), 0D), 0D) AS {name}" for f, name in zip(features, filled)
+    )
+    return [
+        SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__"),
+        VectorAssembler(inputCols=filled, outputCol="features"),
+    ]
+
+
 def fit_pairwise(
     train: DataFrame,
     features: Sequence[str],
@@ -141,13 +180,7 @@ def fit_pairwise(
     stable = train.select("line_key", group, "item_id", LABEL, *features).fillna(
         0, list(features)
     )
-    # Filling is a stage of the model, so that rows to score may hold nulls too.
-    filled = [f"_filled_{i}" for i in range(len(features))]
-    columns = ", ".join(
-        f"coalesce(CAST(`{f}` AS DOUBLE), 0D) AS {name}" for f, name in zip(features, filled)
-    )
-    fill = SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__")
-    assembler = VectorAssembler(inputCols=filled, outputCol="features")
+    fill, assembler = _filled_vector(features)
     learner = LogisticRegression(
         featuresCol="features",
         labelCol="_label",
@@ -228,7 +261,8 @@ def predict(ranker: Ranker, df: DataFrame) -> DataFrame:
     if missing:
         raise ValueError(f"features missing: {', '.join(missing)}")
     raw = ranker.model.transform(df)
-    return raw.withColumn("score", vector_to_array("rawPrediction")[1]).drop(
+    score = vector_to_array("rawPrediction")[1] if "rawPrediction" in raw.columns else F.col("prediction")
+    return raw.withColumn("score", score).drop(
         "features", "rawPrediction", "probability", "prediction",
         *[c for c in raw.columns if c.startswith("_filled_")],
     )
@@ -241,9 +275,17 @@ def predict_top_n(
     return top_per_group(predict(ranker, df), n, group)
 
 
+def _importances(ranker: Ranker) -> list[float]:
+    """Gains of the trees, or sizes of the weights of a linear ranker; both add up to 1."""
+    if hasattr(ranker.trees, "featureImportances"):
+        return ranker.trees.featureImportances.toArray().tolist()
+    sizes = [abs(w) for w in ranker.trees.coefficients.toArray().tolist()]
+    return [w / (sum(sizes) or 1.0) for w in sizes]
+
+
 def feature_importance(ranker: Ranker, spark: SparkSession) -> DataFrame:
-    """(feature, importance) of the boosted trees; one row per feature."""
-    values = ranker.trees.featureImportances.toArray().tolist()
+    """(feature, importance) of trees or linear weights; one row per feature."""
+    values = _importances(ranker)
     return spark.createDataFrame(
         list(zip(ranker.features, values)), "feature STRING, importance DOUBLE"
     )
@@ -254,48 +296,44 @@ def top_features(importance: DataFrame, n: int = 20) -> DataFrame:
 
 
 def staged_scores(ranker: Ranker, df: DataFrame, stages: Sequence[int]) -> DataFrame:
-    """One row per input row and stage: the score of the first m trees."""
-    rows = ranker.model.stages[0].transform(df)
-    margin = F.lit(0.0)
-    margins = []
-    for i, (tree, weight) in enumerate(zip(ranker.trees.trees, ranker.trees.treeWeights), 1):
-        rows = tree.setPredictionCol(f"_tree_{i}").transform(rows)
-        margin = margin + F.col(f"_tree_{i}") * F.lit(float(weight))
-        if i in stages:
-            margins.append(F.struct(F.lit(i).alias("iteration"), margin.alias("score")))
-    return rows.select(
-        "order_id", "item_id", "line_key", LABEL, F.explode(F.array(*margins)).alias("s")
-    ).select("order_id", "item_id", "line_key", LABEL, "s.iteration", "s.score")
-
-
-def training_history(ranker: Ranker, df: DataFrame, every: int = 5) -> DataFrame:
-    """Mean NDCG@5 and @10 on ``df`` after each ``every`` trees."""
+    """One row per input row and stage m in ``stages``: the score of the first m trees."""
+    rows = PipelineModel(ranker.model.stages[:-1]).transform(df)
+    return boosting.staged_scores(ranker.trees, rows, ("order_id", "item_id", "line_key", LABEL), stages)
+
+
+def training_history(ranker: Ranker, df: DataFrame, every: int = 1) -> DataFrame:
+    """Mean NDCG@5 and @10 on ``df`` after each ``every`` trees, against the best order of a group."""
     total = ranker.trees.getNumTrees
     stages = sorted({*range(every, total + 1, every), total})
     per_group = group_metrics(
         staged_scores(ranker, df, stages), (5, 10), ("iteration", "order_id")
     )
     return per_group.groupBy("iteration").agg(
-        F.avg("ndcg_5").alias("ndcg_5"), F.avg("ndcg_10").alias("ndcg_10")
+        F.avg("ndcg_full_5").alias("ndcg_5"), F.avg("ndcg_full_10").alias("ndcg_10")
     )
 
 
 def model_info(ranker: Ranker | None, spark: SparkSession, history: DataFrame | None = None):
-    """One row describing the fitted model; ``history`` (a row per stage) names the best stage."""
+    """One row describing the fitted model; ``history`` (a row per stage) names the best stage.
+
+    If the history tells data sets apart, the best stage is that of the validation rows.
+    """
     schema = (
         "status STRING, n_features INT, n_trees INT, best_iteration INT, "
         "best_ndcg_10 DOUBLE, top_features STRING"
     )
     if ranker is None:
         return spark.createDataFrame([("not_trained", None, None, None, None, None)], schema)
-    best = history.orderBy(F.desc("ndcg_10"), "iteration").first() if history else None
+    if history is not None and "data" in history.columns:
+        history = history.where("data = 'valid'")
+    best = history.orderBy(F.desc("ndcg_10"), "iteration").first() if history is not None else None
     names = [r.feature for r in top_features(feature_importance(ranker, spark), 10).collect()]
     return spark.createDataFrame(
         [
             (
                 "trained",
                 len(ranker.features),
-                ranker.trees.getNumTrees,
+                getattr(ranker.trees, "getNumTrees", None),
                 best.iteration if best else None,
                 best.ndcg_10 if best else None,
                 ",".join(names),
@@ -324,26 +362,34 @@ def fit_cv(
     df: DataFrame,
     features: Sequence[str],
     folds: int = 3,
-    params: RankerParams | None = None,
+    params: BoostingParams | RankerParams | None = None,
     group: str = "order_id",
 ) -> tuple[Ranker, DataFrame]:
-    """Grouped cross-validation: the model of the best fold and the score of every fold."""
+    """Grouped cross-validation: the model of the best fold and the score of every fold.
+
+    Folds are fitted side by side: jobs of one fold fill the cores that another leaves idle.
+    ``RankerParams`` choose the pointwise trees.
+    """
     keys = [group, "item_id", "line_key", LABEL]
     slim = df.select(*dict.fromkeys([*keys, *features]))
     stable = materialize(
         slim.join(group_kfold(df, folds, group).select(group, "fold"), group), "folds"
     )
-    best, results = None, []
-    for fold in range(folds):
-        held_out = stable.where(F.col("fold") == fold)
-        ranker = fit_ranker(stable.where(F.col("fold") != fold), features, held_out, params)
+
+    def one(fold: int) -> tuple[int, float, Ranker]:
+        held_out, rest = stable.where(F.col("fold") == fold), stable.where(F.col("fold") != fold)
+        if isinstance(params, RankerParams):
+            ranker = fit_ranker(rest, features, held_out, params)
+        else:
+            ranker = fit_listwise(rest, features, held_out, params, group)
         per_group = group_metrics(predict(ranker, held_out), (10,), group)
-        ndcg = per_group.agg(F.avg("ndcg_10")).first()[0]
-        results.append((fold, ndcg))
-        if best is None or ndcg > best[0]:
-            best = (ndcg, ranker)
-    scores = df.sparkSession.createDataFrame(results, "fold INT, ndcg_10 DOUBLE")
-    return best[1], scores
+        return fold, per_group.agg(F.avg("ndcg_10")).first()[0], ranker
+
+    with ThreadPoolExecutor(folds) as pool:
+        results = list(pool.map(inheritable_thread_target(df.sparkSession)(one), range(folds)))
+    best = max(results, key=lambda r: (r[1], -r[0]))[2]
+    scores = df.sparkSession.createDataFrame([r[:2] for r in results], "fold INT, ndcg_10 DOUBLE")
+    return best, scores
 
 
 def cv_summary(scores: DataFrame) -> DataFrame:

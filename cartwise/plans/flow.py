@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.vectors import dot, norm
-from cartwise.operators import business, embeddings, features, metrics, ranker, sampling, stats
+from cartwise.operators import boosting, business, embeddings, features, metrics, ranker, sampling, stats
 from cartwise.operators.split import temporal_split
 from cartwise.session import broadcast_if_small, materialize
 
@@ -132,14 +132,24 @@ def slim_scores(scored: DataFrame, group: str = "order_id") -> DataFrame:
 
 
 def train_production(
-    frames: Frames, path: str | None = None, params: ranker.RankerParams | None = None
+    frames: Frames, path: str | None = None, params: boosting.BoostingParams | None = None
 ) -> tuple[ranker.Ranker, DataFrame, DataFrame]:
-    """Fit on the numeric features, then importance and history, saved if a path is given."""
+    """Listwise fit on the numeric features, then importance and the history of every round.
+
+    All three are saved if a path is given.
+    """
     spark = frames.train.sparkSession
     names = ranker.numeric_features(frames.train, frames.features)
-    fitted = ranker.fit_ranker(frames.train, names, frames.val, params)
+    fitted = ranker.fit_listwise(frames.train, names, frames.val, params)
     importance = ranker.feature_importance(fitted, spark)
-    history = materialize(ranker.training_history(fitted, frames.val), "history")
+    history = spark.createDataFrame(fitted.history, boosting.HISTORY)
     if path is not None:
         ranker.save_ranker(fitted, {"importance": importance, "history": history}, path)
     return fitted, importance, history
+
+
+def evaluate_model(
+    fitted: ranker.Ranker, frame: DataFrame, users: DataFrame, items: DataFrame, **settings
+) -> DataFrame:
+    """Score a featured frame with a fitted ranker and report on it in one call."""
+    return evaluate(ranker.predict(fitted, frame), users, items, **settings)

@@ -78,8 +78,13 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
     finally:
         _owned.reset(token)
         for name in paths:
-            path = spark._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            remove(spark, name)
+
+
+def remove(spark: SparkSession, name: str) -> None:
+    """Delete a table that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settled(spark: SparkSession, build: Callable[[], DataFrame], name: str = "table") -> DataFrame:

@@ -47,6 +47,10 @@ def test_importance_history_and_info(spark, planted, fitted):
     assert ranker.top_features(importance, 1).first().feature == "a"
     history = ranker.training_history(fitted, planted, every=2)
     assert history.count() >= 1 and history.where("ndcg_10 < ndcg_5").isEmpty()
+    linear = ranker.fit_pairwise(planted, ["a", "b"])
+    weights = {r.feature: r.importance for r in ranker.feature_importance(linear, spark).collect()}
+    assert weights["a"] > weights["b"] and sum(weights.values()) == pytest.approx(1)
+    assert ranker.model_info(linear, spark).first().n_trees is None
     info = ranker.model_info(fitted, spark, history).first()
     assert (info.status, info.n_features) == ("trained", 2)
     assert ranker.model_info(None, spark).first().status == "not_trained"
