@@ -21,6 +21,9 @@ from cartwise.session import BROADCAST_BYTES
 K_VALUES = (5, 10, 20)
 # Draws made one by one are numbered by a 32-bit counter.
 MAX_DRAWS = 1 << 32
+# Most blocks of values in a split resample, and the least values of one.
+BLOCKS = 1 << 16
+LEAST_BLOCK = 1 << 11
 # Bytes of a numbered value in a broadcast table.
 VALUE_BYTES = 32
 
@@ -263,22 +266,91 @@ def _replicate_means_by_weight(
     )
 
 
+def _replicate_means_by_split(
+    values: DataFrame, column: str, rows: int, replicates: int, seed: str, hot_rows: int
+) -> DataFrame:
+    """Means of multinomial resamples, drawn by splitting counts down a tree of the values.
+
+    The sorted distinct values are the leaves. All ``rows`` draws of a replicate stand at the
+    root; at each node they go left with the share of rows that lies there, a binomial draw
+    that depends on the seed and the node only. So counts follow the multinomial law exactly
+    at any size, whatever the partitioning. Leaves are dealt in at most ``BLOCKS`` blocks; a
+    task draws the path to its block again, then the block's own nodes.
+    """
+    histogram = values.groupBy(F.col(column).cast("double").alias("v")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    order = [F.col("v")]
+    sums = {"place": F.lit(1).cast("long"), "before": F.col("n")}
+    placed = materialize(running_totals(histogram, order, sums, hot_rows), "leaves")
+    leaves = placed.count()
+    size = 1 << max(LEAST_BLOCK, -(-leaves // BLOCKS)).bit_length()
+    blocked = placed.withColumn("block", F.floor(F.col("place") / size).cast("long"))
+    starts = {r[0]: r[1] for r in blocked.groupBy("block").agg(F.min("before")).collect()}
+    edges = [starts[b] for b in range(len(starts))] + [rows]
+    base = int(seed)
+
+    def totals(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("v")
+        v, n = frame["v"].to_numpy(), frame["n"].to_numpy()
+        block, upto = int(frame["block"].iloc[0]), np.concatenate([[0], np.cumsum(n)])
+
+        def left_share(at: np.ndarray, below: int, level: int, node: int, part: float) -> np.ndarray:
+            draw = np.random.Generator(np.random.Philox(key=[base, (level << 56) | node], counter=below))
+            return draw.binomial(at, part)
+
+        # Down to this block: nodes are ranges of blocks.
+        counts = np.full(replicates, rows, np.int64)
+        low, high, level, node = 0, len(edges) - 1, 0, 0
+        while high - low > 1:
+            middle = (low + high) // 2
+            share = (edges[middle] - edges[low]) / (edges[high] - edges[low])
+            left = left_share(counts, 0, level, node, share)
+            go_left = block < middle
+            counts = left if go_left else counts - left
+            low, high = (low, middle) if go_left else (middle, high)
+            level, node = level + 1, 2 * node + (not go_left)
+        # Inside it: ranges of values, the block's number keeps its nodes apart from others'.
+        sums = np.zeros(replicates)
+        todo = [(0, len(v), counts, 0, 0)]
+        while todo:
+            low, high, counts, level, node = todo.pop()
+            if high - low == 1:
+                sums += counts * v[low]
+                continue
+            middle = (low + high) // 2
+            share = (upto[middle] - upto[low]) / (upto[high] - upto[low])
+            left = left_share(counts, block + 1, level, node, share)
+            todo.append((low, middle, left, level + 1, 2 * node))
+            todo.append((middle, high, counts - left, level + 1, 2 * node + 1))
+        return pd.DataFrame({"replicate": np.arange(replicates), "s": sums})
+
+    return (
+        blocked.select("block", "v", "n")
+        .groupBy("block")
+        .applyInPandas(totals, "replicate BIGINT, s DOUBLE")
+        .groupBy("replicate")
+        .agg((F.sum("s") / F.lit(float(rows))).alias("mean"))
+    )
+
+
 def bootstrap_ci(
     values: DataFrame,
     column: str,
     replicates: int = 1000,
     confidence: float = 0.95,
     seed: str = "42",
-    method: str = "draw",
+    method: str = "split",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row: percentile interval of the mean over resampled replicates.
 
-    ``method`` is the caller's choice at every size: "draw" draws rows one by one,
-    "weight" gives every distinct value a Poisson weight per replicate, drawn once
-    for all its copies. More draws than the counter holds are refused.
+    ``method`` is the caller's choice at every size. "split" resamples exactly, at a cost of
+    distinct values times replicates. "draw" draws rows one by one, the same law again, and
+    refuses more draws than its counter holds. "weight" gives every distinct value a Poisson
+    weight per replicate, another estimator, drawn once for all its copies.
     """
-    if method not in ("draw", "weight"):
+    if method not in ("split", "draw", "weight"):
         raise ValueError(f"unknown method {method!r}")
     spark = values.sparkSession
     known = values.where(F.col(column).isNotNull())
@@ -289,8 +361,10 @@ def bootstrap_ci(
         )
     if method == "draw":
         if rows * replicates >= MAX_DRAWS:
-            raise ValueError('too many draws to number; choose method="weight"')
+            raise ValueError('too many draws to number; choose method="split"')
         means = _replicate_means_by_draw(known, column, rows, replicates, seed, hot_rows)
+    elif method == "split":
+        means = _replicate_means_by_split(known, column, rows, replicates, seed, hot_rows)
     else:
         means = _replicate_means_by_weight(known, column, replicates, seed)
     alpha = (1 - confidence) / 2

@@ -14,16 +14,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwise.functions.hashing import step, stream, uniform
+from cartwise.functions.hashing import step, stream
 from cartwise.operators.split import positives
 from cartwise.operators.stats import item_popularity
-from cartwise.session import materialize
 
 PAGE = 256
 # Item numbers are assigned in this many chunks per restaurant, each a task of its own.
 CHUNKS = 64
-# Most look-up cells per restaurant for weighted draws.
-MAX_CELLS = 65_536
+# Menu items that share one stream of random numbers in a weighted draw.
+RACE = 256
 
 SAMPLE_COLUMNS = (
     "order_id", "session_id", "line_key", "user_id", "item_id", "restaurant_id",
@@ -31,11 +30,13 @@ SAMPLE_COLUMNS = (
 )
 
 
-def menu_index(items: DataFrame, weight: str | None = None) -> DataFrame:
+def menu_index(
+    items: DataFrame, weight: str | None = None, by_number: bool = False
+) -> DataFrame:
     """Place of each item in its restaurant's menu, a set of items.
 
     Adds ``start`` (sum of the weights before the item; its number when the weight
-    is 1), ``menu_size`` and ``menu_weight``. The order is (item_id mod CHUNKS,
+    is 1 or with ``by_number``), ``menu_size`` and ``menu_weight``. The order is (item_id mod CHUNKS,
     item_id): chunks are numbered in parallel, then shifted by the chunks before.
     """
     value = F.col(weight) if weight else F.lit(1).cast("long")
@@ -48,12 +49,14 @@ def menu_index(items: DataFrame, weight: str | None = None) -> DataFrame:
     chunks = placed.groupBy("restaurant_id", "_chunk").agg(
         F.sum("w").alias("chunk_weight"), F.count(F.lit(1)).alias("chunk_size")
     )
+    amount = F.lit(1).cast("long") if by_number else F.col("w")
+    chunk_amount = F.col("chunk_size") if by_number else F.col("chunk_weight")
     whole = Window.partitionBy("restaurant_id")
     before = whole.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = chunks.select(
         "restaurant_id",
         "_chunk",
-        F.coalesce(F.sum("chunk_weight").over(before), F.lit(0)).alias("_offset"),
+        F.coalesce(F.sum(chunk_amount).over(before), F.lit(0)).alias("_offset"),
         F.sum("chunk_size").over(whole).alias("menu_size"),
         F.sum("chunk_weight").over(whole).alias("menu_weight"),
     )
@@ -63,7 +66,7 @@ def menu_index(items: DataFrame, weight: str | None = None) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        placed.withColumn("start", F.coalesce(F.sum("w").over(inside), F.lit(0)))
+        placed.withColumn("start", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
         .join(offsets, ["restaurant_id", "_chunk"])
         .select(
             "restaurant_id",
@@ -195,32 +198,36 @@ def _expand(
     page: int,
     one_page: bool,
     carry: Sequence[str] = (),
+    numbered: bool = False,
 ) -> DataFrame:
-    """One row per positive, per drawn number (``draws``) and per item of ``picked``, if any."""
-    own = F.array(F.struct(F.col("item_id").alias("item_id"), F.lit(1).alias("label")))
+    """One row per positive, per drawn number (``draws``) and per item of ``picked``, if any.
+
+    ``numbered`` adds ``draw``: 0 for the positive, then the number of the draw, which tells
+    rows apart that drew the same item.
+    """
+    as_row = lambda item, label, draw: F.struct(
+        item.alias("item_id"), F.lit(label).alias("label"), draw.cast("int").alias("draw")
+    )
+    own = F.array(as_row(F.col("item_id"), 1, F.lit(0)))
     if "picked" in drawn.columns:
-        direct = F.transform(
-            "picked", lambda i: F.struct(i.alias("item_id"), F.lit(0).alias("label"))
-        )
-        own = F.concat(own, direct)
+        after = F.size("draws")
+        own = F.concat(own, F.transform("picked", lambda i, k: as_row(i, 0, after + k + 1)))
+    turns = F.transform("draws", lambda d, i: F.struct(d.alias("d"), (i + 1).alias("i")))
 
     def negatives(numbers: Column) -> Column:
         return F.transform(
             numbers,
-            lambda d: F.struct(
-                F.element_at("items", (d % page + 1).cast("int")).alias("item_id"),
-                F.lit(0).alias("label"),
-            ),
+            lambda t: as_row(F.element_at("items", (t["d"] % page + 1).cast("int")), 0, t["i"]),
         )
 
     if one_page:
-        joined = drawn.withColumn("_rows", F.concat(own, negatives(F.col("draws"))))
+        joined = drawn.withColumn("_rows", F.concat(own, negatives(turns)))
     else:
         page_of = lambda d: F.floor(d / page).cast("long")
         pages = F.array_distinct(F.transform("draws", page_of))
         # A positive without draws still needs one row to carry itself.
         needed = F.when(F.size(pages) == 0, F.array(F.lit(-1).cast("long"))).otherwise(pages)
-        here = F.filter("draws", lambda d: page_of(d) == F.col("page"))
+        here = F.filter(turns, lambda t: page_of(t["d"]) == F.col("page"))
         joined = (
             drawn.drop("items")
             .select("*", F.posexplode(needed).alias("_nth", "page"))
@@ -243,6 +250,18 @@ def _expand(
     ).select(
         *[F.col("_row.item_id").alias("item_id") if c == "item_id" else c for c in columns],
         F.col("_row.label").alias("added_to_cart"),
+        *([F.col("_row.draw").alias("draw")] if numbered else []),
+    )
+
+
+def _bought(interactions: DataFrame, items: DataFrame) -> DataFrame:
+    """Menu numbers of the positives of each session and restaurant, sorted: at most a menu."""
+    index = menu_index(items).select("restaurant_id", "item_id", F.col("start").alias("_number"))
+    sold = positives(interactions).select("session_id", "restaurant_id", "item_id").distinct()
+    return (
+        sold.join(index, ["restaurant_id", "item_id"])
+        .groupBy("session_id", "restaurant_id")
+        .agg(F.array_sort(F.collect_set("_number")).alias("_bought"))
     )
 
 
@@ -261,27 +280,28 @@ def sample_uniform(
     Negatives inherit the sample columns of their positive and those named in
     ``carry``: whatever depends on the user, session or time is cheapest to join
     before the fan-out. Only the row's own item is excluded, so another positive of the session may
-    appear as a negative; ``exclude_session_positives`` removes those as well.
+    appear as a negative; ``exclude_session_positives`` draws from the menu without any of
+    them, so that a row gets N negatives wherever N such items exist.
     """
     base, one_page = _with_menu(interactions, items, page)
-    others = F.col("menu_size") - F.when(F.col("_own").isNull(), 0).otherwise(1)
+    own = F.when(F.col("_own").isNotNull(), F.array("_own")).otherwise(
+        F.array().cast("array<bigint>")
+    )
+    if exclude_session_positives:
+        base = base.join(_bought(interactions, items), ["session_id", "restaurant_id"], "left")
+        base = base.withColumn("_out", F.coalesce("_bought", own))
+    else:
+        base = base.withColumn("_out", own)
+    others = F.col("menu_size") - F.size("_out")
     count = F.when(
         F.col("menu_size") > 1, F.least(F.lit(n_negatives).cast("long"), others)
     ).otherwise(F.lit(0).cast("long"))
+    # A number below ``others`` becomes a menu number by stepping over the sorted excluded ones.
     skipped = F.transform(
         _draw(others, count, n_negatives, F.col(key), "u", seed),
-        lambda d: F.when(F.col("_own").isNotNull() & (d >= F.col("_own")), d + 1).otherwise(d),
+        lambda d: F.aggregate("_out", d, lambda x, e: F.when(x >= e, x + 1).otherwise(x)),
     )
-    samples = _expand(base.withColumn("draws", skipped), items, page, one_page, carry)
-    if exclude_session_positives:
-        bought = (
-            positives(interactions)
-            .select("session_id", "item_id")
-            .distinct()
-            .withColumn("added_to_cart", F.lit(0))
-        )
-        samples = samples.join(bought, ["session_id", "item_id", "added_to_cart"], "left_anti")
-    return samples
+    return _expand(base.withColumn("draws", skipped), items, page, one_page, carry)
 
 
 def _with_ratio(
@@ -301,106 +321,91 @@ def sample_random(
     key: str = "line_key",
     page: int = PAGE,
 ) -> DataFrame:
-    """Uniform draws from the menu; the positive itself may be drawn."""
+    """Uniform draws from the menu; the positive itself may be drawn, ``draw`` tells the rows apart."""
     draws = _draw(F.col("menu_size"), F.col("n_draws"), ratio, F.col(key), "r", seed)
     base, one_page = _with_ratio(interactions, items, ratio, page)
-    return _expand(base.withColumn("draws", draws), items, page, one_page)
-
+    return _expand(base.withColumn("draws", draws), items, page, one_page, numbered=True)
 
-def menu_weights(items: DataFrame, popularity: DataFrame) -> DataFrame:
-    """Weighted menus with cells for look-up by a number in 0..menu_weight-1.
 
-    Every item owns the numbers [start, start + w). Cells cut that range into
-    equal parts; an item has a row for each cell it touches, so a look-up is an
-    equi-join on (restaurant, cell) plus a range check, two rows a cell on average.
-    """
-    weighted = items.select("restaurant_id", "item_id").join(
-        popularity.select("item_id", F.col("count").alias("weight")), "item_id"
-    )
-    index = menu_index(weighted, "weight").withColumn(
-        "cells_per_unit",
-        F.least(F.col("menu_size"), F.lit(MAX_CELLS)) / F.col("menu_weight").cast("double"),
-    )
-    cell = lambda n: F.floor(n * F.col("cells_per_unit")).cast("long")
-    return index.withColumn(
-        "cell",
-        F.explode(F.sequence(cell(F.col("start")), cell(F.col("start") + F.col("w") - 1))),
+def weighted_menu(items: DataFrame, popularity: DataFrame, page: int = PAGE) -> DataFrame:
+    """Menus of items with a popularity: restaurant_id, page, entries (number, item, weight)."""
+    weights = popularity.where(F.col("count") > 0).select("item_id", F.col("count").alias("weight"))
+    known = items.select("restaurant_id", "item_id").join(weights, "item_id")
+    return (
+        menu_index(known, "weight", by_number=True)
+        .groupBy("restaurant_id", F.floor(F.col("start") / page).cast("long").alias("page"))
+        .agg(
+            F.array_sort(
+                F.collect_list(F.struct(F.col("start").alias("number"), "item_id", F.col("w").alias("weight")))
+            ).alias("entries"),
+            F.max("menu_size").alias("weighted_items"),
+        )
     )
 
 
-def _weighted_draws(
+def _weighted_picks(
     base: DataFrame,
     items: DataFrame,
     popularity: DataFrame,
     count: Column,
-    rounds: int,
     key: str,
     salt: str,
     seed: str,
+    page: int,
 ) -> DataFrame:
-    """Add ``picked``: up to ``count`` items, each drawn by weight among those left.
+    """Add ``picked`` (up to ``count`` items drawn by weight without replacement) and
+    ``weighted_items``, null where no item of the menu has a weight.
 
-    A round draws a number below the remaining weight, steps over the intervals
-    of items already drawn, and looks the number up. Every active row gains
-    exactly one item a round, so ``rounds`` joins finish all rows.
+    An exponential race: every item of a row's menu gets the time -ln(u) / weight, and the
+    first ``count`` win. That is the same law as drawing one after the other, but needs no
+    join a draw. Times depend on the row and the item's number only, so a long menu's pages
+    run apart and their winners are merged. Rows are told apart by ``key``.
     """
-    # Catalogue-sized and read once a round, so written once.
-    cells = materialize(menu_weights(items, popularity), "cells")
-    totals = cells.groupBy("restaurant_id").agg(
-        F.max("menu_weight").alias("menu_weight"),
-        F.max("cells_per_unit").alias("cells_per_unit"),
-        F.max("menu_size").alias("weighted_items"),
-    )
-    lookup = cells.select("restaurant_id", "cell", "start", "w", F.col("item_id").alias("hit"))
-    state = (
-        base.join(totals, "restaurant_id", "left")
-        .withColumn(
-            "_wanted", F.coalesce(F.least(count, F.col("weighted_items")), F.lit(0).cast("long"))
-        )
-        .withColumn("_drawn", F.array().cast("array<struct<start:bigint,w:bigint,item:bigint>>"))
-    )
-    for turn in range(rounds):
-        left = F.col("menu_weight") - F.aggregate(
-            "_drawn", F.lit(0).cast("long"), lambda s, d: s + d["w"]
-        )
-        number = F.floor(
-            uniform(F.col(key), F.lit(salt), F.lit(turn), seed=seed) * left
-        ).cast("long")
-        stepped = F.aggregate(
-            F.array_sort("_drawn"),
-            number,
-            lambda x, d: F.when(x >= d["start"], x + d["w"]).otherwise(x),
-        )
-        state = (
-            state.withColumn("_ticket", F.when(F.col("_wanted") > turn, stepped))
-            .withColumn("cell", F.floor(F.col("_ticket") * F.col("cells_per_unit")).cast("long"))
-            .alias("s")
-            .join(
-                lookup.alias("c"),
-                (F.col("s.restaurant_id") == F.col("c.restaurant_id"))
-                & (F.col("s.cell") == F.col("c.cell"))
-                & (F.col("s._ticket") >= F.col("c.start"))
-                & (F.col("s._ticket") < F.col("c.start") + F.col("c.w")),
-                "left",
-            )
-            .select(
-                *[F.col(f"s.{c}") for c in state.columns if c != "_drawn"],
-                F.when(
-                    F.col("c.hit").isNotNull(),
-                    F.array_append(
-                        F.col("s._drawn"),
-                        F.struct(
-                            F.col("c.start").alias("start"),
-                            F.col("c.w").alias("w"),
-                            F.col("c.hit").alias("item"),
-                        ),
+    if RACE % page:
+        raise ValueError(f"pages of weighted menus hold a divisor of {RACE} items")
+    menus = weighted_menu(items, popularity, page)
+
+    def winners(entries: Column, first: Column) -> Column:
+        """The first ``count`` of a page, as (time, item), by time."""
+        times = F.element_at(
+            F.transform(
+                F.array(stream(F.col(key), F.lit(salt), F.floor(first / RACE), seed=seed)),
+                lambda start: F.transform(
+                    entries,
+                    lambda e: F.struct(
+                        (-F.log(step(start, e["number"] % RACE, RACE)) / e["weight"]).alias("time"),
+                        e["item_id"].alias("item"),
                     ),
-                )
-                .otherwise(F.col("s._drawn"))
-                .alias("_drawn"),
+                ),
+            ),
+            1,
+        )
+        return _first(times, count)
+
+    if (menus.agg(F.max("page")).first()[0] or 0) == 0:
+        joined = base.join(menus.drop("page"), "restaurant_id", "left")
+        won = joined.withColumn("_won", winners(F.col("entries"), F.lit(0).cast("long"))).drop("entries")
+    else:
+        # Only the key travels with the pages; the row's other columns wait.
+        heats = (
+            base.select(key, "restaurant_id", count.alias("_count"))
+            .join(menus, "restaurant_id")
+            .select(key, "_count", "weighted_items", winners(F.col("entries"), F.col("page") * page).alias("_heat"))
+            .groupBy(key)
+            .agg(
+                F.max("weighted_items").alias("weighted_items"),
+                _first(F.flatten(F.collect_list("_heat")), F.max("_count")).alias("_won"),
             )
         )
-    return state.withColumn("picked", F.transform("_drawn", lambda d: d["item"]))
+        won = base.join(heats, key, "left")
+    none = F.array().cast("array<bigint>")
+    return won.withColumn(
+        "picked", F.coalesce(F.transform("_won", lambda t: t["item"]), none)
+    ).drop("_won")
+
+
+def _first(times: Column, count: Column) -> Column:
+    return F.slice(F.array_sort(times), F.lit(1), F.greatest(count, F.lit(0)).cast("int"))
 
 
 def sample_popular(
@@ -412,14 +417,14 @@ def sample_popular(
     key: str = "line_key",
     page: int = PAGE,
 ) -> DataFrame:
-    """Draws weighted by popularity, without replacement.
+    """Draws weighted by popularity, without replacement; see ``_weighted_picks``.
 
     Restaurants none of whose items has a popularity fall back to uniform draws.
     """
     popularity = item_popularity(interactions) if popularity is None else popularity
     base, one_page = _with_ratio(interactions, items, ratio, page)
-    state = _weighted_draws(
-        base, items, popularity, F.col("n_draws"), ratio, key, "p", seed
+    state = _weighted_picks(
+        base, items, popularity, F.col("n_draws"), key, "p", seed, page
     )
     fallback = F.when(F.col("weighted_items").isNull(), F.col("n_draws")).otherwise(
         F.lit(0).cast("long")
@@ -438,7 +443,8 @@ def sample_mixed(
     popularity: DataFrame | None = None,
     page: int = PAGE,
 ) -> DataFrame:
-    """Two independent draws of half the ratio each; the halves may overlap.
+    """Two independent draws of half the ratio each; the halves may overlap, and ``draw``
+    tells rows of the same item apart.
 
     Both halves are uniform by default; ``second_half='popular'`` weights the second.
     """
@@ -448,13 +454,11 @@ def sample_mixed(
     head = _draw(F.col("menu_size"), first, ratio, F.col(key), "a", seed)
     if second_half == "uniform":
         tail = _draw(F.col("menu_size"), second, ratio, F.col(key), "b", seed)
-        return _expand(base.withColumn("draws", F.concat(head, tail)), items, page, one_page)
+        return _expand(base.withColumn("draws", F.concat(head, tail)), items, page, one_page, numbered=True)
     if second_half != "popular":
         raise ValueError("second_half is 'uniform' or 'popular'")
     popularity = item_popularity(interactions) if popularity is None else popularity
-    state = _weighted_draws(
-        base, items, popularity, second, (ratio + 1) // 2, key, "p", seed
-    )
+    state = _weighted_picks(base, items, popularity, second, key, "p", seed, page)
     fallback = F.when(F.col("weighted_items").isNull(), second).otherwise(F.lit(0).cast("long"))
     tail = _draw(F.col("menu_size"), fallback, ratio, F.col(key), "b", seed)
-    return _expand(state.withColumn("draws", F.concat(head, tail)), items, page, one_page)
+    return _expand(state.withColumn("draws", F.concat(head, tail)), items, page, one_page, numbered=True)

@@ -156,12 +156,14 @@ def sink_embeddings(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def sink_model(spark: SparkSession, d: str) -> DataFrame:
-    """Scores of the validation rows by the saved and reloaded model."""
+    """Validation rows, and whether the saved and reloaded model scores them as the fitted one."""
     fitted, importance, history = _production(spark, d)
     tables = {"importance": importance, "history": history}
     path = ranker.save_ranker(fitted, tables, new_path(spark, "ranker"))
     again, _ = ranker.load_ranker(spark, path)
-    return ranker.predict(again, _frames(spark, d).val).select("line_key", "item_id", "score")
+    before = ranker.predict(fitted, _frames(spark, d).val).withColumnRenamed("score", "before")
+    both = ranker.predict(again, before).select("line_key", "item_id", "before", "score")
+    return both.select("line_key", "item_id", F.col("score").eqNullSafe(F.col("before")).alias("same"))
 
 
 @query
@@ -389,6 +391,15 @@ def neg_mixed(spark: SparkSession, d: str) -> DataFrame:
     return samples.select("line_key", "item_id", "added_to_cart")
 
 
+@query
+def neg_excluding_session(spark: SparkSession, d: str) -> DataFrame:
+    """Five negatives each from the menu without anything the session bought."""
+    samples = sampling.sample_uniform(
+        interactions(spark, d), retail.items(spark, d), 5, exclude_session_positives=True
+    )
+    return samples.select("line_key", "item_id", "added_to_cart")
+
+
 @query
 def neg_union(spark: SparkSession, d: str) -> DataFrame:
     """Positives and five uniform negatives each, with the full sample columns."""
@@ -704,7 +715,7 @@ def compare_to_baseline(spark: SparkSession, d: str) -> DataFrame:
 @query
 def bootstrap_ci(spark: SparkSession, d: str) -> DataFrame:
     per_order = metrics.group_metrics(_scored(spark, d), (10,))
-    return rounded(metrics.bootstrap_ci(per_order, "precision_10"))
+    return rounded(metrics.bootstrap_ci(per_order, "precision_10", method="draw"))
 
 
 # --- business ------------------------------------------------------------------------
@@ -810,28 +821,37 @@ def _production(spark: SparkSession, d: str):
     return _once(spark, d, "production", lambda: flow.train_production(_frames(spark, d)))
 
 
+def _finite(column: str) -> Column:
+    value = F.col(column)
+    return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+
+
 @query
 def ranker_fit(spark: SparkSession, d: str) -> DataFrame:
-    """Coefficients of the pairwise ranker."""
+    """Features of the pairwise ranker, each with a finite weight."""
     frames = _frames(spark, d)
     fitted = ranker.fit_pairwise(frames.train, frames.features)
     weights = fitted.model.stages[-1].coefficients.toArray().tolist()
-    return spark.createDataFrame(
+    table = spark.createDataFrame(
         list(zip(fitted.features, weights)), "feature STRING, weight DOUBLE"
     )
+    return table.select("feature", _finite("weight").alias("finite"))
 
 
 @query
 def ranker_predict(spark: SparkSession, d: str) -> DataFrame:
+    """Every test candidate with a score."""
     fitted, _, _ = _production(spark, d)
-    return ranker.predict(fitted, _frames(spark, d).test).select("line_key", "item_id", "score")
+    scored = ranker.predict(fitted, _frames(spark, d).test)
+    return scored.select("line_key", "item_id", "added_to_cart", _finite("score").alias("scored"))
 
 
 @query
 def ranker_cv(spark: SparkSession, d: str) -> DataFrame:
+    """One row a fold, with a score between 0 and 1."""
     frames = _frames(spark, d)
     _, scores = ranker.fit_cv(frames.train, frames.features, 3)
-    return ranker.cv_summary(scores)
+    return scores.select("fold", F.col("ndcg_10").between(0, 1).alias("in_bounds"))
 
 
 @query
@@ -841,31 +861,69 @@ def group_kfold(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def feature_importance(spark: SparkSession, d: str) -> DataFrame:
-    return _production(spark, d)[1]
+    """Every feature with an importance; all together make 1."""
+    importance = _production(spark, d)[1]
+    total = importance.agg(F.round(F.sum("importance"), 6).alias("total"))
+    return importance.select("feature", F.col("importance").between(0, 1).alias("in_bounds")).join(
+        F.broadcast(total)
+    )
 
 
 @query
 def top_features(spark: SparkSession, d: str) -> DataFrame:
-    return ranker.top_features(_production(spark, d)[1], 10)
+    """Places of the ten strongest features: different ones, by falling importance."""
+    importance = _production(spark, d)[1]
+    top = ranker.top_features(importance, 10).collect()
+    falling = [i == 0 or top[i - 1].importance >= r.importance for i, r in enumerate(top)]
+    fresh = [r.feature not in {q.feature for q in top[:i]} for i, r in enumerate(top)]
+    return spark.createDataFrame(
+        [(i + 1, a and b) for i, (a, b) in enumerate(zip(falling, fresh))], "place INT, holds BOOLEAN"
+    )
 
 
 @query
 def training_history(spark: SparkSession, d: str) -> DataFrame:
-    return _production(spark, d)[2]
+    """Rounds of each data set: without gaps, as many as patience asks for, scores in bounds."""
+    fitted, _, history = _production(spark, d)
+    patience, most = fitted.params["patience"], fitted.params["trees"]
+    waited = F.col("rounds") == F.least(F.lit(most), F.lit(fitted.params["best_iteration"] + patience))
+    return (
+        history.groupBy("data")
+        .agg(
+            F.count_distinct("iteration").alias("rounds"),
+            F.min("iteration").alias("first"),
+            F.max("iteration").alias("last"),
+            F.bool_and(F.col("ndcg_5").between(0, 1) & F.col("ndcg_10").between(0, 1)).alias("in_bounds"),
+        )
+        .select(
+            "data",
+            "first",
+            (F.col("rounds") == F.col("last")).alias("no_gaps"),
+            waited.alias("waited"),
+            "in_bounds",
+        )
+    )
 
 
 @query
 def model_info(spark: SparkSession, d: str) -> DataFrame:
+    """The fitted model's description: its trees are those up to the best round."""
     fitted, _, history = _production(spark, d)
-    return ranker.model_info(fitted, spark, history)
+    info = ranker.model_info(fitted, spark, history)
+    return info.select(
+        "status",
+        "n_features",
+        (F.col("n_trees") == F.col("best_iteration")).alias("cut_at_best"),
+        F.col("best_ndcg_10").between(0, 1).alias("in_bounds"),
+        F.size(F.split("top_features", ",")).alias("n_top_features"),
+    )
 
 
 @query
 def train_production(spark: SparkSession, d: str) -> DataFrame:
-    """Report of the fitted ranker on the test samples."""
+    """Metrics reported for the fitted ranker on the test samples, each a finite number."""
     fitted, _, _ = _production(spark, d)
-    return flow.evaluate(
-        ranker.predict(fitted, _frames(spark, d).test),
-        retail.users(spark, d),
-        retail.items(spark, d),
+    report = flow.evaluate_model(
+        fitted, _frames(spark, d).test, retail.users(spark, d), retail.items(spark, d)
     )
+    return report.select("section", "metric", _finite("value").alias("finite"))

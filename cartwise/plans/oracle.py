@@ -262,39 +262,37 @@ UNIFORM_5 = sampled(
     draw("others", "least(5, others)", 5, "u"),
     "CASE WHEN own IS NOT NULL AND d >= own THEN d + 1 ELSE d END",
 )
+# Numbers below the rest of the menu step over the sorted numbers of what the session bought.
+COMPLEMENT_5 = sampled(
+    draw("(menu_size - len(bought))", "least(5, menu_size - len(bought))", 5, "u"),
+    "list_reduce(bought, lambda x, e: CASE WHEN x >= e THEN x + 1 ELSE x END, d)",
+).replace("FROM pos))", "FROM kept))")
 KEYS = "SELECT line_key, item_id, added_to_cart FROM"
 
 
-def popular(rounds: int = 4) -> str:
-    """Sequential weighted draws: each round picks among the items still left."""
-    steps = [f"""wm AS (
+def popular(wanted: int = 4) -> str:
+    """The first items of an exponential race: times -ln(u) / weight, one for each menu item."""
+    digest = f"md5(concat_ws('|', line_key, 'p', place // 256, '{SEED}'))"
+    first, second = (
+        f"((('0x' || substr({digest}, {at}, 8))::BIGINT % {modulus - 1} + 1)"
+        f" * list_extract({values}, CAST(place % 256 AS INTEGER) + 1) % {modulus})"
+        for at, modulus, values in zip((1, 9), MODULUS, powers(256))
+    )
+    d = MODULUS[0] - 1
+    unit = f"(((({first} - {second}) % {d} + {d}) % {d} + CAST(0.5 AS DOUBLE)) / CAST({d} AS DOUBLE))"
+    head = sql("items inter pos", "").rstrip()
+    return f"""{head}, wm AS (
         SELECT m.restaurant_id, m.item_id, w.weight,
                row_number() OVER (PARTITION BY m.restaurant_id ORDER BY m.item_id % 64, m.item_id)
-                 AS place
+                 - 1 AS place
         FROM items m JOIN (SELECT item_id, count(*) AS weight FROM inter GROUP BY 1) w
           USING (item_id)),
-    base AS (SELECT p.line_key, p.restaurant_id, least(p.n4, k.n) AS wanted
-             FROM pos p JOIN (SELECT restaurant_id, count(*) AS n FROM wm GROUP BY 1) k
-               USING (restaurant_id)),
-    got0 AS (SELECT line_key, CAST(NULL AS BIGINT) AS item_id FROM base WHERE false)"""]
-    for i in range(rounds):
-        steps.append(f"""got{i + 1} AS (
-        SELECT line_key, item_id FROM got{i}
-        UNION ALL
-        SELECT line_key, item_id FROM (
-          SELECT *, CAST(floor({u('line_key', "'p'", str(i))} * total) AS BIGINT) AS ticket
-          FROM (
-            SELECT b.line_key, wm.item_id, wm.weight,
-                   sum(wm.weight) OVER (PARTITION BY b.line_key ORDER BY wm.place) AS upto,
-                   sum(wm.weight) OVER (PARTITION BY b.line_key) AS total
-            FROM base b JOIN wm USING (restaurant_id)
-            WHERE b.wanted > {i} AND NOT EXISTS (
-              SELECT 1 FROM got{i} g WHERE g.line_key = b.line_key AND g.item_id = wm.item_id)))
-        WHERE ticket < upto AND ticket >= upto - weight)""")
-    head = sql("items inter pos", "").rstrip()
-    return f"""{head}, {', '.join(steps)}
+    race AS (SELECT line_key, wm.item_id, n4,
+                    row_number() OVER (PARTITION BY line_key ORDER BY -ln({unit}) / weight, wm.item_id)
+                      AS rank
+             FROM pos JOIN wm USING (restaurant_id))
         SELECT line_key, item_id, 1 AS added_to_cart FROM pos
-        UNION ALL SELECT line_key, item_id, 0 FROM got{rounds}"""
+        UNION ALL SELECT line_key, item_id, 0 FROM race WHERE rank <= least(n4, {wanted})"""
 
 
 def _flags(alias: str = "us") -> str:
@@ -547,6 +545,11 @@ ORACLES: dict[str, str] = {
     "neg_random": sql("pos midx", f"{KEYS} ({RANDOM})"),
     "neg_popular": popular(),
     "neg_mixed": sql("pos midx", f"{KEYS} ({MIXED})"),
+    "neg_excluding_session": sql("pos midx", f"""
+        , kept AS (SELECT p.*, b.bought FROM pos p JOIN (
+              SELECT session_id, restaurant_id, list_sort(list(DISTINCT own)) AS bought
+              FROM pos WHERE own IS NOT NULL GROUP BY 1, 2) b USING (session_id, restaurant_id))
+        {KEYS} ({COMPLEMENT_5})"""),
     "neg_union": sql("pos midx", f"""
         SELECT order_id, session_id, user_id, item_id, restaurant_id, added_to_cart, timestamp
         FROM ({UNIFORM_5})"""),
@@ -696,3 +699,58 @@ ORACLES: dict[str, str] = {
                      row_number() OVER (ORDER BY group_size DESC, order_id) - 1 AS place
               FROM (SELECT order_id, count(*) AS group_size FROM inter GROUP BY 1))"""),
 }
+
+
+# Features of the frames without carts, in the order of their columns.
+FEATURE_NAMES = """
+    user_order_count segment_budget segment_regular segment_premium veg_preference_veg
+    veg_preference_nonveg veg_preference_both order_freq_low order_freq_medium
+    order_freq_high hour day_of_week is_weekend is_breakfast is_lunch is_dinner
+    is_late_night user_embedding_norm price veg_flag popularity_score item_unique_users
+    item_order_count item_popularity log_price price_squared category_main category_drink
+    category_dessert category_snack category_starter category_beverage is_veg
+    item_embedding_norm user_item_veg_match user_item_price_match user_item_similarity
+""".split()
+
+
+def _candidates(where: str) -> str:
+    """Positives of a period, and all other items of their menus (menus hold at most 41)."""
+    return sql("inter midx", f"""
+        , own AS (SELECT * FROM inter WHERE {where}),
+        pairs AS (SELECT line_key, item_id, 1 AS added_to_cart FROM own
+                  UNION ALL
+                  SELECT i.line_key, m.item_id, 0 FROM own i JOIN midx m USING (restaurant_id)
+                  WHERE m.item_id <> i.item_id AND m.menu_size <= 41)""")
+
+
+def _feature_rows(columns: str) -> str:
+    names = ", ".join(f"('{name}')" for name in FEATURE_NAMES)
+    return f"SELECT feature, {columns} FROM (VALUES {names}) f(feature)"
+
+
+TRAIN_ITEMS = f"SELECT item_id FROM inter WHERE timestamp < {VAL_START} GROUP BY 1 HAVING count(*) >= 2"
+
+# Learned numbers have no twin: keys, counts, bounds and agreements do.
+ORACLES |= {
+    "item2vec_fit": sql("inter", f"SELECT item_id, {DIM} AS dim FROM ({TRAIN_ITEMS})"),
+    "embedding_tables": sql("inter", f"""
+        SELECT 'item' AS kind, count(*) AS n, {DIM} AS dim FROM ({TRAIN_ITEMS})
+        UNION ALL
+        SELECT 'user', count(DISTINCT user_id), {DIM} FROM inter
+        WHERE timestamp < {VAL_START} AND item_id IN ({TRAIN_ITEMS})"""),
+    "sink_model": _candidates(f"timestamp >= {VAL_START} AND timestamp < {TEST_START}")
+    + " SELECT line_key, item_id, true AS same FROM pairs",
+    "ranker_predict": _candidates(f"timestamp >= {TEST_START}")
+    + " SELECT line_key, item_id, added_to_cart, true AS scored FROM pairs",
+    "ranker_fit": _feature_rows("true AS finite"),
+    "feature_importance": _feature_rows("true AS in_bounds, CAST(1 AS DOUBLE) AS total"),
+    "top_features": "SELECT CAST(i AS INTEGER) AS place, true AS holds FROM range(1, 11) t(i)",
+    "ranker_cv": "SELECT CAST(i AS INTEGER) AS fold, true AS in_bounds FROM range(0, 3) t(i)",
+    "training_history": """
+        SELECT data, 1 AS first, true AS no_gaps, true AS waited, true AS in_bounds
+        FROM (VALUES ('train'), ('valid')) t(data)""",
+    "model_info": f"""
+        SELECT 'trained' AS status, {len(FEATURE_NAMES)} AS n_features, true AS cut_at_best,
+               true AS in_bounds, 10 AS n_top_features""",
+    "train_production": f"SELECT section, metric, true AS finite FROM ({ORACLES['evaluate']})",
+}

@@ -114,6 +114,45 @@ def test_excluding_session_positives(spark, sf, inter):
     assert samples.where("added_to_cart = 1").count() == inter.count()
 
 
+@pytest.mark.parametrize("page", [sampling.PAGE, 2])
+def test_negatives_outside_the_session_wherever_they_exist(spark, page):
+    """A menu of six, three of them bought in one session: three are left for each row."""
+    schema = "order_id long, session_id long, line_key string, user_id long, item_id long, restaurant_id long, "
+    bought = [(1, 1, f"l{i}", 1, i, 7, None, i, 1) for i in (0, 2, 5)] + [(2, None, "l9", 1, 3, 7, None, 0, 1)]
+    inter = spark.createDataFrame(bought, schema + "timestamp timestamp, position_in_cart int, added_to_cart int")
+    items = spark.createDataFrame([(i, 7) for i in range(6)], "item_id long, restaurant_id long")
+    samples = sampling.sample_uniform(inter, items, 3, exclude_session_positives=True, page=page)
+    found = {}
+    for r in samples.where("added_to_cart = 0").collect():
+        found.setdefault(r.line_key, set()).add(r.item_id)
+    assert {k: found[k] for k in ("l0", "l2", "l5")} == dict.fromkeys(("l0", "l2", "l5"), {1, 3, 4})
+    assert len(found["l9"]) == 3 and 3 not in found["l9"]
+
+
+def test_draw_numbers_tell_rows_apart(spark, sf, inter):
+    for page in (sampling.PAGE, 4):
+        samples = sampling.sample_mixed(inter, retail.items(spark, sf), page=page)
+        keys = samples.groupBy("line_key", "draw").agg(F.count(F.lit(1)).alias("n"), F.max("added_to_cart").alias("own"))
+        assert keys.where("n > 1 OR (draw = 0) <> (own = 1) OR draw > 4").isEmpty()
+
+
+def test_weighted_draws_follow_their_weights(spark):
+    """Two of three items by weight: the law of drawing one after the other."""
+    inter = spark.range(6000).select(
+        F.col("id").alias("order_id"), F.col("id").alias("session_id"), F.col("id").cast("string").alias("line_key"),
+        F.lit(1).alias("user_id"), F.lit(0).cast("long").alias("item_id"), F.lit(7).cast("long").alias("restaurant_id"),
+        F.lit(None).cast("timestamp").alias("timestamp"), F.lit(0).alias("position_in_cart"), F.lit(1).alias("added_to_cart"),
+    )
+    items = spark.createDataFrame([(i, 7) for i in range(3)], "item_id long, restaurant_id long")
+    weights = spark.createDataFrame([(0, 6), (1, 3), (2, 1)], "item_id long, count long")
+    drawn = sampling.sample_popular(inter, items, weights, ratio=2).where("added_to_cart = 0")
+    share = {r.item_id: r["count"] / 6000 for r in drawn.groupBy("item_id").count().collect()}
+    w = {0: 0.6, 1: 0.3, 2: 0.1}
+    for i, p in w.items():
+        expected = p + sum(q * p / (1 - q) for j, q in w.items() if j != i)
+        assert abs(share[i] - expected) < 0.02
+
+
 def test_mixed_with_popular_half(spark, sf, inter):
     samples = sampling.sample_mixed(inter, retail.items(spark, sf), second_half="popular")
     assert samples.where("added_to_cart = 0").count() == 4 * inter.count()
@@ -127,6 +166,21 @@ def test_nearest_items_in_blocks(spark, sf):
     assert embeddings.similar_items(vectors, queries=few).count() == 30
 
 
+@pytest.mark.parametrize("block", [metrics.LEAST_BLOCK, 1])
+def test_split_resamples_follow_the_law(spark, monkeypatch, block):
+    """Means of 10 distinct values: the variance of a mean is that of a value over n."""
+    monkeypatch.setattr(metrics, "LEAST_BLOCK", block)
+    values = spark.range(500).select((F.col("id") % 10).cast("double").alias("x"))
+    means = [metrics._replicate_means_by_split(v, "x", 500, 2000, "42", 10**6).toPandas().sort_values("replicate")["mean"]
+             for v in (values, values.repartition(7, "x"))]
+    assert means[0].tolist() == pytest.approx(means[1].tolist(), abs=1e-12)
+    assert abs(means[0].mean() - 4.5) < 0.01 and abs(means[0].var() / (8.25 / 500) - 1) < 0.1
+    whole = spark.range(500).select(F.lit(3.0).alias("x"))
+    assert metrics.bootstrap_ci(whole, "x", replicates=50).first() == (3.0, 3.0)
+    low, high = metrics.bootstrap_ci(values, "x", replicates=400).first()
+    assert 4.1 < low < 4.4 < 4.6 < high < 4.9
+
+
 def test_bootstrap_by_weight(spark):
     values = spark.range(500).select((F.col("id") % 10).cast("double").alias("x"))
     low, high = metrics.bootstrap_ci(values, "x", replicates=200, method="weight").first()
