@@ -10,8 +10,9 @@ if the bins were independent. Bands of ``BAND_ROWS`` bins choose candidates: at
 
 Texts with the same set are one node, known by a 128-bit fingerprint; nodes that share no
 band with another node end there. The pairs of a bucket are never written out. First every
-node is compared with the smallest node of each of its buckets, and verified against the
-``HUBS`` that its sketch agrees with best; that joins most groups to one component each. Then
+node is verified against the smallest node of its buckets that shares most of them, and, if
+that is no link, against up to ``HUBS`` - 1 others; that joins most groups to one component
+each. Then
 buckets that still hold several components are compared inside the tasks, in blocks of
 ``BLOCK`` by ``BLOCK`` nodes, on sketches of ``LONG`` bins. A pair is near when it is in
 different components and its sketches agree to within five standard deviations of the
@@ -45,6 +46,8 @@ LONG = 1024
 BLOCK = 512
 #: Hubs that a node is verified against before blocks are compared.
 HUBS = 8
+#: Parts of the nodes of a root in a join on the root.
+SALTS = 16
 #: Near pairs that a node keeps in the first comparison of blocks.
 BEST = 2
 
@@ -180,6 +183,13 @@ def _shared(a: pa.Array, b: pa.Array) -> pa.Array:
     )
 
 
+def _salted(many: DataFrame, few: DataFrame, key: str) -> DataFrame:
+    """Left join of nodes with a table of one row a key, in which a key may own most nodes."""
+    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS))
+    copies = few.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return many.withColumn("salt", salt).join(copies, [key, "salt"], "left").drop("salt")
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(node, root) of all nodes of ``links`` (a, b): root is the smallest node reachable.
 
@@ -201,9 +211,12 @@ def connected(links: DataFrame) -> DataFrame:
             .agg(F.min("root").alias("near"))
         )
         better = roots.join(near, "node").select("node", "root", F.least("root", "near").alias("next"))
-        jumps = better.select(F.col("node").alias("next"), F.col("next").alias("far"))
+        better = materialize(better, "better")
+        # A large group's nodes all ask for the same root, which one row a root answers.
+        asked = better.select(F.col("next").alias("node")).distinct()
+        jumps = better.join(asked, "node", "left_semi").select(F.col("node").alias("next"), F.col("next").alias("far"))
         jumped = materialize(
-            better.join(jumps, "next", "left").select("node", "root", F.least("next", F.coalesce("far", "next")).alias("next")),
+            _salted(better, jumps, "next").select("node", "root", F.least("next", F.coalesce("far", "next")).alias("next")),
             "roots",
         )
         done = jumped.where(F.col("root") != F.col("next")).isEmpty()
@@ -366,11 +379,13 @@ def _grouped(docs: DataFrame, size: int, percent: int, id_column: str) -> DataFr
         groups = materialize(groups, "groups")
         rooted = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         rooted = materialize(rooted, "rooted")
-        linked = rooted.where(F.col("root") != F.col("node")).select("root").distinct()
         by_root = (
-            rooted.join(linked, "root", "left_semi").groupBy("root").agg(F.min("first").alias("component"))
+            rooted.groupBy("root")
+            .agg(F.min("first").alias("component"), F.count(F.lit(1)).alias("nodes"))
+            .where("nodes > 1")
+            .drop("nodes")
         )
-        groups = rooted.join(by_root, "root", "left").select(
+        groups = _salted(rooted, materialize(by_root, "by_root"), "root").select(
             "node", F.coalesce("component", "first").alias("first"), (F.col("component").isNotNull() | (F.col("rows") > 1)).alias("shared")
         )
     else:
@@ -403,19 +418,29 @@ def _links(docs: DataFrame, id_column: str, table: DataFrame, live: DataFrame, s
         .agg(F.first("long").alias("long"), F.first("elements").alias("elements")),
         "sets",
     )
-    # Every node with the smallest node of its buckets (one a band); the best are verified.
-    pairs = live.where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    equal = F.arrow_udf(_equal_bins, "int")
-    best = (
-        pairs.join(_side(want, "a", "sketch"), "a")
-        .join(_side(want, "b", "sketch"), "b")
-        .withColumn("equal", equal("sketch_a", "sketch_b"))
-        .where(F.col("equal") >= _least_equal(percent, COORDINATES))
-        .groupBy("a")
-        .agg(F.slice(F.sort_array(F.collect_list(F.struct("equal", "b")), asc=False), 1, HUBS).alias("best"))
-        .select("a", F.explode("best.b").alias("b"))
+    # The smallest nodes of a node's buckets, those with most buckets first. No sketch is read
+    # for this, and only nodes whose first hub is no link go on to the others.
+    by_hub = live.where("node != hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("bands"))
+    hubs = materialize(
+        by_hub.groupBy("node")
+        .agg(F.sort_array(F.collect_list(F.struct((-F.col("bands")).alias("few"), "hub"))).alias("hubs"))
+        .select(F.col("node").alias("a"), F.slice("hubs.hub", 1, HUBS).alias("hubs")),
+        "hubs",
     )
-    links = materialize(_verified(materialize(best, "best"), sets, percent), "found")
+    equal = F.arrow_udf(_equal_bins, "int")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        alike = (
+            pairs.join(_side(want, "a", "sketch"), "a")
+            .join(_side(want, "b", "sketch"), "b")
+            .where(equal("sketch_a", "sketch_b") >= _least_equal(percent, COORDINATES))
+            .select("a", "b")
+        )
+        return materialize(_verified(materialize(alike, "best"), sets, percent), "found")
+
+    links = linked(hubs.select("a", F.element_at("hubs", 1).alias("b")))
+    others = hubs.join(links.select("a").distinct(), "a", "left_anti")
+    links = links.unionByName(linked(others.select("a", F.explode(F.slice("hubs", 2, HUBS)).alias("b"))))
     long = materialize(sets.select("node", "long").join(want.select("node", "sketch", "bands"), "node"), "long")
     for keep in (BEST, None):
         near = materialize(_near_pairs(live, connected(links), long, percent, keep), "near")
