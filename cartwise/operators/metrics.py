@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cartwise.functions.hashing import mix32
 from cartwise.operators.ordering import HOT_ROWS, exact_quantiles, running_totals
-from cartwise.session import BROADCAST_BYTES
+from cartwise.session import BROADCAST_BYTES, materialize
 
 K_VALUES = (5, 10, 20)
 # Draws made one by one are numbered by a 32-bit counter.

@@ -365,8 +365,8 @@ def _weighted_picks(
         raise ValueError(f"pages of weighted menus hold a divisor of {RACE} items")
     menus = weighted_menu(items, popularity, page)
 
-    def winners(entries: Column, first: Column) -> Column:
-        """The first ``count`` of a page, as (time, item), by time."""
+    def winners(entries: Column, first: Column, wanted: Column) -> Column:
+        """The first ``wanted`` of a page, as (time, item), by time."""
         times = F.element_at(
             F.transform(
                 F.array(stream(F.col(key), F.lit(salt), F.floor(first / RACE), seed=seed)),
@@ -380,17 +380,17 @@ def _weighted_picks(
             ),
             1,
         )
-        return _first(times, count)
+        return _first(times, wanted)
 
     if (menus.agg(F.max("page")).first()[0] or 0) == 0:
         joined = base.join(menus.drop("page"), "restaurant_id", "left")
-        won = joined.withColumn("_won", winners(F.col("entries"), F.lit(0).cast("long"))).drop("entries")
+        won = joined.withColumn("_won", winners(F.col("entries"), F.lit(0).cast("long"), count)).drop("entries")
     else:
         # Only the key travels with the pages; the row's other columns wait.
         heats = (
             base.select(key, "restaurant_id", count.alias("_count"))
             .join(menus, "restaurant_id")
-            .select(key, "_count", "weighted_items", winners(F.col("entries"), F.col("page") * page).alias("_heat"))
+            .select(key, "_count", "weighted_items", winners(F.col("entries"), F.col("page") * page, F.col("_count")).alias("_heat"))
             .groupBy(key)
             .agg(
                 F.max("weighted_items").alias("weighted_items"),
