@@ -10,9 +10,9 @@ if the bins were independent. Bands of ``BAND_ROWS`` bins choose candidates: at
 
 Texts with the same set are one node, known by a 128-bit fingerprint; nodes that share no
 band with another node end there. The pairs of a bucket are never written out. First every
-node is verified against the smallest node of its buckets that shares most of them, and, if
-that is no link, against up to ``HUBS`` - 1 others; that joins most groups to one component
-each. Then
+node is verified against a hub of its buckets, and, if that is no link, against up to ``HUBS``
+- 1 others; a bucket's hub is its node that meets most nodes in all its buckets, which finds
+the original among edited copies. That joins most groups to one component each. Then
 buckets that still hold several components are compared inside the tasks, in blocks of
 ``BLOCK`` by ``BLOCK`` nodes, on sketches of ``LONG`` bins. A pair is near when it is in
 different components and its sketches agree to within five standard deviations of the
@@ -211,12 +211,9 @@ def connected(links: DataFrame) -> DataFrame:
             .agg(F.min("root").alias("near"))
         )
         better = roots.join(near, "node").select("node", "root", F.least("root", "near").alias("next"))
-        better = materialize(better, "better")
-        # A large group's nodes all ask for the same root, which one row a root answers.
-        asked = better.select(F.col("next").alias("node")).distinct()
-        jumps = better.join(asked, "node", "left_semi").select(F.col("node").alias("next"), F.col("next").alias("far"))
+        jumps = better.select(F.col("node").alias("next"), F.col("next").alias("far"))
         jumped = materialize(
-            _salted(better, jumps, "next").select("node", "root", F.least("next", F.coalesce("far", "next")).alias("next")),
+            better.join(jumps, "next", "left").select("node", "root", F.least("next", F.coalesce("far", "next")).alias("next")),
             "roots",
         )
         done = jumped.where(F.col("root") != F.col("next")).isEmpty()
@@ -361,35 +358,30 @@ def _grouped(docs: DataFrame, size: int, percent: int, id_column: str) -> DataFr
         "sketches",
     )
     members = table.where("node is not null")
-    buckets = (
-        members.select(F.explode("bands").alias("band"), "node")
-        .groupBy("band")
-        .agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-        .where("lo != hi")
-        .select("band", F.col("lo").alias("hub"))
-    )
-    buckets = materialize(buckets, "buckets")
     banded = members.groupBy("node").agg(F.first("bands").alias("bands"))
     banded = banded.select(F.posexplode("bands").alias("number", "band"), "node")
-    live = materialize(banded.join(buckets, "band"), "live")
-    links = _links(docs, id_column, table, live, size, percent)
-    roots = connected(links) if links is not None else None
+    sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("nodes")).where("nodes > 1")
+    shared = materialize(banded.join(sizes, "band"), "shared")
+    # The middle of a group of edited copies meets more of them in its buckets than any copy does.
+    middles = shared.groupBy("node").agg(F.sum("nodes").alias("met"))
+    met = shared.join(middles, "node").select("band", "number", "node", "met")
+    met = materialize(met, "met")
+    hubs = met.groupBy("band").agg(F.max(F.struct("met", "node")).alias("top")).select("band", F.col("top.node").alias("hub"))
+    live = materialize(met.drop("met").join(hubs, "band"), "live")
+    roots = _roots(docs, id_column, table, live, size, percent)
     groups = members.groupBy("node").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows"))
-    if roots is not None:
-        groups = materialize(groups, "groups")
-        rooted = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rooted = materialize(rooted, "rooted")
-        by_root = (
-            rooted.groupBy("root")
-            .agg(F.min("first").alias("component"), F.count(F.lit(1)).alias("nodes"))
-            .where("nodes > 1")
-            .drop("nodes")
-        )
-        groups = _salted(rooted, materialize(by_root, "by_root"), "root").select(
-            "node", F.coalesce("component", "first").alias("first"), (F.col("component").isNotNull() | (F.col("rows") > 1)).alias("shared")
-        )
-    else:
-        groups = groups.select("node", "first", (F.col("rows") > 1).alias("shared"))
+    groups = materialize(groups, "groups")
+    rooted = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = materialize(rooted, "rooted")
+    by_root = (
+        rooted.groupBy("root")
+        .agg(F.min("first").alias("component"), F.count(F.lit(1)).alias("nodes"))
+        .where("nodes > 1")
+        .drop("nodes")
+    )
+    groups = _salted(rooted, materialize(by_root, "by_root"), "root").select(
+        "node", F.coalesce("component", "first").alias("first"), (F.col("component").isNotNull() | (F.col("rows") > 1)).alias("shared")
+    )
     groups = materialize(groups.where("shared").select("node", "first"), "groups")
     component = F.coalesce("first", "id")
     return table.join(groups, "node", "left").select(
@@ -400,8 +392,8 @@ def _grouped(docs: DataFrame, size: int, percent: int, id_column: str) -> DataFr
     )
 
 
-def _links(docs: DataFrame, id_column: str, table: DataFrame, live: DataFrame, size: int, percent: int) -> DataFrame | None:
-    """Enough verified links to connect every group, or None if there are none."""
+def _roots(docs: DataFrame, id_column: str, table: DataFrame, live: DataFrame, size: int, percent: int) -> DataFrame:
+    """(node, root) of the nodes that have verified links."""
     nodes = live.select("node").distinct()
     want = table.where("node is not null").groupBy("node").agg(
         F.min("id").alias("id"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")
@@ -418,7 +410,7 @@ def _links(docs: DataFrame, id_column: str, table: DataFrame, live: DataFrame, s
         .agg(F.first("long").alias("long"), F.first("elements").alias("elements")),
         "sets",
     )
-    # The smallest nodes of a node's buckets, those with most buckets first. No sketch is read
+    # The hubs of a node's buckets, those with most buckets first. No sketch is read
     # for this, and only nodes whose first hub is no link go on to the others.
     by_hub = live.where("node != hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("bands"))
     hubs = materialize(
@@ -442,10 +434,14 @@ def _links(docs: DataFrame, id_column: str, table: DataFrame, live: DataFrame, s
     others = hubs.join(links.select("a").distinct(), "a", "left_anti")
     links = links.unionByName(linked(others.select("a", F.explode(F.slice("hubs", 2, HUBS)).alias("b"))))
     long = materialize(sets.select("node", "long").join(want.select("node", "sketch", "bands"), "node"), "long")
+    roots = connected(links)
     for keep in (BEST, None):
-        near = materialize(_near_pairs(live, connected(links), long, percent, keep), "near")
-        links = links.unionByName(materialize(_verified(near, sets, percent), "found"))
-    return links
+        near = materialize(_near_pairs(live, roots, long, percent, keep), "near")
+        found = materialize(_verified(near, sets, percent), "found")
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            roots = connected(links)
+    return roots
 
 
 def _near_pairs(live: DataFrame, roots: DataFrame, long: DataFrame, percent: int, best: int | None) -> DataFrame:
