@@ -10,12 +10,13 @@ import pandas as pd
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from cartwise.functions.vectors import dot, norm, zeros
 from cartwise.operators.ordering import HOT_ROWS, numbered
 from cartwise.operators.stats import session_sequences
+from cartwise.session import materialize
 
 DECAY = 0.1
 # Most rows of a block; a task compares two blocks, a slice of the first at a time.
@@ -23,6 +24,10 @@ BLOCK = 8192
 SLICE = 256
 # Blocks are not made smaller than this for the sake of parallelism.
 SMALL_BLOCK = 512
+# Most cells of the exact index; their centres go to every task.
+MOST_CELLS = 4096
+# Most numbers of the sample that the centres are fitted on (128 MB).
+SAMPLE_NUMBERS = 1 << 24
 
 
 def fit_item_vectors(
@@ -204,19 +209,156 @@ def _block_top(top_n: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFram
     return compare
 
 
+def _centroids(vectors: DataFrame, cells: int, rounds: int = 5) -> np.ndarray:
+    """Up to ``cells`` centres by a few rounds of Lloyd's method on a bounded sample.
+
+    The sample is at most ``SAMPLE_NUMBERS`` numbers, the rows with the smallest hashes.
+    Centres only decide how much is skipped, never the result.
+    """
+    dim = vectors.select(F.max(F.size("vec"))).first()[0]
+    size = max(cells, min(64 * cells, SAMPLE_NUMBERS // max(1, dim)))
+    sample = vectors.orderBy(F.xxhash64("item_id"), "item_id").limit(size).select("vec").toPandas()
+    points = np.stack(sample["vec"].to_numpy())
+    centres = points[:cells].copy()
+    for _ in range(rounds):
+        near = np.argmin((centres**2).sum(1)[None, :] - 2 * points @ centres.T, axis=1)
+        for cell in np.unique(near):
+            centres[cell] = points[near == cell].mean(0)
+    return centres
+
+
+def _placing(centres: np.ndarray) -> Callable:
+    """Batch function: the nearest centre of each vector and the distance to it."""
+
+    def place(batches):
+        for batch in batches:
+            points = np.stack(batch["vec"].to_numpy())
+            far = (points**2).sum(1)[:, None] + (centres**2).sum(1)[None, :] - 2 * points @ centres.T
+            cell = np.argmin(far, axis=1)
+            gap = np.sqrt(((points - centres[cell]) ** 2).sum(1))
+            yield batch.assign(cell=cell.astype("int32"), gap=gap)
+
+    return place
+
+
+def _needing(centres: np.ndarray, cells: np.ndarray, radius: np.ndarray) -> Callable:
+    """Batch function: the cells, home apart, that may hold one of a vector's best items.
+
+    No item of a cell has a larger product with a vector than the centre's product plus
+    length times radius.
+    """
+
+    def choose(batches):
+        for batch in batches:
+            points = np.stack(batch["vec"].to_numpy())
+            length = np.sqrt((points**2).sum(1))[:, None]
+            reach = np.sqrt((centres[cells] ** 2).sum(1))[None, :] + radius[None, :]
+            bound = points @ centres[cells].T + length * radius[None, :]
+            # Products are rounded to nine digits, and centres to machine precision.
+            slack = 2e-9 + 1e-12 * length * reach
+            wanted = bound + slack >= batch["least"].to_numpy()[:, None]
+            wanted &= batch["cell"].to_numpy()[:, None] != cells[None, :]
+            yield batch[["item_id", "vec"]].assign(cells=[cells[row] for row in wanted])
+
+    return choose
+
+
+def _cell_pairs(left: DataFrame, right: DataFrame, sizes: DataFrame, top_n: int) -> DataFrame:
+    """The best items of each left row (item_id, vec, cell) within its cell.
+
+    ``sizes`` has cell, lefts and rights: into how many blocks either side of a cell is cut,
+    so that no task holds more than two blocks however many rows a cell has.
+    """
+    number = lambda column: F.pmod(F.xxhash64("item_id"), F.col(column))
+    all_of = lambda column: F.explode(
+        F.sequence(F.lit(0).cast("long"), F.col(column) - 1)
+    )
+    small = F.broadcast(sizes)
+    # Fresh columns: both sides may come from one written table.
+    left = left.select(*[F.col(c).alias(c) for c in ("item_id", "vec", "cell")])
+    a = left.join(small, "cell").select(
+        "item_id", "vec", "cell", number("lefts").alias("lb"), all_of("rights").alias("rb")
+    )
+    b = right.join(small, "cell").select(
+        "item_id", "vec", "cell", number("rights").alias("rb"), all_of("lefts").alias("lb")
+    )
+    keys = ["cell", "lb", "rb"]
+    return (
+        a.groupBy(*keys)
+        .cogroup(b.groupBy(*keys))
+        .applyInPandas(_block_top(top_n), "item_id BIGINT, other_id BIGINT, similarity DOUBLE")
+    )
+
+
+def _nearest_by_cells(
+    vectors: DataFrame,
+    left: DataFrame,
+    top_n: int,
+    block: int,
+    cells: int,
+    observation: Observation | None,
+) -> DataFrame:
+    """Exact nearest items through cells of nearby vectors.
+
+    Every row is compared with its own cell first, which gives a least score for its list;
+    then only with the cells whose bound reaches that score.
+    """
+    spark = vectors.sparkSession
+    centres = _centroids(vectors, cells)
+    kinds = "item_id BIGINT, vec ARRAY<DOUBLE>"
+    placed = materialize(
+        vectors.mapInPandas(_placing(centres), f"{kinds}, cell INT, gap DOUBLE"), "cells"
+    )
+    # One row a cell: ``cells`` bounds them.
+    facts = placed.groupBy("cell").agg(F.max("gap").alias("radius"), F.count("*").alias("n")).toPandas()
+    rights = dict(zip(facts["cell"], facts["n"]))
+
+    def sizes(rows: DataFrame) -> DataFrame:
+        counted = rows.groupBy("cell").agg(F.count("*").alias("n")).collect()
+        return spark.createDataFrame(
+            [(r["cell"], ceil(r["n"] / block), ceil(int(rights[r["cell"]]) / block)) for r in counted],
+            "cell INT, lefts BIGINT, rights BIGINT",
+        )
+
+    own = placed.join(left.select("item_id"), "item_id", "left_semi").drop("gap")
+    home = materialize(
+        top_similar(_cell_pairs(own, placed, sizes(own), top_n), top_n).drop("rank"), "home"
+    )
+    least = home.groupBy("item_id").agg(
+        F.when(F.count("*") == top_n, F.min("similarity")).alias("least")
+    )
+    asked = own.join(least, "item_id", "left").fillna(float("-inf"), ["least"])
+    needed = asked.mapInPandas(
+        _needing(centres, facts["cell"].to_numpy(), facts["radius"].to_numpy()),
+        f"{kinds}, cells ARRAY<INT>",
+    )
+    if observation is not None:
+        needed = needed.observe(
+            observation,
+            F.coalesce(F.sum(F.size("cells") + 1), F.lit(0)).alias("compared"),
+            (F.count(F.lit(1)) * len(facts)).alias("pairs"),
+        )
+    needed = materialize(needed, "needed").select("item_id", "vec", F.explode("cells").alias("cell"))
+    return home.unionByName(_cell_pairs(needed, placed, sizes(needed), top_n))
+
+
 def nearest_items(
     vectors: DataFrame,
     top_n: int = 10,
     cosine: bool = True,
     queries: DataFrame | None = None,
     block: int = BLOCK,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """The ``top_n`` most similar other items of each item, exactly.
 
-    Vectors are cut into blocks of about ``block`` rows. Every pair of blocks is
-    one matrix product in a task, which passes on only the best items per row, so
-    no task holds more than two blocks and pairs are never emitted. ``queries``
-    (item_id) restricts the left side; ids without a vector give no rows.
+    Tables of more than ``block`` vectors are dealt to cells around centres, at most
+    ``MOST_CELLS``, and a row meets a cell other than its own only if a bound on the products
+    there reaches the worst of the best it has. Smaller tables are cut into blocks, and every
+    pair of blocks is one matrix product. Either way a task holds two blocks at most and
+    passes on only the best items per row. ``queries`` (item_id) restricts the left side; ids
+    without a vector give no rows. ``observation`` counts the (row, cell) ``pairs`` of a table
+    with cells and those ``compared``.
     """
     if cosine:
         length = norm(F.col("vec"))
@@ -226,13 +368,17 @@ def nearest_items(
             .otherwise(F.col("vec"))
             .alias("vec"),
         )
+    vectors = vectors.select("item_id", F.col("vec").cast("array<double>").alias("vec"))
     left = vectors.select(F.col("item_id").alias("item_id"), F.col("vec").alias("vec"))
     if queries is not None:
         left = left.join(queries.select("item_id").distinct(), "item_id", "left_semi")
     rows = vectors.count()
+    if rows > block:
+        cells = min(MOST_CELLS, ceil(rows / block))
+        return top_similar(_nearest_by_cells(vectors, left, top_n, block, cells, observation), top_n)
     cores = vectors.sparkSession.sparkContext.defaultParallelism
-    # Pairs of blocks are the tasks: about one per core, more when blocks are full.
-    blocks = max(1, ceil(rows / block), min(rows // SMALL_BLOCK, ceil(cores**0.5)))
+    # Pairs of blocks are the tasks: about one per core.
+    blocks = max(1, min(rows // SMALL_BLOCK, ceil(cores**0.5)))
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     place = F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int")
     left_side = left.withColumn("lb", place).withColumn("rb", every)

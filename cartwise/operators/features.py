@@ -8,12 +8,13 @@ left to the optimizer, which knows the real sizes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwise.functions.scalars import clip, flag, one_hot
 from cartwise.operators.ordering import HOT_ROWS, exact_quantiles, hot_groups
-from cartwise.operators.stats import SPLIT_ITEMS
+from cartwise.operators.stats import SPLIT_ITEMS, pair_counts
+from cartwise.session import broadcast_if_small, materialize
 
 # Feature names, categories and thresholds.
 USER_FLAGS = {
@@ -174,48 +175,95 @@ def add_cart_features(df: DataFrame, carts: DataFrame, items: DataFrame) -> Data
     )
 
 
+def cart_pairs(
+    df: DataFrame, carts: DataFrame, split_items: int = SPLIT_ITEMS
+) -> DataFrame:
+    """(session_id, item_id, cart_item, n, cart_size): distinct candidates with distinct cart items.
+
+    ``n`` is the lines of the cart item and ``cart_size`` all lines of the cart. Sessions with
+    more than ``split_items`` rows are spread by candidate.
+    """
+    lines = carts.select("session_id", F.col("item_id").alias("cart_item"))
+    candidates = df.select("session_id", "item_id")
+    # Rows bound distinct items from above and are cheaper to count.
+    both = candidates.select("session_id").unionAll(lines.select("session_id"))
+    hot = hot_groups(both, ["session_id"], split_items)
+    if hot is None:
+        # One shuffle a side, by session, serves the distinct rows, the sizes and the join.
+        wanted = candidates.repartition("session_id").distinct()
+        size = F.sum("n").over(Window.partitionBy("session_id"))
+        cart = (
+            lines.repartition("session_id")
+            .groupBy("session_id", "cart_item")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("cart_size", size)
+        )
+        return wanted.join(cart, "session_id")
+    cart = lines.groupBy("session_id", "cart_item").agg(F.count(F.lit(1)).alias("n")).join(
+        cart_sizes(carts), "session_id"
+    )
+    blocks = hot.select(
+        "session_id", F.ceil(F.col("_n") / split_items).cast("long").alias("_blocks")
+    )
+    share = lambda rows: rows.join(blocks, "session_id", "left").withColumn(
+        "_blocks", F.coalesce("_blocks", F.lit(1).cast("long"))
+    )
+    wanted = share(candidates.distinct()).withColumn(
+        "_block", F.pmod(F.xxhash64("item_id"), F.col("_blocks"))
+    )
+    cart = share(cart).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))
+    )
+    return wanted.drop("_blocks").join(cart.drop("_blocks"), ["session_id", "_block"]).drop("_block")
+
+
+def _mean_cooccurrence(df: DataFrame, weighted: DataFrame) -> DataFrame:
+    """Join the mean of ``total`` over the cart's lines; candidates without pairs get 0."""
+    scores = weighted.groupBy("session_id", "item_id").agg(
+        (F.sum("total") / F.max("cart_size")).alias("cart_cooccurrence")
+    )
+    return df.join(scores, ["session_id", "item_id"], "left").fillna(0.0, ["cart_cooccurrence"])
+
+
 def cart_cooccurrence(
     df: DataFrame, carts: DataFrame, edges: DataFrame, split_items: int = SPLIT_ITEMS
 ) -> DataFrame:
     """Adds cart_cooccurrence: mean co-occurrence of the candidate with the cart's lines.
 
-    Scores are computed once per distinct (session, candidate) and distinct cart
-    item, then joined back. Very large sessions are spread by candidate.
+    ``edges`` is a finished symmetric table. Scores are computed once per distinct
+    (session, candidate) and distinct cart item, then joined back.
     """
-    cart = carts.groupBy("session_id", F.col("item_id").alias("cart_item")).agg(
-        F.count(F.lit(1)).alias("n")
-    ).join(cart_sizes(carts), "session_id")
-    wanted = df.select("session_id", "item_id").distinct()
-    # Rows bound distinct candidates from above and are cheaper to count.
-    hot = hot_groups(df, ["session_id"], split_items)
-    keys = ["session_id"]
-    if hot is not None:
-        blocks = hot.select(
-            "session_id", F.ceil(F.col("_n") / split_items).cast("long").alias("_blocks")
-        )
-        share = lambda rows: rows.join(blocks, "session_id", "left").withColumn(
-            "_blocks", F.coalesce("_blocks", F.lit(1).cast("long"))
-        )
-        wanted = share(wanted).withColumn(
-            "_block", F.pmod(F.xxhash64("item_id"), F.col("_blocks"))
-        )
-        cart = share(cart).withColumn(
-            "_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))
-        )
-        keys = ["session_id", "_block"]
-        wanted, cart = wanted.drop("_blocks"), cart.drop("_blocks")
-    scores = (
-        wanted.join(cart, keys)
-        .join(
-            edges.select(
-                F.col("item_a").alias("item_id"), F.col("item_b").alias("cart_item"), "cooc"
-            ),
-            ["item_id", "cart_item"],
-        )
-        .groupBy("session_id", "item_id")
-        .agg((F.sum(F.col("cooc") * F.col("n")) / F.max("cart_size")).alias("cart_cooccurrence"))
+    weighted = cart_pairs(df, carts, split_items).join(
+        edges.select(F.col("item_a").alias("item_id"), F.col("item_b").alias("cart_item"), "cooc"),
+        ["item_id", "cart_item"],
     )
-    return df.join(scores, ["session_id", "item_id"], "left").fillna(0.0, ["cart_cooccurrence"])
+    return _mean_cooccurrence(df, weighted.withColumn("total", F.col("cooc") * F.col("n")))
+
+
+def cart_cooccurrence_in(
+    df: DataFrame, carts: DataFrame, interactions: DataFrame, split_items: int = SPLIT_ITEMS
+) -> DataFrame:
+    """:func:`cart_cooccurrence` straight from ``interactions``, without a symmetric table.
+
+    Items that are neither candidates nor in a cart leave the baskets before any pairing, and
+    wanted pairs meet the summed unordered pairs once, in their order, where those already lie.
+    """
+    items = materialize(
+        df.select("item_id").distinct().unionAll(carts.select("item_id").distinct()).distinct(),
+        "wanted",
+    )
+    half = pair_counts(
+        interactions, split_items=split_items, only=broadcast_if_small(items, 16)
+    )
+    wanted = cart_pairs(df, carts, split_items).withColumns(
+        {"item_a": F.least("item_id", "cart_item"), "item_b": F.greatest("item_id", "cart_item")}
+    )
+    # An item pairs with itself in both directions.
+    times = F.when(F.col("item_a") == F.col("item_b"), 2).otherwise(1)
+    weighted = wanted.join(half, ["item_a", "item_b"]).withColumn(
+        "total", F.col("pairs") * times * F.col("n")
+    )
+    return _mean_cooccurrence(df, weighted)
 
 
 def add_interaction_features(df: DataFrame) -> DataFrame:

@@ -52,7 +52,10 @@ def item_popularity(interactions: DataFrame) -> DataFrame:
 
 
 def pair_counts(
-    interactions: DataFrame, session: str = "session_id", split_items: int = SPLIT_ITEMS
+    interactions: DataFrame,
+    session: str = "session_id",
+    split_items: int = SPLIT_ITEMS,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Unordered line pairs of the same session, summed per item pair (item_a <= item_b).
 
@@ -60,8 +63,16 @@ def pair_counts(
     and n_a * (n_a - 1) / 2 pairs of an item with itself. So repeated lines are
     counted before any pairing and copies never multiply. Sessions with very many
     distinct items are cut into blocks by item, as many as their own size asks for, and
-    every two blocks are paired apart from the others.
+    every two blocks are paired apart from the others. ``only`` (item_id, distinct) leaves
+    out all other items before any pairing.
     """
+    if only is not None:
+        interactions = interactions.join(only, "item_id", "left_semi")
+    # Lines bound distinct items from above and are cheaper to count.
+    hot = hot_groups(interactions, [session], split_items)
+    if hot is None:
+        # One shuffle, by session, serves the counts and both sides of the pairing.
+        interactions = interactions.select(session, "item_id").repartition(session)
     baskets = interactions.groupBy(session, "item_id").agg(F.count(F.lit(1)).alias("n"))
     repeated = (
         baskets.where("n > 1")
@@ -80,8 +91,6 @@ def pair_counts(
 
     slim = baskets.select(session, F.col("item_id").alias("item"), "n")
 
-    # Lines bound distinct items from above and are cheaper to count.
-    hot = hot_groups(interactions, [session], split_items)
     if hot is None:
         emitted = paired(slim, [session])
     else:

@@ -464,9 +464,7 @@ def feat_cart(spark: SparkSession, d: str) -> DataFrame:
 @query
 def feat_cart_cooccurrence(spark: SparkSession, d: str) -> DataFrame:
     train, _, _ = _splits(spark, d)
-    df = features.cart_cooccurrence(
-        _lines(spark, d), carts(spark, d), stats.item_cooccurrence(train)
-    )
+    df = features.cart_cooccurrence_in(_lines(spark, d), carts(spark, d), train)
     return rounded(df.select("line_key", "cart_cooccurrence"))
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwise.sources import schemas
@@ -14,7 +17,8 @@ def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "csv") ->
 
     Declared columns get their declared types; of a CSV file only the header line is
     read ahead. Other columns are kept, as text from CSV files. Declared columns that
-    the file lacks are absent. Fields that do not parse become null.
+    the file lacks are absent. Fields that do not parse become null. CSV files of one folder
+    whose header lines differ are an error.
     """
     kinds = dict(column.split(" ") for column in schema.split(", "))
     if fmt != "csv":
@@ -23,11 +27,106 @@ def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "csv") ->
         return table.select(*declared, *[f"`{n}`" for n in table.columns if n not in kinds])
     header = spark.read.csv(path, header=True).columns
     layout = ", ".join(f"`{name}` {kinds.get(name, 'STRING')}" for name in header)
-    table = spark.read.schema(layout).csv(path, header=True)
+    table = spark.read.schema(layout).csv(path, header=True, enforceSchema=False)
     declared = [name for name in kinds if name in header]
     return table.select(*declared, *[f"`{n}`" for n in header if n not in kinds])
 
 
+# Columns of checked tables: what is wrong with a row, and the row as it was read.
+BAD, RECORD = "_bad_columns", "_bad_record"
+# Columns without which a row of an input file cannot be used.
+KEYS = {
+    "users": ("user_id",),
+    "restaurants": ("restaurant_id",),
+    "items": ("item_id",),
+    "carts": ("session_id",),
+    "order_items": ("order_id", "item_id"),
+    "orders": ("order_id", "user_id", "restaurant_id"),
+}
+LAYOUTS = {
+    "users": schemas.USERS,
+    "restaurants": schemas.RESTAURANTS,
+    "items": schemas.ITEMS,
+    "carts": schemas.CARTS,
+    "order_items": schemas.ORDER_ITEMS,
+    "orders": schemas.ORDERS,
+}
+
+
+def checked_table(spark: SparkSession, path: str, schema: str, fmt: str = "csv") -> DataFrame:
+    """The table of :func:`read_table` with two more columns about each row.
+
+    ``BAD`` names the declared columns that hold a value which does not parse, and holds
+    ``row`` for a CSV line with too few or too many fields; it is empty for a good row.
+    ``RECORD`` is the line (CSV) or the row as JSON, for such rows only.
+    """
+    kinds = dict(column.split(" ") for column in schema.split(", "))
+    torn = F.lit(None).cast("string")
+    if fmt == "csv":
+        names = spark.read.csv(path, header=True).columns
+        line = "_line"
+        layout = ", ".join(f"`{name}` STRING" for name in [*names, line])
+        # Without pruning each line is held against all columns, whatever is asked for.
+        raw = spark.read.schema(layout).option("columnPruning", False).csv(
+            path, header=True, enforceSchema=False, columnNameOfCorruptRecord=line
+        )
+        torn = F.col(line)
+    else:
+        raw = spark.read.format(fmt).load(path)
+        names = raw.columns
+    field = lambda name: F.col(f"`{name}`")
+    declared = {name: field(name).try_cast(kind) for name, kind in kinds.items() if name in names}
+    bad = F.array_compact(
+        F.array(
+            *[F.when(field(n).isNotNull() & parsed.isNull(), F.lit(n)) for n, parsed in declared.items()],
+            F.when(torn.isNotNull(), F.lit("row")),
+        )
+    )
+    record = F.coalesce(torn, F.to_json(F.struct(*[field(n) for n in names])))
+    return raw.select(
+        *[parsed.alias(n) for n, parsed in declared.items()],
+        *[field(n) for n in names if n not in kinds],
+        bad.alias(BAD),
+        F.when(F.size(bad) > 0, record).alias(RECORD),
+    )
+
+
+def _unusable(keys: Sequence[str]) -> Column:
+    return F.arrays_overlap(F.col(BAD), F.array(*[F.lit(k) for k in (*keys, "row")]))
+
+
+def usable_rows(
+    checked: DataFrame, keys: Sequence[str], observation: Observation | None = None
+) -> DataFrame:
+    """Rows of a checked table whose ``keys`` parse; other fields that do not are null.
+
+    ``observation`` counts, in the pass that reads the table, ``rows``, the ``rejected`` ones
+    and the ``repaired`` ones that stay with a null.
+    """
+    lost = _unusable(keys)
+    if observation is not None:
+        checked = checked.observe(
+            observation,
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(lost).alias("rejected"),
+            F.count_if(~lost & (F.size(BAD) > 0)).alias("repaired"),
+        )
+    return checked.where(~lost).drop(BAD, RECORD)
+
+
+def rejected_rows(checked: DataFrame, keys: Sequence[str], table: str) -> DataFrame:
+    """(table, columns, record, kept) of each row with a field that does not parse.
+
+    ``kept`` rows are in the table, with a null in that field; the others are not.
+    """
+    return checked.where(F.size(BAD) > 0).select(
+        F.lit(table).alias("table"),
+        F.col(BAD).alias("columns"),
+        F.col(RECORD).alias("record"),
+        (~_unusable(keys)).alias("kept"),
+    )
+
+
 def load_users(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     return read_table(spark, path, schemas.USERS, fmt)
 
@@ -126,18 +225,30 @@ def cart_lines(carts: DataFrame) -> DataFrame:
     )
 
 
-def load_all(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:
-    """All input tables of a folder, by name; nothing is read until used."""
-    def path(name: str) -> str:
-        return f"{folder.rstrip('/')}/{name}.{fmt}"
+def load_all(
+    spark: SparkSession,
+    folder: str,
+    fmt: str = "csv",
+    observations: dict[str, Observation] | None = None,
+) -> dict[str, DataFrame]:
+    """All input tables of a folder, by name; nothing is read until used.
 
+    No row vanishes unseen: ``rejects`` holds every row of the six files with a field that
+    does not parse (see :func:`rejected_rows`). ``observations`` takes an observation for each
+    file, which the first action on its table fills (see :func:`usable_rows`).
+    """
+    checked = {
+        name: checked_table(spark, f"{folder.rstrip('/')}/{name}.{fmt}", LAYOUTS[name], fmt)
+        for name in KEYS
+    }
+    if observations is not None:
+        observations.update({name: Observation(f"rejects of {name}") for name in KEYS})
+    seen = observations or {}
+    tables = {name: usable_rows(checked[name], KEYS[name], seen.get(name)) for name in KEYS}
+    order_items, orders = tables.pop("order_items"), tables.pop("orders")
+    rejects = [rejected_rows(checked[name], KEYS[name], name) for name in KEYS]
     return {
-        "users": load_users(spark, path("users"), fmt),
-        "restaurants": load_restaurants(spark, path("restaurants"), fmt),
-        "items": load_items(spark, path("items"), fmt),
-        "carts": load_carts(spark, path("carts"), fmt),
-        "interactions": build_interactions(
-            read_table(spark, path("order_items"), schemas.ORDER_ITEMS, fmt),
-            read_table(spark, path("orders"), schemas.ORDERS, fmt),
-        ),
+        **tables,
+        "interactions": build_interactions(order_items, orders),
+        "rejects": reduce(DataFrame.unionByName, rejects),
     }

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cartwise.functions.scalars import cyclical, safe_divide
 from cartwise.operators import business, embeddings, features, metrics, sampling, split, stats
-from cartwise.sources import readers, sinks
+from cartwise.sources import readers, schemas, sinks
 from cartwise.sources.schemas import require_columns
 
 
@@ -341,3 +341,49 @@ def test_csv_folder(spark, tmp_path):
     assert [(r.session_id, r.timestamp, r.user_id) for r in line] == [
         ("sess_1", datetime(2024, 1, 1, 10), 7)
     ]
+
+
+def test_rows_that_do_not_parse_are_counted_and_kept(spark, tmp_path):
+    tables = {
+        "users": "user_id,user_segment\n7,budget\nU8,regular\n",
+        "restaurants": "restaurant_id,city\n3,Pune\n",
+        "items": "item_id,restaurant_id,price\nI1,3,10\n5,3,abc\n6,3,2.5\n,3,1\n",
+        "carts": "session_id,cart_items\nsess_1,5\nsess_2,5,6\n",
+        "orders": "order_id,user_id,restaurant_id\n1,7,3\n2,U8,3\n",
+        "order_items": "order_id,item_id,added_timestamp,is_recommended,added_after_recommendation\n"
+        "1,5,2024-01-01 10:00:00,1,0\n1,I1,2024-01-01 10:00:00,1,0\n2,6,2024-01-01 10:00:00,1,0\n",
+    }
+    for name, text in tables.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    seen = {}
+    found = readers.load_all(spark, str(tmp_path), observations=seen)
+    lost = {(r["table"], tuple(r["columns"])): (r["record"], r["kept"]) for r in found["rejects"].collect()}
+    assert {k: v[1] for k, v in lost.items()} == {
+        ("users", ("user_id",)): False,
+        ("items", ("item_id",)): False,
+        ("items", ("price",)): True,
+        ("carts", ("row",)): False,
+        ("orders", ("user_id",)): False,
+        ("order_items", ("item_id",)): False,
+    }
+    assert '"I1"' in lost["items", ("item_id",)][0] and lost["carts", ("row",)][0] == "sess_2,5,6"
+    # A missing id is no failed parse: the row stays, as null_profile counts it.
+    assert rows(found["items"].fillna(-1), "item_id", "price") == [(-1, 1.0), (5, -1.0), (6, 2.5)]
+    assert seen["items"].get == {"rows": 4, "rejected": 1, "repaired": 1}
+    assert [(r.order_id, r.item_id) for r in found["interactions"].collect()] == [(1, 5)]
+    assert seen["order_items"].get == {"rows": 3, "rejected": 1, "repaired": 0}
+
+    as_text = found["users"].select(F.lit("I9").alias("user_id"), "user_segment")
+    as_text.write.parquet(str(tmp_path / "typed"))
+    checked = readers.checked_table(spark, str(tmp_path / "typed"), schemas.USERS, "parquet")
+    assert readers.usable_rows(checked, ["user_id"]).count() == 0
+    assert readers.rejected_rows(checked, ["user_id"], "users").first()["record"].startswith('{"user_id":"I9"')
+
+
+def test_files_with_other_headers_are_refused(spark, tmp_path):
+    folder = tmp_path / "users.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("user_id,user_segment\n7,budget\n")
+    (folder / "b.csv").write_text("user_segment,user_id\nbudget,8\n")
+    with pytest.raises(Exception, match="header|CSV"):
+        readers.load_users(spark, str(folder)).collect()

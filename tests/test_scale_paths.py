@@ -1,10 +1,14 @@
 """The paths for large groups give the rows of the plain paths."""
 
+import re
+
+import numpy as np
 import pytest
 from conftest import rows
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from cartwise.operators import embeddings, metrics, ordering, ranker, sampling, stats
+from cartwise.operators import embeddings, features, metrics, ordering, ranker, sampling, stats
 from cartwise.plans.catalog import QUERIES
 from cartwise.sources import retail
 
@@ -166,6 +170,54 @@ def test_nearest_items_in_blocks(spark, sf):
     assert embeddings.similar_items(vectors, queries=few).count() == 30
 
 
+@pytest.mark.parametrize("cosine", [True, False])
+def test_cells_skip_what_cannot_be_near(spark, cosine):
+    """Clustered vectors against brute force, with equal vectors, a zero and a hot cluster."""
+    draw = np.random.default_rng(5)
+    centres = draw.normal(size=(12, 8)) * 3
+    of = np.where(draw.random(900) < 0.3, 0, draw.integers(0, 12, 900))
+    points = centres[of] + draw.normal(size=(900, 8)) * 0.05
+    points[10:40] = points[10]
+    points[50] = 0.0
+    vectors = spark.createDataFrame(
+        [(int(i), v.tolist()) for i, v in enumerate(points)], "item_id BIGINT, vec ARRAY<DOUBLE>"
+    )
+    seen = Observation()
+    found = embeddings.nearest_items(vectors, 5, cosine, block=60, observation=seen)
+    unit = points / np.maximum(np.linalg.norm(points, axis=1), 1e-300)[:, None] if cosine else points
+    scores = unit @ unit.T
+    np.fill_diagonal(scores, -np.inf)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.item_id, {})[r["rank"]] = r.similarity
+    for i, row in enumerate(scores):
+        assert [got[i][k] for k in range(1, 6)] == pytest.approx(np.sort(row)[::-1][:5], abs=1e-8)
+    equal = found.where("item_id = 12 AND rank <= 5").orderBy("rank").collect()
+    if cosine:
+        assert [r.other_id for r in equal] == [10, 11, 13, 14, 15]
+    assert seen.get["pairs"] % 900 == 0
+    assert seen.get["compared"] < 0.5 * seen.get["pairs"]
+    few = spark.createDataFrame([(3,), (50,), (-1,)], "item_id BIGINT")
+    some = embeddings.nearest_items(vectors, 5, cosine, queries=few, block=60)
+    assert rows(some) == rows(found.where("item_id IN (3, 50)"))
+
+
+@pytest.mark.parametrize("split_items", [stats.SPLIT_ITEMS, 2])
+def test_cooccurrence_without_symmetric_table(spark, sf, inter, split_items):
+    train = inter.where("item_id % 3 <> 0")
+    carts = inter.select("session_id", "item_id")
+    slim = inter.select("line_key", "session_id", "item_id")
+    one = features.cart_cooccurrence(slim, carts, stats.item_cooccurrence(train), split_items)
+    other = features.cart_cooccurrence_in(slim, carts, train, split_items)
+    assert rows(one) == rows(other.select(*one.columns))
+    if split_items > 2:
+        other.collect()
+        plan = other._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+        assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 8
+    none = features.cart_cooccurrence_in(slim.limit(0), carts, train)
+    assert none.count() == 0
+
+
 @pytest.mark.parametrize("block", [metrics.LEAST_BLOCK, 1])
 def test_split_resamples_follow_the_law(spark, monkeypatch, block):
     """Means of 10 distinct values: the variance of a mean is that of a value over n."""
