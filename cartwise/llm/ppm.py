@@ -10,17 +10,21 @@ context alone and are worked out once for the whole model.
 Escape estimate: a context with D distinct bytes and mass T escapes with D / (T + D). Every
 counted edge is kept, whatever its count and the size of the corpus.
 
-The logarithm of a byte depends on the byte and its ``ORDER`` bytes before it alone, so it is
-worked out once for each distinct run of all texts, in tasks that hold the runs with the
-same ``LOW`` bytes before the coded one: a task has all longer contexts of its runs, and the
-edges of shorter contexts, which the alphabet bounds, are sent to all. The result is a
-written table that grows with the corpus. Its most used runs, at most ``HOT_GRAMS``, are a
-cache in the tasks that read texts; the other runs of a text meet the table in a shuffle
-join.
+The logarithm of a byte depends on the byte and its ``ORDER`` bytes before it alone: a run. Runs
+are dealt to ``BUCKETS`` by the ``LOW`` bytes before the coded one, so the task of a bucket has
+all longer contexts of its runs; the edges of shorter contexts, which the alphabet bounds (at
+most 2^(8 LOW) keys, 268 MB at worst, a few MB for usual texts), are sent to all. A first pass
+over the texts counts runs, packed as sorted differences, and merges them into a written table of
+edges. A second pass sends each text's distinct runs to their buckets, packed as postings (run,
+row, times); there they meet the edges, are scored, and go back as one sum a row. A bucket with
+more than ``SPLIT`` uses is dealt to several tasks, each with the bucket's edges. Postings stream
+through a task; the edges of its bucket, which the alphabet bounds too, are all it holds.
 
 Every text is coded with ``ORDER`` start marks before it and an end mark after it (byte values
 that UTF-8 never uses).
 
+Very long texts are coded whole, 8 bytes of memory a byte of text in their task.
+
 Rows: each input row is scored by itself; repeated rows are scored alike. Null text: empty
 text (its score is that of the end mark). Null id: its fold is that of the empty text.
 Empty table: no rows. No training rows: every byte has probability 1/256 and the word
@@ -30,7 +34,7 @@ counts are zero. Other columns of the input are ignored.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,14 +45,19 @@ from pyspark.sql import functions as F
 
 from cartwise.llm import text as tx
 from cartwise.llm.ship import ship
-from cartwise.session import materialize
+from cartwise.session import materialize, settled
 
 ORDER = 5
 #: Context bytes that deal runs to tasks; edges of fewer context bytes are at most 2^(8 LOW).
 LOW = 3
-#: Runs that a task scores at a time, and all others with the same ``LOW`` bytes.
-CHUNK = 1 << 19
-HOT_GRAMS = 1 << 20
+#: Buckets of runs.
+BUCKETS = 1 << 10
+#: Edges or postings that a task gathers before it scores them.
+CHUNK = 1 << 20
+#: Runs of a block of postings.
+BLOCK_RUNS = 1 << 22
+#: Most uses of a bucket's runs that one task scores.
+SPLIT = 1 << 28
 HOT_WORDS = 1 << 18
 WORD_PIECE_BYTES = 8 << 20
 START, END = 0xFE, 0xFF
@@ -70,40 +79,138 @@ def _grams(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return key[coded]
 
 
+def _dealt(grams: np.ndarray) -> np.ndarray:
+    """Runs as numbers that sort by bucket, then by their ``LOW`` bytes: bucket, low, rest, byte."""
+    low = (grams >> np.uint64(8)) & np.uint64((1 << (8 * LOW)) - 1)
+    bucket = tx.mix(low) % np.uint64(BUCKETS)
+    rest = grams >> np.uint64(8 * (LOW + 1))
+    return bucket << np.uint64(48) | low << np.uint64(24) | rest << np.uint64(8) | grams & np.uint64(255)
+
+
+def _undealt(codes: np.ndarray) -> np.ndarray:
+    low = (codes >> np.uint64(24)) & np.uint64((1 << (8 * LOW)) - 1)
+    rest = (codes >> np.uint64(8)) & np.uint64(0xFFFF)
+    return rest << np.uint64(8 * (LOW + 1)) | low << np.uint64(8) | codes & np.uint64(255)
+
+
+def _packed(*columns: tuple[np.ndarray, int]) -> bytes:
+    """Columns of whole numbers, each with its width in bytes, byte by byte and compressed."""
+    planes = [
+        np.ascontiguousarray(v.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+        for v, width in columns
+    ]
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def _unpacked(body: bytes, *columns: tuple[int, int]) -> list[np.ndarray]:
+    """The columns of ``_packed`` from their (length, width)."""
+    size = sum(n * width for n, width in columns)
+    raw = np.frombuffer(pa.decompress(body, size, codec="zstd", asbytes=True), np.uint8)
+    out, at = [], 0
+    for n, width in columns:
+        value = np.zeros(n, np.uint64)
+        for k in range(width):
+            value |= raw[at : at + n].astype(np.uint64) << np.uint64(8 * k)
+            at += n
+        out.append(value)
+    return out
+
+
+def _steps(keys: np.ndarray) -> np.ndarray:
+    return np.diff(keys, prepend=np.uint64(0))
+
+
+def _bounds(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of sorted codes, and where each begins and the last ends."""
+    bucket = codes >> np.uint64(48)
+    first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(codes) else np.zeros(0, np.int64)
+    return bucket[first].astype(np.int32), np.r_[first, len(codes)]
+
+
+_EDGES = {"bucket": pa.int32(), "size": pa.int64(), "uses": pa.int64(), "body": pa.binary()}
+_COUNTS = {"word": pa.string(), "n": pa.int64(), **_EDGES}
+
+
+def _edge_rows(codes: np.ndarray, n: np.ndarray) -> dict[str, pa.Array]:
+    """Sorted dealt codes and their counts, one packed row a bucket."""
+    buckets, at = _bounds(codes)
+    bodies = [
+        _packed((_steps(codes[a:b]), 8), (n[a:b], 8)) for a, b in zip(at[:-1].tolist(), at[1:].tolist())
+    ]
+    uses = np.add.reduceat(n, at[:-1]) if len(codes) else np.zeros(0, np.int64)
+    return {
+        "bucket": pa.array(buckets),
+        "size": pa.array(np.diff(at), pa.int64()),
+        "uses": pa.array(uses.astype(np.int64)),
+        "body": pa.array(bodies, pa.binary()),
+    }
+
+
+def _edges_in(body: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
+    steps, n = _unpacked(body, (size, 8), (size, 8))
+    return np.cumsum(steps, dtype=np.uint64), n.astype(np.int64)
+
+
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    types = {"word": pa.string(), "gram": pa.int64(), "n": pa.int64(), "uses": pa.int64()}
-    schema = pa.schema(list(types.items()))
+    schema = pa.schema(list(_COUNTS.items()))
 
-    def made(size: int, **columns) -> pa.RecordBatch:
+    def made(size: int, /, **columns) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [columns[k] if k in columns else pa.nulls(size, t) for k, t in types.items()], schema=schema
+            [columns[k] if k in columns else pa.nulls(size, t) for k, t in _COUNTS.items()], schema=schema
         )
 
+    held_keys, held_counts, held, texts = [], [], 0, 0
     for batch in batches:
         learnt = batch.filter(pc.invert(batch["held_out"]))
+        texts += len(learnt)
         for _, _, data, at in tx.pieces(learnt["text"], WORD_PIECE_BYTES):
             data = tx.LOWER[data]
             starts, ends, _ = tx.words_at(data, at, tx.SPACED)
             coded = tx.word_strings(data, starts, ends, tx.SPACED).dictionary_encode()
             n = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
             yield made(len(n), word=coded.dictionary.cast(pa.string()), n=pa.array(n, pa.int64()))
-        for learns, part in ((1, learnt), (0, batch.filter(batch["held_out"]))):
-            held_keys, held_counts, held = [], [], 0
-            for _, _, data, at in tx.pieces(part["text"]):
-                keys, counts = np.unique(_grams(tx.LOWER[data], at), return_counts=True)
-                held_keys.append(keys)
-                held_counts.append(counts)
-                held += len(keys)
-                if held > 2_000_000:
-                    merged = _merged(held_keys, held_counts)
-                    held_keys, held_counts, held = [merged[0]], [merged[1]], len(merged[0])
-            if held_keys:
-                keys, counts = _merged(held_keys, held_counts)
-                uses = counts.astype(np.int64)
-                yield made(
-                    len(keys), gram=pa.array(keys.view(np.int64)), n=pa.array(uses * learns), uses=pa.array(uses)
-                )
-        yield made(1, n=pa.array([len(learnt)], pa.int64()))
+            keys, counts = np.unique(_dealt(_grams(data, at)), return_counts=True)
+            held_keys.append(keys)
+            held_counts.append(counts)
+            held += len(keys)
+            if held > BLOCK_RUNS:
+                merged = _merged(held_keys, held_counts)
+                held_keys, held_counts, held = [merged[0]], [merged[1]], len(merged[0])
+                if held > BLOCK_RUNS // 2:
+                    packed = _edge_rows(*merged)
+                    yield made(len(packed["bucket"]), **packed)
+                    held_keys, held_counts, held = [], [], 0
+    if held:
+        packed = _edge_rows(*_merged(held_keys, held_counts))
+        yield made(len(packed["bucket"]), **packed)
+    yield made(1, n=pa.array([texts], pa.int64()))
+
+
+def _merge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a bucket from all counts of it; rows come sorted by bucket."""
+    schema = pa.schema(list(_EDGES.items()))
+    keys, counts, held, now = [], [], 0, None
+
+    def closed() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(_edge_rows(*_merged(keys, counts)), schema=schema)
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if now is not None and row["bucket"] != now:
+                yield closed()
+                keys, counts, held = [], [], 0
+            now = row["bucket"]
+            found = _edges_in(row["body"], row["size"])
+            keys.append(found[0])
+            counts.append(found[1])
+            held += len(found[0])
+            if held > 4 * CHUNK:
+                merged = _merged(keys, counts)
+                keys, counts = [merged[0]], [merged[1]]
+                # What is left after merging does not count towards the next merge.
+                held = 0
+    if keys:
+        yield closed()
 
 
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -128,6 +235,8 @@ class Trie:
     start: list[np.ndarray]
     enter: list[np.ndarray]
     last: float
+    #: Facts of the longest order, which the next longer one needs.
+    below: tuple | None = None
 
 
 def _shorter(keys: np.ndarray, n: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -146,15 +255,18 @@ def edges_of(keys: np.ndarray, n: np.ndarray, orders: range) -> dict[int, tuple[
     return out
 
 
-def build_trie(edges: dict[int, tuple[np.ndarray, np.ndarray]]) -> Trie:
-    """The model from the edges (key, count) of each order.
+def build_trie(edges: dict[int, tuple[np.ndarray, np.ndarray]], base: Trie | None = None) -> Trie:
+    """The model from the edges (key, count) of each order, on top of ``base`` if given.
 
     A key of order k is k context bytes and the coded byte last. The edges of an order may
     be those of some contexts only, as long as the parents of its contexts are there.
     """
     sorted_edges, sorted_counts, contexts, start, enter = [], [], [], [], []
     below: tuple | None = None
-    for order in range(ORDER + 1):
+    if base is not None:
+        sorted_edges, sorted_counts, contexts = [*base.edges], [*base.edge_log], [*base.contexts]
+        start, enter, below = [*base.start], [*base.enter], base.below
+    for order in sorted(edges):
         key, n = edges[order]
         at = np.argsort(key)
         key, n = key[at], n[at].astype(float)
@@ -181,7 +293,7 @@ def build_trie(edges: dict[int, tuple[np.ndarray, np.ndarray]]) -> Trie:
         contexts.append(ctx)
         below = (ctx, mass, distinct, key, n)
     used = len(sorted_edges[0])
-    return Trie(sorted_edges, sorted_counts, contexts, start, enter, -float(np.log10(256 - used)))
+    return Trie(sorted_edges, sorted_counts, contexts, start, enter, -float(np.log10(256 - used)), below)
 
 
 class _Table:
@@ -217,12 +329,16 @@ class _Table:
 
 
 class Scorer:
-    """Looks positions up in a trie."""
+    """Looks positions up in a trie; the tables of ``base``, its short orders, are taken over."""
 
-    def __init__(self, trie: Trie):
+    def __init__(self, trie: Trie, base: Scorer | None = None):
         self.trie = trie
-        self.edges = [_Table(k) for k in trie.edges]
-        self.contexts = [_Table(k) for k in trie.contexts]
+        self.edges = [*(base.edges if base else [])]
+        self.contexts = [*(base.contexts if base else [])]
+        self.edges += [_Table(k) for k in trie.edges[len(self.edges) :]]
+        self.contexts += [_Table(k) for k in trie.contexts[len(self.contexts) :]]
+        if len(trie.edges) <= ORDER:
+            return
         top = trie.edges[ORDER]
         own = self.contexts[ORDER].find(top >> np.uint64(8))
         self.direct = trie.edge_log[ORDER] - trie.start[ORDER][1][own] if len(top) else np.zeros(0)
@@ -257,83 +373,123 @@ class Scorer:
         return out
 
 
-def _log_batches(shared):
-    """Logarithms of runs that come sorted by the ``LOW`` bytes before the coded one."""
-
-    def scored(parts: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
-        part = {c: np.concatenate([p[c] for p in parts]) for c in ("gram", "n", "uses")}
-        key, learnt = part["gram"].astype(np.uint64), part["n"] > 0
-        own = edges_of(key[learnt], part["n"][learnt], range(LOW, ORDER + 1))
-        log = Scorer(build_trie({**shared.value, **own})).bits(key)
-        return pa.RecordBatch.from_pydict(
-            {"gram": pa.array(part["gram"]), "uses": pa.array(part["uses"]), "log": pa.array(log)}
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            part = {c: batch[c].to_numpy() for c in ("gram", "n", "uses")}
-            held.append(part)
-            size += len(batch)
-            if size < CHUNK or not len(batch):
-                continue
-            of = part["gram"] >> 8 & ((1 << (8 * LOW)) - 1)
-            # All contexts but the last are whole.
-            whole = int(np.flatnonzero(of != of[-1])[-1]) + 1 if (of != of[-1]).any() else 0
-            if whole:
-                yield scored([*held[:-1], {c: v[:whole] for c, v in part.items()}])
-                held = [{c: v[whole:] for c, v in part.items()}]
-                size = len(batch) - whole
-        if size:
-            yield scored(held)
-
-    return run
-
-
-_made: dict[str, tuple] = {}
+_made: dict[str, object] = {}
+
+
+def _kept(key: str, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept in the worker from one task to the next of one job."""
+    if key not in _made:
+        _made.clear()
+        _made[key] = make()
+    return _made[key]
+
+
+class _Block:
+    """Rows of texts gathered for one block of postings."""
+
+    def __init__(self):
+        self.codes, self.rows, self.size, self.count = [], [], 0, 0
+
+    def add(self, data: np.ndarray, at: np.ndarray) -> None:
+        self.codes.append(_dealt(_grams(data, at)))
+        self.rows.append(np.repeat(np.arange(self.count, self.count + len(at) - 1), np.diff(at) + 1))
+        self.size += len(self.codes[-1])
+        self.count += len(at) - 1
+
+    def packed(self) -> dict[str, list]:
+        """One row a bucket: its distinct runs, the rows that hold each, and how often."""
+        codes, rows = np.concatenate(self.codes), np.concatenate(self.rows)
+        order = np.argsort(codes, kind="stable")
+        codes, rows = codes[order], rows[order].astype(np.uint64)
+        first = np.flatnonzero(np.r_[True, (codes[1:] != codes[:-1]) | (rows[1:] != rows[:-1])])
+        times = np.diff(np.r_[first, len(codes)])
+        codes, rows = codes[first], rows[first]
+        new = np.r_[True, codes[1:] != codes[:-1]]
+        ahead = np.where(new, rows, rows - np.r_[np.uint64(0), rows[:-1]])
+        key_at = np.flatnonzero(new)
+        holders = np.diff(np.r_[key_at, len(codes)])
+        keys = codes[key_at]
+        buckets, at = _bounds(keys)
+        out = {"bucket": buckets.tolist(), "size": [], "postings": [], "body": []}
+        ends = np.r_[key_at, len(codes)]
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+            low, high = int(ends[a]), int(ends[b])
+            out["size"].append(b - a)
+            out["postings"].append(high - low)
+            out["body"].append(
+                _packed((_steps(keys[a:b]), 8), (holders[a:b], 4), (ahead[low:high], 4), (times[low:high], 4))
+            )
+        return out
 
 
-def _score_batches(shared):
-    """The batch function that looks common runs and words up and lists the others."""
+def _postings_in(body: bytes, size: int, postings: int) -> tuple[np.ndarray, ...]:
+    """(run, row, times) of each posting of a packed row."""
+    steps, holders, ahead, times = _unpacked(body, (size, 8), (size, 4), (postings, 4), (postings, 4))
+    holders, ahead = holders.astype(np.int64), ahead.astype(np.int64)
+    first = np.cumsum(holders) - holders
+    total = np.cumsum(ahead)
+    rows = total - np.repeat(total[first] - ahead[first], holders)
+    return np.repeat(np.cumsum(steps, dtype=np.uint64), holders), rows, times.astype(np.int64)
+
+
+#: Columns of what the second pass sends to the buckets. Kind 0: edges; 1: postings; 2: a row's facts.
+_SENT = {
+    "kind": pa.int32(),
+    "bucket": pa.int32(),
+    "part": pa.int32(),
+    "row": pa.int64(),
+    "count": pa.int64(),
+    "size": pa.int64(),
+    "postings": pa.int64(),
+    "body": pa.binary(),
+    "held_out": pa.bool_(),
+    "n_words": pa.int64(),
+    "hot_known": pa.int64(),
+    "hot_log": pa.float64(),
+    "rare": pa.list_(pa.string()),
+}
+_SENT_SQL = (
+    "kind int, bucket int, part int, row long, count long, size long, postings long, body binary, "
+    "held_out boolean, n_words long, hot_known long, hot_log double, rare array<string>, doc_id {}"
+)
+
+
+def _send_batches(shared):
+    """The batch function that packs postings and looks common words up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        key = shared.value["id"]
-        if key not in _made:
-            _made.clear()
-            _made[key] = (_Table(shared.value["grams"]), shared.value["logs"], shared.value["hot"], shared.value["hot_n"])
-        table, cached, hot, hot_n = _made[key]
-        hot_log = np.log10(hot_n + 1.0)
-        number = TaskContext.get().partitionId() << 40
+        hot, hot_log = shared.value["hot"], np.log10(shared.value["hot_n"] + 1.0)
+        parts = shared.value["parts"]
+        number = first_row = TaskContext.get().partitionId() << 40
+        block, doc_type = _Block(), None
+
+        def made(size: int, /, **columns) -> pa.RecordBatch:
+            types = {**_SENT, "doc_id": doc_type}
+            arrays = [columns[k] if k in columns else pa.nulls(size, t) for k, t in types.items()]
+            return pa.RecordBatch.from_arrays(arrays, schema=pa.schema(list(types.items())))
+
+        def sent() -> pa.RecordBatch:
+            packed = block.packed()
+            n = len(packed["bucket"])
+            of = np.array(packed["bucket"], np.int64)
+            return made(
+                n,
+                kind=pa.array(np.ones(n, np.int32)),
+                bucket=pa.array(packed["bucket"], pa.int32()),
+                part=pa.array((tx.mix(np.full(n, first_row, np.uint64)) % parts[of]).astype(np.int32)),
+                row=pa.array(np.full(n, first_row)),
+                count=pa.array(np.full(n, block.count)),
+                **{k: pa.array(packed[k], _SENT[k]) for k in ("size", "postings", "body")},
+            )
+
         for batch in batches:
+            doc_type = batch["doc_id"].type
             for first, end, data, at in tx.pieces(batch["text"]):
                 data = tx.LOWER[data]
                 rows = end - first
-                keys = _grams(data, at)
-                logs = np.zeros(len(keys))
-                for low in range(0, len(keys), 1 << 19):
-                    found = table.find(keys[low : low + (1 << 19)])
-                    logs[low : low + (1 << 19)] = np.where(found >= 0, cached[found], np.nan) if len(cached) else np.nan
-                seldom = np.flatnonzero(np.isnan(logs))
-                logs[seldom] = 0.0
-                bounds = at + np.arange(rows + 1)
-                score = np.add.reduceat(logs, bounds[:-1])
-                # Each run that is not cached once a text, with its number there.
-                of = np.searchsorted(bounds, seldom, side="right") - 1
-                order = np.lexsort((keys[seldom], of))
-                of, run_keys = of[order], keys[seldom][order]
-                fresh = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (run_keys[1:] != run_keys[:-1])]) if len(of) else of
-                runs = pa.LargeListArray.from_arrays(
-                    pa.array(np.searchsorted(of[fresh], np.arange(rows + 1)), pa.int64()),
-                    pa.StructArray.from_arrays(
-                        [
-                            pa.array(run_keys[fresh].view(np.int64)),
-                            pa.array(np.diff(np.r_[fresh, len(of)]), pa.int64()),
-                        ],
-                        ["gram", "times"],
-                    ),
-                )
+                block.add(data, at)
                 starts, ends, before = tx.words_at(data, at, tx.SPACED)
                 coded = tx.word_strings(data, starts, ends, tx.SPACED).dictionary_encode()
                 codes = coded.indices.to_numpy()
@@ -349,126 +505,232 @@ def _score_batches(shared):
                     pa.array(np.searchsorted(rare, before), pa.int64()),
                     coded.dictionary.take(pa.array(codes[rare])),
                 )
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "row": pa.array(number + np.arange(rows)),
-                        "doc_id": batch["doc_id"].slice(first, rows),
-                        "held_out": batch["held_out"].slice(first, rows),
-                        "n_words": pa.array(np.diff(before), pa.int64()),
-                        "hot_known": pa.array(known[before[1:]] - known[before[:-1]], pa.int64()),
-                        "hot_log": pa.array(total[before[1:]] - total[before[:-1]]),
-                        "score": pa.array(score),
-                        "rare": lists.cast(pa.list_(pa.string())),
-                        "runs": runs.cast(pa.list_(runs.type.value_type)),
-                    }
+                places = number + np.arange(rows)
+                yield made(
+                    rows,
+                    kind=pa.array(np.full(rows, 2, np.int32)),
+                    # Facts are of no bucket; they travel with all of them.
+                    bucket=pa.array((places % BUCKETS).astype(np.int32)),
+                    part=pa.array(np.zeros(rows, np.int32)),
+                    row=pa.array(places),
+                    doc_id=batch["doc_id"].slice(first, rows),
+                    held_out=batch["held_out"].slice(first, rows),
+                    n_words=pa.array(np.diff(before), pa.int64()),
+                    hot_known=pa.array(known[before[1:]] - known[before[:-1]], pa.int64()),
+                    hot_log=pa.array(total[before[1:]] - total[before[:-1]]),
+                    rare=lists.cast(pa.list_(pa.string())),
                 )
                 number += rows
+                if block.size >= BLOCK_RUNS:
+                    yield sent()
+                    block, first_row = _Block(), number
+        if block.size:
+            yield sent()
+
+    return run
+
+
+def _score_batches(shared):
+    """Scores postings that come after the edges of their bucket; sums go back by row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = _kept(shared.value["id"], lambda: Scorer(build_trie(shared.value["low"])))
+        now: tuple | None = None
+        edges: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        scorer: Scorer | None = None
+        held: list[tuple] = []
+        size = edge_size = 0
+        sums: dict[int, np.ndarray] = {}
+
+        def scored() -> None:
+            nonlocal scorer
+            if scorer is None:
+                keys = [np.zeros(0, np.uint64), *[_undealt(k) for k, _ in edges.values()]]
+                n = [np.zeros(0, np.int64), *[c for _, c in edges.values()]]
+                own = edges_of(np.concatenate(keys), np.concatenate(n), range(LOW, ORDER + 1))
+                scorer = Scorer(build_trie(own, base.trie), base)
+            codes = np.concatenate([h[1] for h in held])
+            distinct, place = np.unique(codes, return_inverse=True)
+            log = scorer.bits(_undealt(distinct))[place]
+            at = 0
+            for row, code, rows, times, count in held:
+                gained = np.bincount(rows, log[at : at + len(code)] * times, count)
+                sums[row] = sums[row] + gained if row in sums else gained
+                at += len(code)
+
+        def back() -> Iterator[pa.RecordBatch]:
+            for row, gained in sums.items():
+                there = np.flatnonzero(gained)
+                yield pa.RecordBatch.from_pydict(
+                    {"row": pa.array(row + there), "run_log": pa.array(gained[there])}
+                )
+
+        names = ["kind", "bucket", "part", "row", "count", "size", "postings", "body"]
+        facts = ["row", "doc_id", "held_out", "n_words", "hot_known", "hot_log", "rare"]
+        for batch in batches:
+            kinds = batch["kind"].to_numpy()
+            if (kinds == 2).any():
+                other = batch.filter(pa.array(kinds == 2))
+                yield _filled(other.select(facts), batch)
+            for item in batch.filter(pa.array(kinds < 2)).select(names).to_pylist():
+                key = item["bucket"], item["part"]
+                if key != now and (size >= CHUNK or edge_size >= CHUNK):
+                    if held:
+                        scored()
+                    edges, scorer, held, size, edge_size = {}, None, [], 0, 0
+                now = key
+                if item["kind"] == 0:
+                    # Each part of a bucket brings the same edges.
+                    if item["bucket"] not in edges:
+                        edges[item["bucket"]] = _edges_in(item["body"], item["size"])
+                        edge_size += item["size"]
+                        scorer = None
+                    continue
+                found = _postings_in(item["body"], item["size"], item["postings"])
+                held.append((item["row"], *found, item["count"]))
+                size += item["postings"]
+                if size >= 4 * CHUNK:
+                    scored()
+                    held, size = [], 0
+                    if len(edges) > 1:
+                        # The rest of this bucket needs its own edges only.
+                        edges = {k: v for k, v in edges.items() if k == item["bucket"]}
+                        edge_size, scorer = sum(len(k) for k, _ in edges.values()), None
+                    if sum(len(s) for s in sums.values()) > 4 * CHUNK:
+                        yield from (_filled(b, batch) for b in back())
+                        sums = {}
+        if held:
+            scored()
+        if sums:
+            yield from (_filled(b, batch) for b in back())
 
     return run
 
 
+def _filled(part: pa.RecordBatch, like: pa.RecordBatch) -> pa.RecordBatch:
+    """``part`` with all columns of the scored table, absent ones null."""
+    names = ["row", "doc_id", "held_out", "n_words", "hot_known", "hot_log", "rare", "run_log"]
+    kinds = {**{n: like.schema.field(n).type for n in names[:-1]}, "run_log": pa.float64()}
+    return pa.RecordBatch.from_arrays(
+        [part[n] if n in part.schema.names else pa.nulls(len(part), kinds[n]) for n in names], names=names
+    )
+
+
 def count(texts: DataFrame) -> DataFrame:
-    """(word, gram, n, uses): counts of words and of byte runs, and one row of texts.
+    """(word, n, bucket, size, uses, body): counts of words and of byte runs, and of texts.
 
-    ``texts`` has the column text, and may have held_out: n counts the other rows, uses
-    counts runs in all. Batches count first, then tasks, then the shuffle.
+    ``texts`` has the column text, and may have held_out; such rows are not counted. Rows have
+    a word and its count, or the packed run counts of a bucket, or (neither) a number of
+    texts. Several rows may count the same word or bucket; each task sends few.
     """
     held = F.col("held_out") if "held_out" in texts.columns else F.lit(False)
-    return (
-        texts.select("text", held.alias("held_out"))
-        .mapInArrow(_count_batches, "word string, gram long, n long, uses long")
-        .groupBy("word", "gram")
-        .agg(F.sum("n").alias("n"), F.sum("uses").alias("uses"))
+    return texts.select("text", held.alias("held_out")).mapInArrow(
+        _count_batches, "word string, n long, bucket int, size long, uses long, body binary"
     )
 
 
 def fit(counts: DataFrame) -> Trie:
-    """The whole trie of a small corpus on the driver; ``run_logs`` works for any size."""
-    found = counts.where("gram is not null and n > 0").select("gram", "n").toArrow()
-    return build_trie(edges_of(found["gram"].to_numpy().astype(np.uint64), found["n"].to_numpy(), range(ORDER + 1)))
-
-
-def run_logs(counts: DataFrame) -> DataFrame:
-    """(gram, uses, log): logarithm of each counted run under the whole trie."""
-    grams = counts.where("gram is not null").select("gram", "n", "uses")
-    low = (
-        grams.where("n > 0")
-        .groupBy(F.expr(f"gram & {(1 << (8 * LOW)) - 1}L").alias("key"))
-        .agg(F.sum("n").alias("n"))
-        .toArrow()
-    )
-    low = edges_of(low["key"].to_numpy().astype(np.uint64), low["n"].to_numpy(), range(LOW))
-    context = F.expr(f"shiftright(gram, 8) & {(1 << (8 * LOW)) - 1}L")
+    """The whole trie of a small corpus on the driver; ``score`` works for any size."""
+    found = [_edges_in(r["body"], r["size"]) for r in counts.where("bucket is not null").collect()]
+    codes, n = _merged([k for k, _ in found], [c for _, c in found])
+    return build_trie(edges_of(_undealt(codes), n, range(ORDER + 1)))
+
+
+def edge_table(counts: DataFrame) -> DataFrame:
+    """(bucket, size, uses, body): all edges of the longest order, one row a bucket."""
     return (
-        grams.repartition(context)
-        .sortWithinPartitions(context)
-        .mapInArrow(_log_batches(counts.sparkSession.sparkContext.broadcast(low)), "gram long, uses long, log double")
+        counts.where(F.col("bucket").isNotNull())
+        .select("bucket", "size", "uses", "body")
+        .repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_merge_batches, "bucket int, size long, uses long, body binary")
     )
 
 
-def score(docs: DataFrame, trains: Column, hot_grams: int = HOT_GRAMS, hot_words: int = HOT_WORDS) -> DataFrame:
+def _low_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges of ``LOW`` bytes in all, counted by row of the edge table."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            codes, n = _edges_in(row["body"], row["size"])
+            keys, total = _shorter(_undealt(codes), n, LOW - 1)
+            yield pa.RecordBatch.from_pydict(
+                {"key": pa.array(keys.view(np.int64)), "n": pa.array(total)}
+            )
+
+
+def score(docs: DataFrame, trains: Column, hot_words: int = HOT_WORDS, split: int = SPLIT) -> DataFrame:
     """Score every row of ``docs`` (doc_id, text), learning from the rows ``trains`` selects.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Words
     that make up at least one ``hot_words``-th of the training words are at most that
     many; they go to all tasks. The others meet their counts in a shuffle join, which no
-    word can overload since it is below that share. Byte runs do the same, by their uses in
-    all rows and ``hot_grams``. Neither parameter changes results.
+    word can overload since it is below that share. Buckets with more than ``split`` uses in the
+    training texts are scored by several tasks. Neither parameter changes results.
     """
+    ship(docs.sparkSession)
+    return settled(docs.sparkSession, lambda: _scored(docs, trains, hot_words, split), "ppm-scores")
+
+
+def _scored(docs: DataFrame, trains: Column, hot_words: int, split: int) -> DataFrame:
     spark = docs.sparkSession
-    ship(spark)
     rows = docs.select(
         F.col("doc_id"), F.col("text"), (~F.coalesce(trains, F.lit(False))).alias("held_out")
     )
     counts = materialize(count(rows), "ppm-counts")
-    facts = counts.agg(
-        F.sum(F.when(F.col("word").isNotNull(), F.col("n"))).alias("words"),
-        F.count("word").alias("types"),
-        F.sum(F.when(F.col("word").isNull() & F.col("gram").isNull(), F.col("n"))).alias("texts"),
-        F.sum("uses").alias("uses"),
-    ).first()
-    texts = facts["texts"] or 0
+    words = materialize(
+        counts.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n")), "ppm-words"
+    )
+    facts = words.agg(F.sum("n").alias("words"), F.count("word").alias("types")).first()
+    texts = counts.where("word is null and bucket is null").agg(F.sum("n")).first()[0] or 0
     tokens = (facts["words"] or 0) + texts
     types = facts["types"] + (1 if texts else 0)
     least = max(1, -(-(facts["words"] or 0) // hot_words))
-    words = counts.where(F.col("word").isNotNull()).select("word", "n")
     hot = words.where(F.col("n") >= least).toArrow()
-    logs = materialize(run_logs(counts), "ppm-logs")
-    least_uses = max(1, -(-(facts["uses"] or 0) // hot_grams))
-    often = logs.where(F.col("uses") >= least_uses).select("gram", "log").toArrow()
+    edges = materialize(edge_table(counts), "ppm-edges")
+    low = edges.mapInArrow(_low_batches, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    low = edges_of(low["key"].to_numpy().astype(np.uint64), low["n"].to_numpy(), range(LOW))
+    # One number a bucket.
+    parts = np.ones(BUCKETS, np.uint64)
+    for r in edges.select("bucket", "uses").collect():
+        parts[r["bucket"]] = max(1, -(-r["uses"] // split))
     shared = spark.sparkContext.broadcast(
         {
             "id": uuid.uuid4().hex,
-            "grams": often["gram"].to_numpy().astype(np.uint64),
-            "logs": often["log"].to_numpy(),
+            "low": low,
+            "parts": parts,
             "hot": hot["word"].combine_chunks().cast(pa.large_string()),
             "hot_n": hot["n"].to_numpy(),
         }
     )
-    schema = (
-        f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_words long, "
-        "hot_known long, hot_log double, score double, rare array<string>, "
-        "runs array<struct<gram: long, times: long>>"
+    doc_type = docs.schema["doc_id"].dataType.simpleString()
+    sent = rows.mapInArrow(_send_batches(shared), _SENT_SQL.format(doc_type))
+    copies = F.sequence(F.lit(0), F.greatest(F.ceil(F.col("uses") / split).cast("int"), F.lit(1)) - 1)
+    model = edges.select(F.lit(0).alias("kind"), "bucket", F.explode(copies).alias("part"), "size", "body")
+    order = ["bucket", "part", "kind"]
+    scored = materialize(
+        sent.unionByName(model, allowMissingColumns=True)
+        .repartition("bucket", "part")
+        .sortWithinPartitions(*order)
+        .mapInArrow(
+            _score_batches(shared),
+            f"row long, doc_id {doc_type}, held_out boolean, n_words long, hot_known long, "
+            "hot_log double, rare array<string>, run_log double",
+        ),
+        "ppm-rows",
     )
-    scored = materialize(rows.mapInArrow(_score_batches(shared), schema), "ppm-rows")
     rare = (
         scored.select("row", F.explode("rare").alias("word"))
         .join(words.where(F.col("n") < least), "word")
         .groupBy("row")
         .agg(F.count(F.lit(1)).alias("rare_known"), F.sum(F.log10(F.col("n") + 1.0)).alias("rare_log"))
     )
-    runs = (
-        scored.select("row", F.explode("runs").alias("run"))
-        .select("row", "run.gram", "run.times")
-        .join(logs.where(F.col("uses") < least_uses), "gram")
-        .groupBy("row")
-        .agg(F.sum(F.col("times") * F.col("log")).alias("run_log"))
-    )
+    runs = scored.where("run_log is not null").groupBy("row").agg(F.sum("run_log").alias("run_log"))
     known = F.col("hot_known") + F.coalesce("rare_known", F.lit(0))
     gained = F.col("hot_log") + F.coalesce("rare_log", F.lit(0.0)) + F.log10(F.lit(texts + 1.0))
     n_tokens = F.col("n_words") + 1
     return (
-        scored.drop("rare", "runs")
+        scored.where("run_log is null")
+        .drop("rare", "run_log")
         .join(rare, "row", "left")
         .join(runs, "row", "left")
         .select(
@@ -478,6 +740,6 @@ def score(docs: DataFrame, trains: Column, hot_grams: int = HOT_GRAMS, hot_words
             (known + F.lit(1 if texts else 0)).cast("long").alias("n_known"),
             F.lit(tokens).cast("long").alias("train_tokens"),
             (gained - n_tokens * F.log10(F.lit(float(tokens + types + 1)))).alias("base_score"),
-            (F.col("score") + F.coalesce("run_log", F.lit(0.0))).alias("score"),
+            F.coalesce("run_log", F.lit(0.0)).alias("score"),
         )
     )

@@ -122,8 +122,9 @@ def test_ppm_against_walk(spark):
         assert r.score == pytest.approx(brute_ppm(train, texts[r.doc_id]), abs=1e-9)
 
 
-@pytest.mark.parametrize("cache", [{}, {"hot_grams": 1}])
+@pytest.mark.parametrize("cache", [{}, {"split": 1 << 12}, {"split": 1 << 12, "hot_words": 1}])
 def test_ppm_keeps_rare_runs_of_a_large_corpus(spark, monkeypatch, cache):
+    # Set for the driver alone: what workers pack does not depend on it.
     monkeypatch.setattr(ppm, "CHUNK", 16, raising=False)
     # More than 2^19 bytes: a share of the corpus as limit would drop what occurs once.
     train = ["the bandana " * 1000] * 48 + ["zyx quokka vow"]
