@@ -53,9 +53,11 @@ LOW = 3
 #: Buckets of runs.
 BUCKETS = 1 << 10
 #: Edges or postings that a task gathers before it scores them.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Runs of a block of postings.
-BLOCK_RUNS = 1 << 22
+BLOCK_RUNS = 1 << 20
+#: Distinct runs that a task gathers before it merges or sends its counts.
+COUNT_RUNS = 1 << 21
 #: Most uses of a bucket's runs that one task scores.
 SPLIT = 1 << 28
 HOT_WORDS = 1 << 18
@@ -173,10 +175,10 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             held_keys.append(keys)
             held_counts.append(counts)
             held += len(keys)
-            if held > BLOCK_RUNS:
+            if held > COUNT_RUNS:
                 merged = _merged(held_keys, held_counts)
                 held_keys, held_counts, held = [merged[0]], [merged[1]], len(merged[0])
-                if held > BLOCK_RUNS // 2:
+                if held > COUNT_RUNS // 2:
                     packed = _edge_rows(*merged)
                     yield made(len(packed["bucket"]), **packed)
                     held_keys, held_counts, held = [], [], 0
@@ -392,7 +394,7 @@ class _Block:
 
     def add(self, data: np.ndarray, at: np.ndarray) -> None:
         self.codes.append(_dealt(_grams(data, at)))
-        self.rows.append(np.repeat(np.arange(self.count, self.count + len(at) - 1), np.diff(at) + 1))
+        self.rows.append(np.repeat(np.arange(self.count, self.count + len(at) - 1, dtype=np.uint32), np.diff(at) + 1))
         self.size += len(self.codes[-1])
         self.count += len(at) - 1
 
