@@ -11,14 +11,15 @@ Escape estimate: a context with D distinct bytes and mass T escapes with D / (T
 counted edge is kept, whatever its count and the size of the corpus.
 
 The logarithm of a byte depends on the byte and its ``ORDER`` bytes before it alone: a run. Runs
-are dealt to ``BUCKETS`` by the ``LOW`` bytes before the coded one, so the task of a bucket has
+are dealt to ``BUCKETS``, and these to groups, by the ``LOW`` bytes before the coded one, so the task of a group has
 all longer contexts of its runs; the edges of shorter contexts, which the alphabet bounds (at
 most 2^(8 LOW) keys, 268 MB at worst, a few MB for usual texts), are sent to all. A first pass
 over the texts counts runs, packed as sorted differences, and merges them into a written table of
-edges. A second pass sends each text's distinct runs to their buckets, packed as postings (run,
-row, times); there they meet the edges, are scored, and go back as one sum a row. A bucket with
-more than ``SPLIT`` uses is dealt to several tasks, each with the bucket's edges. Postings stream
-through a task; the edges of its bucket, which the alphabet bounds too, are all it holds.
+edges. A second pass sends each text's distinct runs to their groups, packed as postings (run,
+row, times); there they meet the edges, are scored, and go back as one sum a row. A group with
+more than ``SPLIT`` uses is dealt to several tasks, each with the group's edges. Postings stream
+through a task; the edges of its group, about ``GROUP_EDGES`` at most until each bucket is a group
+of its own, are all it holds.
 
 Every text is coded with ``ORDER`` start marks before it and an end mark after it (byte values
 that UTF-8 never uses).
@@ -42,6 +43,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from cartwise.llm import text as tx
 from cartwise.llm.ship import ship
@@ -52,13 +54,16 @@ ORDER = 5
 LOW = 3
 #: Buckets of runs.
 BUCKETS = 1 << 10
+#: Fewest groups of buckets that postings are dealt to, and the edges from which on there are more.
+GROUPS = 64
+GROUP_EDGES = 1 << 21
 #: Edges or postings that a task gathers before it scores them.
 CHUNK = 1 << 19
 #: Runs of a block of postings.
 BLOCK_RUNS = 1 << 20
 #: Distinct runs that a task gathers before it merges or sends its counts.
 COUNT_RUNS = 1 << 21
-#: Most uses of a bucket's runs that one task scores.
+#: Most uses of a group's runs that one task scores.
 SPLIT = 1 << 28
 HOT_WORDS = 1 << 18
 WORD_PIECE_BYTES = 8 << 20
@@ -122,9 +127,9 @@ def _steps(keys: np.ndarray) -> np.ndarray:
     return np.diff(keys, prepend=np.uint64(0))
 
 
-def _bounds(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The buckets of sorted codes, and where each begins and the last ends."""
-    bucket = codes >> np.uint64(48)
+def _bounds(codes: np.ndarray, shift: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets (or groups of 2^shift) of sorted codes, where each begins and the last ends."""
+    bucket = codes >> np.uint64(48 + shift)
     first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(codes) else np.zeros(0, np.int64)
     return bucket[first].astype(np.int32), np.r_[first, len(codes)]
 
@@ -398,8 +403,8 @@ class _Block:
         self.size += len(self.codes[-1])
         self.count += len(at) - 1
 
-    def packed(self) -> dict[str, list]:
-        """One row a bucket: its distinct runs, the rows that hold each, and how often."""
+    def packed(self, shift: int) -> dict[str, list]:
+        """One row a group of 2^shift buckets: its distinct runs, the rows that hold each, and how often."""
         codes, rows = np.concatenate(self.codes), np.concatenate(self.rows)
         order = np.argsort(codes, kind="stable")
         codes, rows = codes[order], rows[order].astype(np.uint64)
@@ -411,8 +416,8 @@ class _Block:
         key_at = np.flatnonzero(new)
         holders = np.diff(np.r_[key_at, len(codes)])
         keys = codes[key_at]
-        buckets, at = _bounds(keys)
-        out = {"bucket": buckets.tolist(), "size": [], "postings": [], "body": []}
+        groups, at = _bounds(keys, shift)
+        out = {"grp": groups.tolist(), "size": [], "postings": [], "body": []}
         ends = np.r_[key_at, len(codes)]
         for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
             low, high = int(ends[a]), int(ends[b])
@@ -434,26 +439,26 @@ def _postings_in(body: bytes, size: int, postings: int) -> tuple[np.ndarray, ...
     return np.repeat(np.cumsum(steps, dtype=np.uint64), holders), rows, times.astype(np.int64)
 
 
-#: Columns of what the second pass sends to the buckets. Kind 0: edges; 1: postings; 2: a row's facts.
+#: Columns of what the second pass sends to the groups. Kind 0: edges of a bucket; 1: postings;
+#: 2: the facts of a block's rows.
 _SENT = {
     "kind": pa.int32(),
-    "bucket": pa.int32(),
+    "grp": pa.int32(),
     "part": pa.int32(),
     "row": pa.int64(),
     "count": pa.int64(),
     "size": pa.int64(),
     "postings": pa.int64(),
     "body": pa.binary(),
-    "held_out": pa.bool_(),
-    "n_words": pa.int64(),
-    "hot_known": pa.int64(),
-    "hot_log": pa.float64(),
-    "rare": pa.list_(pa.string()),
 }
-_SENT_SQL = (
-    "kind int, bucket int, part int, row long, count long, size long, postings long, body binary, "
-    "held_out boolean, n_words long, hot_known long, hot_log double, rare array<string>, doc_id {}"
-)
+_SENT_SQL = "kind int, grp int, part int, row long, count long, size long, postings long, body binary"
+
+
+def _as_stream(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
 def _send_batches(shared):
@@ -463,31 +468,25 @@ def _send_batches(shared):
         from pyspark import TaskContext
 
         hot, hot_log = shared.value["hot"], np.log10(shared.value["hot_n"] + 1.0)
-        parts = shared.value["parts"]
+        parts, shift = shared.value["parts"], shared.value["shift"]
         number = first_row = TaskContext.get().partitionId() << 40
-        block, doc_type = _Block(), None
+        block = _Block()
 
         def made(size: int, /, **columns) -> pa.RecordBatch:
-            types = {**_SENT, "doc_id": doc_type}
-            arrays = [columns[k] if k in columns else pa.nulls(size, t) for k, t in types.items()]
-            return pa.RecordBatch.from_arrays(arrays, schema=pa.schema(list(types.items())))
+            arrays = [
+                pa.array(columns[k], t) if k in columns else pa.nulls(size, t) for k, t in _SENT.items()
+            ]
+            return pa.RecordBatch.from_arrays(arrays, schema=pa.schema(list(_SENT.items())))
 
         def sent() -> pa.RecordBatch:
-            packed = block.packed()
-            n = len(packed["bucket"])
-            of = np.array(packed["bucket"], np.int64)
-            return made(
-                n,
-                kind=pa.array(np.ones(n, np.int32)),
-                bucket=pa.array(packed["bucket"], pa.int32()),
-                part=pa.array((tx.mix(np.full(n, first_row, np.uint64)) % parts[of]).astype(np.int32)),
-                row=pa.array(np.full(n, first_row)),
-                count=pa.array(np.full(n, block.count)),
-                **{k: pa.array(packed[k], _SENT[k]) for k in ("size", "postings", "body")},
-            )
+            packed = block.packed(shift)
+            n = len(packed["grp"])
+            of = np.array(packed["grp"], np.int64)
+            part = tx.mix(np.full(n, first_row, np.uint64)) % parts[of]
+            same = {"kind": np.ones(n, np.int32), "row": np.full(n, first_row), "count": np.full(n, block.count)}
+            return made(n, part=part.astype(np.int32), **same, **packed)
 
         for batch in batches:
-            doc_type = batch["doc_id"].type
             for first, end, data, at in tx.pieces(batch["text"]):
                 data = tx.LOWER[data]
                 rows = end - first
@@ -507,21 +506,20 @@ def _send_batches(shared):
                     pa.array(np.searchsorted(rare, before), pa.int64()),
                     coded.dictionary.take(pa.array(codes[rare])),
                 )
-                places = number + np.arange(rows)
-                yield made(
-                    rows,
-                    kind=pa.array(np.full(rows, 2, np.int32)),
-                    # Facts are of no bucket; they travel with all of them.
-                    bucket=pa.array((places % BUCKETS).astype(np.int32)),
-                    part=pa.array(np.zeros(rows, np.int32)),
-                    row=pa.array(places),
-                    doc_id=batch["doc_id"].slice(first, rows),
-                    held_out=batch["held_out"].slice(first, rows),
-                    n_words=pa.array(np.diff(before), pa.int64()),
-                    hot_known=pa.array(known[before[1:]] - known[before[:-1]], pa.int64()),
-                    hot_log=pa.array(total[before[1:]] - total[before[:-1]]),
-                    rare=lists.cast(pa.list_(pa.string())),
+                facts = pa.RecordBatch.from_pydict(
+                    {
+                        "row": pa.array(number + np.arange(rows)),
+                        "doc_id": batch["doc_id"].slice(first, rows),
+                        "held_out": batch["held_out"].slice(first, rows),
+                        "n_words": pa.array(np.diff(before), pa.int64()),
+                        "hot_known": pa.array(known[before[1:]] - known[before[:-1]], pa.int64()),
+                        "hot_log": pa.array(total[before[1:]] - total[before[:-1]]),
+                        "rare": lists.cast(pa.list_(pa.string())),
+                    }
                 )
+                # Facts are of no group; they travel with all of them.
+                group = (number + block.count) % len(parts)
+                yield made(1, kind=[2], grp=[group], part=[0], row=[number], body=[_as_stream(facts)])
                 number += rows
                 if block.size >= BLOCK_RUNS:
                     yield sent()
@@ -532,11 +530,27 @@ def _send_batches(shared):
     return run
 
 
-def _score_batches(shared):
-    """Scores postings that come after the edges of their bucket; sums go back by row."""
+def _score_batches(shared, doc_type: pa.DataType):
+    """Scores postings that come after the edges of their group; sums go back by block."""
+    fields = {
+        "row": pa.int64(),
+        "doc_id": doc_type,
+        "held_out": pa.bool_(),
+        "n_words": pa.int64(),
+        "hot_known": pa.int64(),
+        "hot_log": pa.float64(),
+        "rare": pa.list_(pa.string()),
+        "sums": pa.binary(),
+    }
+
+    def filled(columns: dict[str, pa.Array]) -> pa.RecordBatch:
+        size = len(columns["row"])
+        arrays = [columns[n].cast(t) if n in columns else pa.nulls(size, t) for n, t in fields.items()]
+        return pa.RecordBatch.from_arrays(arrays, schema=pa.schema(list(fields.items())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = _kept(shared.value["id"], lambda: Scorer(build_trie(shared.value["low"])))
+        shift = shared.value["shift"]
         now: tuple | None = None
         edges: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         scorer: Scorer | None = None
@@ -560,62 +574,74 @@ def _score_batches(shared):
                 sums[row] = sums[row] + gained if row in sums else gained
                 at += len(code)
 
-        def back() -> Iterator[pa.RecordBatch]:
-            for row, gained in sums.items():
-                there = np.flatnonzero(gained)
-                yield pa.RecordBatch.from_pydict(
-                    {"row": pa.array(row + there), "run_log": pa.array(gained[there])}
-                )
+        def back() -> pa.RecordBatch:
+            bodies = pa.array([v.tobytes() for v in sums.values()], pa.binary())
+            return filled({"row": pa.array(list(sums), pa.int64()), "sums": bodies})
 
-        names = ["kind", "bucket", "part", "row", "count", "size", "postings", "body"]
-        facts = ["row", "doc_id", "held_out", "n_words", "hot_known", "hot_log", "rare"]
         for batch in batches:
-            kinds = batch["kind"].to_numpy()
-            if (kinds == 2).any():
-                other = batch.filter(pa.array(kinds == 2))
-                yield _filled(other.select(facts), batch)
-            for item in batch.filter(pa.array(kinds < 2)).select(names).to_pylist():
-                key = item["bucket"], item["part"]
-                if key != now and (size >= CHUNK or edge_size >= CHUNK):
-                    if held:
+            for item in batch.to_pylist():
+                if item["kind"] == 2:
+                    facts = pa.ipc.open_stream(item["body"]).read_next_batch()
+                    yield filled({n: facts[n] for n in facts.schema.names})
+                    continue
+                key = item["grp"], item["part"]
+                if key != now:
+                    if held and size + edge_size >= CHUNK:
                         scored()
-                    edges, scorer, held, size, edge_size = {}, None, [], 0, 0
+                        held, size = [], 0
+                    if not held:
+                        edges, scorer, edge_size = {}, None, 0
+                    if sum(map(len, sums.values())) > 4 * CHUNK:
+                        yield back()
+                        sums = {}
                 now = key
                 if item["kind"] == 0:
-                    # Each part of a bucket brings the same edges.
-                    if item["bucket"] not in edges:
-                        edges[item["bucket"]] = _edges_in(item["body"], item["size"])
-                        edge_size += item["size"]
+                    # Each part of a group brings the same edges; size is that of the bucket.
+                    codes, n = _edges_in(item["body"], item["size"])
+                    bucket = int(codes[0] >> np.uint64(48))
+                    if bucket not in edges:
+                        edges[bucket] = codes, n
+                        edge_size += len(codes)
                         scorer = None
                     continue
                 found = _postings_in(item["body"], item["size"], item["postings"])
                 held.append((item["row"], *found, item["count"]))
                 size += item["postings"]
-                if size >= 4 * CHUNK:
+                if size >= 2 * CHUNK:
                     scored()
                     held, size = [], 0
-                    if len(edges) > 1:
-                        # The rest of this bucket needs its own edges only.
-                        edges = {k: v for k, v in edges.items() if k == item["bucket"]}
+                    if any(k >> shift != now[0] for k in edges):
+                        # The rest of this group needs its own edges only.
+                        edges = {k: v for k, v in edges.items() if k >> shift == now[0]}
                         edge_size, scorer = sum(len(k) for k, _ in edges.values()), None
-                    if sum(len(s) for s in sums.values()) > 4 * CHUNK:
-                        yield from (_filled(b, batch) for b in back())
-                        sums = {}
         if held:
             scored()
         if sums:
-            yield from (_filled(b, batch) for b in back())
+            yield back()
 
     return run
 
 
-def _filled(part: pa.RecordBatch, like: pa.RecordBatch) -> pa.RecordBatch:
-    """``part`` with all columns of the scored table, absent ones null."""
-    names = ["row", "doc_id", "held_out", "n_words", "hot_known", "hot_log", "rare", "run_log"]
-    kinds = {**{n: like.schema.field(n).type for n in names[:-1]}, "run_log": pa.float64()}
-    return pa.RecordBatch.from_arrays(
-        [part[n] if n in part.schema.names else pa.nulls(len(part), kinds[n]) for n in names], names=names
-    )
+def _sum_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, run_log) from the partial sums of each block; rows come sorted by block."""
+    now, total = None, None
+
+    def closed() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(
+            {"row": pa.array(now + np.arange(len(total))), "run_log": pa.array(total)}
+        )
+
+    for batch in batches:
+        for row, body in zip(batch["row"].to_pylist(), batch["sums"]):
+            part = np.frombuffer(body.as_py(), np.float64)
+            if row == now:
+                total = total + part
+                continue
+            if now is not None:
+                yield closed()
+            now, total = row, part
+    if now is not None:
+        yield closed()
 
 
 def count(texts: DataFrame) -> DataFrame:
@@ -666,7 +692,7 @@ def score(docs: DataFrame, trains: Column, hot_words: int = HOT_WORDS, split: in
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Words
     that make up at least one ``hot_words``-th of the training words are at most that
     many; they go to all tasks. The others meet their counts in a shuffle join, which no
-    word can overload since it is below that share. Buckets with more than ``split`` uses in the
+    word can overload since it is below that share. Groups with more than ``split`` uses in the
     training texts are scored by several tasks. Neither parameter changes results.
     """
     ship(docs.sparkSession)
@@ -691,32 +717,37 @@ def _scored(docs: DataFrame, trains: Column, hot_words: int, split: int) -> Data
     edges = materialize(edge_table(counts), "ppm-edges")
     low = edges.mapInArrow(_low_batches, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
     low = edges_of(low["key"].to_numpy().astype(np.uint64), low["n"].to_numpy(), range(LOW))
-    # One number a bucket.
-    parts = np.ones(BUCKETS, np.uint64)
-    for r in edges.select("bucket", "uses").collect():
-        parts[r["bucket"]] = max(1, -(-r["uses"] // split))
+    # One row a bucket. Groups are as many as keep the edges of one within memory.
+    sizes = edges.select("bucket", "size", "uses").toPandas()
+    least_groups = max(GROUPS, int(sizes["size"].sum()) // GROUP_EDGES)
+    shift = max(0, (BUCKETS // min(BUCKETS, least_groups)).bit_length() - 1)
+    uses = np.bincount(sizes["bucket"].to_numpy(np.int64) >> shift, sizes["uses"], BUCKETS >> shift)
+    parts = np.maximum(1, -(-uses.astype(np.int64) // split)).astype(np.uint64)
     shared = spark.sparkContext.broadcast(
         {
             "id": uuid.uuid4().hex,
             "low": low,
             "parts": parts,
+            "shift": shift,
             "hot": hot["word"].combine_chunks().cast(pa.large_string()),
             "hot_n": hot["n"].to_numpy(),
         }
     )
-    doc_type = docs.schema["doc_id"].dataType.simpleString()
-    sent = rows.mapInArrow(_send_batches(shared), _SENT_SQL.format(doc_type))
-    copies = F.sequence(F.lit(0), F.greatest(F.ceil(F.col("uses") / split).cast("int"), F.lit(1)) - 1)
-    model = edges.select(F.lit(0).alias("kind"), "bucket", F.explode(copies).alias("part"), "size", "body")
-    order = ["bucket", "part", "kind"]
+    sent = rows.mapInArrow(_send_batches(shared), _SENT_SQL)
+    parts_of = F.array(*[F.lit(int(p)) for p in parts])
+    group = F.expr(f"shiftright(bucket, {shift})")
+    model = edges.select(F.lit(0).alias("kind"), group.alias("grp"), "size", "body").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.element_at(parts_of, F.col("grp") + 1) - 1))
+    )
+    doc_type = docs.select("doc_id").schema
     scored = materialize(
         sent.unionByName(model, allowMissingColumns=True)
-        .repartition("bucket", "part")
-        .sortWithinPartitions(*order)
+        .repartition("grp", "part")
+        .sortWithinPartitions("grp", "part", "kind")
         .mapInArrow(
-            _score_batches(shared),
-            f"row long, doc_id {doc_type}, held_out boolean, n_words long, hot_known long, "
-            "hot_log double, rare array<string>, run_log double",
+            _score_batches(shared, to_arrow_schema(doc_type).field(0).type),
+            f"row long, doc_id {doc_type[0].dataType.simpleString()}, held_out boolean, n_words long, "
+            "hot_known long, hot_log double, rare array<string>, sums binary",
         ),
         "ppm-rows",
     )
@@ -726,13 +757,19 @@ def _scored(docs: DataFrame, trains: Column, hot_words: int, split: int) -> Data
         .groupBy("row")
         .agg(F.count(F.lit(1)).alias("rare_known"), F.sum(F.log10(F.col("n") + 1.0)).alias("rare_log"))
     )
-    runs = scored.where("run_log is not null").groupBy("row").agg(F.sum("run_log").alias("run_log"))
+    runs = (
+        scored.where("sums is not null")
+        .select("row", "sums")
+        .repartition("row")
+        .sortWithinPartitions("row")
+        .mapInArrow(_sum_batches, "row long, run_log double")
+    )
     known = F.col("hot_known") + F.coalesce("rare_known", F.lit(0))
     gained = F.col("hot_log") + F.coalesce("rare_log", F.lit(0.0)) + F.log10(F.lit(texts + 1.0))
     n_tokens = F.col("n_words") + 1
     return (
-        scored.where("run_log is null")
-        .drop("rare", "run_log")
+        scored.where("sums is null")
+        .drop("rare", "sums")
         .join(rare, "row", "left")
         .join(runs, "row", "left")
         .select(
