@@ -66,7 +66,7 @@ COUNT_RUNS = 1 << 21
 #: Most uses of a group's runs that one task scores.
 SPLIT = 1 << 28
 HOT_WORDS = 1 << 18
-WORD_PIECE_BYTES = 8 << 20
+WORD_PIECE_BYTES = 4 << 20
 START, END = 0xFE, 0xFF
 
 
@@ -176,7 +176,8 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             coded = tx.word_strings(data, starts, ends, tx.SPACED).dictionary_encode()
             n = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
             yield made(len(n), word=coded.dictionary.cast(pa.string()), n=pa.array(n, pa.int64()))
-            keys, counts = np.unique(_dealt(_grams(data, at)), return_counts=True)
+        for _, _, data, at in tx.pieces(learnt["text"]):
+            keys, counts = np.unique(_dealt(_grams(tx.LOWER[data], at)), return_counts=True)
             held_keys.append(keys)
             held_counts.append(counts)
             held += len(keys)
