@@ -238,10 +238,13 @@ def select_documents(
     """
     members = F.array("source") if members is None else members
     cuts = settled(docs.sparkSession, lambda: plan_mix(docs, members, list(weights), share, cap)[1], "cuts")
-    every = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    narrow = _sized(docs.select("*", every), members, "mix", "doc").drop("size")
+    # One column for all others, under a name that none of them has.
+    taken = {c.lower() for c in docs.columns}
+    whole = "doc" + "_" * max((len(c) for c in taken if c.strip("_") == "doc"), default=0)
+    every = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole)
+    narrow = _sized(docs.select("*", every), members, "mix", whole).drop("size")
     chosen = with_copies(narrow, cuts).where("copies > 0")
-    return chosen.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns], F.col("copies").alias("mix_copies"))
+    return chosen.select(*[F.col(f"{whole}.`{c}`").alias(c) for c in docs.columns], F.col("copies").alias("mix_copies"))
 
 
 ORACLE = r"""
