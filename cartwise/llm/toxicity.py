@@ -4,17 +4,20 @@ Features are words and their first four and five bytes (A-Z in lower case, marks
 cut off). One pass over all labelled learning texts counts, for each feature, the toxic and
 the clean documents that hold it; all features with at least ``LEAST_DOCS`` documents whose
 association is significant (``LEAST_CHI``, the same test at every size), and all identity
-terms, make the model's vocabulary. Vectors are sparse.
+terms, make the model's vocabulary as far as a row of the fit holds them. Vectors are sparse.
 
 Counterfactuals: each mention of an identity term in a labelled sentence is swapped for the
-other terms of its group, and for a neutral word. The rest of the sentence stays, so a linear score changes by the
-difference of the two terms' weights; the squared changes, weighed by the mentions counted
+other terms of its group, and for a neutral word. The rest of the sentence stays, and a first
+mention changes the score in proportion to the difference of the two terms' weights (features are
+log1p of counts, so repeated mentions change it less); the squared differences, weighed by the mentions counted
 over all labelled texts, are added to the logistic loss with weight ``PENALTY``. So terms of
 a group end with nearly the same weight, and mentioning a group at all changes little.
 
 The weights are fitted on at most about ``FIT_ROWS`` labelled rows, chosen by a hash of the
 id (documented bound); counts, mentions and scores cover all rows.
 
+Very long texts are read whole, in pieces of rows; a row's features are distinct codes.
+
 Rows: each row is scored by itself; repeated rows are alike. Null text: empty text. Null id:
 never labelled; its fold is that of the empty text. A document with several labels counts
 as toxic if one of them is 1. Only one class, or no labels: the score of all rows is the
@@ -123,6 +126,12 @@ def _count_batches(identity: frozenset):
     return run
 
 
+def _code_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for _, _, codes, _ in _pieces(batch["text"]):
+            yield pa.RecordBatch.from_pydict({"code": pa.array(np.unique(codes).view(np.int64))})
+
+
 @dataclass
 class Model:
     """Sorted feature codes with their weights, and the intercept."""
@@ -271,7 +280,13 @@ def _trained(docs: DataFrame, labels: DataFrame, learns: Column, fit_rows: int)
     a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
     held = a + b
     chi = (a * (n - bad - b) - b * (bad - a)) * F.sqrt(F.lit(float(n))) / F.sqrt(held * (n - held + 1) * bad * (n - bad))
-    best = counts.where((held >= LEAST_DOCS) & (F.abs(chi) >= LEAST_CHI)).select("code").toArrow()
+    share = min(1.0, fit_rows / n)
+    picked = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30))
+    # A feature that no row of the fit holds would get weight 0: what reaches the driver is
+    # bounded by the sample, not by the vocabulary.
+    seen = picked.select("text").mapInArrow(_code_batches, "code long").distinct()
+    significant = counts.where((held >= LEAST_DOCS) & (F.abs(chi) >= LEAST_CHI))
+    best = significant.join(seen, "code", "left_semi").select("code").toArrow()
     terms = np.array(sorted({c for group in IDENTITY for t in group for c in codes_of(t)}), np.uint64)
     codes = np.union1d(best["code"].to_numpy().view(np.uint64), terms)
     signed = [int(np.uint64(c).astype(np.int64)) for c in sorted(identity)]
@@ -280,8 +295,6 @@ def _trained(docs: DataFrame, labels: DataFrame, learns: Column, fit_rows: int)
         for r in counts.where(F.col("code").isin(signed) & (F.col("mentions") > 0)).collect()
     }
     model = Model(codes, np.zeros(len(codes)), 0.0)
-    share = min(1.0, fit_rows / n)
-    picked = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30))
     vector = F.arrow_udf(_vector_body(model), "binary")
     sample = picked.select("toxic", vector("text").alias("x")).toArrow()
     y = sample["toxic"].to_numpy().astype(float)

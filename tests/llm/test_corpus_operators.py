@@ -32,7 +32,7 @@ ROWS = [
 def docs(spark):
     """Documents with a clashing extra column of every internal name."""
     table = spark.createDataFrame(ROWS, "doc_id long, text string, source string")
-    for name in ("row", "id", "key", "node", "size", "pattern", "score", "n", "digest", "row_", "held_out", "label"):
+    for name in ("row", "id", "key", "node", "size", "pattern", "score", "n", "digest", "row_", "held_out", "label", "doc", "doc_"):
         table = table.withColumn(name, F.lit("other"))
     return table
 
@@ -426,3 +426,43 @@ def test_toxicity_held_out(spark):
     out = toxicity.classify(table, labels, tx.fold("doc_id", 3) != 1)
     held = out.where("held_out").join(labels, "doc_id").select("predicted", "toxic").collect()
     assert sum(r.predicted == r.toxic for r in held) >= 0.92 * len(held)
+
+
+def test_toxicity_weights_against_dense_newton():
+    """The sparse solver ends where a dense Newton method on the same loss ends."""
+    draw = np.random.default_rng(3)
+    dense = np.log1p(draw.poisson(0.4, (120, 9))).astype(float)
+    y = (dense @ draw.normal(size=9) + 0.5 * draw.normal(size=120) > 0.2).astype(float)
+    row, place = np.nonzero(dense)
+    own = np.array([1, 4, 6])
+    difference = np.array([[1.0, -1.0, 0.0], [0.0, 1.0, -1.0], [1.0, 0.0, 0.0]])
+    weight = np.array([0.5, 0.3, 0.2])
+    found, bias = toxicity.fit_weights((row, place, dense[row, place]), y, 9, own, difference, weight)
+
+    wide = np.c_[dense, np.ones(120)]
+    swap = np.zeros((3, 10))
+    swap[:, own] = difference
+    pull = 2 * toxicity.PENALTY * (swap * weight[:, None]).T @ swap
+    pull += np.diag(np.r_[np.full(9, toxicity.RIDGE), 1e-9])
+    w = np.zeros(10)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-wide @ w))
+        bent = (wide * (p * (1 - p))[:, None]).T @ wide / 120 + pull
+        step = np.linalg.solve(bent, wide.T @ (p - y) / 120 + pull @ w)
+        w -= step * min(1.0, 1.0 / max(np.abs(step).max(), 1e-12))
+    assert np.r_[found, bias] == pytest.approx(w, abs=1e-2)
+
+
+def test_toxicity_driver_holds_codes_of_the_sample_only(spark):
+    """More rows with other words bring no more codes to the driver."""
+    def model(n):
+        texts = [(i, f"plain words w{i % n} " + ("awful slur" if i % 2 else "kind"), i % 2) for i in range(20 * n)]
+        docs = spark.createDataFrame([t[:2] for t in texts], "doc_id long, text string")
+        labels = spark.createDataFrame([(t[0], t[2]) for t in texts], "doc_id long, toxic int")
+        return toxicity.train(docs, labels, F.lit(True), fit_rows=40), texts
+
+    small, _ = model(4)
+    large, texts = model(40)
+    assert len(large.codes) <= len(small.codes) + 3 * 60
+    scores = large.score(pa.array([t[1] for t in texts]))
+    assert min(s for s, t in zip(scores, texts) if t[2]) > max(s for s, t in zip(scores, texts) if not t[2])
