@@ -178,3 +178,20 @@ def test_registered_fits_use_the_defaults(monkeypatch):
             catalog.QUERIES[query](None, "none")
         args, kwargs = found.value.args
         assert not kwargs and not any(isinstance(a, ranker.RankerParams) for a in args)
+
+
+def test_learning_rows_are_drawn_before_the_fan_out(spark, sf):
+    """The sample of a fit holds lines with all their candidates, and no featured frame is written."""
+    inter, items = retail.interactions(spark, sf), retail.items(spark, sf)
+    split = {"split_date": retail.SPLIT_DATE, "test_days": retail.TEST_DAYS}
+    frames = flow.featured_frames(
+        inter, retail.users(spark, sf), items, retail.item_vectors(spark, sf), n_negatives=5, **split
+    )
+    assert frames.lines["train"].agg(F.sum("n_candidates")).first()[0] == frames.train.count()
+    drawn = frames.learning("train", 2000, 42)
+    assert 1000 < drawn.count() < 3000
+    assert set(drawn.columns) == set(frames.train.columns)
+    whole = frames.train.join(drawn.select("line_key").distinct(), "line_key", "left_semi")
+    columns = ("line_key", "item_id", *frames.features)
+    assert rows(drawn, *columns) == rows(whole, *columns)
+    assert "/featured-" not in "".join(frames.train.inputFiles())

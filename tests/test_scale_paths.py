@@ -9,6 +9,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from cartwise.operators import embeddings, features, metrics, ordering, ranker, sampling, stats
+from cartwise.plans import flow
 from cartwise.plans.catalog import QUERIES
 from cartwise.sources import retail
 
@@ -264,3 +265,33 @@ def test_flagship_values(spark, sf):
         "ndcg_full_10": 0.10742, "auc": 0.497071, "average_precision": 0.049813,
     }
     assert {k: got[k] for k in expected} == expected
+
+
+@pytest.mark.parametrize("page", [4, 256])
+def test_attributes_travel_with_the_menus(spark, sf, inter, page):
+    items = retail.items(spark, sf)
+    # Every third line's item is not on its restaurant's menu, some items have no attributes.
+    away = inter.withColumn(
+        "restaurant_id", F.when(F.col("item_id") % 3 == 0, 1).otherwise(F.col("restaurant_id"))
+    )
+    facts = items.where("item_id % 5 > 0").select("item_id", "price", F.array("price").alias("_iv"))
+    plain = sampling.sample_uniform(away, items, 7, page=page).join(facts, "item_id", "left")
+    carried = sampling.sample_uniform(away, items, 7, page=page, attributes=facts, cluster="order_id")
+    columns = ("line_key", "item_id", "added_to_cart", F.coalesce("price", F.lit(-1.0)), F.size("_iv"))
+    assert rows(plain, *columns) == rows(carried, *columns)
+
+
+def test_scored_rows_meet_no_join(spark, sf, inter):
+    """Shares join the lines and the menus; the fanned-out rows are neither joined nor moved."""
+    scored = flow.popularity_scored(inter, inter, retail.items(spark, sf), 5)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in plan
+    assert "Join" not in plan[: plan.index("Generate")] and "Repartition" not in plan[: plan.index("Generate")]
+
+
+def test_sessions_are_excluded_before_the_menus(spark, sf, inter):
+    drawn = sampling.sample_uniform(inter, retail.items(spark, sf), 5, exclude_session_positives=True)
+    plan = drawn._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    # The last join, nearest to the fan-out, is that with the menus.
+    assert "session_id" not in joins[0] and any("session_id" in line for line in joins[1:])
