@@ -295,3 +295,12 @@ def test_sessions_are_excluded_before_the_menus(spark, sf, inter):
     joins = [line for line in plan.splitlines() if "Join " in line]
     # The last join, nearest to the fan-out, is that with the menus.
     assert "session_id" not in joins[0] and any("session_id" in line for line in joins[1:])
+
+
+def test_pairing_tasks_do_not_grow_with_the_table(inter):
+    plain = stats.pair_counts(inter)
+    small = stats.pair_counts(inter, rows_per_task=100)
+    assert rows(small) == rows(plain)
+    plan = small._jdf.queryExecution().optimizedPlan().toString()
+    tasks = max(int(n) for n in re.findall(r"RepartitionByExpression \[session_id#\d+\], (\d+)", plan))
+    assert tasks == -(-inter.count() // 100)
