@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from cartwise.operators import embeddings, features, metrics, ranker, sampling, stats
+from cartwise.operators import boosting, embeddings, features, metrics, ranker, sampling, stats
 from cartwise.operators.split import split_frames
 from cartwise.plans import flow
 from cartwise.sources import retail, sinks
@@ -195,3 +195,21 @@ def test_learning_rows_are_drawn_before_the_fan_out(spark, sf):
     columns = ("line_key", "item_id", *frames.features)
     assert rows(drawn, *columns) == rows(whole, *columns)
     assert "/featured-" not in "".join(frames.train.inputFiles())
+
+
+def test_cross_validation_from_lines(spark, planted):
+    """Folds of lines, whose candidates are made when they are read, score as folds of candidates."""
+    params = boosting.BoostingParams(trees=3, max_depth=3, min_rows_per_leaf=5)
+    made = []
+
+    def featured(lines):
+        made.append(lines.columns)
+        return planted.join(lines.select("line_key"), "line_key", "left_semi")
+
+    lines = planted.where("added_to_cart = 1").select(
+        "order_id", "line_key", F.lit(5).cast("long").alias("n_candidates")
+    )
+    _, plain = ranker.fit_cv(planted, ["a", "b"], 3, params)
+    _, scores = ranker.fit_cv(lines, ["a", "b"], 3, params, featured=featured)
+    assert rows(scores) == rows(plain)
+    assert len(made) == 9 and all("a" not in columns for columns in made)
