@@ -1,6 +1,7 @@
 """The paths for large groups give the rows of the plain paths."""
 
 import re
+from datetime import datetime
 
 import numpy as np
 import pytest
@@ -304,3 +305,35 @@ def test_pairing_tasks_do_not_grow_with_the_table(inter):
     plan = small._jdf.queryExecution().optimizedPlan().toString()
     tasks = max(int(n) for n in re.findall(r"RepartitionByExpression \[session_id#\d+\], (\d+)", plan))
     assert tasks == -(-inter.count() // 100)
+
+
+def test_small_vectors_and_menus_go_to_the_lines(spark, sf):
+    """Lines stay where they are: vectors and menus are sent to them whatever the session's threshold."""
+    inter, items = retail.interactions(spark, sf), retail.items(spark, sf)
+    vectors = retail.item_vectors(spark, sf)
+    users = embeddings.user_vectors(inter, vectors)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = embeddings.add_embedding_features(inter, vectors, users)
+        sampled = sampling.sample_random(inter, items)
+        popular = sampling.sample_popular(inter, items, stats.item_popularity(inter))
+        plans = [f._jdf.queryExecution().optimizedPlan().toString() for f in (joined, sampled, popular)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [plan.count("rightHint=(strategy=broadcast)") for plan in plans] == [2, 1, 2]
+
+
+def test_lines_that_tie_up_to_the_key_hold_one_item(spark):
+    """The user's vector needs no line key: repeats of a line share their item."""
+    rows_ = [(1, i, datetime(2024, 1, 1), 0, f"k{n}") for n, i in enumerate([3, 3, 4, 5, 5, 5])]
+    lines = spark.createDataFrame(
+        rows_, "user_id BIGINT, item_id BIGINT, timestamp TIMESTAMP_NTZ, position_in_cart INT, line_key STRING"
+    )
+    vectors = spark.createDataFrame([(3, [1.0, 0.0]), (5, [0.0, 1.0])], "item_id BIGINT, vec ARRAY<DOUBLE>")
+    weights = [2.718281828459045 ** (-0.1 * age) for age in (0, 1, 2, 4, 5)]
+    share = sum(weights[:3]) / sum(weights)
+    found = embeddings.user_vectors(lines, vectors).first()["vec"]
+    assert found == pytest.approx([1 - share, share])
+    slim = embeddings.user_vectors(lines.drop("line_key"), vectors).first()["vec"]
+    assert slim == pytest.approx(found)
