@@ -44,6 +44,8 @@ BAND_ROWS = 4
 #: Bins of the sketches that blocks compare, and nodes in a block.
 LONG = 1024
 BLOCK = 512
+#: Rows of a batch whose long sketches are made together.
+ROWS = 512
 #: Hubs that a node is verified against before blocks are compared.
 HUBS = 8
 #: Parts of the nodes of a root in a join on the root.
@@ -152,7 +154,8 @@ def _sketch_batches(size: int):
 
 def _set_batches(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # A piece of short texts has many rows, each of which takes LONG numbers.
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, len(b), ROWS)):
             for first, end, elements, place in _sets(batch["text"], size):
                 body = elements.tobytes()
                 yield pa.RecordBatch.from_pydict(
@@ -174,13 +177,9 @@ def _equal_bins(a: pa.Array, b: pa.Array) -> pa.Array:
 
 
 def _shared(a: pa.Array, b: pa.Array) -> pa.Array:
-    return pa.array(
-        [
-            len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-            for x, y in zip(a.to_pylist(), b.to_pylist())
-        ],
-        pa.int64(),
-    )
+    # One pair at a time: a batch of whole sets is large already, and is not copied.
+    sets = lambda x: np.frombuffer(x.as_buffer(), np.uint64)
+    return pa.array([len(np.intersect1d(sets(x), sets(y), assume_unique=True)) for x, y in zip(a, b)], pa.int64())
 
 
 def _salted(many: DataFrame, few: DataFrame, key: str) -> DataFrame:

@@ -466,3 +466,21 @@ def test_toxicity_driver_holds_codes_of_the_sample_only(spark):
     assert len(large.codes) <= len(small.codes) + 3 * 60
     scores = large.score(pa.array([t[1] for t in texts]))
     assert min(s for s, t in zip(scores, texts) if t[2]) > max(s for s, t in zip(scores, texts) if not t[2])
+
+
+def test_long_sketches_of_many_short_texts_take_bounded_memory():
+    """A piece of short texts has many rows; their long sketches are made a few hundred at a time."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from cartwise.llm import minhash
+
+    texts = pa.array([f"a{i} b c d e f" for i in range(10_000)])
+    batch = pa.RecordBatch.from_pydict({"text": texts, "want": pa.array([b"x"] * len(texts))})
+    tracemalloc.start()
+    rows_ = sum(len(b) for b in minhash._set_batches(5)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows_ == len(texts)
+    assert peak < 40 << 20, peak
