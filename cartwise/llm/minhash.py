@@ -50,6 +50,8 @@ ROWS = 512
 HUBS = 8
 #: Parts of the nodes of a root in a join on the root.
 SALTS = 16
+#: Rows of a task that writes links, roots or groups.
+TASK_ROWS = 1 << 15
 #: Near pairs that a node keeps in the first comparison of blocks.
 BEST = 2
 
@@ -182,6 +184,16 @@ def _shared(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array([len(np.intersect1d(sets(x), sets(y), assume_unique=True)) for x, y in zip(a, b)], pa.int64())
 
 
+def _tasks(df: DataFrame, rows: int) -> DataFrame:
+    """Narrow rows, about ``rows`` of them, in as many tasks as they ask for, at least one a core.
+
+    The session's shuffle partitions may cut a short table into many files that cost more than
+    its rows; such a table is dealt once more before it is written. Larger ones stay as they are.
+    """
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+    return df.repartition(parts) if parts < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def _salted(many: DataFrame, few: DataFrame, key: str) -> DataFrame:
     """Left join of nodes with a table of one row a key, in which a key may own most nodes."""
     salt = F.pmod(F.xxhash64("node"), F.lit(SALTS))
@@ -192,29 +204,26 @@ def _salted(many: DataFrame, few: DataFrame, key: str) -> DataFrame:
 def connected(links: DataFrame) -> DataFrame:
     """(node, root) of all nodes of ``links`` (a, b): root is the smallest node reachable.
 
-    Each step takes the smallest root among the neighbours and then the root's root, so
-    the number of steps grows with the logarithm of a chain's length. Every step is
-    written, so that a lost executor costs one step.
+    Each step takes the smallest root of a node and its neighbours and then that root's root,
+    so the number of steps grows with the logarithm of a chain's length. Every node is its own
+    neighbour too, so a step sums its edges once and joins nothing but the roots. Every step
+    is written, so that a lost executor costs one step. ``links`` is counted, so it should be
+    a written table.
     """
-    both = materialize(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    roots = materialize(
-        both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select(
-            "node", F.least("node", "least").alias("root")
-        ),
-        "roots",
-    )
+    rows = 2 * links.count()
+    edges = links.select("a", "b").union(links.select("b", "a"))
+    edges = edges.union(edges.select("a", F.col("a").alias("b")))
+    both = materialize(_tasks(edges.distinct(), 2 * rows), "links")
+    roots = materialize(_tasks(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")), rows), "roots")
     while True:
         near = (
             both.join(roots.select(F.col("node").alias("b"), "root"), "b")
             .groupBy(F.col("a").alias("node"))
-            .agg(F.min("root").alias("near"))
-        )
-        better = roots.join(near, "node").select("node", "root", F.least("root", "near").alias("next"))
-        jumps = better.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        jumped = materialize(
-            better.join(jumps, "next", "left").select("node", "root", F.least("next", F.coalesce("far", "next")).alias("next")),
-            "roots",
+            .agg(F.max(F.when(F.col("a") == F.col("b"), F.col("root"))).alias("root"), F.min("root").alias("near"))
         )
+        jumps = roots.select(F.col("node").alias("near"), F.col("root").alias("far"))
+        jumped = near.join(jumps, "near").select("node", "root", F.least("near", "far").alias("next"))
+        jumped = materialize(_tasks(jumped, rows), "roots")
         done = jumped.where(F.col("root") != F.col("next")).isEmpty()
         roots = jumped.select("node", F.col("next").alias("root"))
         if done:
@@ -232,9 +241,9 @@ def _side(table: DataFrame, name: str, *columns: str) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
+    """The pairs (a, b) of a written table whose full sets reach the threshold."""
     shared = F.arrow_udf(_shared, "long")
-    return (
+    links = (
         pairs.join(_side(sets, "a", "elements"), "a")
         .join(_side(sets, "b", "elements"), "b")
         .withColumn("common", shared("elements_a", "elements_b"))
@@ -242,6 +251,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .where(100 * F.col("common") >= percent * (F.col("sizes") - F.col("common")))
         .select("a", "b")
     )
+    return _tasks(links, pairs.count())
 
 
 def _near_in_block(part: dict[str, np.ndarray], least: tuple[int, int], best: int | None) -> tuple[np.ndarray, np.ndarray]:
@@ -249,7 +259,9 @@ def _near_in_block(part: dict[str, np.ndarray], least: tuple[int, int], best: in
     short, long, bands, root, block = (part[c] for c in ("short", "long", "bands", "root", "block"))
     number = int(part["number"][0])
     one, two = int(block.min()), int(block.max())
+    # Rows of a root stand together, and meet only rows of other roots.
     left = np.flatnonzero(block == one)
+    left = left[np.argsort(root[left], kind="stable")]
     right = left if one == two else np.flatnonzero(block == two)
     found = []
     for low in range(0, len(left), 64):
@@ -257,10 +269,12 @@ def _near_in_block(part: dict[str, np.ndarray], least: tuple[int, int], best: in
         apart = root[rows][:, None] != root[right][None, :]
         if one == two:
             apart &= rows[:, None] < right[None, :]
-        if not apart.any():
+        others = np.flatnonzero(apart.any(axis=0))
+        if not len(others):
             continue
-        same = short[rows][:, None, :] == short[right][None, :, :]
-        a, b = np.nonzero(apart & (same.sum(axis=2, dtype=np.int16) >= least[0]))
+        same = short[rows][:, None, :] == short[right[others]][None, :, :]
+        a, b = np.nonzero(apart[:, others] & (same.sum(axis=2, dtype=np.int16) >= least[0]))
+        b = others[b]
         if number:
             # A pair counts in the first band it shares, by the keys that made the buckets.
             early = np.zeros(len(a), bool)
@@ -356,6 +370,7 @@ def _grouped(docs: DataFrame, size: int, percent: int, id_column: str) -> DataFr
         ),
         "sketches",
     )
+    rows = table.count()
     members = table.where("node is not null")
     banded = members.groupBy("node").agg(F.first("bands").alias("bands"))
     banded = banded.select(F.posexplode("bands").alias("number", "band"), "node")
@@ -369,19 +384,19 @@ def _grouped(docs: DataFrame, size: int, percent: int, id_column: str) -> DataFr
     live = materialize(met.drop("met").join(hubs, "band"), "live")
     roots = _roots(docs, id_column, table, live, size, percent)
     groups = members.groupBy("node").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows"))
-    groups = materialize(groups, "groups")
+    groups = materialize(_tasks(groups, rows), "groups")
     rooted = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = materialize(rooted, "rooted")
+    rooted = materialize(_tasks(rooted, rows), "rooted")
     by_root = (
         rooted.groupBy("root")
         .agg(F.min("first").alias("component"), F.count(F.lit(1)).alias("nodes"))
         .where("nodes > 1")
         .drop("nodes")
     )
-    groups = _salted(rooted, materialize(by_root, "by_root"), "root").select(
+    groups = _salted(rooted, materialize(_tasks(by_root, rows), "by_root"), "root").select(
         "node", F.coalesce("component", "first").alias("first"), (F.col("component").isNotNull() | (F.col("rows") > 1)).alias("shared")
     )
-    groups = materialize(groups.where("shared").select("node", "first"), "groups")
+    groups = materialize(_tasks(groups.where("shared").select("node", "first"), rows), "groups")
     component = F.coalesce("first", "id")
     return table.join(groups, "node", "left").select(
         F.col("id").alias(id_column),
@@ -393,31 +408,32 @@ def _grouped(docs: DataFrame, size: int, percent: int, id_column: str) -> DataFr
 
 def _roots(docs: DataFrame, id_column: str, table: DataFrame, live: DataFrame, size: int, percent: int) -> DataFrame:
     """(node, root) of the nodes that have verified links."""
+    rows = table.count()
     nodes = live.select("node").distinct()
     want = table.where("node is not null").groupBy("node").agg(
         F.min("id").alias("id"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")
     )
     want = materialize(want.join(nodes, "node", "left_semi"), "want")
     text_of = want.select(F.col("id").alias("want_id"), F.col("node").alias("want"))
-    sets = materialize(
+    sets = (
         docs.select(F.col(id_column).alias("id"), "text")
         .join(text_of, F.col("id").eqNullSafe(F.col("want_id")))
         .select("text", "want")
         .mapInArrow(_set_batches(size), "node binary, want binary, long binary, elements binary")
         .where("node = want")
         .groupBy("node")
-        .agg(F.first("long").alias("long"), F.first("elements").alias("elements")),
-        "sets",
+        .agg(F.first("long").alias("long"), F.first("elements").alias("elements"))
     )
+    sets = materialize(sets, "sets")
     # The hubs of a node's buckets, those with most buckets first. No sketch is read
     # for this, and only nodes whose first hub is no link go on to the others.
     by_hub = live.where("node != hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("bands"))
-    hubs = materialize(
+    hubs = (
         by_hub.groupBy("node")
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("bands")).alias("few"), "hub"))).alias("hubs"))
-        .select(F.col("node").alias("a"), F.slice("hubs.hub", 1, HUBS).alias("hubs")),
-        "hubs",
+        .select(F.col("node").alias("a"), F.slice("hubs.hub", 1, HUBS).alias("hubs"))
     )
+    hubs = materialize(_tasks(hubs, rows), "hubs")
     equal = F.arrow_udf(_equal_bins, "int")
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -427,12 +443,14 @@ def _roots(docs: DataFrame, id_column: str, table: DataFrame, live: DataFrame, s
             .where(equal("sketch_a", "sketch_b") >= _least_equal(percent, COORDINATES))
             .select("a", "b")
         )
-        return materialize(_verified(materialize(alike, "best"), sets, percent), "found")
+        alike = materialize(_tasks(alike, HUBS * rows), "best")
+        return materialize(_verified(alike, sets, percent), "found")
 
     links = linked(hubs.select("a", F.element_at("hubs", 1).alias("b")))
     others = hubs.join(links.select("a").distinct(), "a", "left_anti")
     links = links.unionByName(linked(others.select("a", F.explode(F.slice("hubs", 2, HUBS)).alias("b"))))
-    long = materialize(sets.select("node", "long").join(want.select("node", "sketch", "bands"), "node"), "long")
+    long = sets.select("node", "long").join(want.select("node", "sketch", "bands"), "node")
+    long = materialize(long, "long")
     roots = connected(links)
     for keep in (BEST, None):
         near = materialize(_near_pairs(live, roots, long, percent, keep), "near")
@@ -451,7 +469,7 @@ def _near_pairs(live: DataFrame, roots: DataFrame, long: DataFrame, percent: int
         F.count(F.lit(1)).alias("n"), F.min("root_no").alias("lo"), F.max("root_no").alias("hi")
     )
     open_ = open_.where("lo != hi").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    spread = rooted.join(materialize(open_, "open"), "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    spread = rooted.join(materialize(_tasks(open_, live.count()), "open"), "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     keys = [F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
     least = (_least_equal(percent, COORDINATES), _least_equal(percent, LONG))

@@ -484,3 +484,21 @@ def test_long_sketches_of_many_short_texts_take_bounded_memory():
     tracemalloc.stop()
     assert rows_ == len(texts)
     assert peak < 40 << 20, peak
+
+
+def test_small_link_tables_take_few_tasks(spark):
+    """A short table of links is not written as one file a shuffle partition; a chain, a star and a loop."""
+    chain = [(i, i + 1) for i in range(100, 160)]
+    links = chain + [(7, i) for i in range(200, 260)] + [(300, 301), (301, 302), (300, 302)]
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        spark.conf.set(names[0], "64")
+        spark.conf.set(names[1], "false")
+        roots = minhash.connected(spark.createDataFrame(links, "a long, b long"))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    expected = {i: 100 for i in range(100, 161)} | {i: 7 for i in (7, *range(200, 260))} | {300: 300, 301: 300, 302: 300}
+    assert {r.node: r.root for r in roots.collect()} == expected
+    assert len(roots.inputFiles()) <= spark.sparkContext.defaultParallelism
