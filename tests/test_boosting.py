@@ -10,6 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from cartwise.operators import boosting, metrics, ranker
+from cartwise.session import new_path
 
 SMALL = boosting.BoostingParams(trees=12, max_depth=3, min_rows_per_leaf=5, learning_rate=0.3, patience=4)
 
@@ -156,3 +157,17 @@ def test_frames_without_pairs_nulls_and_no_validation(planted):
     some = ranker.fit_listwise(nulls, ["a", "b"], None, params)
     assert some.trees.getNumTrees == 2 and [h[0] for h in some.history] == ["train"] * 2
     assert ranker.predict(some, nulls).where("score IS NULL").count() == 0
+
+
+@pytest.mark.parametrize("rounds", [1, 3])
+def test_scores_are_written_once_in_many_rounds(planted, fitted, monkeypatch, rounds):
+    """Tables hold the scores of some rounds, and where they are cut changes no tree."""
+    names = []
+    monkeypatch.setattr(boosting, "new_path", lambda spark, name: names.append(name) or new_path(spark, name))
+    monkeypatch.setattr(boosting, "ROUNDS_PER_TABLE", rounds)
+    train, val = planted.where("order_id >= 100"), planted.where("order_id < 100")
+    again = ranker.fit_listwise(train, ["a", "b"], val, SMALL)
+    assert [h[:2] for h in again.history] == [h[:2] for h in fitted.history]
+    assert [h[2:] for h in again.history] == [pytest.approx(h[2:], abs=1e-9) for h in fitted.history]
+    assert again.params["best_iteration"] == fitted.params["best_iteration"]
+    assert len(names) <= 1 + len(again.history) // 2 // rounds
