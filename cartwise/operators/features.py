@@ -81,19 +81,28 @@ def join_item_stats(df: DataFrame, item_stats: DataFrame) -> DataFrame:
     )
 
 
-def add_user_features(df: DataFrame, users: DataFrame, user_stats: DataFrame | None) -> DataFrame:
+def user_attributes(users: DataFrame, user_stats: DataFrame | None) -> DataFrame:
+    """One row per user with the columns that the user features are made of."""
     table = users.select("user_id", *USER_ATTRIBUTES)
     if user_stats is not None:
         # Users with history but no profile still carry their order count.
         table = table.join(user_stats.select("user_id", "order_count"), "user_id", "full")
         table = table.withColumnRenamed("order_count", "user_order_count")
-    table = table.withColumns({name: one_hot(*spec) for name, spec in USER_FLAGS.items()})
-    filled = list(USER_FLAGS) + (["user_order_count"] if user_stats is not None else [])
-    return df.join(table, "user_id", "left").fillna(0, filled)
+    return table
 
 
-def item_features(items: DataFrame, item_stats: DataFrame | None) -> DataFrame:
-    """One row per item with all its feature columns."""
+def make_user_features(df: DataFrame) -> DataFrame:
+    """User features of rows that hold the user's attributes; 0 for unknown users."""
+    df = df.withColumns({name: one_hot(*spec) for name, spec in USER_FLAGS.items()})
+    return df.fillna(0, [*USER_FLAGS, *(["user_order_count"] if "user_order_count" in df.columns else [])])
+
+
+def add_user_features(df: DataFrame, users: DataFrame, user_stats: DataFrame | None) -> DataFrame:
+    return make_user_features(df.join(user_attributes(users, user_stats), "user_id", "left"))
+
+
+def item_attributes(items: DataFrame, item_stats: DataFrame | None) -> DataFrame:
+    """One row per item with the columns that the item features are made of."""
     table = items.select("item_id", *ITEM_ATTRIBUTES)
     if item_stats is not None:
         stats = item_stats.select(
@@ -103,7 +112,12 @@ def item_features(items: DataFrame, item_stats: DataFrame | None) -> DataFrame:
             F.col("popularity_score").alias("item_popularity"),
         )
         table = table.join(stats, "item_id", "full")
-    return table.withColumns(
+    return table
+
+
+def make_item_features(df: DataFrame) -> DataFrame:
+    """Item features of rows that hold the item's attributes."""
+    return df.withColumns(
         {
             "log_price": F.log1p("price"),
             "price_squared": F.col("price") * F.col("price"),
@@ -113,6 +127,11 @@ def item_features(items: DataFrame, item_stats: DataFrame | None) -> DataFrame:
     )
 
 
+def item_features(items: DataFrame, item_stats: DataFrame | None) -> DataFrame:
+    """One row per item with all its feature columns."""
+    return make_item_features(item_attributes(items, item_stats))
+
+
 def join_item_features(df: DataFrame, table: DataFrame) -> DataFrame:
     """Join a table of :func:`item_features`; flags and counts of unknown items are 0."""
     return fill_item_features(df.join(table, "item_id", "left"))
@@ -346,11 +365,24 @@ def engineer_features(
     item_stats: DataFrame | None = None,
     carts: DataFrame | None = None,
 ) -> DataFrame:
-    """User, item, cart (if given), interaction, context and price features."""
-    df = add_user_features(df, users, user_stats)
-    df = add_item_features(df, items, item_stats)
+    """User, item, cart (if given), interaction, context and price features.
+
+    Attributes join first and features are made of them after the last join, so that no shuffle
+    moves what can be computed. Lines of a session mostly stand together, and still do after the
+    joins by session and by user; the join by item scatters them and comes last.
+    """
+    user_table, item_table = user_attributes(users, user_stats), item_attributes(items, item_stats)
+    columns = ["item_id", "user_id", *[c for c in df.columns if c not in ("item_id", "user_id")]]
+    of_user = [*user_table.drop("user_id").columns, *USER_FLAGS]
+    of_item = make_item_features(item_table).drop("item_id").columns
+    of_cart = []
     if carts is not None:
+        columns = ["session_id", *[c for c in columns if c != "session_id"]]
+        of_cart = ["cart_size", *CART_DEFAULTS]
         df = add_cart_features(df, carts, items)
+    df = df.join(user_table, "user_id", "left").join(item_table, "item_id", "left")
+    df = fill_item_features(make_item_features(make_user_features(df)))
+    df = df.select(*columns, *of_user, *of_item, *of_cart)
     df = add_interaction_features(df)
     df = add_context_features(df)
     return add_price_progression(df)

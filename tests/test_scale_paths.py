@@ -337,3 +337,40 @@ def test_lines_that_tie_up_to_the_key_hold_one_item(spark):
     assert found == pytest.approx([1 - share, share])
     slim = embeddings.user_vectors(lines.drop("line_key"), vectors).first()["vec"]
     assert slim == pytest.approx(found)
+
+
+def test_features_are_made_after_the_last_join(spark):
+    """No join moves a column that can be computed; unknown users, items and carts as in single steps."""
+    users = spark.createDataFrame(
+        [(1, "budget", "veg", "low", "a"), (2, None, "both", "high", "b")],
+        "user_id long, user_segment string, veg_preference string, order_frequency string, preferred_cuisine string",
+    )
+    items = spark.createDataFrame(
+        [(7, 10.0, "main", 1, 0.5), (8, 300.0, None, 0, 0.1)],
+        "item_id long, price double, category string, veg_flag int, popularity_score double",
+    )
+    user_stats = spark.createDataFrame([(1, 4), (3, 2)], "user_id long, order_count long")
+    item_stats = spark.createDataFrame(
+        [(8, 2, 3, 0.25), (9, 1, 1, 0.5)], "item_id long, unique_users long, order_count long, popularity_score double"
+    )
+    lines = spark.createDataFrame(
+        [("a", "s", 1, 7), ("b", "s", 2, 8), ("c", "t", 3, 9), ("d", None, None, None), ("e", "u", 5, 7)],
+        "line_key string, session_id string, user_id long, item_id long",
+    ).withColumn("timestamp", F.lit("2024-01-01 08:00:00").cast("timestamp"))
+    carts = lines.where("session_id <> 'u'").select("session_id", "item_id")
+    got = features.engineer_features(lines, users, items, user_stats, item_stats, carts)
+    want = features.add_user_features(lines, users, user_stats)
+    want = features.add_item_features(want, items, item_stats)
+    want = features.add_interaction_features(features.add_cart_features(want, carts, items))
+    want = features.add_price_progression(features.add_context_features(want))
+    assert got.dtypes == want.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    shown = spark.conf.get("spark.sql.debug.maxToStringFields", "25")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", shown)
+    top, below = plan.split("Join LeftOuter", 1)
+    for name in ("segment_budget", "log_price", "category_main", "is_veg"):
+        assert f"AS {name}#" in top and f"AS {name}#" not in below
