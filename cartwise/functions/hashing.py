@@ -58,11 +58,13 @@ def step(start: Column, index: Column, limit: int) -> Column:
 
 
 def mix32(name: str) -> str:
-    """SQL for a 32-bit hash of a non-negative BIGINT column below 2^32.
+    """SQL for a 32-bit hash of a non-negative BIGINT column.
 
-    Plain integer arithmetic, for counters hashed by the hundred million.
+    Plain integer arithmetic, for counters hashed by the hundred million. Only the low 32 bits of
+    a product count, so masking its factor first keeps counters beyond 2^32 from overflowing; each
+    further 2^32 of them get the same numbers in another order.
     """
     first, second = MIX_MULTIPLIER
-    x = f"(({name} ^ shiftright({name}, 15)) * {first}L & {MASK_32}L)"
+    x = f"((({name} ^ shiftright({name}, 15)) & {MASK_32}L) * {first}L & {MASK_32}L)"
     x = f"(({x} ^ shiftright({x}, 12)) * {second}L & {MASK_32}L)"
     return f"({x} ^ shiftright({x}, 15))"
